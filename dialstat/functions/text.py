@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 
 from dialstat.params import TEXT_SENTINELS
 
-# Unicode-aware: strips tab, newline, NBSP and other Unicode spaces, not only ' '.
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# The characters with the Unicode White_Space property, which TRIM
+# removes (tab through carriage return, space, NEL, NBSP, ogham space,
+# U+2000-U+200A, line/paragraph separators, narrow NBSP, medium mathematical
+# space, ideographic space).
+UNICODE_SPACES = (
+    "\t\n\u000b\u000c\r \u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _c(c: Column | str) -> Column:
@@ -18,8 +25,12 @@ def _c(c: Column | str) -> Column:
 
 
 def utrim(c: Column | str) -> Column:
-    """TRIM with the warehouse's meaning (all leading/trailing Unicode whitespace)."""
-    return F.regexp_replace(_c(c), _EDGE_SPACE, "")
+    """TRIM with the warehouse's meaning (all leading/trailing Unicode whitespace).
+
+    A character-set trim (no regular expression): Spark's one-argument ``trim``
+    strips only ' '.
+    """
+    return F.btrim(_c(c), F.lit(UNICODE_SPACES))
 
 
 def norm_text(c: Column | str) -> Column:

@@ -17,13 +17,14 @@ from dialstat.functions.numeric import flag, safe_divide
 from dialstat.operators.clean import ts_literal
 from dialstat.operators.metrics import base_metrics, enriched_metrics, exact_mean_of_fixed_point
 from dialstat.operators.joins import checked_small, equi_join, null_safe_join
-from dialstat.operators.ordinal import percent_rank, rank_rows
+from dialstat.operators.ordinal import rank_family
 from dialstat.params import KPI_DIMENSIONS, SEGMENT_KEYS, Params
 from dialstat.schema import KPI_COLUMNS
 from dialstat.session import fresh_work_dir
 
 SK = "group_sk"
 RATE = "conversion_rate_pct"
+RATE_KEY = "rate_hundredths"
 
 
 def with_group_key(df: DataFrame) -> DataFrame:
@@ -50,30 +51,23 @@ def kpi_groups(clean: DataFrame, p: Params | None = None, checkpoint: bool = Tru
 
 
 def add_ranks(e: DataFrame, p: Params | None = None) -> DataFrame:
-    """Ranks by age segment and by month, global percentile and global row id."""
+    """Ranks by age segment and by month, global row id and global percentile.
+
+    All four order by the 2-dp rate (at most 10,001 values) with the group key as
+    tie-break, so they share one shuffle (see ``ordinal.rank_family``).
+    """
     p = p or Params()
-    # One pass builds the (age segment, month, rate) histogram; the three
-    # rankings' histograms are roll-ups of it. Rates have at most 10,001 values.
-    fine, _ = checked_small(e.groupBy("age_segment", "contact_month", RATE).agg(F.count(F.lit(1)).alias("__n")))
-
-    def roll(keys):
-        return fine.groupBy(*keys, RATE).agg(F.sum("__n").alias("__n"))
-
-    # Largest (partition, rate) count of each ranking, in one small job.
-    top = (
-        roll(["age_segment"]).agg(F.max("__n").alias("m")).select(F.lit("age").alias("k"), "m")
-        .unionByName(roll(["contact_month"]).agg(F.max("__n").alias("m")).select(F.lit("month").alias("k"), "m"))
-        .unionByName(roll([]).agg(F.max("__n").alias("m")).select(F.lit("all").alias("k"), "m"))
-        .collect()
+    # Rank on the rate in hundredths as an exact integer: same order and ties as the
+    # 2-dp double, and an integral key keeps one hash partitioning valid for all windows
+    # (double keys are normalised by the planner, which would add exchanges).
+    keyed = e.withColumn(RATE_KEY, F.round(F.col(RATE) * F.lit(100.0)).cast("long"))
+    ranked = rank_family(
+        keyed,
+        [(["age_segment"], "conversion_rank_by_age"), (["contact_month"], "conversion_rank_by_month"),
+         ([], "kpi_row_id")],
+        RATE_KEY, SK, descending=True, cell_rows=p.rank_cell_rows, percent_rank_col="conversion_percentile",
     )
-    mx = {row["k"]: row["m"] or 0 for row in top}
-    opts = dict(descending=True, cell_rows=p.rank_cell_rows, hist_is_small=True)
-    r = rank_rows(e, ["age_segment"], RATE, SK, "conversion_rank_by_age", hist=roll(["age_segment"]),
-                  max_count=mx["age"], **opts)
-    r = rank_rows(r, ["contact_month"], RATE, SK, "conversion_rank_by_month", hist=roll(["contact_month"]),
-                  max_count=mx["month"], **opts)
-    r = rank_rows(r, [], RATE, SK, "kpi_row_id", hist=roll([]), max_count=mx["all"], **opts)
-    return percent_rank(r, [], RATE, "conversion_percentile", hist=roll([]), hist_is_small=True)
+    return ranked.drop(RATE_KEY)
 
 
 def best_month_by_segment(e: DataFrame) -> DataFrame:

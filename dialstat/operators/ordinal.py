@@ -142,6 +142,80 @@ def percent_rank(
     return _join_small(df, hist.select(*p, value_col, pr.alias(out_col)), p + [value_col], hist_is_small)
 
 
+def rank_family(
+    df: DataFrame,
+    rankings: Sequence[tuple[Sequence[str], str]],
+    value_col: str,
+    tie_col: str,
+    descending: bool = True,
+    cell_rows: int = 1_000_000,
+    percent_rank_col: str | None = None,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Several ROW_NUMBER() columns that all order by (value_col, tie_col) but partition
+    differently - e.g. by age segment, by month, and globally - with ONE shuffle.
+
+    ``rankings`` is a list of (partition columns, output column). Every ranking
+    splits rows into cells (partition, value, prefix of the hex tie key), where
+    the prefix length of a value comes from its global count, so no cell holds
+    more than about ``cell_rows`` rows. Rows are hash-partitioned once on
+    (value, prefix); that partitioning satisfies every ranking's window
+    (each window's keys include both), so the windows only sort. Per-cell
+    offsets come from one small histogram over (all partition columns, value,
+    prefix) and are broadcast after a size check. ``percent_rank_col`` adds
+    PERCENT_RANK() OVER (ORDER BY value_col ASC) from the value histogram.
+    ``value_col`` must be integral or text: the planner normalises floating keys,
+    which would stop the single partitioning from serving the windows.
+    """
+    if df.schema[value_col].dataType.typeName() in ("double", "float"):
+        raise TypeError(f"rank_family needs an integral or text value column, got {value_col!r} as double")
+    all_p: list[str] = []
+    for cols, _ in rankings:
+        for c in cols:
+            if c not in all_p:
+                all_p.append(c)
+    vh = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("__vn"))
+    vh, vh_small = checked_small(vh)
+    plen = F.when(
+        F.col("__vn") > cell_rows,
+        F.least(F.ceil(F.log(16.0, F.col("__vn") / F.lit(float(cell_rows)))).cast("int"), F.lit(_MAX_PREFIX)),
+    ).otherwise(F.lit(0))
+    cols_vh = [value_col, plen.alias("__plen")]
+    if percent_rank_col:
+        w_all = Window.partitionBy(F.lit(0))
+        lower = F.coalesce(
+            F.sum("__vn").over(w_all.orderBy(_order(value_col, False)).rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        )
+        total = F.sum("__vn").over(w_all.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        cols_vh.append(
+            F.when(total > 1, lower.cast("double") / (total - 1).cast("double")).otherwise(F.lit(0.0)).alias(percent_rank_col)
+        )
+    tagged = _join_small(df, vh.select(*cols_vh), [value_col], known_small=vh_small)
+    tagged = tagged.withColumn(
+        "__pfx", F.when(F.col("__plen") > 0, F.expr(f"substring(`{tie_col}`, 1, __plen)")).otherwise(F.lit(""))
+    ).drop("__plen")
+
+    fine = tagged.groupBy(*all_p, value_col, "__pfx").agg(F.count(F.lit(1)).alias("__cn"))
+    fine, fine_small = checked_small(fine)
+    out = tagged
+    for i, (cols, _) in enumerate(rankings):
+        p = list(cols)
+        roll = fine.groupBy(*p, value_col, "__pfx").agg(F.sum("__cn").alias("__cn"))
+        w = (Window.partitionBy(*p) if p else Window.partitionBy(F.lit(0))).orderBy(
+            _order(value_col, descending), F.col("__pfx").asc()
+        ).rowsBetween(Window.unboundedPreceding, -1)
+        offs = roll.select(*p, value_col, "__pfx", F.coalesce(F.sum("__cn").over(w), F.lit(0)).alias(f"__before{i}"))
+        out = _join_small(out, offs, p + [value_col, "__pfx"], known_small=fine_small)
+
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.repartition(n, F.col(value_col), F.col("__pfx"))
+    for i, (cols, out_col) in enumerate(rankings):
+        w = Window.partitionBy(*cols, value_col, "__pfx").orderBy(F.col(tie_col).asc())
+        out = out.withColumn(out_col, (F.col(f"__before{i}") + F.row_number().over(w)).cast("long"))
+    return out.drop("__pfx", *[f"__before{i}" for i in range(len(rankings))])
+
+
 def dense_row_number(df: DataFrame, key_col: str, out_col: str, buckets: int | None = None) -> DataFrame:
     """1..n in ascending order of a unique, non-NULL numeric key (ROW_NUMBER() OVER (ORDER BY key)).
 

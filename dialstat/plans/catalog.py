@@ -134,7 +134,7 @@ def _as_text(raw: DataFrame) -> DataFrame:
     for c in raw.columns:
         if c == "duration":
             cols.append(F.col(c).cast("double").cast("string").alias(c))
-        elif c in ("_dbt_loaded_at",):
+        elif c in ("_dbt_loaded_at", "_row_id"):
             cols.append(F.col(c))
         else:
             cols.append(F.col(f"`{c}`").cast("string").alias(c))

@@ -48,6 +48,17 @@ def _norm(v):
     return str(v)
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp", "DATE": "date", "SMALLINT": "smallint",
+                 "FLOAT": "float", "TINYINT": "tinyint"}
+
+
+def type_diff(sdf_schema, rel):
+    duck = {n: DUCK_TO_SPARK.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
+    spark = {f.name: f.dataType.simpleString() for f in sdf_schema.fields}
+    return {n: (spark.get(n), duck.get(n)) for n in spark if spark.get(n) != duck.get(n)}
+
+
 def rows_of(pdf):
     cols = sorted(pdf.columns)
     out = []
@@ -70,9 +81,11 @@ def main() -> int:
     for n in names:
         t0 = time.time()
         try:
-            sdf = QUERIES[n](spark, a.sf).toPandas()
+            sq = QUERIES[n](spark, a.sf)
+            sdf = sq.toPandas()
             t1 = time.time()
             odf = con.execute(ORACLE[n]).df()
+            tdiff = type_diff(sq.schema, con.sql(ORACLE[n]))
             sc, sr = rows_of(sdf)
             oc, orows = rows_of(odf)
             if sc != oc:
@@ -82,6 +95,8 @@ def main() -> int:
             elif sr != orows:
                 diff = [(x, y) for x, y in zip(sr, orows) if x != y][:2]
                 status = f"VALUES differ, e.g. {diff}"
+            elif tdiff:
+                status = f"TYPES differ (spark, duckdb): {tdiff}"
             else:
                 status = "ok"
         except Exception as e:  # noqa: BLE001
