@@ -29,7 +29,8 @@ def loaded_row_count(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_range_partitioned(
-    df: DataFrame, path: str, field: str = "contact_month_num", start: int = 1, end: int = 13, interval: int = 1
+    df: DataFrame, path: str, field: str = "contact_month_num", start: int = 1, end: int = 13, interval: int = 1,
+    spread_col: str | None = None,
 ) -> None:
     """Integer range partitioning; NULL and out-of-range values share the
     catch-all (Hive default) partition, the value column still tells them apart.
@@ -38,7 +39,11 @@ def write_range_partitioned(
     few files and no single task receives a whole bucket.
     """
     b = range_bucket(field, start, end, interval)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns[:3]]), F.lit(64))
+    n_buckets = (end - start) // interval + 1  # plus the catch-all
+    shuffle_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # About one (bucket, spread) pair per task: each task writes ~one file.
+    per_bucket = max(1, shuffle_parts // n_buckets)
+    spread = F.pmod(F.xxhash64(F.col(spread_col or df.columns[0])), F.lit(per_bucket))
     (
         df.withColumn(PARTITION_COL, b)
         .repartition(F.col(PARTITION_COL), spread)
