@@ -116,6 +116,16 @@ def freshness(spark: SparkSession, raw_path: str, as_of: _dt.datetime, p: Params
     return Q.source_freshness(I.read_raw(spark, raw_path), as_of, p).first().asDict()
 
 
+def register_views(spark: SparkSession, result: BuildResult) -> list[str]:
+    """A10: expose the built layers as temporary views, so SQL users query them by name
+    (``spark.sql("SELECT ... FROM campaign_kpis ...")``)."""
+    names = []
+    for name in ("contacts_raw", "contacts_clean", "campaign_kpis"):
+        read_layer(spark, result, name).createOrReplaceTempView(name)
+        names.append(name)
+    return names
+
+
 def read_layer(spark: SparkSession, result: BuildResult, name: str) -> DataFrame:
     df = spark.read.parquet(result.paths[name])
     return df.drop(S.PARTITION_COL) if S.PARTITION_COL in df.columns else df

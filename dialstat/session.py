@@ -19,6 +19,10 @@ _SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Generated methods above 8000 bytes of bytecode are never JIT-compiled by the JVM;
+    # the wide CASE projections of the cleaning stage cross that line, so let Spark fall
+    # back to split (JIT-able) expression code for such plans instead of interpreting.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -33,6 +37,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     )
     for k, v in _SQL_DEFAULTS.items():
         builder = builder.config(k, v)
+    if master.startswith("local"):
+        # One machine: keep small CPU-heavy shuffles spread over all cores.
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     prepare(spark)

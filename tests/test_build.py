@@ -37,3 +37,36 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert len(df.columns) == 49 and df.count() > 0
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+USAGE_SQL = {
+    # the mart's shipped usage queries and the run guide's checks, as SQL over the views
+    "top": "SELECT age_segment, job, education_level, conversion_rate_pct, total_contacts, successful_contacts "
+           "FROM campaign_kpis WHERE total_contacts >= 1 ORDER BY conversion_rate_pct DESC, kpi_row_id LIMIT 10",
+    "trend": "SELECT contact_month, SUM(total_contacts) AS total_contacts, SUM(successful_contacts) AS total_conversions, "
+             "AVG(conversion_rate_pct) AS avg_conversion_rate FROM campaign_kpis "
+             "GROUP BY contact_month, contact_month_num ORDER BY contact_month_num",
+    "weak": "SELECT age_segment, job, balance_segment, conversion_rate_pct, total_contacts, performance_segment "
+            "FROM campaign_kpis WHERE performance_segment = 'very_low_performance' AND total_contacts >= 1 "
+            "ORDER BY total_contacts DESC",
+    "roi": "SELECT call_duration_segment, SUM(total_contacts) AS total_calls, SUM(successful_contacts) AS conversions, "
+           "AVG(conversion_rate_pct) AS avg_conversion_rate, AVG(avg_call_duration_min) AS avg_duration_min, "
+           "AVG(conversions_per_call_minute) AS conversions_per_min FROM campaign_kpis "
+           "GROUP BY call_duration_segment ORDER BY conversions_per_min DESC",
+    "raw_count": "SELECT COUNT(*) AS total FROM contacts_raw",
+    "clean_count": "SELECT COUNT(*) AS total FROM contacts_clean",
+    "avg": "SELECT ROUND(AVG(conversion_rate_pct), 2) AS avg_conversion FROM campaign_kpis",
+    "ages": "SELECT age_segment, ROUND(AVG(conversion_rate_pct), 2) AS conversion, SUM(total_contacts) AS contacts "
+            "FROM campaign_kpis GROUP BY age_segment ORDER BY conversion DESC LIMIT 5",
+}
+
+
+def test_layers_answer_usage_sql(spark, raw_small):
+    res = B.run(spark, raw_small, run_ts=dt.datetime(2030, 2, 1), store_failures=False)
+    B.register_views(spark, res)
+    out = {k: spark.sql(v).collect() for k, v in USAGE_SQL.items()}
+    assert out["raw_count"][0].total == res.counts["contacts_raw"]
+    assert out["clean_count"][0].total == res.counts["contacts_clean"]
+    assert len(out["top"]) == 10 and len(out["trend"]) == 12 and len(out["ages"]) == 5
+    assert sum(r.total_calls for r in out["roi"]) == res.counts["contacts_clean"]
+    assert 0 < out["avg"][0].avg_conversion < 100
