@@ -134,8 +134,10 @@ def _failure_count_exprs(check: Check) -> Column:
 def summarize(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q12: one row per check: (check_name, relation, severity, failures, status).
 
-    Row-level checks of one relation share one aggregate pass; accepted_values
-    counts failing distinct values (the rows that check returns).
+    Per relation: all row-level checks share ONE aggregate pass (``count_if`` each);
+    uniqueness checks on the same key columns (unique / combination / duplicates)
+    share ONE grouped aggregate; accepted_values counts failing distinct values
+    (the rows that check returns).
     """
     parts: list[DataFrame] = []
     by_rel: dict[str, list[Check]] = {}
@@ -148,20 +150,35 @@ def summarize(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> Da
             agg = df.agg(*[_failure_count_exprs(c) for c in row_checks])
             stack = ", ".join(f"'{c.name}', `{c.name}`" for c in row_checks)
             parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) as (check_name, failures)"))
+        by_key: dict[tuple[str, ...], list[Check]] = {}
         for c in rel_checks:
-            if c.kind not in ROW_LEVEL or c.kind == "accepted_values":
+            if c.kind in GROUPED:
+                by_key.setdefault(c.columns, []).append(c)
+            elif c.kind == "accepted_values":
                 parts.append(
                     failing_rows(df, c).agg(F.count(F.lit(1)).alias("failures")).select(
                         F.lit(c.name).alias("check_name"), "failures"
                     )
                 )
+        for cols, group_checks in by_key.items():
+            dup = df.groupBy(*[_c(x) for x in cols]).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+            key_not_null = None
+            for x in cols:
+                e = _c(x).isNotNull()
+                key_not_null = e if key_not_null is None else key_not_null & e
+            counted = dup.agg(
+                *[(F.count_if(key_not_null) if c.kind == "unique" else F.count(F.lit(1))).alias(c.name)
+                  for c in group_checks]
+            )
+            stack = ", ".join(f"'{c.name}', `{c.name}`" for c in group_checks)
+            parts.append(counted.selectExpr(f"stack({len(group_checks)}, {stack}) as (check_name, failures)"))
     meta = {c.name: c for c in checks}
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     spark = out.sparkSession
     meta_df = spark.createDataFrame(
-        [(c.name, c.relation, c.severity) for c in checks], "check_name string, relation string, severity string"
+        [(c.name, c.relation, c.severity) for c in meta.values()], "check_name string, relation string, severity string"
     )
     return (
         out.join(F.broadcast(meta_df), "check_name")
@@ -173,22 +190,43 @@ def summarize(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> Da
 
 
 def failures_long(relations: Mapping[str, DataFrame], checks: Sequence[Check], key_cols: Mapping[str, str]) -> DataFrame:
-    """Failing rows of every check in one shape: (check_name, relation, row_key)."""
+    """Failing rows of every check in one shape: (check_name, relation, row_key).
+
+    Row-level checks of one relation are evaluated in ONE scan: each row carries the
+    array of checks it fails, which is exploded; grouped checks add one aggregate each.
+    """
     parts = []
+    by_rel: dict[str, list[Check]] = {}
     for c in checks:
-        rows = failing_rows(relations[c.relation], c)
-        if c.kind == "accepted_values":
-            key = F.coalesce(F.col("value_field").cast("string"), F.lit("_null_"))
-        elif c.kind == "unique":
-            key = F.col("unique_field").cast("string")
-        elif c.kind in ("unique_combo",):
-            key = F.concat_ws("|", *[F.coalesce(_c(x).cast("string"), F.lit("_null_")) for x in c.columns])
-        elif c.kind == "duplicates":
-            key = _c(c.columns[0]).cast("string")
-        else:
-            key = F.coalesce(_c(key_cols[c.relation]).cast("string"), F.lit("_null_"))
-        parts.append(rows.select(F.lit(c.name).alias("check_name"), F.lit(c.relation).alias("relation"),
-                                 key.alias("row_key")))
+        by_rel.setdefault(c.relation, []).append(c)
+    for rel, rel_checks in by_rel.items():
+        df = relations[rel]
+        row_checks = [c for c in rel_checks if c.kind in ROW_LEVEL and c.kind != "accepted_values"]
+        if row_checks:
+            key = F.coalesce(_c(key_cols[rel]).cast("string"), F.lit("_null_"))
+            failed = F.filter(
+                F.array(*[F.when(F.coalesce(failing_condition(c), F.lit(False)), F.lit(c.name)) for c in row_checks]),
+                lambda x: x.isNotNull(),
+            )
+            parts.append(
+                df.select(key.alias("row_key"), failed.alias("__failed"))
+                .where(F.size("__failed") > 0)
+                .select(F.explode("__failed").alias("check_name"), F.lit(rel).alias("relation"), "row_key")
+            )
+        for c in rel_checks:
+            if c.kind in ROW_LEVEL and c.kind != "accepted_values":
+                continue
+            rows = failing_rows(df, c)
+            if c.kind == "accepted_values":
+                key = F.coalesce(F.col("value_field").cast("string"), F.lit("_null_"))
+            elif c.kind == "unique":
+                key = F.col("unique_field").cast("string")
+            elif c.kind == "unique_combo":
+                key = F.concat_ws("|", *[F.coalesce(_c(x).cast("string"), F.lit("_null_")) for x in c.columns])
+            else:
+                key = _c(c.columns[0]).cast("string")
+            parts.append(rows.select(F.lit(c.name).alias("check_name"), F.lit(c.relation).alias("relation"),
+                                     key.alias("row_key")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
