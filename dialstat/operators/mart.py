@@ -115,7 +115,7 @@ def campaign_kpis(clean: DataFrame, p: Params | None = None, checkpoint: bool =
     ranked = add_ranks(e, p)
     final = join_segment(ranked, segment_summary(e)).withColumns({
         "dbt_updated_at": ts_literal(p.run_ts),
-        "dbt_run_timestamp": F.lit(p.run_ts.isoformat()),
+        "dbt_run_timestamp": F.lit(p.run_started_at_text),
     })
     return final.select(*KPI_COLUMNS)
 

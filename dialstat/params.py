@@ -60,3 +60,8 @@ class Params:
     @property
     def run_ts_text(self) -> str:
         return self.run_ts.strftime("%Y-%m-%d %H:%M:%S")
+
+    @property
+    def run_started_at_text(self) -> str:
+        """The run start as the templating layer prints a UTC datetime ('2024-01-01 00:00:00+00:00')."""
+        return str(self.run_ts.replace(tzinfo=_dt.timezone.utc))

@@ -9,10 +9,12 @@ NULL ordering, and the group surrogate key as the tie-break of every rank.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from dialstat.params import DEFAULT_RUN_TS, KPI_DIMENSIONS
 
 RUN_TS = DEFAULT_RUN_TS.strftime("%Y-%m-%d %H:%M:%S")
-RUN_TS_ISO = DEFAULT_RUN_TS.isoformat()
+RUN_TS_ISO = str(DEFAULT_RUN_TS.replace(tzinfo=_dt.timezone.utc))
 
 DIMS = ", ".join(KPI_DIMENSIONS)
 SK_SQL = "md5(" + " || '|' || ".join(f"coalesce(CAST({d} AS VARCHAR), '_null_')" for d in KPI_DIMENSIONS) + ")"

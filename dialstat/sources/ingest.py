@@ -40,7 +40,13 @@ def validation_report(df: DataFrame, expected=RAW_COLUMNS, target: str = "y") ->
         df.where(bad_target).select(F.col(target).alias("v")).distinct().orderBy("v").limit(MESSAGE_VALUES)
         .agg(F.concat_ws(", ", F.collect_list("v")).alias("shown"))
     )
-    stats = stats.withColumn("__k", F.lit(1)).join(shown.withColumn("__k", F.lit(1)), "__k", "left")
+    # Both sides are single rows: combine by union + aggregate (no join).
+    stats = (
+        stats.withColumn("shown", F.lit(None).cast("string"))
+        .unionByName(shown.select(F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("bad"),
+                                  F.lit(None).cast("long").alias("n_bad_values"), "shown"))
+        .agg(*[F.max(c).alias(c) for c in ("n", "bad", "n_bad_values", "shown")])
+    )
     return stats.select(
         F.when(F.col("n") == 0, F.lit(False))
         .when(F.lit(not age_is_int), F.lit(False))
