@@ -68,3 +68,27 @@ def test_sequence_in_groups_tiled_equals_plain(spark):
                              key_tile_width=64, hot_rows=2)
     assert got.count() == o.count()
     assert got.select(*plain.columns).exceptAll(plain).count() == 0
+
+
+def test_rank_family_splits_a_hot_value_across_tasks(spark):
+    """One value holding most rows (here: the rate coarsened so nearly all groups tie)
+    is cut into key-prefix cells; the result still equals the plain windows and no
+    task receives the whole hot value."""
+    from dialstat.operators.clean import contacts_clean
+    from dialstat.sources.bridge import contacts_raw
+
+    e = M.kpi_groups(contacts_clean(contacts_raw(spark, "/root/testdata/sf0.01")))
+    e = e.withColumn("hot", (F.col("conversion_rate_pct") >= 50).cast("long"))  # value 0 holds ~all rows
+    n = e.count()
+    top_share = e.groupBy("hot").count().agg(F.max("count")).first()[0] / n
+    assert top_share > 0.8
+    got = rank_family(e, [(["age_segment"], "a"), ([], "g")], "hot", "group_sk", True, 200, "pr")
+    plain = e.select(
+        "group_sk",
+        F.row_number().over(W.partitionBy("age_segment").orderBy(F.desc("hot"), "group_sk")).alias("a"),
+        F.row_number().over(W.orderBy(F.desc("hot"), "group_sk")).alias("g"),
+        F.percent_rank().over(W.orderBy("hot")).alias("pr"),
+    )
+    assert got.select("group_sk", "a", "g", "pr").exceptAll(plain).count() == 0
+    per_task = got.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert per_task < 0.5 * n
