@@ -13,7 +13,30 @@ from pyspark.sql import functions as F
 
 from dialstat.functions.numeric import clamp, flag, keep_at_least, keep_between
 from dialstat.functions.text import drop_sentinels, norm_text, whitelist, yes_no
-from dialstat.params import CONTACT_TYPES, EDUCATION_LEVELS, MONTHS, OUTCOMES, QUARTERS, Params
+from dialstat.params import (
+    AGE_SEGMENTS,
+    AGE_TOP,
+    BALANCE_NEGATIVE,
+    BALANCE_SEGMENTS,
+    BALANCE_TOP,
+    BALANCE_ZERO,
+    CONTACT_TYPES,
+    DAY_RANGE,
+    DURATION_NONE,
+    DURATION_SEGMENTS,
+    DURATION_TOP,
+    DURATION_UNDER_MINUTE,
+    EDUCATION_LEVELS,
+    INTENSITY_SEGMENTS,
+    INTENSITY_SINGLE,
+    INTENSITY_TOP,
+    MONTHS,
+    OUTCOMES,
+    QUARTERS,
+    RECENT_DAYS,
+    UNKNOWN,
+    Params,
+)
 from dialstat.schema import CLEAN_SCHEMA
 
 # Raw name -> clean-stage name.
@@ -56,7 +79,7 @@ def cleaning_exprs(p: Params) -> dict[str, Column]:
         "has_housing_loan": yes_no("has_housing_loan"),
         "has_personal_loan": yes_no("has_personal_loan"),
         "contact_type": whitelist("contact_type", CONTACT_TYPES),
-        "contact_day": keep_between("contact_day", 1, 31),
+        "contact_day": keep_between("contact_day", *DAY_RANGE),
         # No sentinel handling for the month: '' and 'unknown' survive.
         "contact_month": norm_text("contact_month"),
         "contact_duration_sec": keep_at_least("contact_duration_sec", 0),
@@ -74,59 +97,38 @@ def clean_columns(renamed: DataFrame, p: Params) -> DataFrame:
 
 # ---- P12-P20: derived columns over the cleaned columns ----
 
+def _ranges(x: Column, lead: Column, ranges, top) -> Column:
+    """Chained CASE over inclusive ranges and an open top range; anything else is 'unknown'."""
+    e = lead
+    for lo, hi, label in ranges:
+        e = e.when(x.between(lo, hi), label)
+    above, label = top
+    return e.when(x > above, label).otherwise(UNKNOWN)
+
+
 def age_segment(c: Column | str = "age") -> Column:
     x = F.col(c) if isinstance(c, str) else c
-    return (
-        F.when(x.isNull(), "unknown")
-        .when(x.between(18, 25), "18-25")
-        .when(x.between(26, 35), "26-35")
-        .when(x.between(36, 45), "36-45")
-        .when(x.between(46, 55), "46-55")
-        .when(x.between(56, 65), "56-65")
-        .when(x > 65, "65+")
-        .otherwise("unknown")
-    )
+    return _ranges(x, F.when(x.isNull(), UNKNOWN), AGE_SEGMENTS, AGE_TOP)
 
 
 def balance_segment(c: Column | str = "account_balance_eur") -> Column:
     # Integer gaps on purpose: 0.5 or 500.5 fall through to 'unknown'.
     x = F.col(c) if isinstance(c, str) else c
-    return (
-        F.when(x.isNull(), "unknown")
-        .when(x < 0, "negative")
-        .when(x == 0, "zero")
-        .when(x.between(1, 500), "low (1-500)")
-        .when(x.between(501, 2000), "medium (501-2k)")
-        .when(x.between(2001, 10000), "high (2k-10k)")
-        .when(x > 10000, "very_high (10k+)")
-        .otherwise("unknown")
-    )
+    lead = F.when(x.isNull(), UNKNOWN).when(x < 0, BALANCE_NEGATIVE).when(x == 0, BALANCE_ZERO)
+    return _ranges(x, lead, BALANCE_SEGMENTS, BALANCE_TOP)
 
 
 def duration_segment(c: Column | str = "contact_duration_sec") -> Column:
     x = F.col(c) if isinstance(c, str) else c
-    return (
-        F.when(x.isNull(), "unknown")
-        .when(x == 0, "no_contact")
-        .when(x < 60, "very_short (<1min)")
-        .when(x.between(60, 180), "short (1-3min)")
-        .when(x.between(181, 300), "medium (3-5min)")
-        .when(x.between(301, 600), "long (5-10min)")
-        .when(x > 600, "very_long (10min+)")
-        .otherwise("unknown")
-    )
+    short_below, short_label = DURATION_UNDER_MINUTE
+    lead = F.when(x.isNull(), UNKNOWN).when(x == 0, DURATION_NONE).when(x < short_below, short_label)
+    return _ranges(x, lead, DURATION_SEGMENTS, DURATION_TOP)
 
 
 def campaign_intensity(c: Column | str = "num_contacts_campaign") -> Column:
     x = F.col(c) if isinstance(c, str) else c
-    return (
-        F.when(x.isNull(), "unknown")
-        .when(x == 1, "single_contact")
-        .when(x.between(2, 3), "low (2-3)")
-        .when(x.between(4, 6), "medium (4-6)")
-        .when(x > 6, "high (7+)")
-        .otherwise("unknown")
-    )
+    lead = F.when(x.isNull(), UNKNOWN).when(x == 1, INTENSITY_SINGLE)
+    return _ranges(x, lead, INTENSITY_SEGMENTS, INTENSITY_TOP)
 
 
 def month_number(c: Column | str = "contact_month") -> Column:
@@ -161,7 +163,7 @@ def derived_exprs() -> dict[str, Column]:
         "contact_month_num": month_number(),
         "contact_quarter": month_quarter(),
         "was_contacted_before": flag(F.col("num_contacts_previous") > 0),
-        "recently_contacted": flag(F.col("days_since_last_contact").isNotNull() & (F.col("days_since_last_contact") < 30)),
+        "recently_contacted": flag(F.col("days_since_last_contact").isNotNull() & (F.col("days_since_last_contact") < RECENT_DAYS)),
         "campaign_intensity": campaign_intensity(),
         "previous_campaign_success": flag(F.col("previous_campaign_outcome") == "success"),
     }

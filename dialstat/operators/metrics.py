@@ -12,7 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialstat.functions.numeric import safe_divide
-from dialstat.params import KPI_DIMENSIONS, Params
+from dialstat.params import (
+    KPI_DIMENSIONS,
+    NEAR_TARGET_FACTOR,
+    PERFORMANCE_BANDS,
+    PERFORMANCE_FLOOR,
+    TARGET_BANDS,
+    Params,
+)
 
 MEDIAN_ACCURACY = 10000
 
@@ -61,21 +68,21 @@ def success_ratio() -> Column:
 
 def performance_vs_target(ratio: Column, threshold: float) -> Column:
     """Doubles on purpose: 0.1 * 0.8 is 0.08000000000000002, not 0.08."""
+    above, near, below = TARGET_BANDS
     return (
-        F.when(ratio >= F.lit(float(threshold)), "above_target")
-        .when(ratio >= F.lit(float(threshold) * 0.8), "near_target")
-        .otherwise("below_target")
+        F.when(ratio >= F.lit(float(threshold)), above)
+        .when(ratio >= F.lit(float(threshold) * NEAR_TARGET_FACTOR), near)
+        .otherwise(below)
     )
 
 
 def performance_segment(ratio: Column) -> Column:
     """P28."""
-    return (
-        F.when(ratio >= F.lit(0.20), "high_performance")
-        .when(ratio >= F.lit(0.10), "medium_performance")
-        .when(ratio >= F.lit(0.05), "low_performance")
-        .otherwise("very_low_performance")
-    )
+    e = None
+    for lowest, label in PERFORMANCE_BANDS:
+        cond = ratio >= F.lit(lowest)
+        e = F.when(cond, label) if e is None else e.when(cond, label)
+    return e.otherwise(PERFORMANCE_FLOOR)
 
 
 def conversion_exprs(p: Params) -> dict[str, Column]:

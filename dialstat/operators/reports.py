@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialstat.operators.metrics import exact_mean_of_fixed_point
+from dialstat.params import PERFORMANCE_FLOOR
 
 # Float averages of arbitrary doubles are reported at this many places so that
 # results do not depend on summation order (partitioning) across runs.
@@ -43,7 +44,7 @@ def monthly_trend(kpis: DataFrame) -> DataFrame:
 def weak_segments(kpis: DataFrame, min_contacts: int = 50) -> DataFrame:
     """Very-low-performance groups with volume, largest first."""
     return (
-        kpis.where((F.col("performance_segment") == "very_low_performance") & (F.col("total_contacts") >= min_contacts))
+        kpis.where((F.col("performance_segment") == PERFORMANCE_FLOOR) & (F.col("total_contacts") >= min_contacts))
         .orderBy(F.col("total_contacts").desc(), F.col("kpi_row_id"))
         .select("age_segment", "job", "balance_segment", "conversion_rate_pct", "total_contacts",
                 "performance_segment")

@@ -23,6 +23,29 @@ CATEGORICAL_COLUMNS = ("job", "marital", "education", "default", "housing", "loa
                        "month", "poutcome", "y")
 NUMERIC_COLUMNS = ("age", "balance", "day_of_week", "duration", "campaign", "pdays", "previous")
 
+UNKNOWN = "unknown"
+# Segments: (lowest, highest, label) inclusive ranges, then the open top range (above, label).
+AGE_SEGMENTS = ((18, 25, "18-25"), (26, 35, "26-35"), (36, 45, "36-45"), (46, 55, "46-55"), (56, 65, "56-65"))
+AGE_TOP = (65, "65+")
+BALANCE_NEGATIVE, BALANCE_ZERO = "negative", "zero"
+BALANCE_SEGMENTS = ((1, 500, "low (1-500)"), (501, 2000, "medium (501-2k)"), (2001, 10000, "high (2k-10k)"))
+BALANCE_TOP = (10000, "very_high (10k+)")
+DURATION_NONE = "no_contact"
+DURATION_UNDER_MINUTE = (60, "very_short (<1min)")
+DURATION_SEGMENTS = ((60, 180, "short (1-3min)"), (181, 300, "medium (3-5min)"), (301, 600, "long (5-10min)"))
+DURATION_TOP = (600, "very_long (10min+)")
+INTENSITY_SINGLE = "single_contact"
+INTENSITY_SEGMENTS = ((2, 3, "low (2-3)"), (4, 6, "medium (4-6)"))
+INTENSITY_TOP = (6, "high (7+)")
+DAY_RANGE = (1, 31)
+RECENT_DAYS = 30
+# Target bands: at or above the threshold; at or above threshold * factor; else.
+TARGET_BANDS = ("above_target", "near_target", "below_target")
+NEAR_TARGET_FACTOR = 0.8
+# Performance bands: (lowest ratio, label), highest first; below all of them the floor label.
+PERFORMANCE_BANDS = ((0.20, "high_performance"), (0.10, "medium_performance"), (0.05, "low_performance"))
+PERFORMANCE_FLOOR = "very_low_performance"
+
 # The fifteen grouping dimensions of the KPI mart, in grouping order.
 KPI_DIMENSIONS = (
     "age_segment", "job", "marital_status", "education_level", "balance_segment",
