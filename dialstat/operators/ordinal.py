@@ -10,8 +10,12 @@ results while every sort is bounded:
   sub-cells by a prefix of the hex tie-break key, so no cell exceeds
   ``cell_rows`` rows. Rows are numbered inside their cell only.
 * :func:`percent_rank` - PERCENT_RANK() from the same histogram; no row sort.
-  Histogram and cell tables are broadcast only after their row count is
-  checked (``joins.checked_small``); above the limit the join is a shuffle join.
+* :func:`rank_family` - several such rankings over the same order (different
+  partitions) with one shared shuffle of the rows, plus PERCENT_RANK; used
+  by the KPI mart.
+
+Histogram and cell tables are broadcast only after their row count is
+checked (``joins.checked_small``); above the limit the join is a shuffle join.
 * :func:`dense_row_number` - 1..n over a unique key, via range buckets.
 * :func:`sequence_in_groups` - position, previous value and previous
   carried columns within a group (lag / row_number by group), split into
@@ -329,10 +333,3 @@ def sequence_in_groups(
     return _sequence_plain(cold_part, g, order_col, key_col, carry, pos_col, prev_prefix).unionByName(
         _sequence_tiled(hot_part, g, order_col, key_col, carry, key_tile_width, pos_col, prev_prefix)
     )
-
-
-def prefix_length_for(rows: int, cell_rows: int) -> int:
-    """Hex prefix length that splits ``rows`` into cells of at most ~``cell_rows`` rows."""
-    if rows <= cell_rows:
-        return 0
-    return min(_MAX_PREFIX, math.ceil(math.log(rows / cell_rows, 16)))

@@ -338,11 +338,14 @@ def top_segments(spark, sf):
 def top_segments_coarse(spark, sf):
     """S2 at the (age segment, job, education) grain, where groups reach the volume floor."""
     g = enriched_metrics(_base_metrics(_clean(spark, sf), ("age_segment", "job", "education_level")), P)
-    ranked = g.orderBy(F.col("conversion_rate_pct").desc(), F.col("age_segment"), F.col("job").asc_nulls_first(),
-                       F.col("education_level").asc_nulls_first())
-    return (ranked.where(F.col("total_contacts") >= P.top_segments_min_contacts).limit(10)
-            .select("age_segment", "job", "education_level", "conversion_rate_pct", "total_contacts",
-                    "successful_contacts"))
+    return (
+        g.where(F.col("total_contacts") >= P.top_segments_min_contacts)
+        .orderBy(F.col("conversion_rate_pct").desc(), F.col("age_segment"), F.col("job").asc_nulls_first(),
+                 F.col("education_level").asc_nulls_first())
+        .limit(10)
+        .select("age_segment", "job", "education_level", "conversion_rate_pct", "total_contacts",
+                "successful_contacts")
+    )
 
 
 def top_age_segments(spark, sf):
