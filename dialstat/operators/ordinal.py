@@ -30,10 +30,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialstat.operators.joins import checked_small, null_safe_join
+from dialstat.operators.joins import MAX_BROADCAST_ROWS, checked_small, null_safe_join
 
 _MAX_PREFIX = 8
 
@@ -323,10 +324,15 @@ def sequence_in_groups(
     carry = list(carry_cols)
     if not g:
         return _sequence_tiled(df, g, order_col, key_col, carry, key_tile_width, pos_col, prev_prefix)
+    # At most rows / hot_rows groups qualify, so this table is small by construction;
+    # its count (one job) both decides the path and bounds the broadcast.
     hot = df.groupBy(*g).agg(F.count(F.lit(1)).alias("__gn")).where(F.col("__gn") > hot_rows).select(*g)
-    hot, _ = checked_small(hot)
-    if hot.limit(1).count() == 0:
+    hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
+    n_hot = hot.count()
+    if n_hot == 0:
+        hot.unpersist()
         return _sequence_plain(df, g, order_col, key_col, carry, pos_col, prev_prefix)
+    hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
     marked = null_safe_join(df, hot.withColumn("__hot", F.lit(True)), g, "left")
     cold_part = marked.where(F.col("__hot").isNull()).drop("__hot")
     hot_part = marked.where(F.col("__hot")).drop("__hot")
