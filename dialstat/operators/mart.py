@@ -1,10 +1,12 @@
 """The ``campaign_kpis`` mart: metrics, ranks, segment summary, final projection.
 
-Plan shape (see README): scan+clean (narrow) -> one shuffle for the 15-key
-aggregate -> the aggregate is checkpointed once, because four branches read it
--> ranks in the distributed form of ``ordinal`` (bounded histograms joined
-back, one shuffle per ranking) -> the segment summary (bounded by segment
-cardinality) is joined back, broadcast by AQE while small.
+Plan shape (see README and PLANS.md): scan + clean (narrow) -> one shuffle for
+the 15-key aggregate -> the grouped table is written once under the shared work
+folder, because several branches read it -> the three rankings and the
+percentile in the distributed form of ``ordinal.rank_family`` (bounded
+histograms broadcast after a size check, ONE shuffle of the rows) -> the segment
+summary (bounded by segment cardinality) is joined back, broadcast after a size
+check.
 """
 
 from __future__ import annotations
