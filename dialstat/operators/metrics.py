@@ -1,7 +1,7 @@
 """Group metrics (G1-G8) and the row-level KPI formulas on them.
 
 The aggregation is one hash-partitioned shuffle with map-side partial
-aggregation; ``percentile_approx`` keeps it mergeable (ObjectHashAggregate).
+aggregation; the exact discrete median keeps it mergeable (ObjectHashAggregate).
 """
 
 from __future__ import annotations
@@ -21,9 +21,6 @@ from dialstat.params import (
     Params,
 )
 
-MEDIAN_ACCURACY = 10000
-
-
 def exact_mean_of_fixed_point(c: Column | str, decimals: int) -> Column:
     """AVG of a column holding values rounded to ``decimals`` places, computed exactly.
 
@@ -38,8 +35,16 @@ def exact_mean_of_fixed_point(c: Column | str, decimals: int) -> Column:
 
 
 def median(c: str) -> Column:
-    """Approximate median that is always an input element; NULLs are skipped."""
-    return F.percentile_approx(F.col(c), 0.5, MEDIAN_ACCURACY)
+    """Lower median, always an input element; NULLs are skipped.
+
+    PERCENTILE_DISC(0.5): exact, so it does not depend on how rows are
+    partitioned (an approximate sketch merged across tasks can move by a few
+    ranks), and it equals the quantile sketch's target value. Its aggregation
+    buffer is a value -> count map, bounded by the value domain (call seconds,
+    clamped balances), and partial aggregation still applies. The result is
+    cast back to the input's integer type.
+    """
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)").cast("long")
 
 
 def base_metrics(clean: DataFrame, dims: Sequence[str] = KPI_DIMENSIONS) -> DataFrame:
