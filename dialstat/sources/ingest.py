@@ -61,10 +61,37 @@ def validation_report(df: DataFrame, expected=RAW_COLUMNS, target: str = "y") ->
     )
 
 
-def validate(df: DataFrame) -> tuple[bool, str]:
-    """I1 for the driver: returns ``(ok, message)`` (a single-row result)."""
-    r = validation_report(df).first()
-    return bool(r["is_valid"]), r["message"]
+def validate(df: DataFrame, required=("_row_id",)) -> tuple[bool, str]:
+    """I1 (+ A7 on source columns) for the driver in ONE aggregate pass; ``(ok, message)``.
+
+    Same order and messages as :func:`validation_report`; the invalid target values
+    are listed (distributed distinct + top-k) only when there are some. REQUIRED
+    columns present in the source are checked for NULLs in the same pass.
+    """
+    missing = sorted(set(RAW_COLUMNS) - set(df.columns))
+    if missing:
+        return False, f"missing columns: {missing}"
+    age_type = df.schema["age"].dataType
+    bad_target = F.col("y").isNotNull() & ~F.col("y").isin(list(TARGET_VALUES))
+    req = [c for c in required if c in df.columns]
+    r = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(bad_target).alias("bad"),
+        F.count_distinct(F.when(bad_target, F.col("y"))).alias("n_bad"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(req)],
+    ).first()
+    if r["n"] == 0:
+        return False, "dataframe is empty"
+    if not isinstance(age_type, (IntegerType, LongType)):
+        return False, f"wrong type for 'age': {age_type.simpleString()}"
+    if r["bad"]:
+        shown = [row["v"] for row in df.where(bad_target).select(F.col("y").alias("v")).distinct()
+                 .orderBy("v").limit(MESSAGE_VALUES).collect()]
+        return False, f"invalid target values ({r['n_bad']} distinct): {', '.join(shown)}"
+    nulls = {c: r[f"null_{i}"] for i, c in enumerate(req) if r[f"null_{i}"]}
+    if nulls:
+        return False, f"REQUIRED fields hold NULLs: {nulls}"
+    return True, ""
 
 
 def stamp_load_ts(df: DataFrame, run_ts: _dt.datetime, col: str = "_dbt_loaded_at") -> DataFrame:

@@ -92,3 +92,9 @@ def test_starter_models_and_negative_fixture(spark):
 def test_bridge_counts_match_probe(spark):
     raw = contacts_raw(spark, SF_SMALL)
     assert raw.count() == 1500
+
+
+def test_validation_pass_also_gates_required_ids(spark, raw_small):
+    broken = raw_small.withColumn("_row_id", F.when(F.col("_row_id") == 3, F.lit(None)).otherwise(F.col("_row_id")))
+    ok, msg = I.validate(broken)
+    assert not ok and msg == "REQUIRED fields hold NULLs: {'_row_id': 1}"
