@@ -234,8 +234,16 @@ def failures_long(relations: Mapping[str, DataFrame], checks: Sequence[Check], k
 
 
 def store_failures(failures: DataFrame, path: str) -> DataFrame:
-    """Write failing rows partitioned by check (overwrite) and read them back."""
-    failures.write.mode("overwrite").partitionBy("check_name").parquet(path)
+    """Write failing rows partitioned by check (overwrite) and read them back.
+
+    Rows are first repartitioned on (check, a spread of the row key): each task
+    writes about one file, and a check failing on a large share of rows is still
+    written by many tasks.
+    """
+    parts = int(failures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.xxhash64("row_key"), F.lit(max(1, parts)))
+    (failures.repartition(F.col("check_name"), spread)
+     .write.mode("overwrite").partitionBy("check_name").parquet(path))
     return failures.sparkSession.read.parquet(path)
 
 
