@@ -22,6 +22,7 @@ from dialstat.operators import reports as R
 from dialstat.operators.metrics import base_metrics as _base_metrics
 from dialstat.operators.metrics import enriched_metrics
 from dialstat.params import Params
+from dialstat.schema import RAW_SCHEMA
 from dialstat.session import fresh_work_dir, prepare
 from dialstat.sources import ingest as I
 from dialstat.sources import sinks as S
@@ -95,6 +96,13 @@ def loaded_row_count(spark, sf):
     return S.loaded_row_count(spark, path)
 
 
+def csv_export(spark, sf):
+    """A5: the raw relation written as CSV with a header and read back with its schema."""
+    path = fresh_work_dir(spark, "contacts_raw_csv")
+    S.write_csv(_raw(spark, sf), path)
+    return S.read_csv(spark, path, RAW_SCHEMA)
+
+
 def load_preview(spark, sf):
     prepared = I.prepare_for_load(_raw(spark, sf), P.run_ts)
     return I.preview(prepared, 5)
@@ -398,6 +406,7 @@ QUERIES: dict[str, Query] = {
     "combine_features_target": combine_features_target,
     "required_field_nulls": required_field_nulls,
     "loaded_row_count": loaded_row_count,
+    "csv_export": csv_export,
     "load_preview": load_preview,
     "range_partition_bucket": range_partition_bucket,
     "dq_failures_all": dq_failures_all,

@@ -392,6 +392,9 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(count_if(_row_id IS NULL) AS BIGINT) AS null_row_id, "
         "CAST(count_if(_dbt_loaded_at IS NULL) AS BIGINT) AS null_dbt_loaded_at FROM contacts_raw"),
     "loaded_row_count": over_raw("SELECT COUNT(*) AS row_count FROM contacts_raw"),
+    # a CSV field cannot tell '' from NULL (the published export writes both empty)
+    "csv_export": over_raw(
+        "SELECT * REPLACE (" + ", ".join(f"NULLIF({c}, '') AS {c}" for c in CATEGORICAL) + ") FROM contacts_raw"),
     "load_preview": over_raw(
         f"SELECT * EXCLUDE (_dbt_loaded_at), TIMESTAMP '{RUN_TS}' AS _dbt_loaded_at FROM contacts_raw "
         "ORDER BY _row_id LIMIT 5"),

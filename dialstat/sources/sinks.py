@@ -18,9 +18,26 @@ def overwrite_parquet(df: DataFrame, path: str, partition_by: list[str] | None =
     w.parquet(path)
 
 
+# Spark's CSV writer trims leading/trailing spaces unless told otherwise; text
+# exports must keep values such as ' BUILDING ' exactly.
+_CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """A5: CSV with a header (a directory of part files, written in parallel)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """A5: CSV with a header (a directory of part files, written in parallel).
+
+    Spaces are kept. NULL is an empty field and '' a quoted empty field, but a CSV
+    reader treats both as NULL - the published export, too, writes both empty.
+    """
+    df.write.mode("overwrite").options(**_CSV_OPTIONS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Read a CSV export back, with an explicit schema when given (no inference)."""
+    reader = spark.read.options(**_CSV_OPTIONS)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.csv(path)
 
 
 def loaded_row_count(spark: SparkSession, path: str) -> DataFrame:

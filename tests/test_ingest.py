@@ -51,7 +51,7 @@ def test_load_write_and_reread(spark, raw_small):
     assert [f.name for f in back.schema.fields] == list(raw_small.columns)
     csv_path = fresh_work_dir(spark, "test_csv")
     S.write_csv(raw_small.select("_row_id", "job", "duration"), csv_path)
-    text = spark.read.option("header", True).csv(csv_path)
+    text = S.read_csv(spark, csv_path)
     assert set(text.columns) == {"_row_id", "job", "duration"} and text.count() == raw_small.count()
     coerced = I.coerce_numeric(text, ["_row_id", "duration"])
     assert coerced.join(raw_small.select("_row_id", "duration"), ["_row_id", "duration"]).count() == \
