@@ -98,3 +98,13 @@ def test_validation_pass_also_gates_required_ids(spark, raw_small):
     broken = raw_small.withColumn("_row_id", F.when(F.col("_row_id") == 3, F.lit(None)).otherwise(F.col("_row_id")))
     ok, msg = I.validate(broken)
     assert not ok and msg == "REQUIRED fields hold NULLs: {'_row_id': 1}"
+
+
+def test_csv_sink_keeps_spaces_and_schema(spark, raw_small):
+    path = fresh_work_dir(spark, "test_csv_spaces")
+    S.write_csv(raw_small, path)
+    back = S.read_csv(spark, path, I.RAW_SCHEMA)
+    padded = raw_small.where(F.col("job").startswith(" ")).count()
+    assert padded > 0
+    assert back.where(F.col("job").startswith(" ") & F.col("job").endswith(" ")).count() == padded
+    assert back.count() == raw_small.count()
