@@ -33,3 +33,19 @@ def test_mart_has_no_single_partition_exchange_over_rows(clean_small):
     plan = _plan(M.add_ranks(e))
     top = plan.split("BroadcastHashJoin")[0]
     assert "SinglePartition" not in top
+
+
+def test_bridge_history_window_reuses_the_customer_join_partitioning(spark):
+    """With broadcasts off (the shape at scale), orders are hash-partitioned on the
+    customer key once: the history window reuses the join's partitioning."""
+    from dialstat.sources.bridge import contacts_raw
+    from tests.conftest import SF_SMALL
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = contacts_raw(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan
+    assert plan.count("hashpartitioning(o_custkey") == 1, plan
