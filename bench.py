@@ -17,10 +17,15 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from dialstat.operators import quality as Q  # noqa: E402
+from dialstat.operators import clean as C  # noqa: E402
+from dialstat.operators import mart as M  # noqa: E402
 from dialstat.operators import reports as R  # noqa: E402
+from dialstat.params import Params  # noqa: E402
 from dialstat.plans import build as B  # noqa: E402
 from dialstat.plans.catalog import QUERIES  # noqa: E402
-from dialstat.session import build_session  # noqa: E402
+from dialstat.session import build_session, work_dir  # noqa: E402
+from dialstat.sources import ingest as I  # noqa: E402
+from dialstat.sources import sinks as S  # noqa: E402
 from dialstat.sources.bridge import contacts_raw  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -42,22 +47,22 @@ def phases(spark, sf_dir, times):
     # load: derive raw contacts from the driver tables, validate, stamp, write
     raw_src = contacts_raw(spark, sf_dir)
     ts = dt.datetime(2024, 1, 1)
-    base = B.work_dir(spark, "bench", str(int(time.time() * 1000)))
+    base = work_dir(spark, "bench", str(int(time.time() * 1000)))
     raw_path = f"{base}/contacts_raw"
-    timed("load_raw", lambda: B.load_raw(spark, raw_src, raw_path, B.Params(), ts))
-    raw = B.I.read_raw(spark, raw_path)
+    timed("load_raw", lambda: B.load_raw(spark, raw_src, raw_path, Params(), ts))
+    raw = I.read_raw(spark, raw_path)
 
     # build: clean layer + KPI mart, both written
     clean_path, mart_path = f"{base}/contacts_clean", f"{base}/campaign_kpis"
 
     def build_models():
-        B.S.overwrite_parquet(B.C.contacts_clean(raw), clean_path)
+        S.overwrite_parquet(C.contacts_clean(raw), clean_path)
         clean = spark.read.parquet(clean_path)
-        B.S.write_range_partitioned(B.M.campaign_kpis(clean), mart_path)
+        S.write_range_partitioned(M.campaign_kpis(clean), mart_path)
         return clean
 
     clean = timed("build_models", build_models)
-    mart = spark.read.parquet(mart_path).drop(B.S.PARTITION_COL)
+    mart = spark.read.parquet(mart_path).drop(S.PARTITION_COL)
 
     # test: all 27 published checks, row-level ones folded into one pass per relation
     rels = {"contacts_raw": raw, "contacts_clean": clean, "campaign_kpis": mart}
