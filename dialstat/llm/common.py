@@ -84,7 +84,7 @@ def slices(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tupl
 
 def annotate(df: DataFrame, column: str, fields: T.StructType, name: str,
              make: Callable[[], Callable[[list[bytes | None]], list[tuple]]],
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, limit: int = CHUNK_BYTES) -> DataFrame:
     """``df`` (or its columns ``keep``) with one struct column ``name`` made from a text column.
 
     ``make`` runs once in each task and gives the function that turns a list of UTF-8 texts
@@ -104,7 +104,7 @@ def annotate(df: DataFrame, column: str, fields: T.StructType, name: str,
         work = make()
         for batch in batches:
             texts = batch.column(at).cast(pa.binary()).to_pylist()
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, limit):
                 rows = work(texts[lo:hi])
                 made = pa.StructArray.from_arrays(
                     [pa.array([r[j] for r in rows], kind.field(j).type) for j in range(kind.num_fields)],

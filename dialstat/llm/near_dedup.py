@@ -9,10 +9,10 @@
 2. Documents with the same fingerprint are one node (exact copies never meet each other again).
 3. ``BANDS`` bands of ``ROWS`` registers are hashed; nodes that share a band are candidates. Within a
    band's group the joint likelihood of (higher, lower, equal) registers estimates the similarity;
-   pairs clearly below the threshold are no candidates. Each group gives a spanning forest, never all
-   pairs.
+   pairs clearly below the threshold are no candidates. Each group gives stars that span its components,
+   never all pairs.
 4. Candidates' components are formed, and inside each the full shingle sets are compared; links with
-   similarity of at least the threshold again give a spanning forest, and its components are the
+   similarity of at least the threshold again give such stars, and their components are the
    result. So every link between documents that share a component of candidates is confirmed or
    refuted on whole sets.
 
@@ -130,12 +130,17 @@ def _exact(percent: int):
 
 # ---- links inside groups ---------------------------------------------------------------------
 
-def _forest(ids: list[int], items: list, linked, tiles: list[int]):
-    """Edges of a spanning forest of ``linked`` pairs; pairs inside one tile only if all are in one tile."""
-    waiting = list(range(len(ids)))
+def _stars(ids: list[int], items: list, linked, tiles: list[int]):
+    """Edges (least node, node) of the components of ``linked`` pairs; across tiles if there are two.
+
+    A component grows from its least node; only members not yet reached are compared. Stars from
+    the least node make different groups of one family give mostly the same edges.
+    """
+    waiting = sorted(range(len(ids)), key=ids.__getitem__)
     cross = len(set(tiles)) > 1
     while waiting:
-        queue = [waiting.pop(0)]
+        root = waiting.pop(0)
+        queue = [root]
         while queue and waiting:
             c = queue.pop()
             look = [i for i in waiting if not cross or tiles[i] != tiles[c] or ids[i] == ids[c]]
@@ -144,8 +149,8 @@ def _forest(ids: list[int], items: list, linked, tiles: list[int]):
             near = linked(items[c], [items[i] for i in look])
             found = {i for i, hit in zip(look, near) if hit or ids[i] == ids[c]}
             for i in found:
-                if ids[i] != ids[c]:
-                    yield min(ids[c], ids[i]), max(ids[c], ids[i])
+                if ids[i] != ids[root]:
+                    yield ids[root], ids[i]
             queue.extend(found)
             waiting = [i for i in waiting if i not in found]
 
@@ -163,7 +168,7 @@ def _paired(members: DataFrame, hub_only: bool) -> DataFrame:
 
 
 def _edges(rows: DataFrame, payload: list[str], read, linked) -> DataFrame:
-    """Spanning edges (a, b) of each group (g, ta, tb) of ``rows``; ``read`` turns payload into an item."""
+    """Edges (a, b) that span the links of each group (g, ta, tb) of ``rows``; ``read`` turns payload into an item."""
     cols = ["g", "ta", "tb", "t", "node", *payload]
     dealt = rows.select(*cols).repartition(F.col("g"), F.col("ta"), F.col("tb")).sortWithinPartitions("g", "ta", "tb")
 
@@ -173,7 +178,7 @@ def _edges(rows: DataFrame, payload: list[str], read, linked) -> DataFrame:
         def close():
             if len(held) < 2:
                 return []
-            return list(_forest([h[0] for h in held], read([h[2:] for h in held]), linked, [h[1] for h in held]))
+            return list(_stars([h[0] for h in held], read([h[2:] for h in held]), linked, [h[1] for h in held]))
 
         for batch in batches:
             data, edges = batch.to_pydict(), []
@@ -196,7 +201,7 @@ def _batch(edges) -> pa.RecordBatch:
 
 
 def _connect(members: DataFrame, payload: list[str], read, linked, name: str) -> DataFrame:
-    """Spanning edges over all pairs inside groups of ``members`` (g, tiles, node, payload columns).
+    """Edges that span the links over all pairs inside groups of ``members`` (g, tiles, node, payload columns).
 
     Groups of one or two tiles are done in the first round. In larger ones the first round links
     every tile with tile 0 and in itself; nodes that then are in different components meet again.
