@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from dialstat.llm import decontaminate, mixing, near_dedup, quality_rules
+from dialstat.llm import decontaminate, markov_scores, mixing, near_dedup, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_mixing": mixing.query,
+    "op4_markov_scores": markov_scores.query,
     "op6_near_dedup": near_dedup.query,
     "op8_decontaminate": decontaminate.query,
 }
