@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialstat.llm import decontaminate, mixing, near_dedup
+from dialstat.llm import decontaminate, mixing, near_dedup, personal_data, quality_lm
 from dialstat.llm.common import read_table, stage
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents whose perplexity under the model of trusted text is within their language's limit."""
+    return quality_lm.accept(docs, read_table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the least id of each group of documents alike in 80 % of their five-word shingles."""
     return near_dedup.dedup(docs)
@@ -18,14 +23,21 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in the texts by its kind in brackets."""
+    return personal_data.redact(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Emits each document as often as its source's target asks: the documents' columns and copy."""
     return mixing.mix(docs)
 
 
 STAGES = [
+    ("quality", quality),
     ("near_dedup", near_duplicates),
     ("decontaminate", decontamination),
+    ("personal_data", privacy),
     ("mix", mixture),
 ]
 
