@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Text of this many bytes is worked on at a time inside a Python worker.
 CHUNK_BYTES = 2 << 20
+#: Rows of an Arrow batch that are copied into Python objects at a time.
+ROWS_AT_ONCE = 2048
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -102,16 +104,18 @@ def annotate(df: DataFrame, column: str, fields: T.StructType, name: str,
 
     def run(batches):
         work = make()
-        for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            for lo, hi in slices(texts, limit):
-                rows = work(texts[lo:hi])
-                made = pa.StructArray.from_arrays(
-                    [pa.array([r[j] for r in rows], kind.field(j).type) for j in range(kind.num_fields)],
-                    fields=[kind.field(j) for j in range(kind.num_fields)])
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:kept], made], names=[*part.schema.names[:kept], name])
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(first, ROWS_AT_ONCE)
+                texts = batch.column(at).cast(pa.binary()).to_pylist()
+                for lo, hi in slices(texts, limit):
+                    rows = work(texts[lo:hi])
+                    made = pa.StructArray.from_arrays(
+                        [pa.array([r[j] for r in rows], kind.field(j).type) for j in range(kind.num_fields)],
+                        fields=[kind.field(j) for j in range(kind.num_fields)])
+                    part = batch.slice(lo, hi - lo)
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns[:kept], made], names=[*part.schema.names[:kept], name])
 
     return given.mapInArrow(run, out)
 
