@@ -25,8 +25,7 @@ def checked_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, known_small
     if known_small:
         return F.broadcast(df), True
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    if n <= max_rows:
+    if kept.count() <= max_rows:
         return F.broadcast(kept), True
     return kept, False
 

@@ -81,7 +81,7 @@ def rank_rows(
     keys = p + [value_col]
     if hist is None:
         hist = value_histogram(df, p, value_col)
-    hist, _ = checked_small(hist, known_small=hist_is_small)
+    hist, small = checked_small(hist, known_small=hist_is_small)
     heavy = hist.where(F.col("__n") > cell_rows) if split_heavy else None
     if heavy is None or (max_count is not None and max_count <= cell_rows):
         has_heavy = False
@@ -114,8 +114,8 @@ def rank_rows(
         ).drop("__plen")
         out = _join_small(tagged, cells, keys + ["__pfx"])
     else:
-        # Without heavy pairs the cell table is the histogram itself: same size bound.
-        out = _join_small(df, cells, keys, known_small=True)
+        # Without heavy pairs the cell table is the histogram itself: same size, same answer.
+        out = _join_small(df, cells, keys, known_small=True) if small else null_safe_join(df, cells, keys)
     w_rows = Window.partitionBy(*keys, "__pfx").orderBy(F.col(tie_col).asc())
     return out.withColumn(out_col, (F.col("__before") + F.row_number().over(w_rows)).cast("long")).drop(
         "__pfx", "__before"

@@ -99,14 +99,6 @@ def layer_counts(raw: DataFrame, clean: DataFrame, kpis: DataFrame) -> DataFrame
 
 
 def column_domain(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-NULL values, sorted. Stays distributed; callers that need a
-    Python list collect it under their own size limit."""
+    """Distinct non-NULL values, sorted; a relation of any size."""
     return df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct().orderBy("value")
 
-
-def column_values_as_list(df: DataFrame, column: str, max_values: int = 10_000) -> list:
-    """The list form of G12 for driver-side use; refuses domains above ``max_values``."""
-    vals = column_domain(df, column).limit(max_values + 1).collect()
-    if len(vals) > max_values:
-        raise ValueError(f"domain of {column!r} exceeds {max_values} values")
-    return [r["value"] for r in vals]

@@ -27,11 +27,14 @@ from dialstat.session import fresh_work_dir, prepare
 from dialstat.sources import ingest as I
 from dialstat.sources import sinks as S
 from dialstat.sources.bridge import contacts_raw
+from dialstat.sources.faults import CLEAN_FAULTS, MART_FAULTS, RAW_FAULTS, TEXT_FAULTS, with_faults
 from dialstat.sources.tables import read_table
 
 P = Params()
 Query = Callable[[SparkSession, str], DataFrame]
 COARSE = ("age_segment", "job")
+#: Floor of contacts for the reports at the 15-key grain; the published floors suit larger tables.
+LOW_FLOOR = 2
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,8 +47,26 @@ def _clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _unfiltered(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned and derived columns before the row filter (for per-rule queries)."""
-    return C.enrich(C.clean_columns(C.rename_contacts(_raw(spark, sf)), P))
+    """Cleaned and derived columns before the row filter (for per-rule queries), over raw rows with
+    planted faults, so that every rule has rows on which it acts."""
+    return C.enrich(C.clean_columns(C.rename_contacts(_faulty_raw(spark, sf)), P))
+
+
+def _faulty_raw(spark: SparkSession, sf: str) -> DataFrame:
+    return with_faults(_raw(spark, sf), RAW_FAULTS, "_row_id")
+
+
+def _faulty_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return with_faults(_clean(spark, sf), CLEAN_FAULTS, "row_id")
+
+
+def _faulty_kpis(spark: SparkSession, sf: str) -> DataFrame:
+    return with_faults(_kpis(spark, sf), MART_FAULTS, "kpi_row_id")
+
+
+def _groups(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart's groups without ranks and segments, for reports that use neither."""
+    return M.kpi_groups(_clean(spark, sf), P, checkpoint=False)
 
 
 def _kpis(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,7 +90,7 @@ def _check(name: str) -> Q.Check:
 def _dq(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         c = _check(name)
-        rel = {"contacts_raw": _raw, "contacts_clean": _clean, "campaign_kpis": _kpis}[c.relation](spark, sf)
+        rel = {"contacts_raw": _raw, "contacts_clean": _faulty_clean, "campaign_kpis": _faulty_kpis}[c.relation](spark, sf)
         return Q.failing_rows(rel, c)
     return run
 
@@ -124,7 +145,7 @@ def dq_failures_all(spark, sf):
 # ---- 2.2 ingest preparation and profiling ----
 
 def ingest_validation(spark, sf):
-    return I.validation_report(_raw(spark, sf))
+    return I.validation_report(_faulty_raw(spark, sf))
 
 
 def stamp_load_ts(spark, sf):
@@ -150,7 +171,7 @@ def _as_text(raw: DataFrame) -> DataFrame:
 
 
 def coerce_numeric(spark, sf):
-    text = _as_text(_raw(spark, sf))
+    text = with_faults(_as_text(_raw(spark, sf)), TEXT_FAULTS, "_row_id")
     return I.coerce_numeric(text).select("_row_id", *[F.col(c) for c in I.NUMERIC_COLUMNS])
 
 
@@ -315,7 +336,7 @@ def row_count(spark, sf):
 
 
 def avg_conversion(spark, sf):
-    return R.avg_conversion(_kpis(spark, sf))
+    return R.avg_conversion(_groups(spark, sf))
 
 
 # ---- 2.5 windows ----
@@ -340,7 +361,7 @@ def contacts_chronological(spark, sf):
 
 
 def top_segments(spark, sf):
-    return R.top_segments(_kpis(spark, sf), P.top_segments_min_contacts)
+    return R.top_segments(_kpis(spark, sf), LOW_FLOOR)
 
 
 def top_segments_coarse(spark, sf):
@@ -357,25 +378,25 @@ def top_segments_coarse(spark, sf):
 
 
 def top_age_segments(spark, sf):
-    return R.top_age_segments(_kpis(spark, sf))
+    return R.top_age_segments(_groups(spark, sf))
 
 
 def monthly_trend(spark, sf):
-    return R.monthly_trend(_kpis(spark, sf))
+    return R.monthly_trend(_groups(spark, sf))
 
 
 def weak_segments(spark, sf):
-    return R.weak_segments(_kpis(spark, sf), P.weak_segments_min_contacts)
+    return R.weak_segments(_kpis(spark, sf), LOW_FLOOR)
 
 
 def roi_by_duration(spark, sf):
-    return R.roi_by_duration(_kpis(spark, sf))
+    return R.roi_by_duration(_groups(spark, sf))
 
 
 def layer_counts(spark, sf):
     raw = _raw(spark, sf)
     clean = C.contacts_clean(raw, P)
-    return R.layer_counts(raw, clean, M.campaign_kpis(clean, P))
+    return R.layer_counts(raw, clean, M.kpi_groups(clean, P, checkpoint=False))
 
 
 # ---- 2.9 data quality ----

@@ -54,7 +54,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
-            # Only for tests and laptops: a cluster names a shared folder itself.
+            # Only for tests and laptops: executors on other machines cannot see such a folder.
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             shared = tempfile.mkdtemp(prefix="dialstat-ckpt-")
             spark.conf.set("spark.checkpoint.dir", shared)
         sc.setCheckpointDir(shared)
@@ -62,7 +64,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (never a machine-local temp folder)."""
+    """A path under the shared checkpoint folder (a temporary one on local masters only)."""
     prepare(spark)
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return os.path.join(base, "dialstat", *parts)

@@ -32,15 +32,12 @@ def contacts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    # Customer first: at scale both joins below are shuffle joins, and the history
-    # window then reuses the hash partitioning on the customer key (one shuffle of
-    # orders saved). Hot customers are split by the history operator; AQE's skew
-    # join splits them in this join.
-    with_cust = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    # History on the orders alone: hot customers are tiled before any join. Other customers' rows
+    # then join on the window's own partitioning; the tiled rows meet the join through a shuffle of
+    # their own, which AQE's skew join may split.
     history = sequence_in_groups(
-        with_cust, ["o_custkey"], "o_orderdate", "o_orderkey", carry_cols=["o_orderstatus"],
-        pos_col="prev_count",
-    )
+        orders, ["o_custkey"], "o_orderdate", "o_orderkey", carry_cols=["o_orderstatus"], pos_col="prev_count")
+    history = history.join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner")
     lines = _order_lines(spark, sf_dir)
     j = history.join(lines, history["o_orderkey"] == lines["l_orderkey"], "left")
 

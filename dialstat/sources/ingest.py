@@ -13,71 +13,62 @@ from dialstat.params import CATEGORICAL_COLUMNS, NUMERIC_COLUMNS, RAW_COLUMNS, T
 from dialstat.schema import RAW_SCHEMA
 
 FEATURE_COLUMNS = tuple(c for c in RAW_COLUMNS if c != "y")
-MESSAGE_VALUES = 20
+
+
+def _bad_target(target: str) -> Column:
+    return F.col(target).isNotNull() & ~F.col(target).isin(list(TARGET_VALUES))
+
+
+def _bad_target_message(bad: Column, distinct: Column) -> Column:
+    return F.format_string("invalid target values: %d distinct in %d rows", distinct, bad)
 
 
 def validation_report(df: DataFrame, expected=RAW_COLUMNS, target: str = "y") -> DataFrame:
-    """I1 as a one-row relation (is_valid, message); first failure wins.
+    """I1 as a relation (is_valid, message, invalid_value, row_count).
 
-    Order: missing columns (schema only, no job) -> empty -> integer ``age`` ->
-    target values outside {yes, no} (NULL ignored). The data checks are one
-    aggregate pass.
+    One verdict row (invalid_value NULL, row_count = all rows; the first failure wins: missing
+    columns, empty, integer ``age``, target values outside {yes, no}, NULL ignored), then one row for
+    every invalid target value with its number of rows, however many there are.
     """
     spark = df.sparkSession
     missing = sorted(set(expected) - set(df.columns))
     if missing:
-        return spark.range(1).select(F.lit(False).alias("is_valid"), F.lit(f"missing columns: {missing}").alias("message"))
+        return spark.range(1).select(
+            F.lit(False).alias("is_valid"), F.lit(f"missing columns: {missing}").alias("message"),
+            F.lit(None).cast("string").alias("invalid_value"), F.lit(None).cast("long").alias("row_count"))
     age_is_int = isinstance(df.schema["age"].dataType, (IntegerType, LongType))
-    bad_target = F.col(target).isNotNull() & ~F.col(target).isin(list(TARGET_VALUES))
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(bad_target).alias("bad"),
-        F.count_distinct(F.when(bad_target, F.col(target))).alias("n_bad_values"),
-    )
-    # The message names at most MESSAGE_VALUES invalid values (distributed distinct + top-k);
-    # the full counts are in the same row.
-    shown = (
-        df.where(bad_target).select(F.col(target).alias("v")).distinct().orderBy("v").limit(MESSAGE_VALUES)
-        .agg(F.concat_ws(", ", F.collect_list("v")).alias("shown"))
-    )
-    # Both sides are single rows: combine by union + aggregate (no join).
-    stats = (
-        stats.withColumn("shown", F.lit(None).cast("string"))
-        .unionByName(shown.select(F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("bad"),
-                                  F.lit(None).cast("long").alias("n_bad_values"), "shown"))
-        .agg(*[F.max(c).alias(c) for c in ("n", "bad", "n_bad_values", "shown")])
-    )
-    return stats.select(
-        F.when(F.col("n") == 0, F.lit(False))
-        .when(F.lit(not age_is_int), F.lit(False))
-        .when(F.col("bad") > 0, F.lit(False))
-        .otherwise(F.lit(True))
-        .alias("is_valid"),
+    values = df.groupBy(F.col(target).alias("value"), _bad_target(target).alias("bad")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    stats = values.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n"),
+                       F.coalesce(F.sum(F.when(F.col("bad"), F.col("row_count"))), F.lit(0)).alias("bad"),
+                       F.count_if("bad").alias("distinct"))
+    message = (
         F.when(F.col("n") == 0, F.lit("dataframe is empty"))
         .when(F.lit(not age_is_int), F.lit(f"wrong type for 'age': {df.schema['age'].dataType.simpleString()}"))
-        .when(F.col("bad") > 0, F.format_string("invalid target values (%d distinct): %s", F.col("n_bad_values"), F.col("shown")))
-        .otherwise(F.lit(""))
-        .alias("message"),
-    )
+        .when(F.col("bad") > 0, _bad_target_message(F.col("bad"), F.col("distinct")))
+        .otherwise(F.lit("")))
+    verdict = stats.select((message == "").alias("is_valid"), message.alias("message"),
+                           F.lit(None).cast("string").alias("invalid_value"), F.col("n").alias("row_count"))
+    return verdict.unionByName(values.where("bad").select(
+        F.lit(False).alias("is_valid"), F.lit("invalid target value").alias("message"),
+        F.col("value").alias("invalid_value"), "row_count"))
 
 
 def validate(df: DataFrame, required=("_row_id",)) -> tuple[bool, str]:
-    """I1 (+ A7 on source columns) for the driver in ONE aggregate pass; ``(ok, message)``.
+    """I1 (+ A7 on source columns) for the driver in one aggregate pass; ``(ok, message)``.
 
-    Same order and messages as :func:`validation_report`; the invalid target values
-    are listed (distributed distinct + top-k) only when there are some. REQUIRED
-    columns present in the source are checked for NULLs in the same pass.
+    The message holds counts; :func:`validation_report` lists the values. REQUIRED columns
+    present in the source are checked for NULLs in the same pass.
     """
     missing = sorted(set(RAW_COLUMNS) - set(df.columns))
     if missing:
         return False, f"missing columns: {missing}"
     age_type = df.schema["age"].dataType
-    bad_target = F.col("y").isNotNull() & ~F.col("y").isin(list(TARGET_VALUES))
     req = [c for c in required if c in df.columns]
     r = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(bad_target).alias("bad"),
-        F.count_distinct(F.when(bad_target, F.col("y"))).alias("n_bad"),
+        F.count_if(_bad_target("y")).alias("bad"),
+        F.count_distinct(F.when(_bad_target("y"), F.col("y"))).alias("distinct"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(req)],
     ).first()
     if r["n"] == 0:
@@ -85,9 +76,7 @@ def validate(df: DataFrame, required=("_row_id",)) -> tuple[bool, str]:
     if not isinstance(age_type, (IntegerType, LongType)):
         return False, f"wrong type for 'age': {age_type.simpleString()}"
     if r["bad"]:
-        shown = [row["v"] for row in df.where(bad_target).select(F.col("y").alias("v")).distinct()
-                 .orderBy("v").limit(MESSAGE_VALUES).collect()]
-        return False, f"invalid target values ({r['n_bad']} distinct): {', '.join(shown)}"
+        return False, f"invalid target values: {r['distinct']} distinct in {r['bad']} rows"
     nulls = {c: r[f"null_{i}"] for i, c in enumerate(req) if r[f"null_{i}"]}
     if nulls:
         return False, f"REQUIRED fields hold NULLs: {nulls}"
@@ -104,23 +93,25 @@ def add_dense_row_id(df: DataFrame, order_key: str, col: str = "_row_id") -> Dat
     return dense_row_number(df, order_key, col)
 
 
-def _coerce(x: Column) -> Column:
-    d = x.cast("string").try_cast("double")
-    integral = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
-    return F.when(integral, F.floor(d).cast("long"))
-
-
 def coerce_integer_text(c: Column | str) -> Column:
     """I4: text -> integer like ``to_numeric(errors='coerce')`` for integral data.
 
-    '3.0' -> 3, ' 7 ' -> 7, 'x' -> NULL, '2.5' -> NULL.
+    '3.0' -> 3, ' 7 ' -> 7, 'x' -> NULL, '2.5' -> NULL. Whole numbers are read as such, digit by
+    digit; only other forms ('3.0', '1e3') go through a double.
     """
-    return _coerce(F.col(c) if isinstance(c, str) else c)
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    d = text.try_cast("double")
+    whole = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    integral = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
+    return F.when(whole, F.trim(text).try_cast("bigint")).when(integral, F.floor(d).cast("long"))
 
 
 def coerce_numeric(df: DataFrame, cols=NUMERIC_COLUMNS) -> DataFrame:
-    """I4 over several columns."""
-    return df.withColumns({c: coerce_integer_text(c) for c in cols if c in df.columns})
+    """I4 over several columns; integral columns keep their values untouched."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({
+        c: F.col(c).cast("long") if kinds[c] in ("tinyint", "smallint", "int", "bigint") else coerce_integer_text(c)
+        for c in cols if c in df.columns})
 
 
 def coerce_categorical(df: DataFrame, cols=CATEGORICAL_COLUMNS) -> DataFrame:

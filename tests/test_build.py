@@ -3,8 +3,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from dialstat.operators import reports as R
 from dialstat.plans import build as B
 from dialstat.params import Params
+from dialstat.plans.catalog import QUERIES
+from dialstat.plans.oracle import ORACLE
 
 
 def test_ordered_build_writes_layers_and_checks(spark, raw_small):
@@ -36,37 +39,27 @@ def test_entry_contract(spark):
 
     df = E.entry(spark)
     assert len(df.columns) == 49 and df.count() > 0
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(ORACLE) == set(QUERIES) and set(QUERIES) <= set(E.queries())
 
 
-USAGE_SQL = {
-    # the mart's shipped usage queries and the run guide's checks, as SQL over the views
-    "top": "SELECT age_segment, job, education_level, conversion_rate_pct, total_contacts, successful_contacts "
-           "FROM campaign_kpis WHERE total_contacts >= 1 ORDER BY conversion_rate_pct DESC, kpi_row_id LIMIT 10",
-    "trend": "SELECT contact_month, SUM(total_contacts) AS total_contacts, SUM(successful_contacts) AS total_conversions, "
-             "AVG(conversion_rate_pct) AS avg_conversion_rate FROM campaign_kpis "
-             "GROUP BY contact_month, contact_month_num ORDER BY contact_month_num",
-    "weak": "SELECT age_segment, job, balance_segment, conversion_rate_pct, total_contacts, performance_segment "
-            "FROM campaign_kpis WHERE performance_segment = 'very_low_performance' AND total_contacts >= 1 "
-            "ORDER BY total_contacts DESC",
-    "roi": "SELECT call_duration_segment, SUM(total_contacts) AS total_calls, SUM(successful_contacts) AS conversions, "
-           "AVG(conversion_rate_pct) AS avg_conversion_rate, AVG(avg_call_duration_min) AS avg_duration_min, "
-           "AVG(conversions_per_call_minute) AS conversions_per_min FROM campaign_kpis "
-           "GROUP BY call_duration_segment ORDER BY conversions_per_min DESC",
-    "raw_count": "SELECT COUNT(*) AS total FROM contacts_raw",
-    "clean_count": "SELECT COUNT(*) AS total FROM contacts_clean",
-    "avg": "SELECT ROUND(AVG(conversion_rate_pct), 2) AS avg_conversion FROM campaign_kpis",
-    "ages": "SELECT age_segment, ROUND(AVG(conversion_rate_pct), 2) AS conversion, SUM(total_contacts) AS contacts "
-            "FROM campaign_kpis GROUP BY age_segment ORDER BY conversion DESC LIMIT 5",
-}
-
-
-def test_layers_answer_usage_sql(spark, raw_small):
+def test_views_hold_what_the_reports_say(spark, raw_small):
     res = B.run(spark, raw_small, run_ts=dt.datetime(2030, 2, 1), store_failures=False)
     B.register_views(spark, res)
-    out = {k: spark.sql(v).collect() for k, v in USAGE_SQL.items()}
-    assert out["raw_count"][0].total == res.counts["contacts_raw"]
-    assert out["clean_count"][0].total == res.counts["contacts_clean"]
-    assert len(out["top"]) == 10 and len(out["trend"]) == 12 and len(out["ages"]) == 5
-    assert sum(r.total_calls for r in out["roi"]) == res.counts["contacts_clean"]
-    assert 0 < out["avg"][0].avg_conversion < 100
+    raw, clean, mart = (spark.table(n) for n in ("contacts_raw", "contacts_clean", "campaign_kpis"))
+    assert raw.count() == res.counts["contacts_raw"] and clean.count() == res.counts["contacts_clean"]
+    rows = mart.collect()
+    trend = R.monthly_trend(mart).collect()
+    assert {r.contact_month: r.total_contacts for r in trend} == {
+        m: sum(x.total_contacts for x in rows if x.contact_month == m) for m in {x.contact_month for x in rows}}
+    top = R.top_segments(mart, 2).collect()
+    best = sorted((x for x in rows if x.total_contacts >= 2), key=lambda x: (-x.conversion_rate_pct, x.kpi_row_id))[:10]
+    assert [r.conversion_rate_pct for r in top] == [x.conversion_rate_pct for x in best] and len(top) == 10
+    weak = R.weak_segments(mart, 2).collect()
+    assert len(weak) == sum(x.total_contacts >= 2 and x.performance_segment == "very_low_performance" for x in rows) > 0
+    calls = {r.call_duration_segment: r.total_calls for r in R.roi_by_duration(mart).collect()}
+    assert sum(calls.values()) == clean.count()
+    mean = sum(x.conversion_rate_pct for x in rows) / len(rows)
+    assert abs(R.avg_conversion(mart).first()[0] - mean) < 0.01
+    ages = R.top_age_segments(mart).collect()
+    assert [r.conversion for r in ages] == sorted((r.conversion for r in ages), reverse=True) and len(ages) == 5

@@ -47,6 +47,8 @@ def test_surrogate_key_contract(spark):
 def test_numeric_text_coercion(spark):
     got = col_values(spark, ["3.0", " 7 ", "x", None, "2.5", "-4"], "string", coerce_integer_text)
     assert got == [3, 7, None, None, None, -4]
+    big = ["9007199254740993", "-9223372036854775808", "9223372036854775808", "+12", "", "1e3"]
+    assert col_values(spark, big, "string", coerce_integer_text) == [9007199254740993, -(2**63), None, 12, None, 1000]
 
 
 def test_cents_to_euros(spark):

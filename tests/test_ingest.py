@@ -19,7 +19,7 @@ def test_validation_first_failure_wins(spark, raw_small):
     assert "wrong type for 'age'" in I.validate(raw_small.withColumn("age", F.col("age").cast("string")))[1]
     bad = raw_small.withColumn("y", F.when(F.col("_row_id") % 7 == 0, F.lit("maybe")).otherwise(F.col("y")))
     ok, msg = I.validate(bad)
-    assert not ok and msg == "invalid target values (1 distinct): maybe"
+    assert not ok and msg.startswith("invalid target values: 1 distinct in ")
 
 
 def test_prepare_stamps_one_timestamp_and_dense_ids(spark, raw_small):

@@ -92,3 +92,42 @@ def test_rank_family_splits_a_hot_value_across_tasks(spark):
     assert got.select("group_sk", "a", "g", "pr").exceptAll(plain).count() == 0
     per_task = got.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
     assert per_task < 0.5 * n
+
+
+def test_rank_rows_keeps_a_shuffle_join_above_the_broadcast_limit(spark, monkeypatch):
+    from dialstat.operators import joins
+    from dialstat.operators.ordinal import rank_rows
+
+    monkeypatch.setattr(joins.checked_small, "__defaults__", (5, False))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(500).selectExpr("id % 3 AS p", "id % 100 AS v", "md5(cast(id AS string)) AS k")
+        out = rank_rows(df, ["p"], "v", "k", "rank")
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        plain = df.selectExpr("k", "row_number() OVER (PARTITION BY p ORDER BY v DESC, k) AS want")
+        assert out.join(plain, "k").where("rank <> want").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_no_private_folder_off_local_masters(spark, monkeypatch):
+    import pytest
+
+    from dialstat import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            set = staticmethod(lambda *a: None)
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.prepare(Session())

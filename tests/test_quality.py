@@ -1,7 +1,7 @@
 import datetime as dt
 
 from dialstat.operators import quality as Q
-from dialstat.operators.reports import column_values_as_list
+from dialstat.operators.reports import column_domain
 
 
 def kpi_rows(spark, rows):
@@ -66,6 +66,6 @@ def test_published_suite_has_27_checks():
     assert len(checks) == 27 and len({c.name for c in checks}) == 27
 
 
-def test_column_values_as_list(clean_small):
-    months = column_values_as_list(clean_small, "contact_month")
+def test_column_domain_is_sorted_and_whole(clean_small):
+    months = [r.value for r in column_domain(clean_small, "contact_month").collect()]
     assert months == sorted(months) and len(months) == 12
