@@ -33,6 +33,7 @@ class BuildResult:
     paths: dict[str, str]
     counts: dict[str, int] = field(default_factory=dict)
     checks: list[dict] = field(default_factory=list)
+    freshness: dict = field(default_factory=dict)
 
 
 def _gate(summary: DataFrame, layer: str, fail_on_error: bool, result: BuildResult) -> None:
@@ -68,9 +69,13 @@ def run(
     store_failures: bool = True,
     stamp_load: bool = True,
 ) -> BuildResult:
-    """Build all layers in dependency order and evaluate the published checks."""
+    """Build all layers in dependency order and evaluate the published checks.
+
+    ``run_ts`` is the time of the load (now, in UTC, unless given); it stamps the rows and names the
+    build's folder. A source older than the error limit stops a build that fails on errors.
+    """
     p = p or Params()
-    run_ts = run_ts or p.run_ts
+    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     base = work_dir(spark, "build", run_ts.strftime("%Y%m%dT%H%M%S"))
     paths = {
         "contacts_raw": f"{base}/{S.schema_name(None, default_schema, target_name)}/contacts_raw",
@@ -87,6 +92,9 @@ def run(
         S.overwrite_parquet(source.select(*[f.name for f in RAW_SCHEMA.fields]), paths["contacts_raw"])
         result.counts["contacts_raw"] = S.loaded_row_count(spark, paths["contacts_raw"]).first()["row_count"]
     raw = I.read_raw(spark, paths["contacts_raw"])
+    result.freshness = freshness(spark, paths["contacts_raw"], run_ts, p)
+    if result.freshness["status"] == "error" and fail_on_error:
+        raise CheckFailed(f"sources: stale, {result.freshness['age_hours']} hours old")
     rels = {"contacts_raw": raw}
     _gate(Q.summarize(rels, [c for c in checks if c.relation == "contacts_raw"]), "sources", fail_on_error, result)
 
