@@ -196,8 +196,7 @@ def test_decontamination_brute_force(spark, docs_of, block_bytes):
     word = lambda: rng.choice("ab cd ef gh Ij kl".split())
     items = [(f"{i}", " ".join(word() for _ in range(rng.choice([1, 3, 10, 12, 15])))) for i in range(14)]
     items += [("14", None), ("15", "?!"), ("16", items[0][1])]
-    docs = [(i, " ".join(word() for _ in range(rng.randrange(0, 60))) + (", " + rng.choice(items)[1].upper() + "." if i % 3 else "")
-             if i % 7 else None) for i in range(60) if True and (i % 3 == 0 or True)] if False else []
+    docs = []
     for i in range(60):
         pick = rng.choice(items[:14])[1]
         docs.append((i, None if i % 11 == 0 else " ".join(word() for _ in range(rng.randrange(0, 40))) + f" -{pick.upper()}-"))
