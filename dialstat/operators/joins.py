@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is materialised and counted first; above this many rows the
+from dialstat.session import stored
+
+# A broadcast side is written and counted first; above this many rows the
 # join stays a shuffle join. Sides passed here are narrow (a few columns).
 MAX_BROADCAST_ROWS = 1_000_000
 
 
 def checked_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, known_small: bool = False) -> tuple[DataFrame, bool]:
-    """Persist ``df`` (cheap: callers pass aggregates of bounded size) and count it.
+    """Write ``df`` to the shared work folder (callers pass aggregates) and count it there.
 
     Returns ``(df, True)`` with a broadcast hint when it has at most ``max_rows``
     rows, else ``(df, False)`` so the caller's join remains a shuffle join.
-    Lost cached blocks are recomputed from lineage, so executor loss is safe.
+    Nothing stays cached, and the files survive the loss of executors.
     ``known_small`` skips the count for tables whose bound is already proven
-    (e.g. a roll-up of a checked table has at most as many rows).
+    (their key's domain is bounded, or they roll up a checked table).
     """
     if known_small:
         return F.broadcast(df), True
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = stored(df, "small")
     if kept.count() <= max_rows:
         return F.broadcast(kept), True
     return kept, False

@@ -22,7 +22,7 @@ from dialstat.operators.joins import checked_small, equi_join, null_safe_join
 from dialstat.operators.ordinal import rank_family
 from dialstat.params import KPI_DIMENSIONS, SEGMENT_KEYS, Params
 from dialstat.schema import KPI_COLUMNS
-from dialstat.session import fresh_work_dir
+from dialstat.session import stored
 
 SK = "group_sk"
 RATE = "conversion_rate_pct"
@@ -34,22 +34,10 @@ def with_group_key(df: DataFrame) -> DataFrame:
     return df.withColumn(SK, surrogate_key(list(KPI_DIMENSIONS)))
 
 
-def materialize(df: DataFrame, name: str = "kpi_groups") -> DataFrame:
-    """Cut lineage: write once as Parquet under the shared work folder and read it back.
-
-    One job (an eager ``checkpoint()`` would compute the plan twice); the files
-    survive executor loss and give the planner real size statistics.
-    """
-    spark = df.sparkSession
-    path = fresh_work_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def kpi_groups(clean: DataFrame, p: Params | None = None, checkpoint: bool = True) -> DataFrame:
     """base_metrics -> conversion_metrics -> indices, plus the group key."""
     e = with_group_key(enriched_metrics(base_metrics(clean), p))
-    return materialize(e) if checkpoint else e
+    return stored(e, "kpi_groups") if checkpoint else e
 
 
 def add_ranks(e: DataFrame, p: Params | None = None) -> DataFrame:
@@ -68,6 +56,7 @@ def add_ranks(e: DataFrame, p: Params | None = None) -> DataFrame:
         [(["age_segment"], "conversion_rank_by_age"), (["contact_month"], "conversion_rank_by_month"),
          ([], "kpi_row_id")],
         RATE_KEY, SK, descending=True, cell_rows=p.rank_cell_rows, percent_rank_col="conversion_percentile",
+        bounded_values=True,  # hundredths of a percent: 10,001 rates and NULL
     )
     return ranked.drop(RATE_KEY)
 
@@ -92,7 +81,7 @@ def segment_summary(e: DataFrame) -> DataFrame:
         F.sum("successful_contacts").alias("total_conversions_in_segment"),
         exact_mean_of_fixed_point(RATE, 2).alias("avg_conversion_rate_in_segment"),
     )
-    best, _ = checked_small(best_month_by_segment(e))  # one row per month at most
+    best = F.broadcast(best_month_by_segment(e))  # one row per month at most
     return null_safe_join(s, best, list(SEGMENT_KEYS), "left")
 
 

@@ -16,25 +16,21 @@ results while every sort is bounded:
 
 Histogram and cell tables are broadcast only after their row count is
 checked (``joins.checked_small``); above the limit the join is a shuffle join.
-* :func:`dense_row_number` - 1..n over a unique key, via range buckets.
+* :func:`dense_row_number` - 1..n in the order of a key, by one range shuffle.
 * :func:`sequence_in_groups` - position, previous value and previous
   carried columns within a group (lag / row_number by group), split into
   tiles so that one hot group is spread over many tasks.
-
-The tile table of :func:`sequence_in_groups` grows with the data, so it is
-joined back with a shuffle join (AQE may still broadcast it when small).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialstat.operators.joins import MAX_BROADCAST_ROWS, checked_small, null_safe_join
+from dialstat.operators.joins import checked_small, null_safe_join
+from dialstat.session import stored
 
 _MAX_PREFIX = 8
 
@@ -156,6 +152,7 @@ def rank_family(
     cell_rows: int = 1_000_000,
     percent_rank_col: str | None = None,
     num_partitions: int | None = None,
+    bounded_values: bool = False,
 ) -> DataFrame:
     """Several ROW_NUMBER() columns that all order by (value_col, tie_col) but partition
     differently - e.g. by age segment, by month, and globally - with ONE shuffle.
@@ -169,6 +166,8 @@ def rank_family(
     offsets come from one small histogram over (all partition columns, value,
     prefix) and are broadcast after a size check. ``percent_rank_col`` adds
     PERCENT_RANK() OVER (ORDER BY value_col ASC) from the value histogram.
+    ``bounded_values`` says that the number of distinct values is bounded by their
+    domain, so that their histogram needs no size check.
     ``value_col`` must be integral or text: the planner normalises floating keys,
     which would stop the single partitioning from serving the windows.
     """
@@ -180,7 +179,7 @@ def rank_family(
             if c not in all_p:
                 all_p.append(c)
     vh = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("__vn"))
-    vh, vh_small = checked_small(vh)
+    vh, vh_small = checked_small(vh, known_small=bounded_values)
     plen = F.when(
         F.col("__vn") > cell_rows,
         F.least(F.ceil(F.log(16.0, F.col("__vn") / F.lit(float(cell_rows)))).cast("int"), F.lit(_MAX_PREFIX)),
@@ -221,36 +220,37 @@ def rank_family(
     return out.drop("__pfx", *[f"__before{i}" for i in range(len(rankings))])
 
 
-def dense_row_number(df: DataFrame, key_col: str, out_col: str, buckets: int | None = None) -> DataFrame:
-    """1..n in ascending order of a unique, non-NULL numeric key (ROW_NUMBER() OVER (ORDER BY key)).
+def _ranged(df: DataFrame, order: Sequence[Column], name: str, ranges: int | None = None, observe=None) -> DataFrame:
+    """``df`` in a total order, written once and read back with ``__range`` and ``__at``.
 
-    The key range is cut at approximate quantiles into ``buckets`` ranges (the
-    cut points, one number per bucket, are the only values that reach the
-    driver); each range is numbered on its own and offset by the row count of
-    the ranges before it.
+    One range shuffle deals the rows to ``ranges`` tasks of about equal size (the planner samples
+    the bounds); every task sorts its range. ``__range`` is the number of the range and ``__at`` the
+    place in it, so a row's rank is the rows of all ranges before its own plus its place. The stored
+    table fixes both. ``observe`` is an (Observation, metrics) pair measured during the write.
     """
-    spark = df.sparkSession
-    if buckets is None:
-        buckets = max(8, 4 * spark.sparkContext.defaultParallelism)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.approxQuantile(key_col, probs, 0.25 / buckets) if probs else []
-    cuts = sorted(set(c for c in cuts if c is not None))
-    # Range bucket by binary search over the sorted cut points (JVM side).
-    if cuts:
-        from pyspark.ml.feature import Bucketizer
-
-        splits = [-math.inf, *[float(c) for c in cuts], math.inf]
-        splits = [s for i, s in enumerate(splits) if i == 0 or s > splits[i - 1]]
-        b = Bucketizer(splits=splits, inputCol="__keyd", outputCol="__bucketd")
-        df = b.transform(df.withColumn("__keyd", F.col(key_col).cast("double"))).drop("__keyd")
-        bucket = F.col("__bucketd")
-    else:
-        bucket = F.lit(0)
-    tagged = df.withColumn("__bucket", bucket.cast("int"))
-    if cuts:
-        tagged = tagged.drop("__bucketd")
-    ranked = rank_rows(tagged, [], "__bucket", key_col, out_col, descending=False, split_heavy=False)
-    return ranked.drop("__bucket")
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed = placed.withColumn("__place", F.monotonically_increasing_id())
+    if observe is not None:
+        placed = placed.observe(observe[0], *observe[1])
+    # monotonically_increasing_id: the task's number above 33 bits that count the task's rows
+    return stored(placed, name).withColumns({
+        "__range": F.shiftright("__place", 33), "__at": F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__place")
+
+
+def dense_row_number(df: DataFrame, key_col: str, out_col: str, buckets: int | None = None, observe=None) -> DataFrame:
+    """1..n in ascending order of a key (ROW_NUMBER() OVER (ORDER BY key)); ties in any order.
+
+    Rows are range-partitioned and written once (see :func:`_ranged`); a range's offset is the row
+    count of the ranges before it, one row per range, which is broadcast: its bound is the number of
+    partitions. No value of the key reaches the driver.
+    """
+    placed = _ranged(df, [F.col(key_col).asc_nulls_first()], "numbered", buckets, observe)
+    before = Window.partitionBy(F.lit(0)).orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(F.col("__range").alias("__of")).agg(F.count(F.lit(1)).alias("__n")).select(
+        "__of", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    joined = placed.join(F.broadcast(offsets), F.col("__range") == F.col("__of"))
+    return joined.withColumn(out_col, F.col("__before") + F.col("__at") + 1).drop("__range", "__at", "__of", "__before")
 
 
 def _sequence_plain(df, g, order_col, key_col, carry, pos_col, prev_prefix):
@@ -265,37 +265,28 @@ def _sequence_plain(df, g, order_col, key_col, carry, pos_col, prev_prefix):
     )
 
 
-def _sequence_tiled(df, g, order_col, key_col, carry, key_tile_width, pos_col, prev_prefix):
-    t = df.withColumn("__kb", F.floor(F.col(key_col) / F.lit(key_tile_width)))
-    tile_keys = g + [order_col, "__kb"]
+def _sequence_tiled(df, g, order_col, key_col, carry, pos_col, prev_prefix, ranges=None):
+    order = [*[F.col(c).asc_nulls_first() for c in g], F.col(order_col).asc_nulls_first(), F.col(key_col).asc()]
+    t = _ranged(df, order, "tiles", ranges)
+    tile_keys = [*g, "__range"]
+    last = [order_col, *carry]
     tiles = t.groupBy(*tile_keys).agg(
-        F.count(F.lit(1)).alias("__tn"),
-        *[F.max_by(F.col(c), F.col(key_col)).alias(f"__last_{c}") for c in carry],
-    )
-    w_t = (Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))).orderBy(
-        F.col(order_col).asc_nulls_first(), F.col("__kb").asc()
-    )
-    w_prev = w_t.rowsBetween(Window.unboundedPreceding, -1)
+        F.count(F.lit(1)).alias("__tn"), *[F.max_by(F.col(c), F.col("__at")).alias(f"__last_{c}") for c in last])
+    # A group has at most one tile per range, whatever its number of rows.
+    w_t = (Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))).orderBy("__range")
     tiles = tiles.select(
         *tile_keys,
-        F.coalesce(F.sum("__tn").over(w_prev), F.lit(0)).alias("__tbefore"),
-        F.lag(F.col(order_col)).over(w_t).alias("__tprev_order"),
-        *[F.lag(F.col(f"__last_{c}")).over(w_t).alias(f"__tprev_{c}") for c in carry],
+        F.coalesce(F.sum("__tn").over(w_t.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__tbefore"),
+        *[F.lag(F.col(f"__last_{c}")).over(w_t).alias(f"__tprev_{c}") for c in last],
     )
-    # The tile table grows with the data: a shuffle join (AQE may broadcast it when small).
     j = null_safe_join(t, tiles, tile_keys)
-    w_r = Window.partitionBy(*tile_keys).orderBy(F.col(key_col).asc())
+    w_r = Window.partitionBy(*tile_keys).orderBy("__at")
     rn = F.row_number().over(w_r)
-    first = rn == 1
-    cols = [
+    return j.select(
+        *df.columns,
         (F.col("__tbefore") + rn - 1).cast("long").alias(pos_col),
-        F.when(first, F.col("__tprev_order")).otherwise(F.col(order_col)).alias(prev_prefix + order_col),
-    ]
-    for c in carry:
-        cols.append(
-            F.when(first, F.col(f"__tprev_{c}")).otherwise(F.lag(F.col(c)).over(w_r)).alias(prev_prefix + c)
-        )
-    return j.select(*df.columns, *cols)
+        *[F.when(rn == 1, F.col(f"__tprev_{c}")).otherwise(F.lag(F.col(c)).over(w_r)).alias(prev_prefix + c) for c in last],
+    )
 
 
 def sequence_in_groups(
@@ -304,38 +295,34 @@ def sequence_in_groups(
     order_col: str,
     key_col: str,
     carry_cols: Sequence[str] = (),
-    key_tile_width: int = 1 << 20,
     pos_col: str = "seq_pos",
     prev_prefix: str = "prev_",
     hot_rows: int = 2_000_000,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Per row: 0-based position within its group ordered by (order_col, key_col),
     plus the previous row's ``order_col`` and ``carry_cols`` (NULL for the first row).
 
     Same as ROW_NUMBER()-1 and LAG(...) OVER (PARTITION BY group ORDER BY order_col,
-    key_col), with ``key_col`` a unique integer. One aggregate finds groups with
-    more than ``hot_rows`` rows (at most rows/hot_rows of them). Other groups use
-    the plain window; rows of hot groups are cut into tiles (group, order value,
-    key // key_tile_width) and a small per-tile table carries counts and last
-    values between tiles, so a group holding a third of all rows is still
-    numbered by many tasks.
+    key_col), with ``key_col`` unique. One aggregate finds groups with more than
+    ``hot_rows`` rows (at most rows/hot_rows of them). Other groups use the plain
+    window; rows of hot groups are dealt to ``ranges`` ranges of about equal size
+    of (group, order_col, key_col). A tile is a group's part of one range; the tile
+    table (at most ranges + hot groups rows) carries counts and last values between
+    tiles, so a group holding a third of all rows is numbered by a third of the tasks.
     """
     g = list(group_cols)
     carry = list(carry_cols)
     if not g:
-        return _sequence_tiled(df, g, order_col, key_col, carry, key_tile_width, pos_col, prev_prefix)
-    # At most rows / hot_rows groups qualify, so this table is small by construction;
-    # its count (one job) both decides the path and bounds the broadcast.
+        return _sequence_tiled(df, g, order_col, key_col, carry, pos_col, prev_prefix, ranges)
     hot = df.groupBy(*g).agg(F.count(F.lit(1)).alias("__gn")).where(F.col("__gn") > hot_rows).select(*g)
-    hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
-    n_hot = hot.count()
-    if n_hot == 0:
-        hot.unpersist()
+    hot = stored(hot, "hot_groups")
+    if not hot.take(1):
         return _sequence_plain(df, g, order_col, key_col, carry, pos_col, prev_prefix)
-    hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-    marked = null_safe_join(df, hot.withColumn("__hot", F.lit(True)), g, "left")
+    hot, _ = checked_small(hot.withColumn("__hot", F.lit(True)))
+    marked = null_safe_join(df, hot, g, "left")
     cold_part = marked.where(F.col("__hot").isNull()).drop("__hot")
     hot_part = marked.where(F.col("__hot")).drop("__hot")
     return _sequence_plain(cold_part, g, order_col, key_col, carry, pos_col, prev_prefix).unionByName(
-        _sequence_tiled(hot_part, g, order_col, key_col, carry, key_tile_width, pos_col, prev_prefix)
+        _sequence_tiled(hot_part, g, order_col, key_col, carry, pos_col, prev_prefix, ranges)
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dialstat.operators import clean as C
@@ -46,14 +46,26 @@ def _gate(summary: DataFrame, layer: str, fail_on_error: bool, result: BuildResu
 
 
 def load_raw(spark: SparkSession, source: DataFrame, path: str, p: Params, run_ts: _dt.datetime,
-             order_key: str | None = None) -> int:
-    """Entry 1: validate (one pass, REQUIRED source fields included) -> prepare -> overwrite
-    load -> row count. The stamp is a literal and generated ids are dense, so the
-    prepared REQUIRED fields cannot be NULL when the source passed."""
-    ok, msg = I.validate(source, required=() if order_key else ("_row_id",))
-    if not ok:
-        raise CheckFailed(f"validation failed: {msg}")
-    prepared = I.prepare_for_load(source, run_ts, order_key=order_key)
+             order_key: str | None = "_row_id") -> int:
+    """Entry 1: validate -> stamp, dense ids, coercion -> overwrite load -> row count.
+
+    With ``order_key`` the loaded ``_row_id`` is 1..n in its order. Numbering writes the source's
+    rows once, and the validation counts are observed during that write, so the source is not
+    read again to validate; nothing is loaded if they fail. The stamp is a literal and generated
+    ids are dense, so the REQUIRED fields cannot be NULL. Without ``order_key`` the source's own
+    ids are kept and validated first.
+    """
+    if order_key is None:
+        message = I.validate(source)[1]
+        prepared = None if message else I.prepare_for_load(source, run_ts)
+    else:
+        message, prepared = I.schema_problem(source), None
+        if not message.startswith("missing columns"):
+            seen = Observation()
+            prepared = I.prepare_for_load(source, run_ts, order_key, observe=(seen, I.validation_metrics()))
+            message = I.verdict(seen.get, message)
+    if message:
+        raise CheckFailed(f"validation failed: {message}")
     S.overwrite_parquet(prepared, path)
     return S.loaded_row_count(spark, path).first()["row_count"]
 

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -72,3 +72,14 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
 
 def fresh_work_dir(spark: SparkSession, name: str) -> str:
     return work_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write once as Parquet in the shared work folder and read it back.
+
+    One job (an eager ``checkpoint()`` would compute the plan twice); the files survive the
+    loss of executors and give the planner real sizes.
+    """
+    path = fresh_work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

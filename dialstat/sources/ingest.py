@@ -54,33 +54,50 @@ def validation_report(df: DataFrame, expected=RAW_COLUMNS, target: str = "y") ->
         F.col("value").alias("invalid_value"), "row_count"))
 
 
+def schema_problem(df: DataFrame) -> str:
+    """What the schema alone says against a load: missing columns, ``age`` not a whole number."""
+    missing = sorted(set(RAW_COLUMNS) - set(df.columns))
+    if missing:
+        return f"missing columns: {missing}"
+    kind = df.schema["age"].dataType
+    return "" if isinstance(kind, (IntegerType, LongType)) else f"wrong type for 'age': {kind.simpleString()}"
+
+
+def validation_metrics(required=()) -> list[Column]:
+    """The counts that I1 and A7 judge: one aggregate, or metrics observed during a write."""
+    return [F.count(F.lit(1)).alias("n"), F.count_if(_bad_target("y")).alias("bad"),
+            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required]]
+
+
+def verdict(counts: dict, schema: str = "") -> str:
+    """The first failure that the counts and the schema show; empty if there is none."""
+    if schema.startswith("missing columns"):
+        return schema
+    if counts["n"] == 0:
+        return "dataframe is empty"
+    if schema:
+        return schema
+    if counts["bad"]:
+        return f"invalid target values in {counts['bad']} rows"
+    nulls = {c.removeprefix("null_"): v for c, v in counts.items() if c.startswith("null_") and v}
+    return f"REQUIRED fields hold NULLs: {nulls}" if nulls else ""
+
+
 def validate(df: DataFrame, required=("_row_id",)) -> tuple[bool, str]:
     """I1 (+ A7 on source columns) for the driver in one aggregate pass; ``(ok, message)``.
 
     The message holds counts; :func:`validation_report` lists the values. REQUIRED columns
     present in the source are checked for NULLs in the same pass.
     """
-    missing = sorted(set(RAW_COLUMNS) - set(df.columns))
-    if missing:
-        return False, f"missing columns: {missing}"
-    age_type = df.schema["age"].dataType
-    req = [c for c in required if c in df.columns]
-    r = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(_bad_target("y")).alias("bad"),
-        F.count_distinct(F.when(_bad_target("y"), F.col("y"))).alias("distinct"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(req)],
-    ).first()
-    if r["n"] == 0:
-        return False, "dataframe is empty"
-    if not isinstance(age_type, (IntegerType, LongType)):
-        return False, f"wrong type for 'age': {age_type.simpleString()}"
-    if r["bad"]:
-        return False, f"invalid target values: {r['distinct']} distinct in {r['bad']} rows"
-    nulls = {c: r[f"null_{i}"] for i, c in enumerate(req) if r[f"null_{i}"]}
-    if nulls:
-        return False, f"REQUIRED fields hold NULLs: {nulls}"
-    return True, ""
+    schema = schema_problem(df)
+    if schema.startswith("missing columns"):
+        return False, schema
+    counts = df.agg(*validation_metrics([c for c in required if c in df.columns]),
+                    F.count_distinct(F.when(_bad_target("y"), F.col("y"))).alias("distinct")).first().asDict()
+    message = verdict(counts, schema)
+    if message.startswith("invalid target values"):
+        message = f"invalid target values: {counts['distinct']} distinct in {counts['bad']} rows"
+    return not message, message
 
 
 def stamp_load_ts(df: DataFrame, run_ts: _dt.datetime, col: str = "_dbt_loaded_at") -> DataFrame:
@@ -88,9 +105,9 @@ def stamp_load_ts(df: DataFrame, run_ts: _dt.datetime, col: str = "_dbt_loaded_a
     return df.withColumn(col, F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
 
 
-def add_dense_row_id(df: DataFrame, order_key: str, col: str = "_row_id") -> DataFrame:
-    """Dense 1..n in the order of a unique key, without a one-task window."""
-    return dense_row_number(df, order_key, col)
+def add_dense_row_id(df: DataFrame, order_key: str, col: str = "_row_id", observe=None) -> DataFrame:
+    """Dense 1..n in the order of a key, without a one-task window."""
+    return dense_row_number(df, order_key, col, observe=observe)
 
 
 def coerce_integer_text(c: Column | str) -> Column:
@@ -119,11 +136,15 @@ def coerce_categorical(df: DataFrame, cols=CATEGORICAL_COLUMNS) -> DataFrame:
     return df.withColumns({c: F.col(f"`{c}`").cast("string") for c in cols if c in df.columns})
 
 
-def prepare_for_load(df: DataFrame, run_ts: _dt.datetime, order_key: str | None = None) -> DataFrame:
-    """I2-I5 in the published order: stamp, ids, categorical text, numeric coercion."""
+def prepare_for_load(df: DataFrame, run_ts: _dt.datetime, order_key: str | None = None, observe=None) -> DataFrame:
+    """I2-I5 in the published order: stamp, ids, categorical text, numeric coercion.
+
+    With ``order_key`` the rows are numbered 1..n in its order, which writes them once; ``observe``
+    (an Observation and its metrics) is measured during that write.
+    """
     out = stamp_load_ts(df, run_ts)
     if order_key is not None:
-        out = add_dense_row_id(out, order_key)
+        out = add_dense_row_id(out, order_key, observe=observe)
     out = coerce_numeric(coerce_categorical(out))
     return out.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
 

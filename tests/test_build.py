@@ -34,6 +34,22 @@ def test_build_stops_on_error_checks(spark, raw_small):
         B.run(spark, raw_small, run_ts=dt.datetime(2030, 1, 1), fail_on_error=True)
 
 
+def test_load_numbers_densely_and_validates_in_the_same_pass(spark, raw_small):
+    from dialstat.session import fresh_work_dir
+
+    path, ts = fresh_work_dir(spark, "test_load"), dt.datetime(2030, 1, 1)
+    n = B.load_raw(spark, raw_small.withColumn("_row_id", F.col("_row_id") * 10 + 7), path, Params(), ts)
+    ids = [r[0] for r in spark.read.parquet(path).select("_row_id").collect()]
+    assert n == raw_small.count() and sorted(ids) == list(range(1, n + 1))
+    bad = raw_small.withColumn("y", F.when(F.col("_row_id") % 7 == 0, F.lit("maybe")).otherwise(F.col("y")))
+    rows = bad.where("y = 'maybe'").count()
+    for source, message in ((bad, f"invalid target values in {rows} rows"), (raw_small.limit(0), "dataframe is empty"),
+                            (raw_small.drop("job"), "missing columns"),
+                            (raw_small.withColumn("age", F.col("age").cast("string")), "wrong type")):
+        with pytest.raises(B.CheckFailed, match=message):
+            B.load_raw(spark, source, fresh_work_dir(spark, "test_bad"), Params(), ts)
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as E
 

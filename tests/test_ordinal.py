@@ -63,13 +63,46 @@ def test_sequence_in_groups_tiled_equals_plain(spark):
                      F.lag("o_orderdate").over(w).alias("prev_o_orderdate"),
                      F.lag("o_orderstatus").over(w).alias("prev_o_orderstatus"))
     # hot_rows=2 sends every customer with more than 2 orders down the tiled path;
-    # a narrow tile width cuts those customers into many tiles
-    got = sequence_in_groups(o, ["o_custkey"], "o_orderdate", "o_orderkey", ["o_orderstatus"],
-                             key_tile_width=64, hot_rows=2)
+    # many ranges cut those customers into several tiles
+    got = sequence_in_groups(o, ["o_custkey"], "o_orderdate", "o_orderkey", ["o_orderstatus"], hot_rows=2, ranges=97)
     assert got.count() == o.count()
     assert got.select(*plain.columns).exceptAll(plain).count() == 0
 
 
+def test_sequence_of_one_group_with_equal_dates_is_spread_over_many_tasks(spark):
+    """One customer holds all rows, most on one date: tiles have about equal numbers of rows."""
+    df = spark.range(20_000).selectExpr(
+        "1 AS g", "if(id % 10 = 0, date'2024-01-02', date'2024-01-01') AS d", "id * 1000003 AS k", "id % 7 AS c")
+    w = W.partitionBy("g").orderBy("d", "k")
+    plain = df.select("*", (F.row_number().over(w) - 1).cast("long").alias("seq_pos"),
+                      F.lag("d").over(w).alias("prev_d"), F.lag("c").over(w).alias("prev_c"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sequence_in_groups(df, ["g"], "d", "k", ["c"], hot_rows=100, ranges=40)
+        assert got.select(*plain.columns).exceptAll(plain).count() == 0 and got.count() == 20_000
+        per_task = got.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+        assert per_task < 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sequence_in_groups(df, [], "d", "k", ["c"], ranges=5).select(*plain.columns).exceptAll(plain).count() == 0
+
+
+def test_dense_row_number_of_ties_nulls_and_empty_tables(spark):
+    df = spark.range(1000).selectExpr("if(id % 3 = 0, NULL, id % 5) AS k", "id")
+    got = dense_row_number(df, "k", "rn", buckets=6).collect()
+    assert sorted(r.rn for r in got) == list(range(1, 1001))
+    keys = [-1 if r.k is None else r.k for r in sorted(got, key=lambda r: r.rn)]
+    assert keys == sorted(keys)
+    assert dense_row_number(df.limit(0), "k", "rn").count() == 0
+
+
+def test_no_table_stays_cached(spark, clean_small):
+    spark.catalog.clearCache()
+    M.campaign_kpis(clean_small).count()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+
+
 def test_rank_family_splits_a_hot_value_across_tasks(spark):
     """One value holding most rows (here: the rate coarsened so nearly all groups tie)
     is cut into key-prefix cells; the result still equals the plain windows and no
