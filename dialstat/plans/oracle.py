@@ -1,24 +1,25 @@
 """DuckDB SQL equivalents of the catalog queries (the correctness oracle).
 
-Written independently of the Spark code, over the same driver tables. Typing
+Written apart from the Spark code, over the same driver tables: medians by sorted lists, ranks by counting in
+one global order, segments and reports summed over the contacts. Typing
 rules kept on purpose: double literals (``::DOUBLE``) where the published
 dialect uses FLOAT64, ``NULLIF`` for safe division, ``CAST(SUM(..) AS BIGINT)``
-for integer sums, ``quantile_disc`` for the median (an input element), explicit
+for integer sums, the lower median (an input element), explicit
 NULL ordering, and the group surrogate key as the tie-break of every rank.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from dialstat.params import DEFAULT_RUN_TS, KPI_DIMENSIONS
 from dialstat.sources.faults import CLEAN_FAULTS, MART_FAULTS, RAW_FAULTS, TEXT_FAULTS
 
-RUN_TS = DEFAULT_RUN_TS.strftime("%Y-%m-%d %H:%M:%S")
-RUN_TS_ISO = str(DEFAULT_RUN_TS.replace(tzinfo=_dt.timezone.utc))
-
-DIMS = ", ".join(KPI_DIMENSIONS)
-SK_SQL = "md5(" + " || '|' || ".join(f"coalesce(CAST({d} AS VARCHAR), '_null_')" for d in KPI_DIMENSIONS) + ")"
+# The run's timestamp and the grain of the mart.
+RUN_TS = "2024-01-01 00:00:00"
+DIMENSIONS = [
+    "age_segment", "job", "marital_status", "education_level", "balance_segment", "contact_type",
+    "contact_month", "contact_month_num", "contact_quarter", "call_duration_segment", "campaign_intensity",
+    "previous_campaign_outcome", "has_any_loan", "has_debt_indicators", "was_contacted_before"]
+DIMS = ", ".join(DIMENSIONS)
+SK_SQL = "md5(" + " || '|' || ".join(f"coalesce(CAST({d} AS VARCHAR), '_null_')" for d in DIMENSIONS) + ")"
 
 
 def _norm(c: str) -> str:
@@ -149,94 +150,116 @@ def fixed_mean(col: str, decimals: int) -> str:
     return f"SUM(CAST(round({col} * {scale}.0::DOUBLE) AS BIGINT)) / NULLIF(COUNT({col}) * {scale}.0::DOUBLE, 0)"
 
 
+def _mean(col: str) -> str:
+    """Mean of whole numbers: their exact sum, divided once."""
+    return f"SUM({col})::DOUBLE / NULLIF(COUNT({col}), 0)"
+
+
+def _middle(col: str) -> str:
+    """Lower median: the middle place of the sorted values."""
+    return f"list_sort(list({col}) FILTER ({col} IS NOT NULL))[(COUNT({col}) + 1) // 2]"
+
+
+# Least share of conversions (SQL) and label, best first; the last label takes the rest.
+TARGET_LABELS = [("0.1::DOUBLE", "above_target"), ("0.1::DOUBLE * 0.8::DOUBLE", "near_target"), (None, "below_target")]
+PERFORMANCE_LABELS = [("0.2::DOUBLE", "high_performance"), ("0.1::DOUBLE", "medium_performance"),
+                      ("0.05::DOUBLE", "low_performance"), (None, "very_low_performance")]
+
+
+def _label(share: str, labels: list) -> str:
+    """The first label whose least share is reached."""
+    table = ", ".join(f"{{'least': {'-1' if a is None else a}, 'label': '{name}'}}" for a, name in labels)
+    return f"list_filter([{table}], lambda b: {share} >= b.least)[1].label"
+
+
 def groups_cte(name: str, dims: str, source: str = "contacts_clean") -> str:
-    """Base metrics, conversion metrics and indices at the grain of ``dims``."""
+    """Metrics, rates, bands and indices at the grain of ``dims``: one aggregate, shares, then labels."""
     return f"""
 {name}_base AS (
-  SELECT {dims},
-    COUNT(*) AS total_contacts,
-    CAST(SUM(CASE WHEN subscribed = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS successful_contacts,
-    CAST(SUM(CASE WHEN subscribed = FALSE THEN 1 ELSE 0 END) AS BIGINT) AS unsuccessful_contacts,
-    AVG(contact_duration_sec) AS avg_call_duration_sec,
-    {fixed_mean('contact_duration_min', 2)} AS avg_call_duration_min,
-    quantile_disc(contact_duration_sec, 0.5) AS median_call_duration_sec,
-    CAST(SUM(contact_duration_sec) AS BIGINT) AS total_call_duration_sec,
-    AVG(num_contacts_campaign) AS avg_contacts_per_client,
-    MAX(num_contacts_campaign) AS max_contacts_to_client,
-    AVG(age) AS avg_age,
-    AVG(account_balance_eur) AS avg_account_balance,
-    quantile_disc(account_balance_eur, 0.5) AS median_account_balance,
-    AVG(CASE WHEN was_contacted_before THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS pct_previously_contacted,
-    AVG(days_since_last_contact) AS avg_days_since_last_contact
-  FROM {source}
-  GROUP BY {dims}
+  SELECT {dims}, COUNT(*) AS total_contacts,
+    COUNT(*) FILTER (subscribed) AS successful_contacts, COUNT(*) FILTER (NOT subscribed) AS unsuccessful_contacts,
+    CAST(SUM(contact_duration_sec) AS BIGINT) AS total_call_duration_sec, MAX(num_contacts_campaign) AS max_contacts_to_client,
+    {_mean('contact_duration_sec')} AS avg_call_duration_sec, {fixed_mean('contact_duration_min', 2)} AS avg_call_duration_min,
+    {_mean('num_contacts_campaign')} AS avg_contacts_per_client, {_mean('age')} AS avg_age,
+    {_mean('account_balance_eur')} AS avg_account_balance, {_mean('days_since_last_contact')} AS avg_days_since_last_contact,
+    {_middle('contact_duration_sec')} AS median_call_duration_sec, {_middle('account_balance_eur')} AS median_account_balance,
+    (COUNT(*) FILTER (was_contacted_before))::DOUBLE / COUNT(*) AS pct_previously_contacted
+  FROM {source} GROUP BY {dims}
 ),
-{name}_conv AS (
-  SELECT *,
-    round(successful_contacts::DOUBLE / NULLIF(total_contacts, 0) * 100.0::DOUBLE, 2) AS conversion_rate_pct,
-    round(unsuccessful_contacts::DOUBLE / NULLIF(total_contacts, 0) * 100.0::DOUBLE, 2) AS non_conversion_rate_pct,
-    round(successful_contacts::DOUBLE / NULLIF(total_call_duration_sec / 60.0::DOUBLE, 0), 4) AS conversions_per_call_minute,
-    CASE WHEN successful_contacts::DOUBLE / NULLIF(total_contacts, 0) >= 0.1::DOUBLE THEN 'above_target'
-         WHEN successful_contacts::DOUBLE / NULLIF(total_contacts, 0) >= 0.1::DOUBLE * 0.8::DOUBLE THEN 'near_target'
-         ELSE 'below_target' END AS performance_vs_target,
-    CASE WHEN successful_contacts::DOUBLE / NULLIF(total_contacts, 0) >= 0.2::DOUBLE THEN 'high_performance'
-         WHEN successful_contacts::DOUBLE / NULLIF(total_contacts, 0) >= 0.1::DOUBLE THEN 'medium_performance'
-         WHEN successful_contacts::DOUBLE / NULLIF(total_contacts, 0) >= 0.05::DOUBLE THEN 'low_performance'
-         ELSE 'very_low_performance' END AS performance_segment
+{name}_shares AS (
+  SELECT *, successful_contacts::DOUBLE / total_contacts AS won, unsuccessful_contacts::DOUBLE / total_contacts AS lost,
+    NULLIF(total_call_duration_sec / 60.0::DOUBLE, 0) AS minutes
   FROM {name}_base
 ),
+{name}_rates AS (
+  SELECT * EXCLUDE (won, lost, minutes), round(won * 100.0::DOUBLE, 2) AS conversion_rate_pct,
+    round(lost * 100.0::DOUBLE, 2) AS non_conversion_rate_pct,
+    round(successful_contacts::DOUBLE / minutes, 4) AS conversions_per_call_minute,
+    {_label('won', TARGET_LABELS)} AS performance_vs_target, {_label('won', PERFORMANCE_LABELS)} AS performance_segment
+  FROM {name}_shares
+),
 {name} AS (
-  SELECT *,
-    round(conversion_rate_pct / NULLIF(avg_contacts_per_client, 0), 2) AS efficiency_index,
+  SELECT *, round(conversion_rate_pct / NULLIF(avg_contacts_per_client, 0), 2) AS efficiency_index,
     round(conversion_rate_pct * avg_call_duration_min / 10.0::DOUBLE, 2) AS contact_quality_index
-  FROM {name}_conv
+  FROM {name}_rates
 )"""
 
 
+# The columns of the mart, in order.
+MART_COLUMNS = """kpi_row_id age_segment job marital_status education_level balance_segment has_any_loan has_debt_indicators
+contact_type contact_month contact_month_num contact_quarter call_duration_segment campaign_intensity
+previous_campaign_outcome was_contacted_before total_contacts successful_contacts unsuccessful_contacts
+conversion_rate_pct non_conversion_rate_pct conversions_per_call_minute avg_call_duration_sec avg_call_duration_min
+median_call_duration_sec total_call_duration_sec avg_contacts_per_client max_contacts_to_client avg_age
+avg_account_balance median_account_balance pct_previously_contacted avg_days_since_last_contact efficiency_index
+contact_quality_index conversion_rank_by_age conversion_rank_by_month conversion_percentile performance_vs_target
+performance_segment is_top_performer_in_age_segment total_contacts_in_segment total_conversions_in_segment
+avg_conversion_rate_in_segment best_month_for_segment share_of_contacts_in_segment_pct conversion_rate_vs_segment_avg
+dbt_updated_at dbt_run_timestamp""".split()
+_SEGMENT = "age_segment, job, education_level, balance_segment"
+
+# Ranks count better groups through one global order; segments are summed over the contacts, not the groups.
 MART_CTE = groups_cte("kpi_groups", DIMS) + f""",
-kpi_keyed AS (
-  SELECT *, {SK_SQL} AS group_sk FROM kpi_groups
+kpi_keyed AS (SELECT *, {SK_SQL} AS group_sk FROM kpi_groups),
+kpi_ordered AS (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY conversion_rate_pct DESC NULLS LAST, group_sk) AS kpi_row_id FROM kpi_keyed
+),
+kpi_below AS (
+  SELECT conversion_rate_pct AS rate, SUM(COUNT(*)) OVER (ORDER BY conversion_rate_pct NULLS FIRST) - COUNT(*) AS below,
+    SUM(COUNT(*)) OVER () AS n
+  FROM kpi_keyed GROUP BY 1
 ),
 kpi_ranked AS (
-  SELECT *,
-    ROW_NUMBER() OVER (PARTITION BY age_segment ORDER BY conversion_rate_pct DESC NULLS LAST, group_sk) AS conversion_rank_by_age,
-    ROW_NUMBER() OVER (PARTITION BY contact_month ORDER BY conversion_rate_pct DESC NULLS LAST, group_sk) AS conversion_rank_by_month,
-    PERCENT_RANK() OVER (ORDER BY conversion_rate_pct ASC NULLS FIRST) AS conversion_percentile,
-    ROW_NUMBER() OVER (ORDER BY conversion_rate_pct DESC NULLS LAST, group_sk) AS kpi_row_id
-  FROM kpi_keyed
+  SELECT o.*, COUNT(*) OVER (PARTITION BY age_segment ORDER BY kpi_row_id) AS conversion_rank_by_age,
+    COUNT(*) OVER (PARTITION BY contact_month ORDER BY kpi_row_id) AS conversion_rank_by_month,
+    CASE WHEN n > 1 THEN below::DOUBLE / (n - 1)::DOUBLE ELSE 0.0::DOUBLE END AS conversion_percentile
+  FROM kpi_ordered o JOIN kpi_below b ON b.rate IS NOT DISTINCT FROM o.conversion_rate_pct
+),
+month_leaders AS (
+  SELECT contact_month, min_by(struct_pack(a := age_segment, j := job, e := education_level, b := balance_segment), kpi_row_id) AS s
+  FROM kpi_ordered GROUP BY contact_month
 ),
 kpi_segments AS (
-  SELECT age_segment, job, education_level, balance_segment,
-    CAST(SUM(total_contacts) AS BIGINT) AS total_contacts_in_segment,
-    CAST(SUM(successful_contacts) AS BIGINT) AS total_conversions_in_segment,
-    {fixed_mean('conversion_rate_pct', 2)} AS avg_conversion_rate_in_segment,
-    MAX(CASE WHEN conversion_rank_by_month = 1 THEN contact_month END) AS best_month_for_segment
-  FROM kpi_ranked
-  GROUP BY age_segment, job, education_level, balance_segment
+  SELECT c.*, r.avg_conversion_rate_in_segment, (SELECT MAX(contact_month) FROM month_leaders l
+    WHERE l.s.a IS NOT DISTINCT FROM c.age_segment AND l.s.j IS NOT DISTINCT FROM c.job
+      AND l.s.e IS NOT DISTINCT FROM c.education_level AND l.s.b IS NOT DISTINCT FROM c.balance_segment) AS best_month_for_segment
+  FROM (SELECT {_SEGMENT}, COUNT(*) AS total_contacts_in_segment, COUNT(*) FILTER (subscribed) AS total_conversions_in_segment
+        FROM contacts_clean GROUP BY {_SEGMENT}) c
+  JOIN (SELECT {_SEGMENT}, {fixed_mean('conversion_rate_pct', 2)} AS avg_conversion_rate_in_segment
+        FROM kpi_groups GROUP BY {_SEGMENT}) r
+    ON c.age_segment IS NOT DISTINCT FROM r.age_segment AND c.job IS NOT DISTINCT FROM r.job
+   AND c.education_level IS NOT DISTINCT FROM r.education_level AND c.balance_segment IS NOT DISTINCT FROM r.balance_segment
+),
+kpi_wide AS (
+  SELECT * FROM kpi_ranked LEFT JOIN kpi_segments USING ({_SEGMENT})
 ),
 campaign_kpis AS (
-  SELECT e.kpi_row_id, e.age_segment, e.job, e.marital_status, e.education_level, e.balance_segment,
-    e.has_any_loan, e.has_debt_indicators, e.contact_type, e.contact_month, e.contact_month_num,
-    e.contact_quarter, e.call_duration_segment, e.campaign_intensity, e.previous_campaign_outcome,
-    e.was_contacted_before, e.total_contacts, e.successful_contacts, e.unsuccessful_contacts,
-    e.conversion_rate_pct, e.non_conversion_rate_pct, e.conversions_per_call_minute,
-    e.avg_call_duration_sec, e.avg_call_duration_min, e.median_call_duration_sec, e.total_call_duration_sec,
-    e.avg_contacts_per_client, e.max_contacts_to_client, e.avg_age, e.avg_account_balance,
-    e.median_account_balance, e.pct_previously_contacted, e.avg_days_since_last_contact,
-    e.efficiency_index, e.contact_quality_index, e.conversion_rank_by_age, e.conversion_rank_by_month,
-    e.conversion_percentile, e.performance_vs_target, e.performance_segment,
-    coalesce(e.conversion_rank_by_age = 1, FALSE) AS is_top_performer_in_age_segment,
-    s.total_contacts_in_segment, s.total_conversions_in_segment, s.avg_conversion_rate_in_segment,
-    s.best_month_for_segment,
-    round(e.total_contacts::DOUBLE / NULLIF(s.total_contacts_in_segment, 0) * 100.0::DOUBLE, 2) AS share_of_contacts_in_segment_pct,
-    round(e.conversion_rate_pct - s.avg_conversion_rate_in_segment, 2) AS conversion_rate_vs_segment_avg,
-    TIMESTAMP '{RUN_TS}' AS dbt_updated_at,
-    '{RUN_TS_ISO}' AS dbt_run_timestamp,
-    e.group_sk
-  FROM kpi_ranked e
-  LEFT JOIN kpi_segments s
-    ON e.age_segment = s.age_segment AND e.job = s.job
-   AND e.education_level = s.education_level AND e.balance_segment = s.balance_segment
+  SELECT {', '.join(MART_COLUMNS)}, group_sk
+  FROM (SELECT *, conversion_rank_by_age = 1 AS is_top_performer_in_age_segment,
+          round(total_contacts::DOUBLE / total_contacts_in_segment * 100.0::DOUBLE, 2) AS share_of_contacts_in_segment_pct,
+          round(conversion_rate_pct - avg_conversion_rate_in_segment, 2) AS conversion_rate_vs_segment_avg,
+          TIMESTAMP '{RUN_TS}' AS dbt_updated_at, '{RUN_TS}+00:00' AS dbt_run_timestamp
+        FROM kpi_wide)
 )"""
 
 BASE = "WITH " + RAW_CTE.strip() + ",\n" + CLEANED_CTE.strip()
@@ -330,9 +353,22 @@ def _mart(cols: str) -> str:
     return over_mart(f"SELECT kpi_row_id, {cols} FROM campaign_kpis")
 
 
+def _by_contacts(key: str, of_groups: str, of_contacts: str, order: str) -> str:
+    """A report by one key: counts over the contacts beside means over the groups."""
+    return (BASE + ",\n" + groups_cte("g", DIMS).strip() + f"\nSELECT c.*, r.* EXCLUDE (k) FROM (SELECT {key}, {of_contacts} "
+            f"FROM contacts_clean GROUP BY {key}) c JOIN (SELECT {key} AS k, {of_groups} FROM g GROUP BY {key}) r "
+            f"ON r.k IS NOT DISTINCT FROM c.{key} ORDER BY {order}")
+
+
 # The published checks as SQL: (name, relation, kind, failing predicate or column)
 _REL_KEY = {"contacts_raw": "_row_id", "contacts_clean": "row_id", "campaign_kpis": "kpi_row_id"}
-_RATE_EXPR = "round(successful_contacts::DOUBLE / NULLIF(total_contacts, 0) * 100.0::DOUBLE, 2)"
+_EXPECTED = "round(successful_contacts::DOUBLE / NULLIF(total_contacts, 0) * 100.0::DOUBLE, 2)"
+_OFF_RATE = f"NOT (conversion_rate_pct - {_EXPECTED} BETWEEN -0.01 AND 0.01)"
+# The columns that must not be negative.
+_NOT_NEGATIVE = ["total_contacts", "successful_contacts", "unsuccessful_contacts", "conversion_rate_pct",
+                 "avg_call_duration_min", "avg_contacts_per_client"]
+_BELOW_ZERO = f"least({', '.join(_NOT_NEGATIVE)}) < 0"
+_UNCOUNTED = "total_contacts - successful_contacts - unsuccessful_contacts"
 CHECKS_SQL = [
     ("src_age_not_null", "contacts_raw", "row", "age IS NULL"),
     ("src_age_between", "contacts_raw", "row", "NOT (age >= 18 AND age <= 100)"),
@@ -357,13 +393,10 @@ CHECKS_SQL = [
     ("kpi_total_accepted_range", "campaign_kpis", "row", "NOT (total_contacts >= 0)"),
     ("kpi_successful_not_null", "campaign_kpis", "row", "successful_contacts IS NULL"),
     ("kpi_successful_accepted_range", "campaign_kpis", "row", "NOT (successful_contacts >= 0)"),
-    ("assert_conversion_rate_logic", "campaign_kpis", "row", f"abs(conversion_rate_pct - {_RATE_EXPR}) > 0.01"),
-    ("assert_no_negative_metrics", "campaign_kpis", "row",
-     "total_contacts < 0 OR successful_contacts < 0 OR unsuccessful_contacts < 0 OR conversion_rate_pct < 0 "
-     "OR avg_call_duration_min < 0 OR avg_contacts_per_client < 0"),
+    ("assert_conversion_rate_logic", "campaign_kpis", "row", _OFF_RATE),
+    ("assert_no_negative_metrics", "campaign_kpis", "row", _BELOW_ZERO),
     ("assert_staging_no_duplicates", "contacts_clean", "groups", "row_id"),
-    ("assert_total_contacts_sum", "campaign_kpis", "row",
-     "total_contacts != (successful_contacts + unsuccessful_contacts)"),
+    ("assert_total_contacts_sum", "campaign_kpis", "row", f"{_UNCOUNTED} <> 0"),
 ]
 
 
@@ -531,26 +564,22 @@ ORACLE: dict[str, str] = {
         "SELECT age_segment, job, education_level, conversion_rate_pct, total_contacts, successful_contacts FROM g "
         "WHERE total_contacts >= 100 ORDER BY conversion_rate_pct DESC, age_segment, job NULLS FIRST, "
         "education_level NULLS FIRST LIMIT 10"),
-    "top_age_segments": over_mart(
-        f"SELECT age_segment, round({fixed_mean('conversion_rate_pct', 2)}, 2) AS conversion, "
-        "CAST(SUM(total_contacts) AS BIGINT) AS contacts FROM campaign_kpis GROUP BY age_segment "
-        "ORDER BY conversion DESC, age_segment LIMIT 5"),
-    "monthly_trend": over_mart(
-        "SELECT contact_month, CAST(SUM(total_contacts) AS BIGINT) AS total_contacts, "
-        "CAST(SUM(successful_contacts) AS BIGINT) AS total_conversions, "
-        f"{fixed_mean('conversion_rate_pct', 2)} AS avg_conversion_rate "
-        "FROM campaign_kpis GROUP BY contact_month, contact_month_num ORDER BY contact_month_num NULLS FIRST"),
+    "top_age_segments": _by_contacts(
+        "age_segment", f"round({fixed_mean('conversion_rate_pct', 2)}, 2) AS conversion", "COUNT(*) AS contacts",
+        "conversion DESC, age_segment LIMIT 5"),
+    "monthly_trend": _by_contacts(
+        "contact_month", f"{fixed_mean('conversion_rate_pct', 2)} AS avg_conversion_rate",
+        "COUNT(*) AS total_contacts, COUNT(*) FILTER (subscribed) AS total_conversions",
+        f"list_position([{MONTH_LIST[1:-1]}], contact_month)"),
     "weak_segments": over_mart(
         "SELECT age_segment, job, balance_segment, conversion_rate_pct, total_contacts, performance_segment "
         "FROM campaign_kpis WHERE performance_segment = 'very_low_performance' AND total_contacts >= 2 "
         "ORDER BY total_contacts DESC, kpi_row_id"),
-    "roi_by_duration": over_mart(
-        "SELECT call_duration_segment, CAST(SUM(total_contacts) AS BIGINT) AS total_calls, "
-        "CAST(SUM(successful_contacts) AS BIGINT) AS conversions, "
-        f"{fixed_mean('conversion_rate_pct', 2)} AS avg_conversion_rate, "
-        "round(AVG(avg_call_duration_min), 6) AS avg_duration_min, "
-        f"{fixed_mean('conversions_per_call_minute', 4)} AS conversions_per_min "
-        "FROM campaign_kpis GROUP BY call_duration_segment ORDER BY conversions_per_min DESC NULLS LAST"),
+    "roi_by_duration": _by_contacts(
+        "call_duration_segment",
+        f"{fixed_mean('conversion_rate_pct', 2)} AS avg_conversion_rate, round(AVG(avg_call_duration_min), 6) AS avg_duration_min, "
+        f"{fixed_mean('conversions_per_call_minute', 4)} AS conversions_per_min",
+        "COUNT(*) AS total_calls, COUNT(*) FILTER (subscribed) AS conversions", "conversions_per_min DESC NULLS LAST"),
     "layer_counts": over_mart(
         "SELECT 'contacts_raw' AS layer, COUNT(*) AS row_count FROM contacts_raw UNION ALL "
         "SELECT 'contacts_clean', COUNT(*) FROM contacts_clean UNION ALL "
@@ -567,22 +596,18 @@ ORACLE: dict[str, str] = {
         f"WHERE contact_month NOT IN {MONTH_LIST} GROUP BY contact_month"),
     "dq_accepted_range": over_raw("SELECT * FROM " + FAULTY_CLEAN + " WHERE NOT (age >= 18 AND age <= 100)"),
     "dq_rate_logic": over_mart(
-        f"SELECT kpi_row_id, age_segment, job, total_contacts, successful_contacts, conversion_rate_pct, "
-        f"{_RATE_EXPR} AS expected_conversion_rate, abs(conversion_rate_pct - {_RATE_EXPR}) AS difference "
-        f"FROM {FAULTY_MART} WHERE abs(conversion_rate_pct - {_RATE_EXPR}) > 0.01"),
+        "SELECT kpi_row_id, age_segment, job, total_contacts, successful_contacts, conversion_rate_pct, "
+        f"{_EXPECTED} AS expected_conversion_rate, greatest(conversion_rate_pct - expected_conversion_rate, "
+        f"expected_conversion_rate - conversion_rate_pct) AS difference FROM {FAULTY_MART} WHERE {_OFF_RATE}"),
     "dq_no_negative": over_mart(
-        "SELECT kpi_row_id, age_segment, job, contact_month, total_contacts, successful_contacts, "
-        "unsuccessful_contacts, conversion_rate_pct, avg_call_duration_min, avg_contacts_per_client "
-        "FROM " + FAULTY_MART + " WHERE total_contacts < 0 OR successful_contacts < 0 OR unsuccessful_contacts < 0 "
-        "OR conversion_rate_pct < 0 OR avg_call_duration_min < 0 OR avg_contacts_per_client < 0"),
+        f"SELECT kpi_row_id, age_segment, job, contact_month, {', '.join(_NOT_NEGATIVE)} FROM {FAULTY_MART} WHERE {_BELOW_ZERO}"),
     "dq_staging_duplicates": over_raw(
         "SELECT row_id, COUNT(*) AS occurrences FROM " + FAULTY_CLEAN + " GROUP BY row_id HAVING COUNT(*) > 1 "
         "ORDER BY occurrences DESC, row_id"),
     "dq_total_sum": over_mart(
-        "SELECT kpi_row_id, age_segment, job, contact_month, total_contacts, successful_contacts, "
-        "unsuccessful_contacts, successful_contacts + unsuccessful_contacts AS calculated_total, "
-        "total_contacts - successful_contacts - unsuccessful_contacts AS difference FROM " + FAULTY_MART + " "
-        "WHERE total_contacts != (successful_contacts + unsuccessful_contacts)"),
+        "SELECT kpi_row_id, age_segment, job, contact_month, total_contacts, successful_contacts, unsuccessful_contacts, "
+        f"{_UNCOUNTED} AS difference, total_contacts - difference AS calculated_total FROM {FAULTY_MART} "
+        "WHERE difference <> 0"),
     "dq_between": over_raw("SELECT * FROM contacts_raw WHERE NOT (age >= 18 AND age <= 100)"),
     "source_freshness": over_raw(
         "SELECT max_loaded_at, round(age_hours, 2) AS age_hours, "
