@@ -43,9 +43,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def fresh(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` does not have in any letter case."""
+    """A column name that no column of ``df`` has, in any letter case, alone or as its beginning."""
     have = {c.lower() for c in df.columns}
-    while name.lower() in have:
+    while any(c.startswith(name.lower()) for c in have):
         name += "_"
     return name
 

@@ -89,6 +89,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         weights: tuple[int, ...] = WEIGHTS, ceiling: int = CEILING, seed: int = SEED) -> DataFrame:
     """The mixed corpus: the columns of ``docs`` and copy (1, 2, ...), each document as often as taken.
 
+    If ``docs`` has a column copy, the new one is called copy_ with as many _ as make it new.
+
     The rate is joined by source, and the coin is drawn again from the row, so the texts are never
     shuffled by id; a source table within Spark's own broadcast size is broadcast by the planner.
     """
@@ -96,7 +98,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     table = stage(targets(stage(source_weights(by_source, weights), "mix-weights"), ceiling), "mix-targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    of, rated, copy, coin = (fresh(docs, x) for x in ("mix_of", "mix_rate", "copy", "mix_coin"))
+    of, rated = fresh(docs, "mix_of"), fresh(docs, "mix_rate")
+    copy = "copy" if "copy" not in (c.lower() for c in docs.columns) else fresh(docs, "copy_")
     table = table.select(F.col("source").alias(of), rate.alias(rated))
     joined = docs.join(table, F.col(f"`{source}`").cast("string").eqNullSafe(F.col(of)))
     drawn = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`").cast("string"), F.col(f"`{text}`")),

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialstat.llm.common import annotate, read_table, stage, struct_of
+from dialstat.llm.common import annotate, fresh, read_table, stage, struct_of
 from dialstat.llm.components import components
 from dialstat.llm.textsets import mix, shingle_sets
 
@@ -287,10 +287,11 @@ def _nonempty(linked):
 
 def dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents of ``docs`` that stand for their group (the least id), with their own columns."""
+    own = fresh(docs, "kept_id")
     kept = groups(docs, shingle, percent, doc_id, text).where("kept and doc_id is not null").select(
-        F.col("doc_id").alias("kept_id")).distinct()
+        F.col("doc_id").alias(own)).distinct()
     key = F.col(f"`{doc_id}`")
-    marked = docs.join(kept, key.cast("long") == F.col("kept_id"), "left_semi")
+    marked = docs.join(kept, key.cast("long") == F.col(own), "left_semi")
     return marked.unionByName(docs.where(key.isNull()))
 
 
