@@ -1,14 +1,15 @@
 """Group metrics (G1-G8) and the row-level KPI formulas on them.
 
-The aggregation is one hash-partitioned shuffle with map-side partial
-aggregation; the exact discrete median keeps it mergeable (ObjectHashAggregate).
+Rows are counted by (group, value) first, then by group: the exact discrete median
+comes from running sums over the value counts, so all aggregates are plain hash
+aggregates and no task merges the value maps of a whole group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialstat.functions.numeric import safe_divide
@@ -35,35 +36,101 @@ def exact_mean_of_fixed_point(c: Column | str, decimals: int) -> Column:
 
 
 def median(c: str) -> Column:
-    """Lower median, always an input element; NULLs are skipped.
-
-    PERCENTILE_DISC(0.5): exact, so it does not depend on how rows are
-    partitioned (an approximate sketch merged across tasks can move by a few
-    ranks), and it equals the quantile sketch's target value. Its aggregation
-    buffer is a value -> count map, bounded by the value domain (call seconds,
-    clamped balances), and partial aggregation still applies. The result is
-    cast back to the input's integer type.
+    """Lower median as an aggregate: an input element, NULLs skipped, in the input's integer type.
+
+    Its buffer is the group's value map, merged in one task: for groups of few distinct values. The
+    mart takes the same median from value counts (:func:`mark_medians`).
     """
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)").cast("long")
 
 
+#: Columns whose exact lower median is taken, and the result's name.
+MEDIANS = (("contact_duration_sec", "median_call_duration_sec"), ("account_balance_eur", "median_account_balance"))
+#: Plain averages over integers: column -> result.
+AVERAGES = {
+    "contact_duration_sec": "avg_call_duration_sec",
+    "num_contacts_campaign": "avg_contacts_per_client",
+    "age": "avg_age",
+    "account_balance_eur": "avg_account_balance",
+    "days_since_last_contact": "avg_days_since_last_contact",
+}
+
+
+def value_counts(df: DataFrame, dims: Sequence[str], values: Sequence[str], sums: dict[str, Column],
+                 largest: dict[str, Column]) -> DataFrame:
+    """(dims, __kind, __value, __n, sums, largest): rows per group and value of each column of ``values``.
+
+    ``__kind`` is the place of the column in ``values``; the further sums and maxima are made on kind 0
+    alone, so that adding them up over a group's kinds and values counts every row once.
+    """
+    pair = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("kind"), F.col(v).cast("long").alias("value")) for i, v in enumerate(values)]))
+    used = {**sums, **largest}
+    rows = df.select(*[F.col(d) for d in dims], *[e.alias(k) for k, e in used.items()], pair.alias("__pair"))
+    first = F.col("__pair.kind") == 0
+    return rows.groupBy(*dims, F.col("__pair.kind").alias("__kind"), F.col("__pair.value").alias("__value")).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(F.when(first, F.col(k))).alias(k) for k in sums],
+        *[F.max(F.when(first, F.col(k))).alias(k) for k in largest],
+    )
+
+
+def mark_medians(counted: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Adds __upper: the value where at least half of its group's non-NULL rows are at or below it.
+
+    The least of them is PERCENTILE_DISC(0.5), the lower median: always an input element and the same
+    however rows are partitioned. One exchange by the group, which the final aggregate reuses.
+    """
+    dealt = counted.repartition(*dims) if dims else counted
+    n = F.when(F.col("__value").isNotNull(), F.col("__n")).otherwise(F.lit(0))
+    group = Window.partitionBy(*dims, "__kind")
+    up_to = F.sum(n).over(group.orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return dealt.withColumn("__upper", F.when(2 * up_to >= F.sum(n).over(group), F.col("__value")))
+
+
 def base_metrics(clean: DataFrame, dims: Sequence[str] = KPI_DIMENSIONS) -> DataFrame:
-    """One row per combination of ``dims`` (NULLs form groups)."""
-    return clean.groupBy(*dims).agg(
-        F.count(F.lit(1)).alias("total_contacts"),
-        F.sum(F.when(F.col("subscribed") == F.lit(True), 1).otherwise(0)).cast("long").alias("successful_contacts"),
-        F.sum(F.when(F.col("subscribed") == F.lit(False), 1).otherwise(0)).cast("long").alias("unsuccessful_contacts"),
-        F.avg("contact_duration_sec").alias("avg_call_duration_sec"),
-        exact_mean_of_fixed_point("contact_duration_min", 2).alias("avg_call_duration_min"),
-        median("contact_duration_sec").alias("median_call_duration_sec"),
-        F.sum("contact_duration_sec").alias("total_call_duration_sec"),
-        F.avg("num_contacts_campaign").alias("avg_contacts_per_client"),
-        F.max("num_contacts_campaign").alias("max_contacts_to_client"),
-        F.avg("age").alias("avg_age"),
-        F.avg("account_balance_eur").alias("avg_account_balance"),
-        median("account_balance_eur").alias("median_account_balance"),
-        F.avg(F.when(F.col("was_contacted_before"), F.lit(1.0)).otherwise(F.lit(0.0))).alias("pct_previously_contacted"),
-        F.avg("days_since_last_contact").alias("avg_days_since_last_contact"),
+    """One row per combination of ``dims`` (NULLs form groups).
+
+    Two hash aggregates. The first is by (dims, value): it spreads a group that holds a third of all
+    rows by its values, after map-side combining, and carries every sum. The second works on a group's
+    distinct values, whose number the value domain bounds (call seconds, clamped balances).
+    """
+    minutes = F.round(F.col("contact_duration_min") * F.lit(100.0)).cast("long")
+    one = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    sums = {
+        "__won": one(F.col("subscribed") == F.lit(True)),
+        "__lost": one(F.col("subscribed") == F.lit(False)),
+        "__seen": one(F.col("was_contacted_before")),
+        "__sum_minutes": minutes,
+        "__has_minutes": one(minutes.isNotNull()),
+        **{f"__sum_{c}": F.col(c).cast("long") for c in AVERAGES},
+        **{f"__has_{c}": one(F.col(c).isNotNull()) for c in AVERAGES},
+    }
+    counted = value_counts(clean, dims, [v for v, _ in MEDIANS], sums, {"__most": F.col("num_contacts_campaign")})
+    first = F.col("__kind") == 0
+    total = F.sum(F.when(first, F.col("__n")))
+
+    def mean(c: str, scale: int = 1) -> Column:
+        # whole-number sums divided once: independent of partitioning and order
+        return F.try_divide(F.sum(f"__sum_{c}").cast("double"), (F.sum(f"__has_{c}") * F.lit(scale)).cast("double"))
+
+    averages = {name: mean(c).alias(name) for c, name in AVERAGES.items()}
+    medians = {name: F.min(F.when(F.col("__kind") == i, F.col("__upper"))).alias(name) for i, (_, name) in enumerate(MEDIANS)}
+    return mark_medians(counted, dims).groupBy(*dims).agg(
+        total.alias("total_contacts"),
+        F.sum("__won").alias("successful_contacts"),
+        F.sum("__lost").alias("unsuccessful_contacts"),
+        averages["avg_call_duration_sec"],
+        mean("minutes", 100).alias("avg_call_duration_min"),
+        medians["median_call_duration_sec"],
+        F.sum("__sum_contact_duration_sec").alias("total_call_duration_sec"),
+        averages["avg_contacts_per_client"],
+        F.max("__most").alias("max_contacts_to_client"),
+        averages["avg_age"],
+        averages["avg_account_balance"],
+        medians["median_account_balance"],
+        (F.sum("__seen").cast("double") / total.cast("double")).alias("pct_previously_contacted"),
+        averages["avg_days_since_last_contact"],
     )
 
 

@@ -37,3 +37,25 @@ def test_percent_rank(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (5,)], "v long")
     got = sorted((r.v, r.pr) for r in percent_rank(df, [], "v", "pr").collect())
     assert got == [(1, 0.0), (2, 1 / 3), (2, 1 / 3), (5, 1.0)]
+
+
+def test_medians_from_value_counts_equal_the_aggregate_and_merge_no_value_maps(clean_small):
+    for dims in (("age_segment", "job"), ("contact_month",)):
+        got = MT.base_metrics(clean_small, dims)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+        want = clean_small.groupBy(*dims).agg(
+            *[MT.median(c).alias(name) for c, name in MT.MEDIANS],
+            *[F.avg(c).alias(name) for c, name in MT.AVERAGES.items()],
+            F.count(F.lit(1)).alias("total_contacts"), F.max("num_contacts_campaign").alias("max_contacts_to_client"))
+        got = got.select(*want.columns)
+        assert got.count() > 10 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_first_aggregate_spreads_a_group_by_its_values(spark):
+    df = spark.range(1000).select(F.lit("hot").alias("g"), (F.col("id") % 250).alias("x"), F.lit(None).cast("long").alias("y"))
+    counted = MT.value_counts(df, ["g"], ["x", "y"], {"s": F.col("x")}, {})
+    assert counted.count() == 251 and counted.agg(F.sum("s")).first()[0] == df.agg(F.sum("x")).first()[0]
+    marked = MT.mark_medians(counted, ["g"])
+    lows = {r["__kind"]: r["m"] for r in marked.groupBy("__kind").agg(F.min("__upper").alias("m")).collect()}
+    assert lows == {0: 124, 1: None}
