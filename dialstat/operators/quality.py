@@ -131,6 +131,34 @@ def _failure_count_exprs(check: Check) -> Column:
     return F.count_if(F.coalesce(failing_condition(check), F.lit(False))).alias(check.name)
 
 
+def _by_key(checks: Sequence[Check]) -> dict[tuple[str, ...], list[Check]]:
+    """The uniqueness checks by their key columns."""
+    out: dict[tuple[str, ...], list[Check]] = {}
+    for c in checks:
+        if c.kind in GROUPED:
+            out.setdefault(c.columns, []).append(c)
+    return out
+
+
+def _repeated(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Keys found more than once, with their number of rows."""
+    return df.groupBy(*[_c(x) for x in cols]).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+
+
+def _all_set(cols: Sequence[str]) -> Column:
+    e = _c(cols[0]).isNotNull()
+    for x in cols[1:]:
+        e = e & _c(x).isNotNull()
+    return e
+
+
+def _row_key(check: Check) -> Column:
+    """The text that names a repeated key in the stored failures."""
+    if check.kind == "unique_combo":
+        return F.concat_ws("|", *[F.coalesce(_c(x).cast("string"), F.lit("_null_")) for x in check.columns])
+    return _c(check.columns[0]).cast("string")
+
+
 def summarize(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q12: one row per check: (check_name, relation, severity, failures, status).
 
@@ -150,24 +178,16 @@ def summarize(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> Da
             agg = df.agg(*[_failure_count_exprs(c) for c in row_checks])
             stack = ", ".join(f"'{c.name}', `{c.name}`" for c in row_checks)
             parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) as (check_name, failures)"))
-        by_key: dict[tuple[str, ...], list[Check]] = {}
         for c in rel_checks:
-            if c.kind in GROUPED:
-                by_key.setdefault(c.columns, []).append(c)
-            elif c.kind == "accepted_values":
+            if c.kind == "accepted_values":
                 parts.append(
                     failing_rows(df, c).agg(F.count(F.lit(1)).alias("failures")).select(
                         F.lit(c.name).alias("check_name"), "failures"
                     )
                 )
-        for cols, group_checks in by_key.items():
-            dup = df.groupBy(*[_c(x) for x in cols]).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
-            key_not_null = None
-            for x in cols:
-                e = _c(x).isNotNull()
-                key_not_null = e if key_not_null is None else key_not_null & e
-            counted = dup.agg(
-                *[(F.count_if(key_not_null) if c.kind == "unique" else F.count(F.lit(1))).alias(c.name)
+        for cols, group_checks in _by_key(rel_checks).items():
+            counted = _repeated(df, cols).agg(
+                *[(F.count_if(_all_set(cols)) if c.kind == "unique" else F.count(F.lit(1))).alias(c.name)
                   for c in group_checks]
             )
             stack = ", ".join(f"'{c.name}', `{c.name}`" for c in group_checks)
@@ -193,7 +213,8 @@ def failures_long(relations: Mapping[str, DataFrame], checks: Sequence[Check], k
     """Failing rows of every check in one shape: (check_name, relation, row_key).
 
     Row-level checks of one relation are evaluated in ONE scan: each row carries the
-    array of checks it fails, which is exploded; grouped checks add one aggregate each.
+    array of checks it fails, which is exploded; grouped checks on the same key
+    columns share one aggregate, whose duplicate keys carry the checks they fail.
     """
     parts = []
     by_rel: dict[str, list[Check]] = {}
@@ -214,19 +235,17 @@ def failures_long(relations: Mapping[str, DataFrame], checks: Sequence[Check], k
                 .select(F.explode("__failed").alias("check_name"), F.lit(rel).alias("relation"), "row_key")
             )
         for c in rel_checks:
-            if c.kind in ROW_LEVEL and c.kind != "accepted_values":
-                continue
-            rows = failing_rows(df, c)
             if c.kind == "accepted_values":
                 key = F.coalesce(F.col("value_field").cast("string"), F.lit("_null_"))
-            elif c.kind == "unique":
-                key = F.col("unique_field").cast("string")
-            elif c.kind == "unique_combo":
-                key = F.concat_ws("|", *[F.coalesce(_c(x).cast("string"), F.lit("_null_")) for x in c.columns])
-            else:
-                key = _c(c.columns[0]).cast("string")
-            parts.append(rows.select(F.lit(c.name).alias("check_name"), F.lit(c.relation).alias("relation"),
-                                     key.alias("row_key")))
+                parts.append(failing_rows(df, c).select(
+                    F.lit(c.name).alias("check_name"), F.lit(rel).alias("relation"), key.alias("row_key")))
+        for cols, group_checks in _by_key(rel_checks).items():
+            failed = F.explode(F.filter(
+                F.array(*[F.when(_all_set(cols) if c.kind == "unique" else F.lit(True), F.struct(
+                    F.lit(c.name).alias("check_name"), _row_key(c).alias("row_key"))) for c in group_checks]),
+                lambda x: x.isNotNull()))
+            parts.append(_repeated(df, cols).select(failed.alias("__failed")).select(
+                "__failed.check_name", F.lit(rel).alias("relation"), "__failed.row_key"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -19,7 +19,7 @@ from dialstat.operators import mart as M
 from dialstat.operators import quality as Q
 from dialstat.params import Params
 from dialstat.schema import RAW_SCHEMA
-from dialstat.session import work_dir
+from dialstat.session import scratch, work_dir
 from dialstat.sources import ingest as I
 from dialstat.sources import sinks as S
 
@@ -99,7 +99,8 @@ def run(
     checks = Q.published_checks()
 
     if stamp_load:
-        result.counts["contacts_raw"] = load_raw(spark, source, paths["contacts_raw"], p, run_ts)
+        with scratch(spark):
+            result.counts["contacts_raw"] = load_raw(spark, source, paths["contacts_raw"], p, run_ts)
     else:
         S.overwrite_parquet(source.select(*[f.name for f in RAW_SCHEMA.fields]), paths["contacts_raw"])
         result.counts["contacts_raw"] = S.loaded_row_count(spark, paths["contacts_raw"]).first()["row_count"]
@@ -117,8 +118,9 @@ def run(
     rels["contacts_clean"] = clean
     _gate(Q.summarize(rels, [c for c in checks if c.relation == "contacts_clean"]), "staging", fail_on_error, result)
 
-    kpis = M.campaign_kpis(clean, Params(**{**p.__dict__, "run_ts": run_ts}))
-    S.write_range_partitioned(kpis, paths["campaign_kpis"])
+    with scratch(spark):
+        kpis = M.campaign_kpis(clean, Params(**{**p.__dict__, "run_ts": run_ts}))
+        S.write_range_partitioned(kpis, paths["campaign_kpis"])
     mart = spark.read.parquet(paths["campaign_kpis"]).drop(S.PARTITION_COL)
     rels["campaign_kpis"] = mart
     _gate(Q.summarize(rels, [c for c in checks if c.relation == "campaign_kpis"]), "marts", fail_on_error, result)

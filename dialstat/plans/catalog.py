@@ -23,7 +23,7 @@ from dialstat.operators.metrics import base_metrics as _base_metrics
 from dialstat.operators.metrics import enriched_metrics
 from dialstat.params import Params
 from dialstat.schema import RAW_SCHEMA
-from dialstat.session import fresh_work_dir, prepare
+from dialstat.session import fresh_work_dir, prepare, stored
 from dialstat.sources import ingest as I
 from dialstat.sources import sinks as S
 from dialstat.sources.bridge import contacts_raw
@@ -78,9 +78,11 @@ def _coarse(spark: SparkSession, sf: str, dims=COARSE) -> DataFrame:
 
 
 def _checks_relations(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    raw = _raw(spark, sf)
-    clean = C.contacts_clean(raw, P)
-    return {"contacts_raw": raw, "contacts_clean": clean, "campaign_kpis": M.campaign_kpis(clean, P)}
+    """The three layers, each written once, as the ordered build does: the checks read stored tables."""
+    raw = stored(_raw(spark, sf), "contacts_raw")
+    clean = stored(C.contacts_clean(raw, P), "contacts_clean")
+    return {"contacts_raw": raw, "contacts_clean": clean,
+            "campaign_kpis": stored(M.campaign_kpis(clean, P), "campaign_kpis")}
 
 
 def _check(name: str) -> Q.Check:

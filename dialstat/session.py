@@ -8,12 +8,20 @@ as in tests.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of the intermediate tables of the enclosing ``scratch`` block, if there is one.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 _SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -58,6 +66,7 @@ def prepare(spark: SparkSession) -> SparkSession:
             if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
                 raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             shared = tempfile.mkdtemp(prefix="dialstat-ckpt-")
+            atexit.register(shutil.rmtree, shared, ignore_errors=True)
             spark.conf.set("spark.checkpoint.dir", shared)
         sc.setCheckpointDir(shared)
     return spark
@@ -71,7 +80,28 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def fresh_work_dir(spark: SparkSession, name: str) -> str:
-    return work_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A path that no other call gets; inside a ``scratch`` block, under the block's folder."""
+    own = f"{name}-{uuid.uuid4().hex[:12]}"
+    inside = _SCRATCH.get()
+    return os.path.join(inside, own) if inside else work_dir(spark, own)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables made inside the block share one folder, removed when the block ends.
+
+    Only for work whose results are written or collected inside: a DataFrame that leaves the block
+    may still read its tables. A query that returns a lazy DataFrame therefore leaves its tables in
+    the shared folder, as checkpoints are, for the cluster's own clean-up.
+    """
+    folder = work_dir(spark, f"scratch-{uuid.uuid4().hex[:12]}")
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -79,3 +79,13 @@ def test_views_hold_what_the_reports_say(spark, raw_small):
     assert abs(R.avg_conversion(mart).first()[0] - mean) < 0.01
     ages = R.top_age_segments(mart).collect()
     assert [r.conversion for r in ages] == sorted((r.conversion for r in ages), reverse=True) and len(ages) == 5
+
+
+def test_build_leaves_no_intermediate_tables(spark, raw_small):
+    import os
+
+    from dialstat.session import work_dir
+
+    before = set(os.listdir(work_dir(spark)))
+    B.run(spark, raw_small, run_ts=dt.datetime(2030, 3, 1), store_failures=False)
+    assert set(os.listdir(work_dir(spark))) - before <= {"build"}

@@ -164,3 +164,12 @@ def test_no_private_folder_off_local_masters(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         session.prepare(Session())
+
+
+def test_a_wide_table_of_few_rows_is_not_broadcast(spark):
+    from dialstat.operators.joins import checked_small, measured
+
+    df = spark.range(100).selectExpr("id", "repeat('x', 100) AS t", "CAST(NULL AS string) AS u")
+    assert measured(df) == (100, 100 * (8 + 108 + 8))
+    assert measured(df.limit(0)) == (0, 0)
+    assert checked_small(df, max_bytes=1000)[1] is False and checked_small(df)[1] is True

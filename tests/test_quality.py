@@ -69,3 +69,13 @@ def test_published_suite_has_27_checks():
 def test_column_domain_is_sorted_and_whole(clean_small):
     months = [r.value for r in column_domain(clean_small, "contact_month").collect()]
     assert months == sorted(months) and len(months) == 12
+
+
+def test_stored_failures_of_grouped_checks_equal_the_checks_one_by_one(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (None,)], "row_id long")
+    checks = [Q.Check("u", "r", "unique", ("row_id",)), Q.Check("uc", "r", "unique_combo", ("row_id",)),
+              Q.Check("d", "r", "duplicates", ("row_id",))]
+    got = sorted(Q.failures_long({"r": df}, checks, {"r": "row_id"}).collect(), key=str)
+    assert sorted(((r.check_name, r.row_key) for r in got), key=str) == sorted(
+        [("u", "1"), ("uc", "1"), ("uc", "_null_"), ("d", "1"), ("d", None)], key=str)
+    assert {r.check_name: r.failures for r in Q.summarize({"r": df}, checks).collect()} == {"u": 1, "uc": 2, "d": 2}
