@@ -76,7 +76,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     out = [(0, a, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(x) < 20 and int(x) <= 255 or not x.strip("0") for x in m.group().split(".")):
+            parts = [x.lstrip("0") for x in m.group().split(".")]
+            if all(len(x) < 4 and int(x or 0) <= 255 for x in parts):
                 out.append((1, m.start(), m.end()))
         for m in _CARD.finditer(text):
             digits = _NOT_DIGIT.sub("", m.group())

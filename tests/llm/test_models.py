@@ -144,6 +144,7 @@ def test_strict_spans_equal_the_patterns():
         t = "".join(rng.choice(["a", "Z", "9", "1", "25", "4111 1111 1111 1111", ".", "@", "-", "+", " ", "(", ")", "é", "x.y",
                                 "+1 (375) 555-4393", "12.1.2.3", "%"]) for _ in range(rng.randrange(1, 25)))
         assert personal_data.base_spans(t) == plain_spans(t), t
+    assert personal_data.base_spans("0" * 30 + "255.1.0.01 " + "0" * 30 + "256.1.0.1") == [(1, 0, 40)]
     assert personal_data.base_spans("a" * 200_000 + "@") == [] and personal_data.base_spans("9" * 200_000) == []
 
 
