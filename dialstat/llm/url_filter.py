@@ -10,8 +10,10 @@ level 2 wrongly accepts, and so on until none is left. All domains of the corpus
 parents) are the universe, so the cascade answers exactly for each of them. Tasks set the bits of
 their keys, Spark joins them by word of 64 bits. A domain is known by two 64-bit hashes.
 
-A filter larger than ``SHARD_BYTES`` is cut by a hash of the domain into shards, each its own cascade;
-each is broadcast by itself and answers for its own domains.
+A filter larger than ``SHARD_BYTES`` is cut by a hash of the domain into shards, each its own cascade
+that answers for its own domains. With several shards, the pages' narrow rows pass them one after the
+other, written in between, and a shard is released before the next is made: whatever the list's size,
+the driver and an executor hold one.
 
 Defined cases: a null URL or one without "://" has empty host and path, and no domain: it is allowed;
 an empty list blocks nothing; equal URLs get equal verdicts; an empty table gives an empty result.
@@ -163,17 +165,20 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RU
     up = parents(F.col("host"))
     rows = rows.withColumn("one", F.transform(up, lambda d: _hashes(d)[0])).withColumn(
         "two", F.transform(up, lambda d: _hashes(d)[1]))
-    bad = F.lit(False)
+    rows = rows.withColumn("bad", F.lit(False))
     for k in range(shards):
         levels = cascade(listed.where(here(k)), unlisted.where(here(k)))
         if levels:
             known = pages.sparkSession.sparkContext.broadcast(levels)
-            bad = bad | any_member(known, k, shards)(F.col("one"), F.col("two"))
+            rows = rows.withColumn("bad", F.col("bad") | any_member(known, k, shards)(F.col("one"), F.col("two")))
+            if shards > 1:
+                rows = stage(rows, "url-shard")
+                known.destroy()
     rule = rule_of(F.col("host"), F.col("path"), rules)
     verdicts = F.lit(None).cast("string")
     for v, h, p in rules:
         verdicts = F.when(F.col("rule") == h + p, v).otherwise(verdicts)
-    marked = rows.withColumn("bad", bad).withColumn("rule", rule)
+    marked = rows.withColumn("rule", rule)
     by_list = F.when(F.col("bad"), "block").otherwise("allow")
     return marked.select("page_id", "host", "path", "rule", F.coalesce(verdicts, by_list).alias("verdict"))
 
