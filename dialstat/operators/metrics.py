@@ -46,12 +46,10 @@ def median(c: str) -> Column:
 
 #: Columns whose exact lower median is taken, and the result's name.
 MEDIANS = (("contact_duration_sec", "median_call_duration_sec"), ("account_balance_eur", "median_account_balance"))
-#: Plain averages over integers: column -> result.
+#: Plain averages of integers (the columns of the medians have theirs from the value counts).
 AVERAGES = {
-    "contact_duration_sec": "avg_call_duration_sec",
     "num_contacts_campaign": "avg_contacts_per_client",
     "age": "avg_age",
-    "account_balance_eur": "avg_account_balance",
     "days_since_last_contact": "avg_days_since_last_contact",
 }
 
@@ -79,11 +77,12 @@ def mark_medians(counted: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Adds __upper: the value where at least half of its group's non-NULL rows are at or below it.
 
     The least of them is PERCENTILE_DISC(0.5), the lower median: always an input element and the same
-    however rows are partitioned. One exchange by the group, which the final aggregate reuses.
+    however rows are partitioned. One exchange by __group, a hash of the dims, which an aggregate by
+    (__group, dims) reuses; sorting compares that number first, the dims only where it is equal.
     """
-    dealt = counted.repartition(*dims) if dims else counted
+    dealt = counted.withColumn("__group", F.xxhash64(*dims) if dims else F.lit(0)).repartition("__group")
     n = F.when(F.col("__value").isNotNull(), F.col("__n")).otherwise(F.lit(0))
-    group = Window.partitionBy(*dims, "__kind")
+    group = Window.partitionBy("__group", *dims, "__kind")
     up_to = F.sum(n).over(group.orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return dealt.withColumn("__upper", F.when(2 * up_to >= F.sum(n).over(group), F.col("__value")))
 
@@ -107,31 +106,39 @@ def base_metrics(clean: DataFrame, dims: Sequence[str] = KPI_DIMENSIONS) -> Data
         **{f"__has_{c}": one(F.col(c).isNotNull()) for c in AVERAGES},
     }
     counted = value_counts(clean, dims, [v for v, _ in MEDIANS], sums, {"__most": F.col("num_contacts_campaign")})
-    first = F.col("__kind") == 0
-    total = F.sum(F.when(first, F.col("__n")))
+    of = [F.col("__kind") == i for i in range(len(MEDIANS))]
+    total = F.sum(F.when(of[0], F.col("__n")))
+    added = [F.sum(F.when(k, F.col("__value") * F.col("__n"))) for k in of]
 
-    def mean(c: str, scale: int = 1) -> Column:
+    def quotient(units: Column, rows: Column) -> Column:
         # whole-number sums divided once: independent of partitioning and order
-        return F.try_divide(F.sum(f"__sum_{c}").cast("double"), (F.sum(f"__has_{c}") * F.lit(scale)).cast("double"))
+        return F.try_divide(units.cast("double"), rows.cast("double"))
 
-    averages = {name: mean(c).alias(name) for c, name in AVERAGES.items()}
-    medians = {name: F.min(F.when(F.col("__kind") == i, F.col("__upper"))).alias(name) for i, (_, name) in enumerate(MEDIANS)}
-    return mark_medians(counted, dims).groupBy(*dims).agg(
+    def mean(c: str) -> Column:
+        return quotient(F.sum(f"__sum_{c}"), F.sum(f"__has_{c}"))
+
+    def mean_value(i: int) -> Column:
+        return quotient(added[i], F.sum(F.when(of[i] & F.col("__value").isNotNull(), F.col("__n"))))
+
+    def middle(i: int) -> Column:
+        return F.min(F.when(of[i], F.col("__upper"))).alias(MEDIANS[i][1])
+
+    return mark_medians(counted, dims).groupBy("__group", *dims).agg(
         total.alias("total_contacts"),
         F.sum("__won").alias("successful_contacts"),
         F.sum("__lost").alias("unsuccessful_contacts"),
-        averages["avg_call_duration_sec"],
-        mean("minutes", 100).alias("avg_call_duration_min"),
-        medians["median_call_duration_sec"],
-        F.sum("__sum_contact_duration_sec").alias("total_call_duration_sec"),
-        averages["avg_contacts_per_client"],
+        mean_value(0).alias("avg_call_duration_sec"),
+        quotient(F.sum("__sum_minutes"), F.sum("__has_minutes") * F.lit(100)).alias("avg_call_duration_min"),
+        middle(0),
+        added[0].alias("total_call_duration_sec"),
+        mean("num_contacts_campaign").alias(AVERAGES["num_contacts_campaign"]),
         F.max("__most").alias("max_contacts_to_client"),
-        averages["avg_age"],
-        averages["avg_account_balance"],
-        medians["median_account_balance"],
-        (F.sum("__seen").cast("double") / total.cast("double")).alias("pct_previously_contacted"),
-        averages["avg_days_since_last_contact"],
-    )
+        mean("age").alias(AVERAGES["age"]),
+        mean_value(1).alias("avg_account_balance"),
+        middle(1),
+        quotient(F.sum("__seen"), total).alias("pct_previously_contacted"),
+        mean("days_since_last_contact").alias(AVERAGES["days_since_last_contact"]),
+    ).drop("__group")
 
 
 def success_ratio() -> Column:

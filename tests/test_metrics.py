@@ -47,6 +47,8 @@ def test_medians_from_value_counts_equal_the_aggregate_and_merge_no_value_maps(c
         want = clean_small.groupBy(*dims).agg(
             *[MT.median(c).alias(name) for c, name in MT.MEDIANS],
             *[F.avg(c).alias(name) for c, name in MT.AVERAGES.items()],
+            F.avg("contact_duration_sec").alias("avg_call_duration_sec"), F.avg("account_balance_eur").alias("avg_account_balance"),
+            F.sum("contact_duration_sec").alias("total_call_duration_sec"),
             F.count(F.lit(1)).alias("total_contacts"), F.max("num_contacts_campaign").alias("max_contacts_to_client"))
         got = got.select(*want.columns)
         assert got.count() > 10 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
