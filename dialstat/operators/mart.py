@@ -1,7 +1,7 @@
 """The ``campaign_kpis`` mart: metrics, ranks, segment summary, final projection.
 
-Plan shape (see README and PLANS.md): scan + clean (narrow) -> one shuffle for
-the 15-key aggregate -> the grouped table is written once under the shared work
+Plan shape (see README and PLANS.md): scan + clean (narrow) -> two shuffles for
+the 15-key aggregate (by key and value, then by key) -> the grouped table is written once under the shared work
 folder, because several branches read it -> the three rankings and the
 percentile in the distributed form of ``ordinal.rank_family`` (bounded
 histograms broadcast after a size check, ONE shuffle of the rows) -> the segment
