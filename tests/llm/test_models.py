@@ -110,6 +110,14 @@ def test_classifier_edges(spark, docs_of):
     assert quality_lm.accept(docs.limit(0), labels).count() == 0
 
 
+def test_limits_come_from_all_unseen_labels(spark, docs_of):
+    rows = [(i, "plain words of a plain text here", "en", "s1") for i in range(2000)]
+    rows += [(i, "zwölf größere Wörter für später", "de", "s1") for i in range(2000, 2100)]
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    got = quality_lm.judge(docs_of(rows), labels, "v", keep=["lang"], max_labels=100).select("lang", "v.limit").distinct().collect()
+    assert len(got) == 2 and len({r.limit for r in got}) == 2  # 100 labels hold about 5 in German
+
+
 def test_boosting_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 4))
