@@ -86,6 +86,26 @@ def test_kneser_ney_sums_to_one(spark):
     assert np.allclose(table.reshape(-1, quality_lm.UNITS).sum(axis=1), 1, atol=1e-3)
 
 
+@pytest.mark.parametrize("shard_bytes", [quality_lm.SHARD_BYTES, 200])
+def test_word_model_sums_to_one_and_sees_order(spark, shard_bytes):
+    lines = ["the cat sat on the mat.", "the dog sat on the cat.", "a dog, a cat", None, "", "  the dog sat"] * 2 + ["once only"]
+    words = quality_lm.Words(spark.createDataFrame([(t,) for t in lines], "t string"), "t", shard_bytes)
+    assert (words.n_shards > 1) == (shard_bytes == 200)
+    w = np.arange(1, words.size)
+    for u in range(words.size):
+        for v in range(words.size):
+            p = quality_lm.probabilities(np.full(len(w), u), np.full(len(w), v), w, words.model(), words.shards)
+            assert p.min() > 0 and p.sum() == pytest.approx(1, rel=1e-5)
+    texts = spark.createDataFrame([(t,) for t in lines], "t string")
+    rows = quality_lm.kneser_ney(quality_lm.gram_counts(texts, "t")).toPandas()
+    score = quality_lm.scorer(tuple(rows[c].to_numpy() for c in ("k", "g", "p", "gamma")), words.model(), words.shards)
+    told, mixed, again, unknown, none, blank = score([b"the dog sat on the mat.", b"mat the on sat dog the.", b"the the the the the the",
+                                                     b"zebra", None, b"  "])
+    assert told[0] == mixed[0] and told[1] > mixed[1] + 1 and told[1] > again[1] + 1
+    assert unknown[1] < -1 and none == (0, 0) and blank[0] == 2 and blank[1] < 0
+    assert score([b"the dog sat on the mat."]) == [pytest.approx(told)]
+
+
 def test_classifier_on_held_out_labels(spark):
     larger = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{larger}/documents.parquet"), spark.read.parquet(f"{larger}/labels.parquet")
