@@ -2,16 +2,17 @@
 
 1. Every page is read as a tree of elements. Page furniture is known by tag, role or class (menus,
    headers and footers outside the article, sidebars, notices, adverts, forms, scripts, comments).
-2. Subtrees outside the article are hashed (tag, texts and inner elements in order) and counted per
-   host over pages of different article text: copies of one page count once. A subtree found on at
-   least ``MIN_PAGES`` such pages and ``SHARE`` of the host's is a site template and is deleted.
+2. Subtrees are hashed (tag, texts and inner elements in order) and counted per host, and per section
+   of it (the first folder of the path), over pages of different article text: copies of one page count
+   once. A subtree found on at least ``MIN_PAGES`` such pages and ``SHARE`` of the host's or of the
+   section's is a site template and is deleted.
 3. What is left is the article: the text of ``article`` elements, else of ``main``, else of the body.
-   Only without an article or main can a template be part of the text, so shared passages inside
-   articles are never deleted.
+   Inside article and main a template goes only if it has at most ``PASSAGE`` characters and half of
+   the page's text, so long quoted passages and pages that are nothing but a template stay.
 
 Shape: hashes are made per page and pre-aggregated, so a host with a third of all pages is no hot
-task. A host has at most (subtrees of a page) / SHARE templates; pages are joined with their host's
-templates (Spark broadcasts a small table, else splits skewed hosts).
+task. A host or section has at most (subtrees of a page) / SHARE templates; pages are joined with the
+templates of their host and section (Spark broadcasts a small table, else splits skewed hosts).
 
 Defined cases: null and empty html give the empty text; a null URL or one without host has no
 templates; unclosed elements end with their parent, unclosed comments and scripts with the page;
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from dialstat.llm.common import read_table, stage
 from dialstat.llm.url_filter import split_url
 
-MIN_PAGES, SHARE = 5, 0.3
+MIN_PAGES, SHARE, PASSAGE = 5, 0.3, 300
 
 # fixed names of HTML
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -138,24 +139,42 @@ class Page:
             pop()
 
     def subtrees(self) -> list[int]:
-        """Hashes of the elements outside article and main, the page's own frame left out."""
-        return sorted({h for t, h, z in zip(self.tag, self.hash, self.zone)
-                       if not z and t not in ("#", "html", "body") and t not in _INLINE and h})
+        """Hashes of the elements, without the page's own frame and the elements that hold an article or main."""
+        frame = {e for e in range(len(self.tag)) if self.tag[e] in ("#", "html", "body")}
+        for e in range(1, len(self.tag)):
+            if self.zone[e] > self.zone[self.parent[e]]:
+                while e > 0 and e not in frame:
+                    frame.add(e)
+                    e = self.parent[e]
+        return sorted({h for e, (t, h) in enumerate(zip(self.tag, self.hash)) if e not in frame and t not in _INLINE and h})
 
     def main_text(self, templates=frozenset()) -> str:
-        gone = [False]
+        size = [0] * len(self.tag)
+        for _, e, s in self.pieces:
+            size[e] += len(s.strip())
+        for e in range(len(self.tag) - 1, 0, -1):
+            if not self.dropped[e]:
+                size[self.parent[e]] += size[e]
+        best = max(self.zone)
+        most = sum(n for n, e in zip(size, range(len(size))) if best and self.zone[e] == best and self.zone[self.parent[e]] < best)
+        gone, cut, safe = [False], [False], [False]
         for e in range(1, len(self.tag)):
-            cut = not self.zone[e] and self.hash[e] in templates and self.tag[e] not in ("html", "body")
-            gone.append(gone[self.parent[e]] or self.dropped[e] or cut)
+            up, known = self.parent[e], self.hash[e] in templates and self.tag[e] not in ("html", "body")
+            inside = known and self.zone[e] > 0
+            known = known and (not inside or self.zone[e] == self.zone[up])
+            safe.append(safe[up] or inside and size[e] > min(PASSAGE, most / 2))  # so are the parts of a long passage
+            gone.append(gone[up] or self.dropped[e] or known and not inside)
+            cut.append(cut[up] or known and inside and not safe[e])
         kept = [p for p in self.pieces if not gone[p[1]]]
         for zone in (2, 1, 0):
-            blocks: dict[int, list[str]] = {}
-            for block, e, s in kept:
-                if self.zone[e] >= zone:
-                    blocks.setdefault(block, []).append(s)
-            texts = [" ".join("".join(b).split()) for b in blocks.values()]
-            if any(texts):
-                return "\n".join(t for t in texts if t)
+            for whole in (False, True):  # a text of nothing but templates stays
+                blocks: dict[int, list[str]] = {}
+                for block, e, s in kept:
+                    if self.zone[e] >= zone and (whole or not cut[e]):
+                        blocks.setdefault(block, []).append(s)
+                texts = [" ".join("".join(b).split()) for b in blocks.values()]
+                if any(texts):
+                    return "\n".join(t for t in texts if t)
         return ""
 
 
@@ -163,25 +182,37 @@ def _decoded(html: bytes | None) -> str:
     return html.decode("utf-8", "replace") if html else ""
 
 
+def section_of(path) -> F.Column:
+    """The first folder of a path; empty for pages at the top of their host."""
+    return F.coalesce(F.regexp_extract(path, "^/([^/]+)/", 1), F.lit(""))
+
+
 def templates(pages: DataFrame, html: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, hashes): the site templates of each host; ``pages`` has columns host and ``html``."""
+    """(host, section, hashes): the site templates of each section of a host, and of the host (section null);
+    ``pages`` has columns host, section and ``html``."""
     def run(batches):
         for b in batches:
             rows = []
-            for host, source in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+            for host, section, source in zip(*[b.column(i).to_pylist() for i in (0, 1)], b.column(2).cast(pa.binary()).to_pylist()):
                 page = Page(_decoded(source))
                 body = zlib.crc32(page.main_text().encode("utf-8", "replace"))
-                rows.append((host, 0, body))
-                rows += [(host, h, body) for h in page.subtrees()]
+                rows += [(host, section, h, body) for h in [0, *page.subtrees()]]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), *[
-                    pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2)]], names=["host", "hash", "body"])
-
-    found = pages.where("host <> ''").select("host", f"`{html}`").mapInArrow(run, "host string, hash long, body long")
-    counts = stage(found.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")), "subtrees")
-    of_host = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
-    often = counts.where("hash <> 0").where(F.col("n") >= min_pages).join(of_host, "host")
-    return often.where(F.col("n") >= share * F.col("pages")).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+                yield pa.RecordBatch.from_arrays([*[pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], *[
+                    pa.array([r[i] for r in rows], pa.int64()) for i in (2, 3)]], names=["host", "section", "hash", "body"])
+
+    found = pages.where("host <> ''").select("host", "section", f"`{html}`").mapInArrow(
+        run, "host string, section string, hash long, body long")
+    found = stage(found.distinct(), "subtrees")
+    out = None
+    for rows in (found.withColumn("section", F.lit(None).cast("string")).distinct(), found.where("section <> ''")):
+        counts = stage(rows.groupBy("host", "section", "hash").agg(F.count(F.lit(1)).alias("n")), "subtree-counts")
+        of = counts.where("hash = 0").select(F.col("host").alias("h"), F.col("section").alias("s"), F.col("n").alias("pages"))
+        often = counts.where("hash <> 0").where(F.col("n") >= min_pages).join(
+            of, (F.col("host") == F.col("h")) & F.col("section").eqNullSafe(F.col("s")))
+        often = often.where(F.col("n") >= share * F.col("pages")).groupBy("host", "section").agg(F.collect_list("hash").alias("hashes"))
+        out = often if out is None else out.unionAll(often)
+    return out
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
@@ -189,9 +220,16 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     """page_id, url, text, n_chars of every row."""
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"),
                         F.col(f"`{url}`").cast("string").alias("url_"), F.col(f"`{html}`").alias("html"))
-    rows = rows.withColumn("host", split_url(F.col("url_"))[0]).drop("url_")
-    known = stage(templates(rows, "html", min_pages, share), "templates").withColumnRenamed("host", "of")
-    joined = rows.join(known, F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "hashes")
+    host, path = split_url(F.col("url_"))
+    rows = rows.withColumns({"host": host, "section": section_of(path)}).drop("url_")
+    known = stage(templates(rows, "html", min_pages, share), "templates")
+    of_host = known.where("section is null").select(F.col("host").alias("of"), F.col("hashes").alias("one"))
+    of_section = known.where("section is not null").select(
+        F.col("host").alias("of2"), F.col("section").alias("in2"), F.col("hashes").alias("two"))
+    joined = rows.join(of_host, F.col("host") == F.col("of"), "left").join(
+        of_section, (F.col("host") == F.col("of2")) & (F.col("section") == F.col("in2")), "left")
+    none = F.array().cast("array<bigint>")
+    joined = joined.select("page_id", "url", "html", F.array_union(F.coalesce("one", none), F.coalesce("two", none)).alias("hashes"))
 
     def run(batches):
         for b in batches:

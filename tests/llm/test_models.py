@@ -224,6 +224,21 @@ def test_html_templates_and_edges(spark):
     assert html_main.extract(pages.limit(0)).count() == 0
 
 
+def test_html_templates_inside_articles_and_in_sections(spark):
+    quote = "A long passage that many pages quote in full. " * 8
+    rows = [(i, f"http://a.example/{i}", f"<article><h1>Title {i}</h1><p>Story {i} is new and told at length.</p><div>Send to a friend"
+             f"</div><blockquote><p>{quote}</p><p>So they say.</p></blockquote></article>") for i in range(12)]
+    rows += [(100 + i, f"http://b.example/{'news' if i < 8 else i}/{i}", f"<div><p>Item {i}</p></div>" + (
+        "<div><span>News desk</span></div>" if i < 8 else "")) for i in range(60)]
+    rows += [(200 + i, f"http://c.example/{i}", "<article><p>Gone</p></article>" + f"<p>{i}</p>") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_main.extract(pages).collect()}
+    for i in range(12):
+        assert got[i] == f"Title {i}\nStory {i} is new and told at length.\n{quote.strip()}\nSo they say."
+        assert got[200 + i] == "Gone"
+    assert all(got[100 + i] == f"Item {i}" for i in range(60))
+
+
 def test_pipeline_keeps_its_contract(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "decontaminate", "personal_data", "mix"]
