@@ -6,9 +6,11 @@ search may move on; only where the shift is zero are the patterns with that last
 and compared word by word, so a hit is never a hash collision.
 
 Benchmark windows go to the executors in blocks of ``block_bytes`` of item text, one scan of the
-documents a block: what is broadcast has a fixed bound, and no item is left out.
+documents a block, written before the next block is read: what is broadcast has a fixed bound, and no
+item is left out.
 
-Defined cases: a null or empty text has no words and no hit; an item without words has no window;
+Defined cases: a null or empty text has no words and no hit; an item without words has no window; items
+without an id hit and count as one item, which the digest of the items does not name;
 equal items each count; rows repeated in ``docs`` each get their result; an empty benchmark hits
 nothing.
 """
@@ -16,7 +18,6 @@ nothing.
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,7 +87,7 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _digest(n_words: int, spans: list[tuple[int, int]], items: set) -> tuple:
-    named = ",".join(sorted(items))
+    named = ",".join(sorted(i for i in items if i is not None))
     n_hit = sum(b - a for a, b in _merge(spans))
     return n_words, n_hit, len(items), hashlib.sha256(named.encode()).hexdigest(), n_hit > 0
 
@@ -100,7 +101,7 @@ _HITS = struct_of(n_words=T.LongType(), lo=T.ArrayType(T.LongType()), hi=T.Array
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[DataFrame]:
     """The benchmark cut by a hash of item and text into parts of about ``block_bytes``."""
     items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text"))
-    items = items.where("item is not null and text is not null")
+    items = items.where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     return [items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
@@ -125,10 +126,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW,
                     items |= ids
             return len(w), spans, items
 
-        return one
+        return one, known
 
     if len(parts) == 1:
-        one = found(parts[0])
+        one, _ = found(parts[0])
         return annotate(docs, text, DIGEST, name, lambda: lambda ts: [_digest(*one(t)) for t in ts], keep)
 
     def hits(one):
@@ -137,15 +138,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW,
             for t in ts:
                 n, spans, items = one(t)
                 merged = _merge(spans)
-                out.append((n, [a for a, _ in merged], [b for _, b in merged], sorted(items),
+                out.append((n, [a for a, _ in merged], [b for _, b in merged], sorted(items, key=lambda i: (i is not None, i)),
                             hashlib.sha256(t or b"").hexdigest()))
             return out
         return lambda: rows
 
     col = fresh(docs, "hits_")
-    passes = [annotate(docs, text, _HITS, col, hits(found(p)), keep=[]).select(f"{col}.*").where("size(items) > 0")
-              for p in parts]
-    table = stage(reduce(DataFrame.unionByName, passes).distinct(), "decontaminate")
+    table = None
+    for p in parts:
+        one, known = found(p)
+        rows = annotate(docs, text, _HITS, col, hits(one), keep=[]).select(f"{col}.*").where("size(items) > 0")
+        rows = stage(rows, "decontaminate")
+        table = rows if table is None else table.unionByName(rows)
+        known.destroy()
+    table = table.distinct()
     merged = table.groupBy("key").agg(
         F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"),
         F.flatten(F.collect_list("items")).alias("items"), F.max("n_words").alias("n"))

@@ -224,6 +224,17 @@ def test_decontamination_brute_force(spark, docs_of, block_bytes):
     assert decontaminate.scan(docs_of(docs), bench.limit(0), "found").where("found.n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 40])
+def test_decontamination_by_items_without_id(spark, docs_of, block_bytes):
+    item = "one two three four five six seven eight nine ten eleven"
+    docs = docs_of([(1, f"start {item} end"), (2, "plain text"), (3, f"{item} and other words of an item that has an id here at last")])
+    bench = spark.createDataFrame([(None, item), (None, item.replace("one", "1")), ("a", "other words of an item that has an id here at last"),
+                                   ("b", None)], "item_id string, text string")
+    got = {r.doc_id: r.f for r in decontaminate.scan(docs, bench, "f", block_bytes=block_bytes).select("doc_id", "f").collect()}
+    assert [(got[i].n_hit, got[i].n_items, got[i].contaminated) for i in (1, 2, 3)] == [(11, 1, True), (0, 0, False), (23, 2, True)]
+    assert got[1].items_sha256 == hashlib.sha256(b"").hexdigest() and got[3].items_sha256 == hashlib.sha256(b"a").hexdigest()
+
+
 def test_license_rules(docs_of):
     mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
            "documentation files (the \"Software\"), to deal in the Software without restriction.\nThe above copyright notice "
