@@ -1,7 +1,9 @@
 """Licence scan by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences (at line ends and after . ! ? ; : before white space), each normalised
-(A-Z lower-cased, every run of other characters than a-z and 0-9 one space). Known licence sentences
+A text is cut into sentences (at lines without letters and digits, after copyright lines, and after . ! ? ; :
+before white space), each normalised (A-Z lower-cased, every run of other characters than a-z and 0-9 one
+space), so wrapped lines and comment marks do not matter; a sentence of several lines that is not known
+is cut at its line ends. Known licence sentences
 have identifiers; a text becomes the sequence of the identifiers it contains, in order. Licence rules
 are sequences of identifiers: they are looked for longest first, next to each other in the text's
 sequence, and what a rule has matched no shorter rule can match again.
@@ -10,11 +12,13 @@ Everything happens inside the row: no shuffle, no join; the sentence table is a
 Texts without any anchor word are not cut; every known sentence has an anchor, so none is missed.
 
 Defined cases: null and empty texts have no sentences and no licence; equal sentences count each time;
-repeated rows each get their result; an empty table gives an empty result.
+repeated rows each get their result; an empty table gives an empty result. The SQL knows the sentences of one
+line in ``SENTENCES`` only, not ``PUBLISHED``.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -73,13 +77,84 @@ LICENSES = {
     "proprietary": "Proprietary", "unlicense": "Unlicense",
 }
 
+_GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by
+the Free Software Foundation, either version {1} of the License, or (at your option) any later version."""
+_GNU_OLD = """This {2} is free software; you can redistribute it and/or modify it under the terms of the GNU {0} as published by
+the Free Software Foundation; either version {1} of the License, or (at your option) any later version."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+SHALL THE COPYRIGHT {} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_CLAUSE3 = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+"""
+#: Published texts, whole (the long licences by their titles, which begin the full texts): rule -> (licence, text).
+PUBLISHED = {
+    "mit-published": ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons
+to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR
+IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    "isc-published": ("ISC", _ISC),
+    "isc-published-and": ("ISC", _ISC.replace("and/or", "and")),
+    "bsd2-published": ("BSD-2-Clause", _BSD.format("", "HOLDER")),
+    "bsd2-published-owner": ("BSD-2-Clause", _BSD.format("", "OWNER")),
+    "bsd3-published": ("BSD-3-Clause", _BSD.format(_CLAUSE3, "HOLDER")),
+    "bsd3-published-owner": ("BSD-3-Clause", _BSD.format(_CLAUSE3, "OWNER")),
+    "apache-header": ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
+except in compliance with the License. You may obtain a copy of the License at"""),
+    "apache-title": ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    "gpl3-published": ("GPL-3.0-or-later", _GNU.format("General Public License", "3")),
+    "gpl2-header": ("GPL-2.0-or-later", _GNU_OLD.format("General Public License", "2", "program")),
+    "lgpl3-published": ("LGPL-3.0-or-later", _GNU.format("Lesser General Public License", "3")),
+    "lgpl21-published": ("LGPL-2.1-or-later", _GNU_OLD.format("Lesser General Public License", "2.1", "library")),
+    "agpl3-published": ("AGPL-3.0-or-later", _GNU.format("Affero General Public License", "3")),
+    "gpl3-title": ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    "gpl2-title": ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    "lgpl3-title": ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    "lgpl21-title": ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    "agpl3-title": ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    "mpl2-title": ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    "mpl2-published": ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
+the MPL was not distributed with this file, You can obtain one at"""),
+}
+
+
+def _published() -> tuple[dict, dict]:
+    """Identifier of every sentence, and the rules of the published texts."""
+    ids, rules = {s: i for i, s in SENTENCES.items()}, {}
+    for rule, (_, text) in PUBLISHED.items():
+        parts = [re.sub("[^a-z0-9]+", " ", p.lower()).strip() for p in re.split(r"(?<=[.!?;:])\s+", text)]
+        rules[rule] = tuple(ids.setdefault(p, len(ids) + 1) for p in parts if any(a in p for a in ANCHORS))
+    return ids, rules
+
+
+KNOWN, PUBLISHED_RULES = _published()
+
 
 def _marks(ids) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
-def _ordered_rules() -> list[str]:
-    return sorted(RULES, key=lambda r: (-len(RULES[r]), r))
+def _ordered_rules(rules=RULES) -> list[str]:
+    return sorted(rules, key=lambda r: (-len(rules[r]), r))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -87,19 +162,21 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     low = ascii_lower(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), low.alias("low"))
     anchored = reduce(lambda a, b: a | b, [F.contains("low", F.lit(a)) for a in ANCHORS])
-    lines = F.split(F.regexp_replace("low", r"([.!?;:])[ \t\r]+", "$1\n"), "\n", -1)
-    known = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, f"<{i}>")])
-    plain = F.transform(lines, lambda s: F.btrim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    ids = F.array_join(F.filter(F.transform(plain, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull()), "")
+    parted = F.regexp_replace("low", r"(?m)^([^a-z0-9\n]*copyright[ \t]+(?:\(c\)|\u00a9|[0-9])[^\n]*)$", "$1\n")
+    parts = F.split(parted, r"(?<=[.!?;:])[ \t\r\n]+|\n(?:[^a-z0-9\n]*\n)+", -1)
+    known = F.create_map(*[F.lit(x) for sentence, i in KNOWN.items() for x in (sentence, f"<{i}>")])
+    id_of = lambda s: F.try_element_at(known, F.btrim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
+    by_line = lambda s: F.when(F.contains(s, F.lit("\n")), F.array_join(F.transform(F.split(s, "\n", -1), id_of), ""))
+    ids = F.array_join(F.transform(parts, lambda s: F.coalesce(id_of(s), by_line(s))), "")
     rows = rows.select("doc_id", F.when(anchored, ids).otherwise("").alias("sentence_ids"))
-    left, found = F.col("sentence_ids"), []
-    for rule in _ordered_rules():
-        marks = _marks(RULES[rule])
+    left, found, rules = F.col("sentence_ids"), [], RULES | PUBLISHED_RULES
+    for rule in _ordered_rules(rules):
+        marks = _marks(rules[rule])
         found.append((rule, F.contains(left, F.lit(marks))))
         left = F.replace(left, F.lit(marks), F.lit("|"))
     names = F.array_compact(F.array(*[F.when(hit, F.lit(rule)) for rule, hit in found]))
     rows = rows.withColumn("names", F.when(F.col("sentence_ids") == "", F.array().cast("array<string>")).otherwise(names))
-    of = F.create_map(*[F.lit(x) for pair in LICENSES.items() for x in pair])
+    of = F.create_map(*[F.lit(x) for pair in (LICENSES | {r: x for r, (x, _) in PUBLISHED.items()}).items() for x in pair])
     return rows.select(
         "doc_id", "sentence_ids",
         (F.length("sentence_ids") - F.length(F.translate("sentence_ids", "<", ""))).cast("long").alias("n_sentences"),

@@ -250,6 +250,19 @@ def test_license_rules(docs_of):
     assert {i for r in license_scan.RULES.values() for i in r} == set(license_scan.SENTENCES)
 
 
+@pytest.mark.parametrize("width,lead", [(10**6, ""), (76, ""), (72, " * "), (60, "# ")])
+def test_published_licenses(docs_of, width, lead):
+    import textwrap
+    rows, want = [], {}
+    for i, (rule, (name, text)) in enumerate(license_scan.PUBLISHED.items()):
+        flat = " ".join(text.split())
+        body = "\n".join(lead + x for x in textwrap.wrap(flat, width, break_on_hyphens=False))
+        rows.append((i, f"{lead}Some program\n{lead}Copyright (c) 2020 Somebody\n{body}\n{lead}\n{lead}More words"))
+        want[i] = (rule, name)
+    got = {r.doc_id: (r.rules, r.licenses) for r in license_scan.scan(docs_of(rows)).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("shard_bytes", [url_filter.SHARD_BYTES, 8])
 def test_urls_brute_force(spark, shard_bytes):
     rng = random.Random(8)
