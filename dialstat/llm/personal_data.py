@@ -106,6 +106,8 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+#: Bins of the scores' histogram.
+_BINS = 1000
 _HINTS = tuple(re.compile(p, re.I) for p in (
     r"mail|contact|write|kontakt|correo|courriel", r"\bip\b|host|server|address|adresse", r"card|visa|master|amex|karte|tarjeta|carte",
     r"phone|tel|call|mobile|fax|anruf|llam|appel", r"version|order|isbn|id\b|page|date|nr\.|no\."))
@@ -142,23 +144,39 @@ def _variants(text: str, kind: int, start: int, end: int):
         yield text[max(0, start - 40):start] + f + text[end:end + 20], min(start, 40), min(start, 40) + len(f)
 
 
+_DATE = re.compile(r"(?:19|20)[0-9]{2}([-./ ])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./ ])[0-9]{1,2}\2(?:19|20)[0-9]{2}|(?:19|20)[0-9]{6}")
+
+
+def never(text: str, kind: int, start: int, end: int) -> bool:
+    """Whether a candidate cannot be personal data of its kind: a wrong check digit, octets over 255, dates, versions."""
+    s = text[start:end]
+    if kind == 2:
+        return not _luhn(_NOT_DIGIT.sub("", s))
+    if kind == 1:
+        return any(int(g) > 255 for g in re.findall("[0-9]{1,9}", s))
+    return kind == 3 and bool(_DATE.fullmatch(s.strip()) or _HINTS[-1].search(text[max(0, start - 30):start]))
+
+
 def training_rows(text: str) -> list[tuple[list[float], int]]:
+    """Strict spans and masked variants of them are right, candidates that cannot be are wrong; others, perhaps
+    masked personal data, are not learnt from."""
     strict = set(base_spans(text))
     rows = []
     for kind, a, b in candidates(text):
         if (kind, a, b) in strict:
             rows.append((features(text, kind, a, b), 1))
             rows += [(features(t, kind, x, y), 1) for t, x, y in _variants(text, kind, a, b)]
-        else:
+        elif never(text, kind, a, b):
             rows.append((features(text, kind, a, b), 0))
     return rows
 
 
 def train(docs: DataFrame, doc_id: str, text: str):
-    """(trees, threshold per kind) from the sample, or None."""
+    """(trees, threshold per kind), or None: trees from half of the sample, thresholds from all other documents."""
     n = docs.count()
     share = int(min(1.0, SAMPLE_DOCS / max(n, 1)) * (1 << 20))
-    picked = docs.where(F.pmod(F.xxhash64(F.lit("pii"), F.col(f"`{doc_id}`").cast("string")), F.lit(1 << 20)) < share)
+    part = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`").cast("string")), F.lit(n))
+    fit = (part("pii", 1 << 20) < share) & (part("pii-fold", 2) == 0)
 
     def run(batches):
         for b in batches:
@@ -167,21 +185,33 @@ def train(docs: DataFrame, doc_id: str, text: str):
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.float64())),
                                                   pa.array([r[1] for r in rows], pa.int32())], names=["x", "y"])
 
-    rows = picked.select(f"`{text}`").mapInArrow(run, "x array<double>, y int").toPandas()
+    rows = docs.where(fit).select(f"`{text}`").mapInArrow(run, "x array<double>, y int").toPandas()
     if rows.empty or rows["y"].nunique() < 2:
         return None
     x, y = np.stack(rows["x"]), rows["y"].to_numpy(float)
     order = np.lexsort((*x.T, y))  # the same table whatever the partitions
-    x, y = x[order], y[order]
-    half = np.arange(len(y)) % 2 == 0
-    model = Boosted().fit(x[half], y[half])
-    score, kind, limits = model.score(x[~half]), x[~half][:, 0], []
-    for k in range(len(KINDS)):
-        s, t = score[kind == k], y[~half][kind == k]
-        by = np.argsort(-s)
-        right = np.cumsum(t[by]) / np.arange(1, len(by) + 1)
-        good = np.flatnonzero(right >= PRECISION)
-        limits.append(max(0.9, float(s[by][good[-1]])) if len(good) else 2.0)
+    model = Boosted().fit(x[order], y[order])
+
+    def histogram(batches):
+        counts = np.zeros((len(KINDS), _BINS + 1, 2), np.int64)
+        for b in batches:
+            for lo in range(0, b.num_rows, 500):
+                found = [r for t in b.column(0).slice(lo, 500).to_pylist() if t for r in training_rows(t)]
+                if found:
+                    z = np.array([r[0] for r in found])
+                    np.add.at(counts, (z[:, 0].astype(int), (model.score(z) * _BINS).astype(int), [r[1] for r in found]), 1)
+        at = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (*at, counts[at])], names=["kind", "bin", "y", "n"])
+
+    scores = docs.where(~fit).select(f"`{text}`").mapInArrow(histogram, "kind long, bin long, y long, n long")
+    counts = np.zeros((len(KINDS), _BINS + 1, 2))
+    for r in scores.groupBy("kind", "bin", "y").agg(F.sum("n").alias("n")).collect():
+        counts[r["kind"], r["bin"], r["y"]] = r["n"]
+    limits = []
+    for of in counts:
+        right, every = np.cumsum(of[::-1, 1])[::-1], np.cumsum(of[::-1].sum(axis=1))[::-1]
+        good = np.flatnonzero((every > 0) & (right >= PRECISION * every) & (of.sum(axis=1) > 0))
+        limits.append(max(0.9, float(good[0]) / _BINS) if len(good) else 2.0)
     return model, limits
 
 
