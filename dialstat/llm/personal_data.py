@@ -157,15 +157,34 @@ def never(text: str, kind: int, start: int, end: int) -> bool:
     return kind == 3 and bool(_DATE.fullmatch(s.strip()) or _HINTS[-1].search(text[max(0, start - 30):start]))
 
 
+def _wrong(text: str, kind: int, start: int, end: int):
+    """The span and its masked forms turned into what cannot be personal data, so that every kind has wrong cases."""
+    s = text[start:end]
+    if kind == 2:
+        s = s[:-1] + str((int(s[-1]) + 1) % 10) if s[-1:].isdigit() else ""
+        forms = [s, *(x.join(re.findall(".{1,4}", _NOT_DIGIT.sub("", s))) for x in " -.")]
+    elif kind == 1:
+        s = re.sub("^[0-9]+", lambda m: str(256 + int(m.group()) % 700), s)
+        forms = [s, s.replace(".", "[.]")]
+    else:
+        forms = ["2020-01-02", "02.01.2020", "order no. " + s.lstrip("+")] if kind == 3 else []
+    for f in forms:
+        t, at = text[max(0, start - 40):start] + f + text[end:end + 20], min(start, 40)
+        skip = len("order no. ") if f.startswith("order") else 0
+        if f and never(t, kind, at + skip, at + len(f)):
+            yield t, at + skip, at + len(f)
+
+
 def training_rows(text: str) -> list[tuple[list[float], int]]:
-    """Strict spans and masked variants of them are right, candidates that cannot be are wrong; others, perhaps
-    masked personal data, are not learnt from."""
+    """Strict spans and masked variants of them are right; candidates that cannot be, and strict spans turned into
+    such, are wrong; others, perhaps masked personal data, are not learnt from."""
     strict = set(base_spans(text))
     rows = []
     for kind, a, b in candidates(text):
         if (kind, a, b) in strict:
             rows.append((features(text, kind, a, b), 1))
             rows += [(features(t, kind, x, y), 1) for t, x, y in _variants(text, kind, a, b)]
+            rows += [(features(t, kind, x, y), 0) for t, x, y in _wrong(text, kind, a, b)]
         elif never(text, kind, a, b):
             rows.append((features(text, kind, a, b), 0))
     return rows
