@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dialstat.llm import (decontaminate, html_main, license_scan, markov_scores, mixing, near_dedup, personal_data,
-                          quality_lm, quality_rules, url_filter)
+from dialstat.llm import (decontaminate, filter_audit, html_main, license_scan, markov_scores, mixing, near_dedup,
+                          periodic_runs, personal_data, quality_lm, quality_rules, suffix_dedup, url_filter)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_decontaminate": decontaminate.query,
     "op9_url_filter": url_filter.query,
     "op10_license_scan": license_scan.query,
+    "op11_suffix_dedup": suffix_dedup.query,
+    "op12_filter_audit": filter_audit.query,
+    "op13_periodic_runs": periodic_runs.query,
 }
 
 ORACLE = {
@@ -24,4 +27,5 @@ ORACLE = {
     "op8_decontaminate": decontaminate.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
     "op10_license_scan": license_scan.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
