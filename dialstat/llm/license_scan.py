@@ -12,8 +12,8 @@ Everything happens inside the row: no shuffle, no join; the sentence table is a
 Texts without any anchor word are not cut; every known sentence has an anchor, so none is missed.
 
 Defined cases: null and empty texts have no sentences and no licence; equal sentences count each time;
-repeated rows each get their result; an empty table gives an empty result. The SQL knows the sentences of one
-line in ``SENTENCES`` only, not ``PUBLISHED``.
+repeated rows each get their result; an empty table gives an empty result; any number of blank lines or of lines
+with marks alone is one cut (the patterns repeat single classes only, which Java matches without recursion).
 """
 
 from __future__ import annotations
@@ -163,7 +163,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), low.alias("low"))
     anchored = reduce(lambda a, b: a | b, [F.contains("low", F.lit(a)) for a in ANCHORS])
     parted = F.regexp_replace("low", r"(?m)^([^a-z0-9\n]*copyright[ \t]+(?:\(c\)|\u00a9|[0-9])[^\n]*)$", "$1\n")
-    parts = F.split(parted, r"(?<=[.!?;:])[ \t\r\n]+|\n(?:[^a-z0-9\n]*\n)+", -1)
+    parts = F.split(parted, r"(?<=[.!?;:])[ \t\r\n]+|\n[^a-z0-9]*\n", -1)
     known = F.create_map(*[F.lit(x) for sentence, i in KNOWN.items() for x in (sentence, f"<{i}>")])
     id_of = lambda s: F.try_element_at(known, F.btrim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
     by_line = lambda s: F.when(F.contains(s, F.lit("\n")), F.array_join(F.transform(F.split(s, "\n", -1), id_of), ""))
@@ -191,26 +191,41 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     """The same in SQL: sentences as rows, identifiers by a join, rules one after another."""
-    known = ", ".join(f"({i}, '{s}')" for i, s in SENTENCES.items())
-    steps, at = [], "sentence_ids"
-    for n, rule in enumerate(_ordered_rules()):
-        marks = _marks(RULES[rule])
-        steps.append(f"CASE WHEN contains({at}, '{marks}') THEN '{rule}' END")
-        at = f"replace({at}, '{marks}', '|')"
-    of = ", ".join(f"('{r}', '{x}')" for r, x in LICENSES.items())
+    known = ", ".join(f"({i}, '{s}')" for s, i in KNOWN.items())
+    steps, rules = [], RULES | PUBLISHED_RULES
+    for rule in _ordered_rules(rules):
+        marks = _marks(rules[rule])
+        steps.append((rule, marks))
+    of = ", ".join(f"('{r}', '{x}')" for r, x in (LICENSES | {r: x for r, (x, _) in PUBLISHED.items()}).items())
+    # each rule works on what the longer ones have left: one step of SQL a rule
+    chain = "\n".join(
+        f"r{n + 1} AS (SELECT doc_id, replace(rest, '{marks}', '|') rest, hits || CASE WHEN contains(rest, '{marks}') "
+        f"THEN ['{rule}'] ELSE [] END hits FROM r{n}),"
+        for n, (rule, marks) in enumerate(steps))
     return f"""
 WITH known(i, s) AS (VALUES {known}), of_rule(r, x) AS (VALUES {of}),
+low AS (
+  SELECT doc_id, regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '(?m)^([^a-z0-9\\n]*copyright[ \\t]+(?:\\(c\\)|\u00a9|[0-9])[^\\n]*)$', '\\1' || chr(10), 'g') t FROM documents),
+parts AS (
+  SELECT doc_id, unnest(ps) part, unnest(range(len(ps))) place FROM (
+    SELECT doc_id, string_split(regexp_replace(regexp_replace(t, '([.!?;:])[ \\t\\r\\n]+', '\\1' || chr(1), 'g'),
+      '\\n[^a-z0-9\\x01]*\\n', chr(1), 'g'), chr(1)) ps FROM low)),
+whole AS (
+  SELECT doc_id, place, part, i FROM parts LEFT JOIN known ON trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g')) = s),
 lines AS (
-  SELECT doc_id, unnest(ls) line, unnest(range(len(ls))) place FROM (
-    SELECT doc_id, string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-      'abcdefghijklmnopqrstuvwxyz'), '([.!?;:])[ \\t\\r]+', '\\1' || chr(10), 'g'), chr(10)) ls FROM documents)),
-ids AS (
-  SELECT doc_id, string_agg('<' || i || '>', '' ORDER BY place) sentence_ids, count(*) n
-  FROM lines JOIN known ON trim(regexp_replace(line, '[^a-z0-9]+', ' ', 'g')) = s GROUP BY doc_id),
-hits AS (SELECT doc_id, unnest([{", ".join(steps)}]) r FROM ids),
-named AS (SELECT doc_id, string_agg(r, ',' ORDER BY r) rules FROM hits WHERE r IS NOT NULL GROUP BY doc_id),
+  SELECT doc_id, place, unnest(ls) line, unnest(range(len(ls))) k
+  FROM (SELECT doc_id, place, string_split(part, chr(10)) ls FROM whole WHERE i IS NULL AND contains(part, chr(10)))),
+found AS (
+  SELECT doc_id, place, 0 k, i FROM whole WHERE i IS NOT NULL UNION ALL
+  SELECT doc_id, place, k, known.i FROM lines JOIN known ON trim(regexp_replace(line, '[^a-z0-9]+', ' ', 'g')) = s),
+r0 AS (
+  SELECT doc_id, string_agg('<' || i || '>', '' ORDER BY place, k) rest, CAST([] AS VARCHAR[]) hits FROM found GROUP BY doc_id),
+ids AS (SELECT doc_id, rest sentence_ids, len(rest) - len(replace(rest, '<', '')) n FROM r0),
+{chain}
+named AS (SELECT doc_id, array_to_string(list_sort(hits), ',') rules FROM r{len(steps)}),
 lic AS (SELECT doc_id, string_agg(x, ',' ORDER BY x) licenses FROM (
-  SELECT DISTINCT doc_id, x FROM hits JOIN of_rule USING (r)) GROUP BY doc_id)
+  SELECT DISTINCT doc_id, x FROM (SELECT doc_id, unnest(hits) r FROM r{len(steps)}) JOIN of_rule USING (r)) GROUP BY doc_id)
 SELECT d.doc_id, coalesce(sentence_ids, '') sentence_ids, coalesce(n, 0)::BIGINT n_sentences,
   coalesce(rules, '') rules, coalesce(licenses, '') licenses
 FROM documents d LEFT JOIN ids USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN lic USING (doc_id)
