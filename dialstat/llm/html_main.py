@@ -7,8 +7,10 @@
    once. A subtree found on at least ``MIN_PAGES`` such pages and ``SHARE`` of the host's or of the
    section's is a site template and is deleted.
 3. What is left is the article: the text of ``article`` elements, else of ``main``, else of the body.
-   Inside article and main a template goes only if it has at most ``PASSAGE`` characters and half of
-   the page's text, so long quoted passages and pages that are nothing but a template stay.
+   Inside article and main only container blocks without prose go (no paragraph, heading, quotation or
+   preformatted text in them), found on at least ``MANY`` pages, with at most ``PASSAGE`` characters and half of
+   the page's text: headings, paragraphs and passages that several pages share stay, as do
+   pages that are nothing but a template.
 
 Shape: hashes are made per page and pre-aggregated, so a host with a third of all pages is no hot
 task. A host or section has at most (subtrees of a page) / SHARE templates; pages are joined with the
@@ -23,17 +25,17 @@ from __future__ import annotations
 
 import html as entities
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialstat.llm.common import read_table, stage
 from dialstat.llm.url_filter import split_url
 
-MIN_PAGES, SHARE, PASSAGE = 5, 0.3, 300
+MIN_PAGES, MANY, SHARE, PASSAGE = 5, 10, 0.3, 300
 
 # fixed names of HTML
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +43,8 @@ _RAW = frozenset("script style textarea title noscript template iframe svg math
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr img input".split())
+_CONTAINERS = frozenset("div section ul ol table details fieldset".split())
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _FURNITURE = frozenset("nav aside form footer dialog menu head".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 _MARKS = frozenset(
@@ -65,6 +69,10 @@ def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
+
+
 class Page:
     """Elements (parent, tag, hash, outside an article) and text pieces (block, element, text)."""
 
@@ -80,14 +88,14 @@ class Page:
                 s = entities.unescape(source[lo:hi])
                 top = stack[-1]
                 self.pieces.append((block, top, s))
-                self.hash[top] = (self.hash[top] * 1000003 ^ zlib.crc32(" ".join(s.split()).encode("utf-8", "replace"))) & (2**63 - 1)
+                self.hash[top] = (self.hash[top] * 1000003 ^ _hash(" ".join(s.split()))) & (2**63 - 1)
             elif hi > lo:
                 self.pieces.append((block, stack[-1], " "))
 
         def pop():
             e = stack.pop()
             is_open[self.tag[e]] -= 1
-            own = (self.hash[e] * 31 + zlib.crc32(self.tag[e].encode("utf-8", "replace"))) & (2**63 - 1)
+            own = (self.hash[e] * 31 + _hash(self.tag[e])) & (2**63 - 1)
             self.hash[e] = own
             up = self.parent[e]
             self.hash[up] = (self.hash[up] * 1000003 ^ own) & (2**63 - 1)
@@ -148,20 +156,23 @@ class Page:
                     e = self.parent[e]
         return sorted({h for e, (t, h) in enumerate(zip(self.tag, self.hash)) if e not in frame and t not in _INLINE and h})
 
-    def main_text(self, templates=frozenset()) -> str:
-        size = [0] * len(self.tag)
+    def main_text(self, templates=frozenset(), many=frozenset()) -> str:
+        """The article without ``templates``; inside article and main only containers in ``many`` go."""
+        size, prose = [0] * len(self.tag), [t in _PROSE for t in self.tag]
         for _, e, s in self.pieces:
             size[e] += len(s.strip())
         for e in range(len(self.tag) - 1, 0, -1):
             if not self.dropped[e]:
                 size[self.parent[e]] += size[e]
+            prose[self.parent[e]] |= prose[e]
         best = max(self.zone)
         most = sum(n for n, e in zip(size, range(len(size))) if best and self.zone[e] == best and self.zone[self.parent[e]] < best)
         gone, cut, safe = [False], [False], [False]
         for e in range(1, len(self.tag)):
             up, known = self.parent[e], self.hash[e] in templates and self.tag[e] not in ("html", "body")
             inside = known and self.zone[e] > 0
-            known = known and (not inside or self.zone[e] == self.zone[up])
+            known = known and (not inside or self.zone[e] == self.zone[up] and self.hash[e] in many
+                               and self.tag[e] in _CONTAINERS and not prose[e])
             safe.append(safe[up] or inside and size[e] > min(PASSAGE, most / 2))  # so are the parts of a long passage
             gone.append(gone[up] or self.dropped[e] or known and not inside)
             cut.append(cut[up] or known and inside and not safe[e])
@@ -187,15 +198,15 @@ def section_of(path) -> F.Column:
     return F.coalesce(F.regexp_extract(path, "^/([^/]+)/", 1), F.lit(""))
 
 
-def templates(pages: DataFrame, html: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, section, hashes): the site templates of each section of a host, and of the host (section null);
-    ``pages`` has columns host, section and ``html``."""
+def templates(pages: DataFrame, html: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE, many: int = MANY) -> DataFrame:
+    """(host, section, hashes, many): the site templates of each section of a host, and of the host (section null), and
+    those of them on at least ``many`` pages; ``pages`` has columns host, section and ``html``."""
     def run(batches):
         for b in batches:
             rows = []
             for host, section, source in zip(*[b.column(i).to_pylist() for i in (0, 1)], b.column(2).cast(pa.binary()).to_pylist()):
                 page = Page(_decoded(source))
-                body = zlib.crc32(page.main_text().encode("utf-8", "replace"))
+                body = _hash(page.main_text()) >> 1
                 rows += [(host, section, h, body) for h in [0, *page.subtrees()]]
             if rows:
                 yield pa.RecordBatch.from_arrays([*[pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], *[
@@ -210,7 +221,8 @@ def templates(pages: DataFrame, html: str = "html", min_pages: int = MIN_PAGES,
         of = counts.where("hash = 0").select(F.col("host").alias("h"), F.col("section").alias("s"), F.col("n").alias("pages"))
         often = counts.where("hash <> 0").where(F.col("n") >= min_pages).join(
             of, (F.col("host") == F.col("h")) & F.col("section").eqNullSafe(F.col("s")))
-        often = often.where(F.col("n") >= share * F.col("pages")).groupBy("host", "section").agg(F.collect_list("hash").alias("hashes"))
+        often = often.where(F.col("n") >= share * F.col("pages")).groupBy("host", "section").agg(
+            F.collect_list("hash").alias("hashes"), F.collect_list(F.when(F.col("n") >= many, F.col("hash"))).alias("many"))
         out = often if out is None else out.unionAll(often)
     return out
 
@@ -223,22 +235,23 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     host, path = split_url(F.col("url_"))
     rows = rows.withColumns({"host": host, "section": section_of(path)}).drop("url_")
     known = stage(templates(rows, "html", min_pages, share), "templates")
-    of_host = known.where("section is null").select(F.col("host").alias("of"), F.col("hashes").alias("one"))
+    of_host = known.where("section is null").select(F.col("host").alias("of"), F.col("hashes").alias("one"), F.col("many").alias("many1"))
     of_section = known.where("section is not null").select(
-        F.col("host").alias("of2"), F.col("section").alias("in2"), F.col("hashes").alias("two"))
+        F.col("host").alias("of2"), F.col("section").alias("in2"), F.col("hashes").alias("two"), F.col("many").alias("many2"))
     joined = rows.join(of_host, F.col("host") == F.col("of"), "left").join(
         of_section, (F.col("host") == F.col("of2")) & (F.col("section") == F.col("in2")), "left")
     none = F.array().cast("array<bigint>")
-    joined = joined.select("page_id", "url", "html", F.array_union(F.coalesce("one", none), F.coalesce("two", none)).alias("hashes"))
+    both = lambda a, b: F.array_union(F.coalesce(a, none), F.coalesce(b, none))
+    joined = joined.select("page_id", "url", "html", both("one", "two").alias("hashes"), both("many1", "many2").alias("many"))
 
     def run(batches):
         for b in batches:
-            sources, hashes = b.column(2).cast(pa.binary()), b.column(3)
+            sources, hashes, often = b.column(2).cast(pa.binary()), b.column(3), b.column(4)
             step = 200
             for lo in range(0, b.num_rows, step):
                 part = b.slice(lo, step)
-                texts = [Page(_decoded(s)).main_text(frozenset(h or ())) for s, h in zip(
-                    sources.slice(lo, step).to_pylist(), hashes.slice(lo, step).to_pylist())]
+                texts = [Page(_decoded(s)).main_text(frozenset(h or ()), frozenset(m or ())) for s, h, m in zip(
+                    *[c.slice(lo, step).to_pylist() for c in (sources, hashes, often)])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([t.encode("utf-8", "replace").decode() for t in texts], pa.string()),
                      pa.array(np.array([len(t) for t in texts], np.int64))], names=["page_id", "url", "text", "n_chars"])
