@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -194,7 +195,7 @@ def train(docs: DataFrame, doc_id: str, text: str):
     """(trees, threshold per kind), or None: trees from half of the sample, thresholds from all other documents."""
     n = docs.count()
     share = int(min(1.0, SAMPLE_DOCS / max(n, 1)) * (1 << 20))
-    part = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`").cast("string")), F.lit(n))
+    part = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit(""))), F.lit(n))
     fit = (part("pii", 1 << 20) < share) & (part("pii-fold", 2) == 0)
 
     def run(batches):
@@ -234,16 +235,40 @@ def train(docs: DataFrame, doc_id: str, text: str):
     return model, limits
 
 
+class Covered:
+    """Stretches of a text that are taken; ``free`` looks one up by bisection."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def free(self, a: int, b: int) -> bool:
+        i = bisect_left(self.starts, b)  # stretches from i on begin behind the span
+        return i == 0 or self.ends[i - 1] <= a
+
+    def take(self, a: int, b: int) -> None:
+        i = bisect_left(self.starts, b)
+        self.starts.insert(i, a)
+        self.ends.insert(i, b)
+
+
 def all_spans(text: str, model) -> list[tuple[int, int, int]]:
     """Strict spans and those the model adds, by kind and start."""
     spans = base_spans(text)
     if model is None:
         return spans
-    more = [c for c in candidates(text) if not any(a < c[2] and c[1] < b for _, a, b in spans)]
+    taken = Covered((a, b) for _, a, b in spans)
+    more = [c for c in candidates(text) if taken.free(c[1], c[2])]
     if more:
         score = model[0].score(np.array([features(text, *c) for c in more]))
         for s, c in sorted(zip(score, more), key=lambda x: (-x[0], x[1])):
-            if s >= model[1][c[0]] and not any(a < c[2] and c[1] < b for _, a, b in spans):
+            if s >= model[1][c[0]] and taken.free(c[1], c[2]):
+                taken.take(c[1], c[2])
                 spans.append(c)
     return sorted(spans)
 
