@@ -263,6 +263,26 @@ def test_published_licenses(docs_of, width, lead):
     assert got == want
 
 
+@pytest.mark.parametrize("line", ["\n", " *\n", "\n#\n", "-- \r\n"])
+def test_licenses_between_a_million_blank_lines(docs_of, line):
+    text = "see the license" + "\n" + line * 1_000_000 + "Released under the MIT License.\n" + line * 1_000_000
+    assert [(r.rules, r.licenses) for r in license_scan.scan(docs_of([(1, text)])).collect()] == [("mit-released", "MIT")]
+
+
+def test_license_sql_knows_published_texts(spark, tmp_path):
+    import textwrap
+    rows = [(i, "\n".join(textwrap.wrap(" ".join(text.split()), width, break_on_hyphens=False)), "en", "s", 0)
+            for i, (width, (_, text)) in enumerate(itertools.product((60, 76, 10**6), license_scan.PUBLISHED.values()))]
+    rows += [(1000 + i, f"Intro.\n\n * Copyright (c) 2020 X\n *\n * {a}\n *\n * {b}.\nEnd", "en", "s", 0)
+             for i, (a, b) in enumerate(itertools.product(license_scan.SENTENCES.values(), repeat=2))]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(license_scan.ORACLE)
+    got = license_scan.query(spark, str(tmp_path)).select(*want.columns).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want.fetchall()) and sum(r.rules != "" for r in got) > 400
+
+
 @pytest.mark.parametrize("shard_bytes", [url_filter.SHARD_BYTES, 8])
 def test_urls_brute_force(spark, shard_bytes):
     rng = random.Random(8)

@@ -102,10 +102,78 @@ def test_word_model_sums_to_one_and_sees_order(spark, shard_bytes):
     told, mixed, again, unknown, none, blank = score([b"the dog sat on the mat.", b"mat the on sat dog the.", b"the the the the the the",
                                                      b"zebra", None, b"  "])
     assert told[0] == mixed[0] and told[1] > mixed[1] + 1 and told[1] > again[1] + 1
-    assert unknown[1] < -1 and none == (0, 0) and blank[0] == 2 and blank[1] < 0
+    assert unknown[1] < -1 and none == (0, 0, 0) and blank[0] == 2 and blank[1] < 0
     assert score([b"the dog sat on the mat."]) == [pytest.approx(told)]
 
 
+def plain_kneser_ney(sequences, order, start, below):
+    """p(gram) of an interpolated modified Kneser-Ney model by dictionaries, straight from its definition."""
+    counts = {}
+    for s in sequences:
+        s = [start] * (order - 1) + list(s)
+        for i in range(order - 1, len(s)):
+            g = tuple(s[i - order + 1:i + 1])
+            counts[g] = counts.get(g, 0) + 1
+    tables = {order: counts}
+    for k in range(order - 1, 0, -1):
+        tables[k] = {}
+        for g in tables[k + 1]:
+            tables[k][g[1:]] = tables[k].get(g[1:], 0) + 1
+    discounts = {}
+    for k, t in tables.items():
+        n1, n2, n3, n4 = (max(sum(c == i for c in t.values()), 1) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        discounts[k] = [0] + [min(max(i - (i + 1) * y * b / a, 0.1), i - 0.1) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+
+    def p(gram):
+        if not gram:
+            return below
+        k = len(gram)
+        beside = [c for g, c in tables[k].items() if g[:-1] == gram[:-1]]
+        if not beside:
+            return p(gram[1:])
+        cut = lambda c: discounts[k][min(c, 3)]
+        c = tables[k].get(gram, 0)
+        return (c - cut(c)) / sum(beside) + sum(map(cut, beside)) / sum(beside) * p(gram[1:])
+
+    return p
+
+
+def test_models_equal_a_plain_kneser_ney(spark):
+    rng = random.Random(3)
+    lines = [" ".join(rng.choice("the cat dog sat on a mat , x1".split()) for _ in range(rng.randrange(1, 25))) for _ in range(60)]
+    texts = spark.createDataFrame([(t,) for t in lines], "t string")
+    rows = quality_lm.kneser_ney(quality_lm.gram_counts(texts, "t")).toPandas()
+    table = 10.0 ** quality_lm.dense(tuple(rows[c].to_numpy() for c in ("k", "g", "p", "gamma"))).astype(float)
+    units = [quality_lm.UNIT[np.frombuffer(t.encode(), np.uint8)].tolist() for t in lines]
+    plain = plain_kneser_ney(units, quality_lm.ORDER, int(quality_lm.UNIT[10]), 1 / quality_lm.UNITS)
+    for _ in range(300):
+        s = [int(quality_lm.UNIT[10])] * 3 + rng.choice(units)
+        i = rng.randrange(len(s) - 3)
+        g = tuple(s[i:i + 4]) if rng.random() < 0.7 else tuple(rng.randrange(quality_lm.UNITS) for _ in range(4))
+        assert table[sum(u * quality_lm.UNITS**(3 - j) for j, u in enumerate(g))] == pytest.approx(plain(g), rel=1e-3)
+    words = quality_lm.Words(texts, "t")
+    number = {}
+    _, _, hashes = quality_lm.word_spans([" ".join(sorted({w for t in lines for w in t.split()})).encode()])
+    for w, h in zip(sorted({w for t in lines for w in t.split()}), quality_lm._numbers(hashes, words.words)):
+        number[w] = int(h)
+    told = [[number[w] for w in t.split()] for t in lines]
+    plain = plain_kneser_ney(told, 3, quality_lm.BOS, 1 / (words.size - 1))
+    for _ in range(300):
+        g = tuple(rng.randrange(1, words.size) for _ in range(3)) if rng.random() < 0.5 else tuple(([0, 0] + rng.choice(told))[:3])
+        got = quality_lm.probabilities(*[np.array([x]) for x in g], words.model(), words.shards)[0]
+        assert got == pytest.approx(plain(g), rel=1e-5)
+
+
+def test_training_sample_has_a_stated_size(spark, docs_of):
+    rows = [(i, "plain words of a plain text here " * 20) for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    good = labels.select(labels.doc_id.alias("trusted_id"))
+    share = lambda n, size: quality_lm._training_share(docs_of(rows), good, labels, "doc_id", "text", n, size)
+    size = sum(len(t) for _, t in rows)
+    assert share(1000, 1 << 30) == 1 and share(100, 1 << 30) == 0.25 and share(1000, size // 8) == 0.125
+
+
 def test_classifier_on_held_out_labels(spark):
     larger = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{larger}/documents.parquet"), spark.read.parquet(f"{larger}/labels.parquet")
@@ -195,6 +263,30 @@ def test_model_adds_masked_forms_and_keeps_clean_text(docs_of):
     assert personal_data.find(docs_of(rows).limit(0), "f").count() == 0
 
 
+def test_added_spans_equal_the_plain_choice_and_stay_linear():
+    class Model:
+        def score(self, x):
+            return (x[:, 1] * 7 + x[:, 2] * 3 + x[:, 0]) % 10 / 10
+
+    def plain(text, model):
+        spans = personal_data.base_spans(text)
+        more = [c for c in personal_data.candidates(text) if not any(a < c[2] and c[1] < b for _, a, b in spans)]
+        if more:
+            score = model[0].score(np.array([personal_data.features(text, *c) for c in more]))
+            for s, c in sorted(zip(score, more), key=lambda x: (-x[0], x[1])):
+                if s >= model[1][c[0]] and not any(a < c[2] and c[1] < b for _, a, b in spans):
+                    spans.append(c)
+        return sorted(spans)
+
+    rng, model = random.Random(4), (Model(), [0.2, 0.1, 0.3, 0.2])
+    parts = ["bob at host dot com ", "a@b.example ", "4111 1111 1111 1111 ", "10.1.2.3", " 10 [.] 1.2.3 ", "+49 30 1234567 ", "030/123-4567 ", ".", " x ", "12-"]
+    for _ in range(1500):
+        t = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 20)))
+        assert personal_data.all_spans(t, model) == plain(t, model), t
+    long = " ".join(f"a{i}@mail.example.com" for i in range(200_000))
+    assert len(personal_data.all_spans(long, model)) == 200_000  # quadratic work would take hours
+
+
 def test_masked_forms_are_found_however_many(docs_of):
     rows = [(i, f"write to user{i}@mail{i % 7}.example.com today") for i in range(60)]
     rows += [(100 + i, f"write to user{i % 60} at mail{i % 7}.example dot com today") for i in range(240)]
@@ -204,18 +296,30 @@ def test_masked_forms_are_found_however_many(docs_of):
     assert not personal_data.never("call 0049 30 1234567", 3, 5, 20) and personal_data.never("on 2020-01-02", 3, 3, 13)
 
 
-def test_html_equals_article_text(spark):
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.1"])
+def test_html_equals_article_text(spark, folder):
     import html
-    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
     want = {}
     for r in pages.collect():
         article = re.search(r"<article>(.*?)</article>", r.html, re.S).group(1)
         blocks = [html.unescape(re.sub("<[^>]*>", "", b)) for b in re.split(r"</?(?:p|h1|br)>", article)]
         want[r.page_id] = "\n".join(x for x in (" ".join(b.split()) for b in blocks) if x)
-    got = html_main.query(spark, SF).collect()
+    got = html_main.query(spark, folder).collect()
     assert {r.page_id: r.text for r in got} == want and all(r.n_chars == len(r.text) for r in got)
 
 
+def test_html_keeps_what_several_articles_share(spark):
+    storm = "The storm hit the coast on Monday and closed the port."
+    rows = [(i, f"http://a.example/news/{i}", f"<article><h1>Storm</h1><p>Report {i} of the day with words of its own.</p><p>{storm}</p><div>"
+             f"<p>Ships wait.</p></div><ul><li>Report</li><li>Storm</li></ul></article>") for i in range(8)]
+    rows += [(100 + i, f"http://b.example/news/{i}", f"<article><h1>Desk</h1><p>Item {i} is told here at length.</p><div>Share this</div>"
+              f"<p>{storm}</p><div><p>{storm}</p></div></article>") for i in range(30)]
+    got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Storm\nReport {i} of the day with words of its own.\n{storm}\nShips wait.\nReport\nStorm" for i in range(8))
+    assert all(got[100 + i] == f"Desk\nItem {i} is told here at length.\n{storm}\n{storm}" for i in range(30))
+
+
 def test_html_templates_and_edges(spark):
     rows = [(i, f"http://a.example/{i}", f"<body><div><ul><li>Shop</li><li>About</li></ul></div><div><p>Story {i} is new.<p>Told &lt;twice&gt;"
              f"</div><span>Sold by Acme</span><div>We use trackers</div></body>") for i in range(12)]
