@@ -81,7 +81,7 @@ def segment_summary(e: DataFrame) -> DataFrame:
         F.sum("successful_contacts").alias("total_conversions_in_segment"),
         exact_mean_of_fixed_point(RATE, 2).alias("avg_conversion_rate_in_segment"),
     )
-    best = F.broadcast(best_month_by_segment(e))  # one row per month at most
+    best = best_month_by_segment(e)  # a row a month; months are free text, so the join chooses by measured size
     return null_safe_join(s, best, list(SEGMENT_KEYS), "left")
 
 

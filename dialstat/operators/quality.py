@@ -11,17 +11,19 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialstat.functions.numeric import rate_pct
 from dialstat.params import MONTHS, TARGET_VALUES, Params
+from dialstat.sources.sinks import write_partitioned
 
 ROW_LEVEL = ("not_null", "accepted_values", "accepted_range", "between", "rate_logic", "no_negative", "total_sum")
 GROUPED = ("unique", "unique_combo", "duplicates")
 
+# The columns that must not be negative.
 NEGATIVE_GUARDED = ("total_contacts", "successful_contacts", "unsuccessful_contacts", "conversion_rate_pct",
                     "avg_call_duration_min", "avg_contacts_per_client")
 
@@ -37,6 +39,9 @@ class Check:
     max_value: float | None = None
     inclusive: bool = True
     severity: str = "error"
+    # failures up to ``warn_above`` pass; an error check with failures up to ``error_above`` only warns
+    warn_above: int = 0
+    error_above: int = 0
     show: tuple[str, ...] = field(default=())
 
 
@@ -198,13 +203,16 @@ def summarize(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> Da
         out = out.unionByName(p)
     spark = out.sparkSession
     meta_df = spark.createDataFrame(
-        [(c.name, c.relation, c.severity) for c in meta.values()], "check_name string, relation string, severity string"
+        [(c.name, c.relation, c.severity, c.warn_above, c.error_above) for c in meta.values()],
+        "check_name string, relation string, severity string, warn_above long, error_above long",
     )
     return (
         out.join(F.broadcast(meta_df), "check_name")
         .select(
             "check_name", "relation", "severity", F.col("failures").cast("long").alias("failures"),
-            F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail").alias("status"),
+            F.when(F.col("failures") <= F.col("warn_above"), "pass")
+            .when((F.col("severity") == "warn") | (F.col("failures") <= F.col("error_above")), "warn")
+            .otherwise("fail").alias("status"),
         )
     )
 
@@ -255,24 +263,25 @@ def failures_long(relations: Mapping[str, DataFrame], checks: Sequence[Check], k
 def store_failures(failures: DataFrame, path: str) -> DataFrame:
     """Write failing rows partitioned by check (overwrite) and read them back.
 
-    Rows are first repartitioned on (check, a spread of the row key): each task
-    writes about one file, and a check failing on a large share of rows is still
-    written by many tasks.
+    Rows are dealt by check and rebalanced by size: a check that fails on a large share of the rows is
+    written by many tasks, and checks with few failing rows share one.
     """
-    parts = int(failures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.pmod(F.xxhash64("row_key"), F.lit(max(1, parts)))
-    (failures.repartition(F.col("check_name"), spread)
-     .write.mode("overwrite").partitionBy("check_name").parquet(path))
+    write_partitioned(failures, path, "check_name")
     return failures.sparkSession.read.parquet(path)
 
 
 def source_freshness(raw: DataFrame, as_of: _dt.datetime, p: Params | None = None,
                      loaded_col: str = "_dbt_loaded_at") -> DataFrame:
     """Q11: age of the newest load against ``as_of``: pass / warn (> warn_after) / error (> error_after)."""
+    return freshness_status(raw.agg(F.max(loaded_col).alias("max_loaded_at")), as_of, p)
+
+
+def freshness_status(newest: DataFrame, as_of: _dt.datetime, p: Params | None = None) -> DataFrame:
+    """The verdict on one row with ``max_loaded_at`` (no time at all is an error)."""
     p = p or Params()
     as_of_lit = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
-    age_h = (F.unix_timestamp(as_of_lit) - F.unix_timestamp(F.max(loaded_col))) / F.lit(3600.0)
-    return raw.agg(F.max(loaded_col).alias("max_loaded_at"), age_h.alias("age_hours")).select(
+    age_h = (F.unix_timestamp(as_of_lit) - F.unix_timestamp("max_loaded_at")) / F.lit(3600.0)
+    return newest.select("max_loaded_at", age_h.alias("age_hours")).select(
         "max_loaded_at",
         F.round("age_hours", 2).alias("age_hours"),
         F.when(F.col("age_hours").isNull(), "error")
@@ -319,4 +328,15 @@ def published_checks() -> list[Check]:
     ]
 
 
+def graded_checks(severities: Mapping[str, str] | None = None, warn_above: Mapping[str, int] | None = None,
+                  error_above: Mapping[str, int] | None = None) -> list[Check]:
+    """The published checks with some severities and thresholds set anew, by check name."""
+    severities, warn_above, error_above = severities or {}, warn_above or {}, error_above or {}
+    unknown = ({*severities} | {*warn_above} | {*error_above}) - {c.name for c in published_checks()}
+    if unknown:
+        raise ValueError(f"no such checks: {sorted(unknown)}")
+    return [replace(c, severity=severities.get(c.name, c.severity), warn_above=warn_above.get(c.name, c.warn_above),
+                    error_above=error_above.get(c.name, c.error_above)) for c in published_checks()]
+
+
 KEY_COLUMNS = {"contacts_raw": "_row_id", "contacts_clean": "row_id", "campaign_kpis": "kpi_row_id"}

@@ -9,6 +9,8 @@ build before the next layer is written; failing rows can be stored (A14).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,9 +23,13 @@ from dialstat.params import Params
 from dialstat.schema import RAW_SCHEMA
 from dialstat.session import scratch, work_dir
 from dialstat.sources import ingest as I
+from dialstat.sources import published
 from dialstat.sources import sinks as S
 
 
+LOADED = "_dbt_loaded_at"
+
+
 class CheckFailed(RuntimeError):
     pass
 
@@ -34,6 +40,7 @@ class BuildResult:
     counts: dict[str, int] = field(default_factory=dict)
     checks: list[dict] = field(default_factory=list)
     freshness: dict = field(default_factory=dict)
+    version: str = ""
 
 
 def _gate(summary: DataFrame, layer: str, fail_on_error: bool, result: BuildResult) -> None:
@@ -46,26 +53,32 @@ def _gate(summary: DataFrame, layer: str, fail_on_error: bool, result: BuildResu
 
 
 def load_raw(spark: SparkSession, source: DataFrame, path: str, p: Params, run_ts: _dt.datetime,
-             order_key: str | None = "_row_id") -> int:
+             order_key: str | None = "_row_id", gate: Callable[[_dt.datetime | None], None] | None = None) -> int:
     """Entry 1: validate -> stamp, dense ids, coercion -> overwrite load -> row count.
 
     With ``order_key`` the loaded ``_row_id`` is 1..n in its order. Numbering writes the source's
     rows once, and the validation counts are observed during that write, so the source is not
     read again to validate; nothing is loaded if they fail. The stamp is a literal and generated
     ids are dense, so the REQUIRED fields cannot be NULL. Without ``order_key`` the source's own
-    ids are kept and validated first.
+    ids are kept and validated first. ``gate`` gets the source's own newest load time (None if it has
+    none) before anything is loaded, and may raise.
     """
+    newest = F.max(LOADED if LOADED in source.columns else F.lit(None).cast("timestamp")).alias("newest")
     if order_key is None:
         message = I.validate(source)[1]
         prepared = None if message else I.prepare_for_load(source, run_ts)
+        counts = {"newest": source.agg(newest).first()["newest"]} if gate and not message else {}
     else:
-        message, prepared = I.schema_problem(source), None
+        message, prepared, counts = I.schema_problem(source), None, {}
         if not message.startswith("missing columns"):
             seen = Observation()
-            prepared = I.prepare_for_load(source, run_ts, order_key, observe=(seen, I.validation_metrics()))
-            message = I.verdict(seen.get, message)
+            prepared = I.prepare_for_load(source, run_ts, order_key, observe=(seen, [*I.validation_metrics(), newest]))
+            counts = seen.get
+            message = I.verdict(counts, message)
     if message:
         raise CheckFailed(f"validation failed: {message}")
+    if gate:
+        gate(counts["newest"])
     S.overwrite_parquet(prepared, path)
     return S.loaded_row_count(spark, path).first()["row_count"]
 
@@ -80,34 +93,41 @@ def run(
     fail_on_error: bool = False,
     store_failures: bool = True,
     stamp_load: bool = True,
+    checks: list[Q.Check] | None = None,
 ) -> BuildResult:
-    """Build all layers in dependency order and evaluate the published checks.
+    """Build all layers in dependency order and evaluate the published checks (or ``checks``).
 
     ``run_ts`` is the time of the load (now, in UTC, unless given); it stamps the rows and names the
-    build's folder. A source older than the error limit stops a build that fails on errors.
+    build's folder, which no other build shares. Freshness is judged by the source's own newest load time,
+    before anything is loaded: a source older than the error limit stops a build that fails on errors.
     """
     p = p or Params()
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    base = work_dir(spark, "build", run_ts.strftime("%Y%m%dT%H%M%S"))
+    version = f"{run_ts.strftime('%Y%m%dt%H%M%S')}_{uuid.uuid4().hex[:8]}"
+    base = work_dir(spark, "build", version)
     paths = {
         "contacts_raw": f"{base}/{S.schema_name(None, default_schema, target_name)}/contacts_raw",
         "contacts_clean": f"{base}/{S.schema_name('staging', default_schema, target_name)}/contacts_clean",
         "campaign_kpis": f"{base}/{S.schema_name('marts', default_schema, target_name)}/campaign_kpis",
         "dq_failures": f"{base}/{S.schema_name('test_results', default_schema, target_name)}/dq_failures",
     }
-    result = BuildResult(paths)
-    checks = Q.published_checks()
+    result = BuildResult(paths, version=version)
+    checks = Q.published_checks() if checks is None else checks
+
+    def judge_source(newest: _dt.datetime | None) -> None:
+        row = spark.createDataFrame([(newest,)], "max_loaded_at timestamp")
+        result.freshness = Q.freshness_status(row, run_ts, p).first().asDict()
+        if result.freshness["status"] == "error" and fail_on_error:
+            raise CheckFailed(f"sources: stale, {result.freshness['age_hours']} hours old")
 
     if stamp_load:
         with scratch(spark):
-            result.counts["contacts_raw"] = load_raw(spark, source, paths["contacts_raw"], p, run_ts)
+            result.counts["contacts_raw"] = load_raw(spark, source, paths["contacts_raw"], p, run_ts, gate=judge_source)
     else:
+        judge_source(source.agg(F.max(LOADED)).first()[0])
         S.overwrite_parquet(source.select(*[f.name for f in RAW_SCHEMA.fields]), paths["contacts_raw"])
         result.counts["contacts_raw"] = S.loaded_row_count(spark, paths["contacts_raw"]).first()["row_count"]
     raw = I.read_raw(spark, paths["contacts_raw"])
-    result.freshness = freshness(spark, paths["contacts_raw"], run_ts, p)
-    if result.freshness["status"] == "error" and fail_on_error:
-        raise CheckFailed(f"sources: stale, {result.freshness['age_hours']} hours old")
     rels = {"contacts_raw": raw}
     _gate(Q.summarize(rels, [c for c in checks if c.relation == "contacts_raw"]), "sources", fail_on_error, result)
 
@@ -134,6 +154,19 @@ def run(
     return result
 
 
+def run_and_publish(spark: SparkSession, source: DataFrame, target_name: str = "dev", default_schema: str = "campaign",
+                    **options) -> BuildResult:
+    """Build, and only if every gate passes point the public names at the new layers.
+
+    The names live in the database that the schema rule gives the marts; a failed build leaves
+    them as they were.
+    """
+    result = run(spark, source, target_name=target_name, default_schema=default_schema, fail_on_error=True, **options)
+    layers = {n: result.paths[n] for n in ("contacts_raw", "contacts_clean", "campaign_kpis")}
+    published.publish(spark, S.schema_name("marts", default_schema, target_name), layers, result.version)
+    return result
+
+
 def freshness(spark: SparkSession, raw_path: str, as_of: _dt.datetime, p: Params | None = None) -> dict:
     """Source freshness of a loaded raw table (pass / warn / error)."""
     return Q.source_freshness(I.read_raw(spark, raw_path), as_of, p).first().asDict()

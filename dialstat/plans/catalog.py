@@ -7,7 +7,9 @@ Limits appear only where the limit is the feature (top-k reports, preview).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +21,16 @@ from dialstat.operators import clean as C
 from dialstat.operators import mart as M
 from dialstat.operators import quality as Q
 from dialstat.operators import reports as R
+from dialstat.operators import sketches
 from dialstat.operators.metrics import base_metrics as _base_metrics
 from dialstat.operators.metrics import enriched_metrics
 from dialstat.params import Params
+from dialstat.plans import build as B
+from dialstat.plans import models as model_builder
+from dialstat.plans.models import Model
 from dialstat.schema import RAW_SCHEMA
 from dialstat.session import fresh_work_dir, prepare, stored
+from dialstat.sources import bucketed, footers, positional, published
 from dialstat.sources import ingest as I
 from dialstat.sources import sinks as S
 from dialstat.sources.bridge import contacts_raw
@@ -423,6 +430,124 @@ def dq_summary(spark, sf):
     return Q.summarize(_checks_relations(spark, sf), Q.published_checks())
 
 
+# ---- stored tables, sketches and builds ----
+
+def _stored_mart(spark, sf) -> tuple[DataFrame, str]:
+    """The mart written by month ranges, and where."""
+    path = fresh_work_dir(spark, "campaign_kpis")
+    S.write_range_partitioned(_kpis(spark, sf), path)
+    return spark.read.parquet(path), path
+
+
+def month_rebuild(spark, sf):
+    """March made again in a stored mart; the other months' files stay."""
+    mart, path = _stored_mart(spark, sf)
+    again = stored(mart.where("contact_month_num = 3").drop(S.PARTITION_COL), "march")  # a folder cannot replace itself
+    S.replace_ranges(again.withColumn("dbt_run_timestamp", F.lit("rebuilt")), path, [2])
+    return spark.read.parquet(path).groupBy(S.PARTITION_COL).agg(
+        F.count(F.lit(1)).alias("kpi_rows"), F.count_if(F.col("dbt_run_timestamp") == "rebuilt").alias("rebuilt_rows"))
+
+
+def kpis_of_quarter(spark, sf):
+    """A filter on a joined month table prunes the mart's folders while the query runs."""
+    mart, _ = _stored_mart(spark, sf)
+    months = stored(_clean(spark, sf).select("contact_month_num", "contact_quarter").distinct(), "months")
+    wanted = months.where("contact_quarter = 'Q2'").select((F.col("contact_month_num") - 1).alias("bucket"))
+    return mart.join(wanted, mart[S.PARTITION_COL] == wanted["bucket"]).select(
+        "kpi_row_id", "contact_month", "total_contacts", "conversion_rate_pct")
+
+
+def published_view(spark, sf):
+    """A build that passes its gates, published under a name of the session catalog."""
+    tolerant = Q.graded_checks(severities={c.name: "warn" for c in Q.published_checks() if c.relation == "contacts_raw"})
+    B.run_and_publish(spark, _raw(spark, sf), p=replace(P, error_after_hours=10**7), run_ts=P.run_ts, checks=tolerant)
+    return published.read(spark, S.schema_name("marts", "campaign", "dev"), "campaign_kpis")
+
+
+def combine_by_position(spark, sf):
+    """Features and target stored apart, the target with rows missing, put side by side by row position."""
+    raw = _raw(spark, sf)
+    features, target = (fresh_work_dir(spark, n) for n in ("features", "target"))
+    S.overwrite_parquet(raw.select("_row_id", *[F.col(f"`{c}`") for c in I.FEATURE_COLUMNS]).orderBy("_row_id"), features)
+    S.overwrite_parquet(raw.where("_row_id % 10 <> 0").select("_row_id", "y").orderBy("_row_id").select("y"), target)
+    return positional.combine_by_position(spark, features, target)
+
+
+def kpi_with_segment_bucketed(spark, sf):
+    """J1 from two tables stored in buckets of the segment keys: no exchange on either side."""
+    e = M.kpi_groups(_clean(spark, sf), P)
+    n, own = int(spark.conf.get("spark.sql.shuffle.partitions")), uuid.uuid4().hex[:8]
+    keys, database = list(M.SEGMENT_KEYS), S.schema_name("buckets", "campaign", "dev")
+    groups, segments = f"{database}.groups_{own}", f"{database}.segments_{own}"
+    bucketed.write_bucketed(M.add_ranks(e, P).select("kpi_row_id", *keys), groups, keys, n)
+    bucketed.write_bucketed(M.segment_summary(e), segments, keys, n)
+    return bucketed.join_buckets(spark, groups, segments, keys).select(
+        "kpi_row_id", *keys, "total_contacts_in_segment", "total_conversions_in_segment", "avg_conversion_rate_in_segment",
+        "best_month_for_segment")
+
+
+def _stored_raw(spark, sf) -> str:
+    path = fresh_work_dir(spark, "contacts_raw")
+    S.overwrite_parquet(footers.with_loaded_us(_raw(spark, sf)), path)
+    return path
+
+
+def footer_row_count(spark, sf):
+    return footers.row_count(spark, _stored_raw(spark, sf))
+
+
+def footer_freshness(spark, sf):
+    return footers.freshness(spark, _stored_raw(spark, sf), P.run_ts, P)
+
+
+def median_sketch(spark, sf):
+    """G6 by sketches in one exchange; exact where a group has at most ``sketches.K`` contacts."""
+    return sketches.medians(sketches.duration_sketches(_clean(spark, sf), COARSE), COARSE)
+
+
+def median_rollup(spark, sf):
+    """Months rolled up from stored sketches of finer groups, without reading the contacts again."""
+    fine = stored(sketches.duration_sketches(_clean(spark, sf), ("contact_month", *COARSE)), "sketches")
+    return sketches.medians(sketches.roll_up(fine, ["contact_month"]), ["contact_month"])
+
+
+def merged_profile(spark, sf):
+    """Two loads profiled apart, their stored states merged; the exact part of the profile."""
+    raw = stored(_raw(spark, sf), "contacts_raw")
+    states = [stored(sketches.profile_state(raw.where(F.col("_row_id") % 2 == k), f"load {k}"), "profile") for k in (0, 1)]
+    merged = sketches.merge_profiles(states[0].unionByName(states[1]))
+    return sketches.profile(merged).join(merged.select("column_name", F.col("load").alias("loads")), "column_name").select(
+        "column_name", "position", "loads", "n_rows", "n_nulls", "null_pct", "least", "greatest")
+
+
+def dataset_head(spark, sf):
+    return I.dataset_head(_raw(spark, sf))
+
+
+def dq_summary_graded(spark, sf):
+    """Q12: a check that only warns, and thresholds below which an error only warns."""
+    checks = Q.graded_checks(severities={"src_y_not_null": "warn"},
+                             error_above={"src_age_between": 10, "src_campaign_between": 1_000_000_000})
+    return Q.summarize(_checks_relations(spark, sf), checks)
+
+
+def model_build(spark, sf):
+    """Q13/A2: layers by declared inputs; the audit's failed checks stop only what hangs on it."""
+    by_layer = lambda layer: tuple(c for c in Q.published_checks() if c.relation == layer)
+    audit = tuple(replace(_check(f"src_{n}"), name=f"audit_{n}", relation="audited_raw") for n in (
+        "age_not_null", "age_between", "y_not_null", "previous_not_null"))
+    models = [
+        Model("monthly_trend", ("campaign_kpis",), R.monthly_trend),
+        Model("campaign_kpis", ("contacts_clean",), lambda clean: M.campaign_kpis(clean, P), by_layer("campaign_kpis"), True),
+        Model("audited_targets", ("audited_raw",), I.target_value_counts),
+        Model("audited_raw", ("contacts_raw",), lambda raw: raw, audit),
+        Model("contacts_clean", ("contacts_raw",), lambda raw: C.contacts_clean(raw, P), by_layer("contacts_clean")),
+        Model("contacts_raw", ("source",), lambda source: source),
+    ]
+    built = model_builder.build(spark, models, fresh_work_dir(spark, "models"), {"source": _raw(spark, sf)})
+    return model_builder.outcomes(spark, built)
+
+
 QUERIES: dict[str, Query] = {
     # 2.1
     "scan_contacts": scan_contacts,
@@ -517,4 +642,18 @@ QUERIES: dict[str, Query] = {
     "dq_total_sum": dq_total_sum,
     "source_freshness": source_freshness,
     "dq_summary": dq_summary,
+    # stored tables, sketches and builds
+    "month_rebuild": month_rebuild,
+    "kpis_of_quarter": kpis_of_quarter,
+    "published_view": published_view,
+    "combine_by_position": combine_by_position,
+    "kpi_with_segment_bucketed": kpi_with_segment_bucketed,
+    "footer_row_count": footer_row_count,
+    "footer_freshness": footer_freshness,
+    "median_sketch": median_sketch,
+    "median_rollup": median_rollup,
+    "merged_profile": merged_profile,
+    "dataset_head": dataset_head,
+    "dq_summary_graded": dq_summary_graded,
+    "model_build": model_build,
 }

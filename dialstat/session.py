@@ -104,6 +104,12 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write once as Parquet in the shared work folder and read it back.
 

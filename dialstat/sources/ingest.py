@@ -137,14 +137,13 @@ def coerce_categorical(df: DataFrame, cols=CATEGORICAL_COLUMNS) -> DataFrame:
 
 
 def prepare_for_load(df: DataFrame, run_ts: _dt.datetime, order_key: str | None = None, observe=None) -> DataFrame:
-    """I2-I5 in the published order: stamp, ids, categorical text, numeric coercion.
+    """Ids, stamp, categorical text, numeric coercion.
 
     With ``order_key`` the rows are numbered 1..n in its order, which writes them once; ``observe``
     (an Observation and its metrics) is measured during that write.
     """
-    out = stamp_load_ts(df, run_ts)
-    if order_key is not None:
-        out = add_dense_row_id(out, order_key, observe=observe)
+    out = df if order_key is None else add_dense_row_id(df, order_key, observe=observe)
+    out = stamp_load_ts(out, run_ts)  # after the numbering, whose write may observe the source's own times
     out = coerce_numeric(coerce_categorical(out))
     return out.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
 
@@ -193,6 +192,17 @@ def dtypes_frame(df: DataFrame) -> list[tuple[str, str]]:
     return df.dtypes
 
 
+def dataset_head(df: DataFrame, n: int = 5, order_key: str = "_row_id") -> DataFrame:
+    """One row per column: (position, column_name, data_type, head_1 .. head_n as text), by ``order_key``."""
+    first = df.orderBy(order_key).limit(n).agg(F.array_sort(F.collect_list(F.struct(
+        F.col(f"`{order_key}`").alias("__order"), *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)])))
+        .alias("rows"))  # n rows
+    return first.select(F.inline(F.array(*[F.struct(
+        F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(t).alias("data_type"),
+        *[F.get(F.col("rows"), k)[f"c{i}"].alias(f"head_{k + 1}") for k in range(n)])
+        for i, (c, t) in enumerate(df.dtypes)])))
+
+
 def target_value_counts(df: DataFrame, target: str = "y") -> DataFrame:
     """Target distribution, NULL dropped, most frequent first."""
     return (

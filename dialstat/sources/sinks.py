@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialstat.operators.mart import range_bucket
 
 PARTITION_COL = "partition_bucket"
+#: Shuffled data of one written file of a partitioned table, as Spark measures it.
+TARGET_FILE_BYTES = 128 << 20
+LEAST_PARTS = 509
 
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -45,29 +51,61 @@ def loaded_row_count(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@contextmanager
+def file_target(spark: SparkSession, target_bytes: int) -> Iterator[None]:
+    """Writes started inside the block are split, and small parts merged, towards ``target_bytes`` of shuffled data."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(target_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def rebalanced(df: DataFrame, by: str) -> DataFrame:
+    """Rows dealt by ``by`` for a partitioned write: Spark splits a heavy value over several tasks by its
+    measured size and merges light ones, so neither value counts nor row counts are guessed beforehand.
+
+    At least ``LEAST_PARTS`` partitions, so that light values rarely share one with a heavy value and are split with it.
+    """
+    spark = df.sparkSession
+    parts = max(LEAST_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.sql(f"SELECT /*+ REBALANCE({parts}, `{by}`) */ * FROM {{rows}}", rows=df)
+
+
+def write_partitioned(df: DataFrame, path: str, by: str, target_bytes: int = TARGET_FILE_BYTES, only_present: bool = False) -> None:
+    """Overwrite a table with one folder a value of ``by``, in files of about ``target_bytes`` at most.
+
+    A file is at most the target and what one map task holds of the value more (Spark splits between map
+    outputs). With ``only_present`` the values that ``df`` holds are replaced and all other folders stay untouched.
+    """
+    with file_target(df.sparkSession, target_bytes):
+        (rebalanced(df, by).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic" if only_present else "static")
+         .partitionBy(by).parquet(path))
+
+
 def write_range_partitioned(
     df: DataFrame, path: str, field: str = "contact_month_num", start: int = 1, end: int = 13, interval: int = 1,
-    spread_col: str | None = None,
+    target_bytes: int = TARGET_FILE_BYTES,
 ) -> None:
     """Integer range partitioning; NULL and out-of-range values share the
-    catch-all (Hive default) partition, the value column still tells them apart.
+    catch-all (Hive default) partition, the value column still tells them apart."""
+    write_partitioned(df.withColumn(PARTITION_COL, range_bucket(field, start, end, interval)), path, PARTITION_COL, target_bytes)
+
+
+def replace_ranges(
+    df: DataFrame, path: str, buckets: Sequence[int], field: str = "contact_month_num", start: int = 1, end: int = 13,
+    interval: int = 1, target_bytes: int = TARGET_FILE_BYTES,
+) -> None:
+    """Rebuild some range buckets of a stored table from ``df``; the other buckets' files are not touched.
 
-    Rows are repartitioned on (bucket, a spread key) first so each task writes
-    few files and no single task receives a whole bucket.
+    Rows of ``df`` outside ``buckets`` are left out, so a rebuild can be given the whole relation. A bucket
+    without rows in ``df`` keeps its old rows (there is nothing to replace them with).
     """
-    b = range_bucket(field, start, end, interval)
-    n_buckets = (end - start) // interval + 1  # plus the catch-all
-    shuffle_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # About one (bucket, spread) pair per task: each task writes ~one file.
-    per_bucket = max(1, shuffle_parts // n_buckets)
-    spread = F.pmod(F.xxhash64(F.col(spread_col or df.columns[0])), F.lit(per_bucket))
-    (
-        df.withColumn(PARTITION_COL, b)
-        .repartition(F.col(PARTITION_COL), spread)
-        .write.mode("overwrite")
-        .partitionBy(PARTITION_COL)
-        .parquet(path)
-    )
+    rows = df.withColumn(PARTITION_COL, range_bucket(field, start, end, interval))
+    write_partitioned(rows.where(F.col(PARTITION_COL).isin(list(buckets))), path, PARTITION_COL, target_bytes, only_present=True)
 
 
 def schema_name(custom: str | None, default_schema: str, target_name: str) -> str:

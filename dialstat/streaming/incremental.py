@@ -8,7 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 from dialstat.operators.clean import contacts_clean
 from dialstat.params import Params
 from dialstat.schema import RAW_SCHEMA
-from dialstat.session import work_dir
 
 
 def clean_stream(spark: SparkSession, raw_dir: str, p: Params | None = None,
@@ -24,16 +23,15 @@ def clean_stream(spark: SparkSession, raw_dir: str, p: Params | None = None,
     return contacts_clean(reader.parquet(raw_dir), p)
 
 
-def start_clean_stream(spark: SparkSession, raw_dir: str, out_dir: str, p: Params | None = None,
-                       checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Append clean rows to a Parquet table; the file sink with a checkpoint in the
-    shared work folder is exactly-once across restarts and executor loss."""
-    ckpt = checkpoint or work_dir(spark, "streams", "contacts_clean")
+def start_clean_stream(spark: SparkSession, raw_dir: str, out_dir: str, p: Params | None = None, *,
+                       checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Append clean rows to a Parquet table; the file sink with its own ``checkpoint`` folder (shared by the
+    cluster, one a stream) is exactly-once across restarts and executor loss."""
     writer = (
         clean_stream(spark, raw_dir, p)
         .writeStream.format("parquet")
         .option("path", out_dir)
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -26,12 +26,56 @@ def test_ordered_build_writes_layers_and_checks(spark, raw_small):
     assert [r[0] for r in loaded] == [ts]
     assert B.month_slice(spark, res, 5).where(F.col("contact_month_num") != 5).count() == 0
     fresh = B.freshness(spark, res.paths["contacts_raw"], ts + dt.timedelta(hours=25))
-    assert fresh["status"] == "warn" and res.freshness["status"] == "pass"
+    # the load stamps its rows; the build's own verdict is on the source's times, years before
+    assert fresh["status"] == "warn" and res.freshness["status"] == "error"
 
 
-def test_build_stops_on_error_checks(spark, raw_small):
-    with pytest.raises(B.CheckFailed):
-        B.run(spark, raw_small, run_ts=dt.datetime(2030, 1, 1), fail_on_error=True)
+def loaded_at(raw, ts):
+    return raw.withColumn("_dbt_loaded_at", F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
+
+
+def test_stale_source_stops_the_build_before_it_loads(spark, raw_small):
+    import os
+
+    from dialstat.session import work_dir
+
+    ts = dt.datetime(2031, 5, 6, 7, 8, 9)
+    builds = lambda: {d for d in os.listdir(work_dir(spark, "build")) if d.startswith("20310506")}
+    os.makedirs(work_dir(spark, "build"), exist_ok=True)
+    with pytest.raises(B.CheckFailed, match="stale, 49"):
+        B.run(spark, loaded_at(raw_small, ts - dt.timedelta(hours=49)), run_ts=ts, fail_on_error=True)
+    assert not builds()
+    with pytest.raises(B.CheckFailed, match="error-severity checks failed"):  # fresh: the checks decide
+        B.run(spark, loaded_at(raw_small, ts - dt.timedelta(hours=1)), run_ts=ts, fail_on_error=True)
+    assert len(builds()) == 1
+    with pytest.raises(B.CheckFailed, match="stale"):
+        B.run(spark, raw_small, run_ts=ts, fail_on_error=True, stamp_load=False)
+
+
+def test_names_switch_only_after_the_gates(spark, raw_small):
+    from dialstat.operators import quality as Q
+    from dialstat.sources import published
+
+    ts = dt.datetime(2031, 1, 1)
+    tolerant = Q.graded_checks(severities={c.name: "warn" for c in Q.published_checks() if c.relation == "contacts_raw"})
+    source = loaded_at(raw_small, ts)
+    go = lambda df, when, checks: B.run_and_publish(spark, df, default_schema="switch", run_ts=when, checks=checks)
+    first = go(source.where("_row_id % 2 = 0"), ts, tolerant)
+    half = published.read(spark, "switch_marts", "contacts_clean")
+    n = half.count()
+    assert n == first.counts["contacts_clean"] > 0
+    started = published.read(spark, "switch_marts", "campaign_kpis")  # a reader that began before the next build
+    kpis = started.count()
+    with pytest.raises(B.CheckFailed):  # the published severities: the planted source faults are errors
+        go(source, ts + dt.timedelta(hours=1), None)
+    assert published.read(spark, "switch_marts", "contacts_clean").count() == n
+    second = go(source, ts + dt.timedelta(hours=2), tolerant)
+    assert published.read(spark, "switch_marts", "contacts_clean").count() == second.counts["contacts_clean"] > n
+    assert started.count() == kpis and half.count() == n
+    assert "partition_bucket" not in published.read(spark, "switch_marts", "campaign_kpis").columns
+    assert len(published.versions(spark, "switch_marts", "campaign_kpis")) == 2
+    assert published.drop_old(spark, "switch_marts", ["campaign_kpis"], keep=1) == [f"campaign_kpis__v_{first.version}"]
+    assert published.read(spark, "switch_marts", "campaign_kpis").count() == second.counts["campaign_kpis"]
 
 
 def test_load_numbers_densely_and_validates_in_the_same_pass(spark, raw_small):
