@@ -54,37 +54,42 @@ AVERAGES = {
 }
 
 
+#: Two hashes of the grouping columns, 128 bits together, that stand for them where they need not travel.
+KEY = ("__group", "__check")
+
+
 def value_counts(df: DataFrame, dims: Sequence[str], values: Sequence[str], sums: dict[str, Column],
                  largest: dict[str, Column]) -> DataFrame:
-    """(dims, __kind, __value, __n, sums, largest): rows per group and value of each column of ``values``.
+    """(KEY, dims, __kind, __value, __n, sums, largest): rows per group and value of each column of ``values``.
 
-    ``__kind`` is the place of the column in ``values``; the further sums and maxima are made on kind 0
-    alone, so that adding them up over a group's kinds and values counts every row once.
+    ``__kind`` is the place of the column in ``values``. The grouping columns, the further sums and
+    the maxima are on kind 0 alone: rows of the other kinds are a key, a kind, a value and a count.
     """
     pair = F.explode(F.array(*[
         F.struct(F.lit(i).alias("kind"), F.col(v).cast("long").alias("value")) for i, v in enumerate(values)]))
     used = {**sums, **largest}
-    rows = df.select(*[F.col(d) for d in dims], *[e.alias(k) for k, e in used.items()], pair.alias("__pair"))
+    key = [(F.xxhash64(F.lit(seed), *dims) if dims else F.lit(0).cast("long")).alias(k) for seed, k in enumerate(KEY)]
+    rows = df.select(*[F.col(d) for d in dims], *key, *[e.alias(k) for k, e in used.items()], pair.alias("__pair"))
     first = F.col("__pair.kind") == 0
-    return rows.groupBy(*dims, F.col("__pair.kind").alias("__kind"), F.col("__pair.value").alias("__value")).agg(
+    on_first = [F.when(first, F.col(d)).alias(d) for d in dims]
+    return rows.groupBy(*KEY, F.col("__pair.kind").alias("__kind"), F.col("__pair.value").alias("__value"), *on_first).agg(
         F.count(F.lit(1)).alias("__n"),
         *[F.sum(F.when(first, F.col(k))).alias(k) for k in sums],
         *[F.max(F.when(first, F.col(k))).alias(k) for k in largest],
     )
 
 
-def mark_medians(counted: DataFrame, dims: Sequence[str]) -> DataFrame:
+def mark_medians(counted: DataFrame) -> DataFrame:
     """Adds __upper: the value where at least half of its group's non-NULL rows are at or below it.
 
     The least of them is PERCENTILE_DISC(0.5), the lower median: always an input element and the same
-    however rows are partitioned. One exchange by __group, a hash of the dims, which an aggregate by
-    (__group, dims) reuses; sorting compares that number first, the dims only where it is equal.
+    however rows are partitioned. One exchange by the key's first half, which the window and an aggregate by the whole
+    key reuse; sorting compares numbers only.
     """
-    dealt = counted.withColumn("__group", F.xxhash64(*dims) if dims else F.lit(0)).repartition("__group")
     n = F.when(F.col("__value").isNotNull(), F.col("__n")).otherwise(F.lit(0))
-    group = Window.partitionBy("__group", *dims, "__kind")
+    group = Window.partitionBy(*KEY, "__kind")
     up_to = F.sum(n).over(group.orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return dealt.withColumn("__upper", F.when(2 * up_to >= F.sum(n).over(group), F.col("__value")))
+    return counted.repartition(KEY[0]).withColumn("__upper", F.when(2 * up_to >= F.sum(n).over(group), F.col("__value")))
 
 
 def base_metrics(clean: DataFrame, dims: Sequence[str] = KPI_DIMENSIONS) -> DataFrame:
@@ -106,9 +111,15 @@ def base_metrics(clean: DataFrame, dims: Sequence[str] = KPI_DIMENSIONS) -> Data
         **{f"__has_{c}": one(F.col(c).isNotNull()) for c in AVERAGES},
     }
     counted = value_counts(clean, dims, [v for v, _ in MEDIANS], sums, {"__most": F.col("num_contacts_campaign")})
-    of = [F.col("__kind") == i for i in range(len(MEDIANS))]
-    total = F.sum(F.when(of[0], F.col("__n")))
-    added = [F.sum(F.when(k, F.col("__value") * F.col("__n"))) for k in of]
+    # what the other kinds know of their group is laid beside its rows of kind 0, which alone go on
+    whole = Window.partitionBy(*KEY)
+    valued = F.col("__value").isNotNull()
+    marked = mark_medians(counted).withColumns({
+        f"__{name}{i}": of.over(whole) for i in range(1, len(MEDIANS)) for name, of in {
+            "median": F.min(F.when(F.col("__kind") == i, F.col("__upper"))),
+            "added": F.sum(F.when(F.col("__kind") == i, F.col("__value") * F.col("__n"))),
+            "valued": F.sum(F.when((F.col("__kind") == i) & valued, F.col("__n")))}.items()}).where(F.col("__kind") == 0)
+    total, added = F.sum("__n"), F.sum(F.col("__value") * F.col("__n"))
 
     def quotient(units: Column, rows: Column) -> Column:
         # whole-number sums divided once: independent of partitioning and order
@@ -117,28 +128,22 @@ def base_metrics(clean: DataFrame, dims: Sequence[str] = KPI_DIMENSIONS) -> Data
     def mean(c: str) -> Column:
         return quotient(F.sum(f"__sum_{c}"), F.sum(f"__has_{c}"))
 
-    def mean_value(i: int) -> Column:
-        return quotient(added[i], F.sum(F.when(of[i] & F.col("__value").isNotNull(), F.col("__n"))))
-
-    def middle(i: int) -> Column:
-        return F.min(F.when(of[i], F.col("__upper"))).alias(MEDIANS[i][1])
-
-    return mark_medians(counted, dims).groupBy("__group", *dims).agg(
+    return marked.groupBy(*KEY, *dims).agg(
         total.alias("total_contacts"),
         F.sum("__won").alias("successful_contacts"),
         F.sum("__lost").alias("unsuccessful_contacts"),
-        mean_value(0).alias("avg_call_duration_sec"),
+        quotient(added, F.sum(F.when(valued, F.col("__n")))).alias("avg_call_duration_sec"),
         quotient(F.sum("__sum_minutes"), F.sum("__has_minutes") * F.lit(100)).alias("avg_call_duration_min"),
-        middle(0),
-        added[0].alias("total_call_duration_sec"),
+        F.min("__upper").alias(MEDIANS[0][1]),
+        added.alias("total_call_duration_sec"),
         mean("num_contacts_campaign").alias(AVERAGES["num_contacts_campaign"]),
         F.max("__most").alias("max_contacts_to_client"),
         mean("age").alias(AVERAGES["age"]),
-        mean_value(1).alias("avg_account_balance"),
-        middle(1),
+        quotient(F.max("__added1"), F.max("__valued1")).alias("avg_account_balance"),
+        F.max("__median1").alias(MEDIANS[1][1]),
         quotient(F.sum("__seen"), total).alias("pct_previously_contacted"),
         mean("days_since_last_contact").alias(AVERAGES["days_since_last_contact"]),
-    ).drop("__group")
+    ).drop(*KEY)
 
 
 def success_ratio() -> Column:

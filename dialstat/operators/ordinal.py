@@ -46,103 +46,6 @@ def _join_small(big: DataFrame, small: DataFrame, cols: Sequence[str], known_sma
     return null_safe_join(big, small, cols)
 
 
-def value_histogram(df: DataFrame, partition_cols: Sequence[str], value_col: str) -> DataFrame:
-    """Rows per (partition, value): the only input the rank offsets need."""
-    return df.groupBy(*partition_cols, value_col).agg(F.count(F.lit(1)).alias("__n"))
-
-
-def rank_rows(
-    df: DataFrame,
-    partition_cols: Sequence[str],
-    value_col: str,
-    tie_col: str,
-    out_col: str,
-    descending: bool = True,
-    cell_rows: int = 1_000_000,
-    split_heavy: bool = True,
-    hist: DataFrame | None = None,
-    hist_is_small: bool = False,
-    max_count: int | None = None,
-) -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY partition_cols ORDER BY value_col [DESC], tie_col).
-
-    ``value_col`` must have bounded cardinality (e.g. a rate rounded to 2 dp);
-    ``tie_col`` must be unique within a partition (a hex surrogate key when
-    ``split_heavy`` is on). ``hist`` may pass a precomputed
-    :func:`value_histogram`; ``hist_is_small`` says its size is already proven and
-    ``max_count`` (its largest count, if known) skips the heavy-pair probe. The
-    result equals the plain window exactly.
-    """
-    p = list(partition_cols)
-    keys = p + [value_col]
-    if hist is None:
-        hist = value_histogram(df, p, value_col)
-    hist, small = checked_small(hist, known_small=hist_is_small)
-    heavy = hist.where(F.col("__n") > cell_rows) if split_heavy else None
-    if heavy is None or (max_count is not None and max_count <= cell_rows):
-        has_heavy = False
-    else:
-        has_heavy = heavy.limit(1).count() > 0
-
-    if has_heavy:
-        plen = F.least(F.ceil(F.log(16.0, F.col("__n") / F.lit(float(cell_rows)))).cast("int"), F.lit(_MAX_PREFIX))
-        plen_tab = heavy.select(*keys, plen.alias("__plen"))
-        # Only rows of heavy (partition, value) pairs are re-counted by key prefix.
-        heavy_rows = _join_small(df.select(*keys, tie_col), plen_tab, keys)
-        heavy_cells = heavy_rows.groupBy(*keys, F.expr(f"substring(`{tie_col}`, 1, __plen)").alias("__pfx")).agg(
-            F.count(F.lit(1)).alias("__cn")
-        )
-        light_cells = hist.where(F.col("__n") <= cell_rows).select(*keys, F.lit("").alias("__pfx"), F.col("__n").alias("__cn"))
-        cells = light_cells.unionByName(heavy_cells)
-    else:
-        cells = hist.select(*keys, F.lit("").alias("__pfx"), F.col("__n").alias("__cn"))
-
-    base = Window.partitionBy(*p) if p else Window.partitionBy(F.lit(0))
-    w_cells = base.orderBy(_order(value_col, descending), F.col("__pfx").asc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    cells = cells.select(*keys, "__pfx", F.coalesce(F.sum("__cn").over(w_cells), F.lit(0)).alias("__before"))
-
-    if has_heavy:
-        tagged = _join_small(df, hist.select(*keys, F.when(F.col("__n") > cell_rows, plen).otherwise(F.lit(0)).alias("__plen")), keys, hist_is_small)
-        tagged = tagged.withColumn(
-            "__pfx", F.when(F.col("__plen") > 0, F.expr(f"substring(`{tie_col}`, 1, __plen)")).otherwise(F.lit(""))
-        ).drop("__plen")
-        out = _join_small(tagged, cells, keys + ["__pfx"])
-    else:
-        # Without heavy pairs the cell table is the histogram itself: same size, same answer.
-        out = _join_small(df, cells, keys, known_small=True) if small else null_safe_join(df, cells, keys)
-    w_rows = Window.partitionBy(*keys, "__pfx").orderBy(F.col(tie_col).asc())
-    return out.withColumn(out_col, (F.col("__before") + F.row_number().over(w_rows)).cast("long")).drop(
-        "__pfx", "__before"
-    )
-
-
-def percent_rank(
-    df: DataFrame,
-    partition_cols: Sequence[str],
-    value_col: str,
-    out_col: str,
-    hist: DataFrame | None = None,
-    hist_is_small: bool = False,
-) -> DataFrame:
-    """PERCENT_RANK() OVER (PARTITION BY partition_cols ORDER BY value_col ASC).
-
-    (rows with a smaller value) / (rows - 1); 0.0 for a single row. Only the
-    (partition, value) histogram is sorted; rows are never shuffled.
-    """
-    p = list(partition_cols)
-    if hist is None:
-        hist = value_histogram(df, p, value_col)
-    base = Window.partitionBy(*p) if p else Window.partitionBy(F.lit(0))
-    w_before = base.orderBy(_order(value_col, False)).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    lower = F.coalesce(F.sum("__n").over(w_before), F.lit(0))
-    total = F.sum("__n").over(w_all)
-    pr = F.when(total > 1, lower.cast("double") / (total - 1).cast("double")).otherwise(F.lit(0.0))
-    return _join_small(df, hist.select(*p, value_col, pr.alias(out_col)), p + [value_col], hist_is_small)
-
-
 def rank_family(
     df: DataFrame,
     rankings: Sequence[tuple[Sequence[str], str]],
@@ -155,15 +58,17 @@ def rank_family(
     bounded_values: bool = False,
 ) -> DataFrame:
     """Several ROW_NUMBER() columns that all order by (value_col, tie_col) but partition
-    differently - e.g. by age segment, by month, and globally - with ONE shuffle.
+    differently - e.g. by age segment, by month, and globally - with one shuffle of narrow rows.
 
     ``rankings`` is a list of (partition columns, output column). Every ranking
     splits rows into cells (partition, value, prefix of the hex tie key), where
     the prefix length of a value comes from its global count, so no cell holds
-    more than about ``cell_rows`` rows. Rows are hash-partitioned once on
-    (value, prefix); that partitioning satisfies every ranking's window
-    (each window's keys include both), so the windows only sort. Per-cell
-    offsets come from one small histogram over (all partition columns, value,
+    more than about ``cell_rows`` rows. Only the ranking's own columns go through
+    the windows: they are hash-partitioned once on (value, prefix), which satisfies
+    every ranking's window (each window's keys include both), so the windows only
+    sort. The whole rows meet their ranks by the tie key, which must be unique and
+    never NULL; it spreads them evenly, so no wide row enters a hot cell or is sorted
+    more than once. Per-cell offsets come from one small histogram over (all partition columns, value,
     prefix) and are broadcast after a size check. ``percent_rank_col`` adds
     PERCENT_RANK() OVER (ORDER BY value_col ASC) from the value histogram.
     ``bounded_values`` says that the number of distinct values is bounded by their
@@ -195,7 +100,8 @@ def rank_family(
         cols_vh.append(
             F.when(total > 1, lower.cast("double") / (total - 1).cast("double")).otherwise(F.lit(0.0)).alias(percent_rank_col)
         )
-    tagged = _join_small(df, vh.select(*cols_vh), [value_col], known_small=vh_small)
+    narrow = list(dict.fromkeys([tie_col, value_col, *all_p]))
+    tagged = _join_small(df.select(*narrow), vh.select(*cols_vh), [value_col], known_small=vh_small)
     tagged = tagged.withColumn(
         "__pfx", F.when(F.col("__plen") > 0, F.expr(f"substring(`{tie_col}`, 1, __plen)")).otherwise(F.lit(""))
     ).drop("__plen")
@@ -217,7 +123,8 @@ def rank_family(
     for i, (cols, out_col) in enumerate(rankings):
         w = Window.partitionBy(*cols, value_col, "__pfx").orderBy(F.col(tie_col).asc())
         out = out.withColumn(out_col, (F.col(f"__before{i}") + F.row_number().over(w)).cast("long"))
-    return out.drop("__pfx", *[f"__before{i}" for i in range(len(rankings))])
+    ranks = out.select(F.col(tie_col).alias("__tie"), *[c for _, c in rankings], *([percent_rank_col] if percent_rank_col else []))
+    return df.join(ranks, F.col(tie_col) == F.col("__tie")).drop("__tie")
 
 
 def _ranged(df: DataFrame, order: Sequence[Column], name: str, ranges: int | None = None, observe=None) -> DataFrame:
@@ -289,6 +196,35 @@ def _sequence_tiled(df, g, order_col, key_col, carry, pos_col, prev_prefix, rang
     )
 
 
+def sequence_parts(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    order_col: str,
+    key_col: str,
+    carry_cols: Sequence[str] = (),
+    pos_col: str = "seq_pos",
+    prev_prefix: str = "prev_",
+    hot_rows: int = 2_000_000,
+    ranges: int | None = None,
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """The two parts of :func:`sequence_in_groups`: (rows of other groups, rows of hot groups, the hot groups).
+
+    The first part is hash-partitioned by the group, the second dealt by ranges; callers that join by the group do so
+    on each part in its own way. The last two are None if no group is hot.
+    """
+    g, carry = list(group_cols), list(carry_cols)
+    hot = df.groupBy(*g).agg(F.count(F.lit(1)).alias("__gn")).where(F.col("__gn") > hot_rows).select(*g)
+    hot = stored(hot, "hot_groups")
+    if not hot.take(1):
+        return _sequence_plain(df, g, order_col, key_col, carry, pos_col, prev_prefix), None, None
+    hot, _ = checked_small(hot.withColumn("__hot", F.lit(True)))
+    marked = null_safe_join(df, hot, g, "left")
+    cold_part = marked.where(F.col("__hot").isNull()).drop("__hot")
+    hot_part = marked.where(F.col("__hot")).drop("__hot")
+    return (_sequence_plain(cold_part, g, order_col, key_col, carry, pos_col, prev_prefix),
+            _sequence_tiled(hot_part, g, order_col, key_col, carry, pos_col, prev_prefix, ranges), hot.drop("__hot"))
+
+
 def sequence_in_groups(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -311,18 +247,7 @@ def sequence_in_groups(
     table (at most ranges + hot groups rows) carries counts and last values between
     tiles, so a group holding a third of all rows is numbered by a third of the tasks.
     """
-    g = list(group_cols)
-    carry = list(carry_cols)
-    if not g:
-        return _sequence_tiled(df, g, order_col, key_col, carry, pos_col, prev_prefix, ranges)
-    hot = df.groupBy(*g).agg(F.count(F.lit(1)).alias("__gn")).where(F.col("__gn") > hot_rows).select(*g)
-    hot = stored(hot, "hot_groups")
-    if not hot.take(1):
-        return _sequence_plain(df, g, order_col, key_col, carry, pos_col, prev_prefix)
-    hot, _ = checked_small(hot.withColumn("__hot", F.lit(True)))
-    marked = null_safe_join(df, hot, g, "left")
-    cold_part = marked.where(F.col("__hot").isNull()).drop("__hot")
-    hot_part = marked.where(F.col("__hot")).drop("__hot")
-    return _sequence_plain(cold_part, g, order_col, key_col, carry, pos_col, prev_prefix).unionByName(
-        _sequence_tiled(hot_part, g, order_col, key_col, carry, pos_col, prev_prefix, ranges)
-    )
+    if not group_cols:
+        return _sequence_tiled(df, [], order_col, key_col, list(carry_cols), pos_col, prev_prefix, ranges)
+    cold, hot, _ = sequence_parts(df, group_cols, order_col, key_col, carry_cols, pos_col, prev_prefix, hot_rows, ranges)
+    return cold if hot is None else cold.unionByName(hot)

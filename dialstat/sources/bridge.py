@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialstat.operators.ordinal import sequence_in_groups
+from dialstat.operators.joins import checked_small
+from dialstat.operators.ordinal import sequence_parts
 from dialstat.params import MONTHS
 from dialstat.schema import RAW_SCHEMA, enforce
 from dialstat.sources.tables import read_table
@@ -26,18 +27,24 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def contacts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 19-column raw contact relation (explicit schema, no inference)."""
+def contacts_raw(spark: SparkSession, sf_dir: str, hot_rows: int = 2_000_000) -> DataFrame:
+    """The 19-column raw contact relation (explicit schema, no inference).
+
+    A customer with more than ``hot_rows`` orders is numbered and joined apart from the others.
+    """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    # History on the orders alone: hot customers are tiled before any join. Other customers' rows
-    # then join on the window's own partitioning; the tiled rows meet the join through a shuffle of
-    # their own, which AQE's skew join may split.
-    history = sequence_in_groups(
-        orders, ["o_custkey"], "o_orderdate", "o_orderkey", carry_cols=["o_orderstatus"], pos_col="prev_count")
+    # History on the orders alone: hot customers are tiled before any join. The others' rows join on the window's
+    # own partitioning; hot customers are few (orders / hot_rows at most) and are broadcast after a check of
+    # their size, so their rows stay in their tiles. Then the parts meet.
+    history, hot, hot_keys = sequence_parts(
+        orders, ["o_custkey"], "o_orderdate", "o_orderkey", carry_cols=["o_orderstatus"], pos_col="prev_count", hot_rows=hot_rows)
     history = history.join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    if hot is not None:
+        few, _ = checked_small(cust.join(hot_keys, F.col("c_custkey") == F.col("o_custkey"), "left_semi"))
+        history = history.unionByName(hot.join(few, F.col("o_custkey") == F.col("c_custkey"), "inner"))
     lines = _order_lines(spark, sf_dir)
     j = history.join(lines, history["o_orderkey"] == lines["l_orderkey"], "left")
 

@@ -1,5 +1,7 @@
 import os
+import re
 import sys
+from contextlib import contextmanager
 
 import pytest
 
@@ -8,6 +10,25 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF_SMALL = "/root/testdata/sf0.001"
 
 
+def operators(df):
+    """The operators of the physical plan with their arguments and columns, one text each."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return [re.sub(r"^\(\d+\) ", "", part) for part in re.split(r"\n\s*\n", text) if re.match(r"\(\d+\) ", part)]
+
+
+@contextmanager
+def no_broadcasts(spark):
+    """The shape of plans at scale, where no side is small."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @pytest.fixture(scope="session")
 def spark():
     from dialstat.session import build_session

@@ -11,7 +11,8 @@ def one_col(spark, values, dtype, expr):
 
 def test_age_range_and_segments(spark):
     ages = [None, 17, 18, 25, 26, 65, 66, 100, 101]
-    cleaned = one_col(spark, ages, "long", lambda c: F.when(c.between(18, 100), c))
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(ages)], "i long, age long")
+    cleaned = [r.age for r in df.select("i", C.age_expr(Params()).alias("age")).orderBy("i").collect()]
     assert cleaned == [None, None, 18, 25, 26, 65, 66, 100, None]
     seg = one_col(spark, cleaned, "long", C.age_segment)
     assert seg == ["unknown", "unknown", "18-25", "18-25", "26-35", "56-65", "65+", "65+", "unknown"]
@@ -97,10 +98,14 @@ def test_row_rules(spark):
 
 
 def test_flags_null_to_false(spark):
-    df = spark.createDataFrame([(None, None), (True, None), (False, -1), (None, 0)], "d boolean, b long")
-    got = [r[0] for r in df.select(
-        F.when((F.col("d") == True) | (F.col("b") < 0), True).otherwise(False)).collect()]  # noqa: E712
-    assert got == [False, True, True, False]
+    raw = [raw_row(_row_id=1, default=None, balance=None, housing=None, loan=None, pdays=-1, previous=None, poutcome=None),
+           raw_row(_row_id=2, default="yes", balance=None, housing="yes", pdays=29, previous=1, poutcome="success"),
+           raw_row(_row_id=3, default=None, balance=-1, loan="yes", pdays=30, previous=0, poutcome="failure"),
+           raw_row(_row_id=4, default="no", balance=0, pdays=0)]
+    out = C.contacts_clean(spark.createDataFrame(raw, RAW_COLS)).orderBy("row_id").collect()
+    flags = lambda r: (r.has_debt_indicators, r.has_any_loan, r.was_contacted_before, r.recently_contacted, r.previous_campaign_success)
+    assert [flags(r) for r in out] == [(False, False, False, False, False), (True, True, True, True, True),
+                                       (True, True, False, False, False), (False, False, False, True, False)]
 
 
 def test_duration_minutes(spark):

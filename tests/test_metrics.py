@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
 from dialstat.operators import metrics as MT
-from dialstat.operators.ordinal import percent_rank
 
 
 def test_target_band_uses_doubles(spark):
@@ -31,14 +30,6 @@ def test_exact_mean_of_fixed_point(spark):
     assert df.agg(MT.exact_mean_of_fixed_point("x", 2)).first()[0] == 0.2
 
 
-def test_percent_rank(spark):
-    one = spark.createDataFrame([(5,)], "v long")
-    assert [r.pr for r in percent_rank(one, [], "v", "pr").collect()] == [0.0]
-    df = spark.createDataFrame([(1,), (2,), (2,), (5,)], "v long")
-    got = sorted((r.v, r.pr) for r in percent_rank(df, [], "v", "pr").collect())
-    assert got == [(1, 0.0), (2, 1 / 3), (2, 1 / 3), (5, 1.0)]
-
-
 def test_medians_from_value_counts_equal_the_aggregate_and_merge_no_value_maps(clean_small):
     for dims in (("age_segment", "job"), ("contact_month",)):
         got = MT.base_metrics(clean_small, dims)
@@ -58,6 +49,7 @@ def test_first_aggregate_spreads_a_group_by_its_values(spark):
     df = spark.range(1000).select(F.lit("hot").alias("g"), (F.col("id") % 250).alias("x"), F.lit(None).cast("long").alias("y"))
     counted = MT.value_counts(df, ["g"], ["x", "y"], {"s": F.col("x")}, {})
     assert counted.count() == 251 and counted.agg(F.sum("s")).first()[0] == df.agg(F.sum("x")).first()[0]
-    marked = MT.mark_medians(counted, ["g"])
+    marked = MT.mark_medians(counted)
+    assert counted.where("__kind = 1 AND (g IS NOT NULL OR s IS NOT NULL)").count() == 0  # narrow: key, value and count
     lows = {r["__kind"]: r["m"] for r in marked.groupBy("__kind").agg(F.min("__upper").alias("m")).collect()}
     assert lows == {0: 124, 1: None}

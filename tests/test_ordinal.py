@@ -5,9 +5,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dialstat.operators import mart as M
-from dialstat.operators.ordinal import dense_row_number, rank_family, rank_rows, sequence_in_groups
+from dialstat.operators.ordinal import dense_row_number, rank_family, sequence_in_groups
 from dialstat.sources.tables import read_table
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, no_broadcasts, operators
 
 
 def _groups(clean_small):
@@ -31,22 +31,13 @@ def test_rank_family_equals_plain_windows(clean_small):
         assert got.exceptAll(plain).count() == 0
 
 
-def test_rank_family_plans_one_shuffle_of_rows(clean_small):
+def test_rank_family_shuffles_and_sorts_wide_rows_once(spark, clean_small):
     e = _groups(clean_small)
-    got = rank_family(e, [(["age_segment"], "a"), (["contact_month"], "m"), ([], "g")], "rk", "group_sk")
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    # only one exchange sits above the broadcast joins: the (value, prefix) repartition
-    top = plan.split("BroadcastHashJoin")[0]
-    assert top.count("Exchange hashpartitioning") == 1, top
-
-
-def test_rank_rows_equals_plain_window(clean_small):
-    e = _groups(clean_small)
-    plain = e.select("group_sk", F.row_number().over(
-        W.partitionBy("contact_month").orderBy(F.desc("rk"), "group_sk")).alias("m"))
-    for cell_rows in (1_000_000, 3):
-        got = rank_rows(e, ["contact_month"], "rk", "group_sk", "m", True, cell_rows).select("group_sk", "m")
-        assert got.exceptAll(plain).count() == 0
+    with no_broadcasts(spark):
+        got = rank_family(e, [(["age_segment"], "a"), (["contact_month"], "m"), ([], "g")], "rk", "group_sk")
+        wide = [o for o in operators(got) if "median_account_balance" in o]
+    assert sum(o.startswith("Exchange") for o in wide) == 1 and sum(o.startswith("Sort\n") for o in wide) == 1
+    assert not any(o.startswith("Window") for o in wide)
 
 
 def test_dense_row_number(spark):
@@ -127,19 +118,22 @@ def test_rank_family_splits_a_hot_value_across_tasks(spark):
     assert per_task < 0.5 * n
 
 
-def test_rank_rows_keeps_a_shuffle_join_above_the_broadcast_limit(spark, monkeypatch):
+def test_rank_family_keeps_shuffle_joins_above_the_broadcast_limit(spark, monkeypatch):
     from dialstat.operators import joins
-    from dialstat.operators.ordinal import rank_rows
 
     monkeypatch.setattr(joins.checked_small, "__defaults__", (5, False))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = spark.range(500).selectExpr("id % 3 AS p", "id % 100 AS v", "md5(cast(id AS string)) AS k")
-        out = rank_rows(df, ["p"], "v", "k", "rank")
+        df = spark.range(500).selectExpr("id % 3 AS p", "if(id % 9 = 0, NULL, id % 100) AS v", "md5(cast(id AS string)) AS k")
+        out = rank_family(df, [(["p"], "rank"), ([], "place")], "v", "k", percent_rank_col="share")
         assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
-        plain = df.selectExpr("k", "row_number() OVER (PARTITION BY p ORDER BY v DESC, k) AS want")
-        assert out.join(plain, "k").where("rank <> want").count() == 0
+        plain = df.selectExpr("k", "row_number() OVER (PARTITION BY p ORDER BY v DESC, k) AS want",
+                              "row_number() OVER (ORDER BY v DESC, k) AS want2", "percent_rank() OVER (ORDER BY v) AS want3")
+        both = out.join(plain, "k")
+        assert both.count() == 500 and both.where("rank <> want OR place <> want2 OR share <> want3").count() == 0
+        one = rank_family(df.limit(1), [([], "place")], "v", "k", percent_rank_col="share").collect()
+        assert [(r.place, r.share) for r in one] == [(1, 0.0)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
