@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -23,9 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a temporary one only for local masters."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="corpus-")
+        base = spark.sparkContext.getCheckpointDir()
+        if not base:
+            base = tempfile.mkdtemp(prefix="corpus-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 

@@ -286,7 +286,7 @@ def test_license_sql_knows_published_texts(spark, tmp_path):
 @pytest.mark.parametrize("shard_bytes", [url_filter.SHARD_BYTES, 8])
 def test_urls_brute_force(spark, shard_bytes):
     rng = random.Random(8)
-    names = ["spam-farm", "good", "adult-x", "blog", "m", "news", "casino"]
+    names = ["spam-farm", "good", "adult-x", "blog", "m", "news", "casino", "alphabets", "oil-spills"]
     urls = [f"http{'s' * (i % 2)}://{'.'.join(rng.choice(names) + str(rng.randrange(30)) for _ in range(rng.randrange(1, 3)))}"
             f".example.{rng.choice(['com', 'org', 'net'])}{rng.choice(['', '/de/x', '/fr/', '/en/12?a#b', '/es/1', '?q', '#t'])}"
             for i in range(500)]
@@ -299,8 +299,23 @@ def test_urls_brute_force(spark, shard_bytes):
         path = re.match(r"[^?#]*", rest[len(host):]).group() if rest else ""
         fits = [(v, h, p) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
         rule = max(fits, key=lambda r: len(r[1] + r[2]), default=None)
-        listed = any(re.search("|".join(url_filter.BLOCKED_WORDS), label) for label in host.split("."))
+        listed = any(re.search(f"(^|[^a-z])({'|'.join(url_filter.BLOCKED_WORDS)})([^a-z]|$)", label) for label in host.split("."))
         r = got[i]
         assert (r.host, r.path, r.rule) == (host, path, rule and rule[1] + rule[2])
         assert r.verdict == (rule[0] if rule else "block" if listed else "allow"), u
     assert url_filter.judge(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("shard_bytes", [url_filter.SHARD_BYTES, 8])
+def test_urls_by_a_table_of_domains(spark, shard_bytes):
+    hosts = [f"h{i % 40}.d{i % 13}.example.net" for i in range(300)] + ["casino.example.net", "", "d3.example.net", "D5.Example.NET"]
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    listed = [".d3.example.net", "D5.example.net", "h7.d7.example.net", "elsewhere.org", "", None, "h7.d7.example.net"]
+    table = spark.createDataFrame([(x, 1) for x in listed], "name string, domain long")
+    bad = {"d3.example.net", "d5.example.net", "h7.d7.example.net"}
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, shard_bytes=shard_bytes, domains=table, domain="name").collect()}
+    for i, h in enumerate(hosts):
+        h = h.lower()
+        assert got[i] == ("block" if any(h == b or h.endswith("." + b) for b in bad) else "allow"), h
+    none = url_filter.judge(pages, domains=table.limit(0), domain="name").collect()
+    assert {r.verdict for r in none} == {"allow"} and len(none) == len(hosts)
