@@ -13,7 +13,9 @@ from dialstat.operators import mart as M  # noqa: E402
 from dialstat.operators import quality as Q  # noqa: E402
 from dialstat.operators.clean import contacts_clean  # noqa: E402
 from dialstat.operators.metrics import base_metrics, enriched_metrics  # noqa: E402
+from dialstat.plans.catalog import QUERIES  # noqa: E402
 from dialstat.session import build_session, fresh_work_dir  # noqa: E402
+from dialstat.sources import sinks as S  # noqa: E402
 from dialstat.sources.bridge import contacts_raw  # noqa: E402
 from dialstat.sources.ingest import read_raw  # noqa: E402
 
@@ -49,6 +51,16 @@ def main():
     sections["mart final: ranks + segment summary join"] = M.campaign_kpis(clean)
     sections["27 checks, one summary"] = Q.summarize({"contacts_raw": raw, "contacts_clean": clean,
                                                       "campaign_kpis": M.campaign_kpis(clean)}, Q.published_checks())
+    mart_path = fresh_work_dir(spark, "digest_mart")
+    S.write_range_partitioned(M.campaign_kpis(clean), mart_path)
+    mart, months_path = spark.read.parquet(mart_path), fresh_work_dir(spark, "digest_months")
+    clean.select("contact_month_num", "contact_quarter").distinct().write.parquet(months_path)
+    months = spark.read.parquet(months_path).where("contact_quarter = 'Q2'").selectExpr("contact_month_num - 1 AS bucket")
+    sections["stored mart joined with the months of a quarter (folders pruned while it runs)"] = mart.join(
+        months, mart[S.PARTITION_COL] == months["bucket"]).select("kpi_row_id", "contact_month", "total_contacts")
+    sections["J1 from bucketed tables"] = QUERIES["kpi_with_segment_bucketed"](spark, sf)
+    sections["row count from the footers"] = QUERIES["footer_row_count"](spark, sf)
+    sections["medians by sketches"] = QUERIES["median_sketch"](spark, sf)
     for title, df in sections.items():
         print(f"### {title}\n\n```\n{digest(df)}\n```\n")
 
