@@ -100,8 +100,13 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _SCRATCH.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there, on whatever file system the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

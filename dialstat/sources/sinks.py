@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dialstat.operators.mart import range_bucket
+from dialstat.session import remove
 
 PARTITION_COL = "partition_bucket"
 #: Shuffled data of one written file of a partitioned table, as Spark measures it.
@@ -101,11 +102,16 @@ def replace_ranges(
 ) -> None:
     """Rebuild some range buckets of a stored table from ``df``; the other buckets' files are not touched.
 
-    Rows of ``df`` outside ``buckets`` are left out, so a rebuild can be given the whole relation. A bucket
-    without rows in ``df`` keeps its old rows (there is nothing to replace them with).
+    Rows of ``df`` outside ``buckets`` are left out, so a rebuild can be given the whole relation. A bucket without
+    rows in ``df`` ends empty: its folder is removed once the others are written. ``df`` must not read the table itself.
     """
-    rows = df.withColumn(PARTITION_COL, range_bucket(field, start, end, interval))
-    write_partitioned(rows.where(F.col(PARTITION_COL).isin(list(buckets))), path, PARTITION_COL, target_bytes, only_present=True)
+    seen, wanted = Observation(), sorted(set(buckets))
+    rows = df.withColumn(PARTITION_COL, range_bucket(field, start, end, interval)).where(F.col(PARTITION_COL).isin(wanted))
+    counted = rows.observe(seen, *[F.count_if(F.col(PARTITION_COL) == b).alias(f"n{b}") for b in wanted])
+    write_partitioned(counted, path, PARTITION_COL, target_bytes, only_present=True)
+    for b in wanted:
+        if not seen.get[f"n{b}"]:
+            remove(df.sparkSession, f"{path}/{PARTITION_COL}={b}")
 
 
 def schema_name(custom: str | None, default_schema: str, target_name: str) -> str:

@@ -71,6 +71,16 @@ def test_a_rebuilt_month_leaves_the_other_files_alone(spark, months):
     assert back.where(f"{S.PARTITION_COL} IN (2, 7) AND text <> 'new'").count() == 0
 
 
+def test_a_rebuilt_month_without_rows_ends_empty(spark, months):
+    path = fresh_work_dir(spark, "emptied")
+    S.write_range_partitioned(months, path)
+    n = months.where("contact_month_num = 9 OR contact_month_num = 10").count()
+    S.replace_ranges(months.where("contact_month_num <> 9"), path, [8, 9])
+    back = spark.read.parquet(path)
+    assert back.where("contact_month_num = 9").count() == 0 < back.where("contact_month_num = 10").count() < n
+    assert back.count() == 200_000 - months.where("contact_month_num = 9").count()
+
+
 def test_a_joined_month_table_prunes_folders(spark, months):
     path, of = fresh_work_dir(spark, "pruned"), fresh_work_dir(spark, "quarters")
     S.write_range_partitioned(months, path)
