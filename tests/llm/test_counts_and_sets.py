@@ -190,6 +190,23 @@ def test_components_of_a_long_chain(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_a_full_block_of_the_benchmark_has_bounded_tables():
+    import tracemalloc
+
+    rng = random.Random(9)
+    vocabulary_ = ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randrange(2, 9))) for _ in range(20_000)]
+    items, size = [], 0
+    while size < decontaminate.BLOCK_BYTES:
+        t = " ".join(rng.choice(vocabulary_) for _ in range(80)).encode()
+        items.append((f"i{len(items)}", t))
+        size += len(t)
+    tracemalloc.start()
+    made = decontaminate.scanners(items, decontaminate.WINDOW)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(made) == 1 and peak < 300 << 20, (held >> 20, peak >> 20)
+
+
 @pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 120])
 def test_decontamination_brute_force(spark, docs_of, block_bytes):
     rng = random.Random(4)

@@ -373,6 +373,92 @@ def test_pipeline_keeps_its_contract(spark):
     assert got == copies
 
 
+def plain_groups(docs, size=5, share=0.8):
+    """Least id of each group of texts alike in ``share`` of their ``size``-word shingles, by all pairs."""
+    sets = {}
+    for d, t in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[d] = {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} - {()}
+    least = {d: d for d in sets}
+
+    def top(d):
+        while least[d] != d:
+            d = least[d]
+        return d
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                least[y] = x
+    return {d: top(d) for d in sets}
+
+
+def plain_words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def plain_windows(w):
+    n = min(10, len(w))
+    return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if n else set()
+
+
+def test_pipeline_stages_against_plain_ones(spark):
+    """Each stage's own input judged again without the library, on a table with planted cases."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda df: {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+    given = rows(docs)
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    kept = rows(stages["quality"](spark, docs, SF))
+    assert {r.doc_id for r in labels if r.quality == 1} <= set(kept) <= set(given)  # what is trusted stays
+    alike = plain_groups(given.items())
+    assert set(rows(stages["near_dedup"](spark, docs, SF))) == {d for d, least in alike.items() if d == least}
+    assert len(set(alike.values())) < len(alike)
+    wanted = set()
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        wanted |= plain_windows(plain_words(r.text))
+    sizes = {len(x) for x in wanted}
+
+    def leaks(t):
+        w = plain_words(t)
+        return any(tuple(w[i:i + n]) in wanted for n in sizes for i in range(len(w) - n + 1))
+
+    clean = rows(stages["decontaminate"](spark, docs, SF))
+    assert set(clean) == {d for d, t in given.items() if not leaks(t)} and 0 < len(clean) < len(given)
+    redacted = rows(stages["personal_data"](spark, docs, SF))
+    assert set(redacted) == set(given)
+    for d, t in given.items():
+        spans = plain_spans(t or "")
+        for _, a, b in spans:
+            assert (t or "")[a:b] not in (redacted[d] or "") or b - a < 9, d
+        if not spans and redacted[d] != t:  # a span that the model added
+            assert re.search(r"\[(EMAIL|IP|CARD|PHONE)\]", redacted[d])
+    # mixing: sources weigh 1, 2, 3 in turn, a target stops at three times its source, the rest is shared again
+    size = {r.doc_id: (r.source, len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))) for r in docs.collect()}
+    of = {}
+    for s, n in size.values():
+        of[s] = of.get(s, 0) + n
+    names = sorted((s for s in of if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in of)
+    weight = {s: 1 + i % 3 for i, s in enumerate(names)}
+    target, free, left = {}, set(of), sum(of.values())
+    while free:
+        part = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if part[s] > 3 * of[s]}
+        if not over:
+            target |= part
+            break
+        target |= {s: 3 * of[s] for s in over}
+        left -= sum(3 * of[s] for s in over)
+        free -= over
+    copies = {}
+    for r in stages["mix"](spark, docs, SF).collect():
+        copies[r.doc_id] = copies.get(r.doc_id, 0) + 1
+    for d, (s, n) in size.items():
+        rate = target[s] / of[s] if of[s] else 0
+        assert copies.get(d, 0) in {int(rate + 1e-9), int(rate + 1e-9) + 1, int(rate - 1e-9) + 1} and copies.get(d, 0) <= 3, (d, rate)
+
+
 def test_shared_folder_is_the_session_setting(spark):
     assert shared_dir(spark)
     assert shared_dir(spark) == shared_dir(spark)
