@@ -2,12 +2,16 @@
 
 Every window of ten consecutive words of a benchmark item (a shorter item is one window) is a
 pattern. Patterns of one length share a scanner: a table of blocks (two words) tells how far the
-search may move on; only where the shift is zero are the patterns with that last block looked up
-and compared word by word, so a hit is never a hash collision.
+search may move on; only where the shift is zero are the patterns with that last block and the same
+first block looked up and compared word by word, so a hit is never a hash collision.
+
+The words of the benchmark are numbered; shifts, patterns and their items are arrays of numbers. Equal windows
+are one pattern with several items. The shift table is addressed by a hash of the block: blocks that share
+an entry have the least of their shifts, which never skips an occurrence.
 
 Benchmark windows go to the executors in blocks of ``block_bytes`` of item text, one scan of the
 documents a block, written before the next block is read: what is broadcast has a fixed bound, and no
-item is left out.
+item is left out. Items repeated with their text are read once.
 
 Defined cases: a null or empty text has no words and no hit; an item without words has no window; items
 without an id hit and count as one item, which the digest of the items does not name;
@@ -18,17 +22,24 @@ nothing.
 from __future__ import annotations
 
 import hashlib
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dialstat.llm.common import annotate, fresh, read_table, stage, struct_of
+from dialstat.llm.textsets import mix
 
 WINDOW = 10
-#: Benchmark text held by one broadcast; its tables take about 160 times that in memory (measured), in the driver and
-#: in each Python worker.
-BLOCK_BYTES = 1 << 20
+#: Benchmark text held by one broadcast, in the driver and in each Python worker; its tables take 5 to 15 times that
+#: in memory (measured).
+BLOCK_BYTES = 8 << 20
+#: Patterns compared with a text at a time.
+COMPARED = 1 << 20
 _TABLE = bytes((c + 32 if 65 <= c <= 90 else c) if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32
                for c in range(256))
 
@@ -38,43 +49,124 @@ def words(text: bytes | None) -> list[bytes]:
     return text.translate(_TABLE).split() if text else []
 
 
+def _hash(numbers: np.ndarray, at: np.ndarray, places: Iterable[int]) -> np.ndarray:
+    """64-bit hashes of the word numbers at the given places after each of ``at``."""
+    h = np.zeros(len(at), np.uint64)
+    for j in places:
+        h = mix(h * np.uint64(31) + numbers[at + j].astype(np.uint64))
+    return h
+
+
+def _spread(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """lo, lo + 1, ... lo + n - 1 of every range, one after the other."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+
+
 class Scanner:
-    """Shift table, suffix buckets and comparison for patterns of one length."""
-
-    def __init__(self, length: int, patterns: dict[tuple, set]):
-        self.length, self.block = length, min(2, length)
-        self.far = length - self.block + 1
-        self.shift, self.bucket = {}, {}
-        for p, ids in patterns.items():
-            for end in range(self.block, length + 1):
-                b = p[end - self.block:end]
-                self.shift[b] = min(self.shift.get(b, self.far), length - end)
-            self.bucket.setdefault(p[-self.block:], {}).setdefault(p[0], []).append((p, frozenset(ids)))
-
-    def find(self, w: list[bytes]):
-        """(start, item ids) of every occurrence."""
-        i, n, m, far, shift = self.length, len(w), self.length, self.far, self.shift.get
-        pair = self.block == 2
+    """Shift table, suffix buckets and comparison for patterns of one length.
+
+    ``numbers`` are the word numbers (from 1) of all items, a pattern begins at each of ``starts`` and belongs to the
+    item of the same place in ``items``.
+    """
+
+    def __init__(self, length: int, numbers: np.ndarray, starts: np.ndarray, items: np.ndarray):
+        self.length, self.block, self.numbers = length, min(2, length), numbers
+        far = length - self.block + 1
+        whole = _hash(numbers, starts, range(length))
+        order = np.lexsort((items, whole))
+        starts, items, whole = starts[order], items[order], whole[order]
+        same = whole[1:] == whole[:-1]
+        for j in range(length):
+            same &= numbers[starts[1:] + j] == numbers[starts[:-1] + j]
+        new = np.append(True, ~same)
+        owned = new.copy()
+        owned[1:] |= items[1:] != items[:-1]
+        first = np.flatnonzero(new)
+        of = (np.cumsum(owned) - 1)[first]
+        self.items = items[owned]
+        self.owned = np.append(of, len(self.items)).astype(np.int32)  # a pattern's items: from its entry to the next
+        at = starts[first]
+        key = _hash(numbers, at, self._ends())
+        order = np.argsort(key)
+        self.key, self.at, self.pattern = key[order], at[order].astype(np.int32), order.astype(np.int32)
+        self.down = np.uint64(64 - max(8, int(4 * len(at)).bit_length()))
+        self.shift = np.full(1 << (64 - int(self.down)), far, np.min_scalar_type(far))
+        for end in range(self.block, length + 1):  # later ends have lesser shifts
+            self.shift[self._blocks(numbers, at + end - self.block)] = length - end
+
+    def _ends(self) -> list[int]:
+        """Places of a pattern's last and first block."""
+        return [*range(self.length - self.block, self.length), *range(self.block)]
+
+    def _blocks(self, numbers: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (_hash(numbers, at, range(self.block)) >> self.down).astype(np.int64)
+
+    def find(self, w: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Starts and patterns of all occurrences in a text's word numbers (0: a word of no item)."""
+        i, n, block = self.length, len(w), self.block
+        if n < i:
+            return
+        move = self.shift[self._blocks(w, np.arange(n - block + 1))].tolist()
+        zero = []
         while i <= n:
-            block = (w[i - 2], w[i - 1]) if pair else (w[i - 1],)
-            move = shift(block, far)
-            if move:
-                i += move
-                continue
-            for p, ids in self.bucket[block].get(w[i - m], ()):
-                if p == tuple(w[i - m:i]):
-                    yield i - m, ids
-            i += 1
-
-
-def scanners(items: list[tuple[str, bytes | None]], window: int) -> list[Scanner]:
-    by_length: dict[int, dict[tuple, set]] = {}
-    for item, text in items:
+            step = move[i - block]
+            if step:
+                i += step
+            else:
+                zero.append(i - self.length)
+                i += 1
+        at = np.array(zero, np.int64)
+        key = _hash(w, at, self._ends())
+        lo = np.searchsorted(self.key, key, "left")
+        many = np.searchsorted(self.key, key, "right") - lo
+        at, lo, many = at[many > 0], lo[many > 0], many[many > 0]
+        parts = np.flatnonzero(np.diff(np.cumsum(many) // COMPARED, prepend=0)) + 1
+        for at, lo, many in zip(*(np.split(x, parts) for x in (at, lo, many))):
+            place, p = np.repeat(at, many), _spread(lo, many)
+            for j in range(self.length):
+                same = self.numbers[self.at[p] + j] == w[place + j]
+                place, p = place[same], p[same]
+            yield place, self.pattern[p]
+
+    def items_of(self, patterns: np.ndarray) -> np.ndarray:
+        lo = self.owned[patterns]
+        return np.unique(self.items[_spread(lo, self.owned[patterns + 1] - lo)])
+
+
+class Block:
+    """What one scan knows of the benchmark: word numbers, item ids and a scanner for each length of pattern."""
+
+    def __init__(self, items: Iterable[tuple[str | None, bytes | None]], window: int):
+        self.known: dict[bytes, int] = {}
+        ids: dict[str | None, int] = {}
+        numbers, starts, owners = array("i"), {}, {}
+        for item, text in items:
+            w = words(text)
+            size = min(window, len(w))
+            if size:
+                own = ids.setdefault(item, len(ids))
+                for k in range(len(w) - size + 1):
+                    starts.setdefault(size, array("i")).append(len(numbers) + k)
+                    owners.setdefault(size, array("i")).append(own)
+                numbers.extend(self.known.setdefault(x, len(self.known) + 1) for x in w)
+        self.ids = list(ids)
+        flat = np.array(numbers, np.int32)
+        self.scanners = [Scanner(size, flat, np.array(starts[size], np.int32), np.array(owners[size], np.int32))
+                         for size in sorted(starts)]
+
+    def hits(self, text: bytes | None) -> tuple[int, list[tuple[int, int]], set]:
+        """Number of words, the stretches of words that are hit, the ids of the items that hit."""
         w = words(text)
-        size = min(window, len(w))
-        for i in range(len(w) - size + 1 if size else 0):
-            by_length.setdefault(size, {}).setdefault(tuple(w[i:i + size]), set()).add(item)
-    return [Scanner(size, found) for size, found in sorted(by_length.items())]
+        numbers = np.fromiter(map(self.known.get, w, repeat(0)), np.int32, len(w))
+        starts, ends, items = [], [], set()
+        for s in self.scanners if numbers.any() else ():
+            for place, patterns in s.find(numbers):
+                place = np.unique(place)
+                starts.append(place)
+                ends.append(place + s.length)
+                items.update(s.items_of(np.unique(patterns)).tolist())
+        spans = list(zip(np.concatenate(starts).tolist(), np.concatenate(ends).tolist())) if starts else []
+        return len(w), _merge(spans), {self.ids[i] for i in items}
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -102,9 +194,11 @@ _HITS = struct_of(n_words=T.LongType(), lo=T.ArrayType(T.LongType()), hi=T.Array
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[DataFrame]:
     """The benchmark cut by a hash of item and text into parts of about ``block_bytes``."""
     items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text"))
-    items = items.where("text is not null")
+    items = items.where("text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
+    if n > 1:
+        items = stage(items, "benchmark")
     return [items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
 
 
@@ -115,31 +209,19 @@ def scan(docs: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW,
     spark = docs.sparkSession
     parts = _blocks(benchmark, item_id, item_text, block_bytes)
 
-    def found(part):
-        known = spark.sparkContext.broadcast(
-            scanners([(r.item, r.text.encode()) for r in part.toLocalIterator()], window))
-
-        def one(t):
-            w, spans, items = words(t), [], set()
-            for s in known.value:
-                for at, ids in s.find(w):
-                    spans.append((at, at + s.length))
-                    items |= ids
-            return len(w), spans, items
-
-        return one, known
+    def known_of(part):
+        return spark.sparkContext.broadcast(Block(((r.item, r.text.encode()) for r in part.toLocalIterator()), window))
 
     if len(parts) == 1:
-        one, _ = found(parts[0])
-        return annotate(docs, text, DIGEST, name, lambda: lambda ts: [_digest(*one(t)) for t in ts], keep)
+        known = known_of(parts[0])
+        return annotate(docs, text, DIGEST, name, lambda: lambda ts: [_digest(*known.value.hits(t)) for t in ts], keep)
 
-    def hits(one):
+    def hits(known):
         def rows(ts):
             out = []
             for t in ts:
-                n, spans, items = one(t)
-                merged = _merge(spans)
-                out.append((n, [a for a, _ in merged], [b for _, b in merged], sorted(items, key=lambda i: (i is not None, i)),
+                n, spans, items = known.value.hits(t)
+                out.append((n, [a for a, _ in spans], [b for _, b in spans], sorted(items, key=lambda i: (i is not None, i)),
                             hashlib.sha256(t or b"").hexdigest()))
             return out
         return lambda: rows
@@ -147,8 +229,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW,
     col = fresh(docs, "hits_")
     table = None
     for p in parts:
-        one, known = found(p)
-        rows = annotate(docs, text, _HITS, col, hits(one), keep=[]).select(f"{col}.*").where("size(items) > 0")
+        known = known_of(p)
+        rows = annotate(docs, text, _HITS, col, hits(known), keep=[]).select(f"{col}.*").where("size(items) > 0")
         rows = stage(rows, "decontaminate")
         table = rows if table is None else table.unionByName(rows)
         known.destroy()
