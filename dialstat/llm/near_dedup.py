@@ -1,13 +1,13 @@
 """Near-duplicate groups by SetSketch registers, banding, likelihood and exact confirmation.
 
 1. One pass over the texts gives each document its shingle set's size, a 128-bit fingerprint of the
-   set and a SetSketch: for each of ``REGISTERS`` registers the least of exponentially distributed
+   set and a SetSketch: for each of its registers the least of exponentially distributed
    numbers, truncated to a power of ``BASE`` and kept in a byte. Registers of a union are the
    maxima of the parts' registers, and equal registers are as likely as the sets are similar.
    Points beyond the largest minimum that can matter are never made, so a set costs about
    n + m ln m steps instead of n * m.
 2. Documents with the same fingerprint are one node (exact copies never meet each other again).
-3. ``BANDS`` bands of ``ROWS`` registers are hashed; nodes that share a band are candidates. Within a
+3. Bands of ``ROWS`` registers are hashed, as many as the threshold needs; nodes that share a band are candidates. Within a
    band's group the joint likelihood of (higher, lower, equal) registers estimates the similarity;
    pairs clearly below the threshold are no candidates. Each group gives stars that span its components,
    never all pairs.
@@ -20,9 +20,8 @@ Groups are cut by hash into tiles of ``TILE`` members; a task holds two tiles at
 every tile and each tile itself; members that are still apart then meet in the remaining pairs of
 tiles, so groups of any size are exact with bounded memory.
 
-Missed links: a pair at exactly 0.85 shares no band with probability 8e-7 (28 bands of 6), and is
-put aside by the estimate (five standard deviations) with 3e-7. At 0.8, the threshold of the pipeline,
-registers are equal with about 0.808, and a pair at the threshold shares no band with 1.1e-4.
+Missed links: a pair at exactly the threshold shares no band with a probability below ``MISSED`` (``bands_for``:
+28 bands of 6 for 0.85, 43 for 0.8), and is put aside by the estimate (five standard deviations) with 3e-7.
 
 Defined cases: null, empty and blank texts have the empty set and are linked with nothing; a text
 with fewer words than a shingle has its whole sequence as its one shingle; rows under one id are one
@@ -42,9 +41,7 @@ from dialstat.llm.common import annotate, fresh, read_table, stage, struct_of
 from dialstat.llm.components import components
 from dialstat.llm.textsets import mix, shingle_sets
 
-BANDS, ROWS = 28, 6
-REGISTERS = BANDS * ROWS
-BASE = 1.1
+ROWS, BASE, MISSED = 6, 1.1, 1e-6
 TILE = 2000
 #: Set members in a tile of full sets.
 TILE_SHINGLES = 2_000_000
@@ -53,13 +50,22 @@ _TOP = 255
 
 # ---- sketches -------------------------------------------------------------------------------
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of ``REGISTERS`` bytes per non-empty set."""
+def bands_for(threshold: float) -> int:
+    """Bands of ``ROWS`` registers that a pair at the threshold shares one of, but for ``MISSED``.
+
+    Registers agree least often when one set holds the other.
+    """
+    equal = 1 + np.log1p(-(1 - threshold) * (BASE - 1) / BASE) / np.log(BASE)
+    return max(1, int(np.ceil(np.log(MISSED) / np.log1p(-min(equal ** ROWS, 1 - MISSED)))))
+
+
+def sketches(sets: list[np.ndarray], registers: int) -> np.ndarray:
+    """One row of ``registers`` bytes per non-empty set."""
     n = np.array([len(s) for s in sets])
-    low = np.full((len(sets), REGISTERS), np.inf)
+    low = np.full((len(sets), registers), np.inf)
     left, slack = np.flatnonzero(n > 0), 3.0
     while len(left):
-        limit = (np.log(REGISTERS) + slack) / n[left]
+        limit = (np.log(registers) + slack) / n[left]
         of = np.repeat(left, n[left])
         bound = np.repeat(limit, n[left])
         h = np.concatenate([sets[i] for i in left])
@@ -67,11 +73,11 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
         while len(h):
             step += 1
             r = mix(h + np.uint64(step * 0x9E3779B97F4A7C15 % 2**64))
-            x = x - np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / REGISTERS
+            x = x - np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / registers
             stay = x <= bound
             x, h, of, bound, r = x[stay], h[stay], of[stay], bound[stay], r[stay]
-            place = (mix(r) >> np.uint64(32)) * np.uint64(REGISTERS) >> np.uint64(32)
-            np.minimum.at(low.reshape(-1), of * REGISTERS + place.astype(np.int64), x)
+            place = (mix(r) >> np.uint64(32)) * np.uint64(registers) >> np.uint64(32)
+            np.minimum.at(low.reshape(-1), of * registers + place.astype(np.int64), x)
         left = left[np.isinf(low[left]).any(axis=1)]
         slack *= 2
     with np.errstate(divide="ignore"):
@@ -83,7 +89,7 @@ def estimate(one: np.ndarray, n_one: int, many: np.ndarray, n_many: np.ndarray)
     """Similarity of a set to others with the greatest joint likelihood of their register relations."""
     above = (one > many).sum(axis=1)
     below = (one < many).sum(axis=1)
-    equal = REGISTERS - above - below
+    equal = len(one) - above - below
     u = (n_one / (n_one + n_many))[:, None]
     v = 1 - u
     j = _GRID[None, :] * np.minimum(u / v, v / u)
@@ -100,8 +106,8 @@ def estimate(one: np.ndarray, n_one: int, many: np.ndarray, n_many: np.ndarray)
 _GRID = np.linspace(0, 1, 101)
 
 
-def _likely(threshold: float):
-    margin = 5 * np.sqrt(threshold * (1 - threshold) / REGISTERS) + 0.01
+def _likely(threshold: float, registers: int):
+    margin = 5 * np.sqrt(threshold * (1 - threshold) / registers) + 0.01
 
     def linked(center, others):
         n = np.array([o[0] for o in others])
@@ -223,10 +229,10 @@ def _connect(members: DataFrame, payload: list[str], read, linked, name: str) ->
 _SKETCH = struct_of(n=T.LongType(), f1=T.LongType(), f2=T.LongType(), sketch=T.BinaryType())
 
 
-def _sketch_rows(size: int):
+def _sketch_rows(size: int, registers: int):
     def rows(texts):
         sets = shingle_sets(texts, size)
-        regs = sketches(sets)
+        regs = sketches(sets, registers)
         signed = lambda x: int(np.uint64(x).astype(np.int64))
         out = []
         for s, r in zip(sets, regs):
@@ -241,15 +247,17 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "
            tile: int = TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; similarity of ``percent`` / 100 or more links."""
     threshold = percent / 100
+    n_bands = bands_for(threshold)
+    registers = n_bands * ROWS
     given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = annotate(given, "text", _SKETCH, "s", _sketch_rows(shingle), keep=["doc_id"])
+    rows = annotate(given, "text", _SKETCH, "s", _sketch_rows(shingle, registers), keep=["doc_id"])
     rows = stage(rows.select("doc_id", "s.*"), "sketches")
     sets = rows.where("n > 0 and doc_id is not null")
     classes = stage(sets.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node")), "classes")
     nodes = sets.join(classes.withColumnRenamed("node", "doc_id"), ["n", "f1", "f2", "doc_id"], "left_semi")
     nodes = stage(nodes.dropDuplicates(["doc_id", "n", "f1", "f2"]).withColumnRenamed("doc_id", "node"), "nodes")
 
-    band = F.explode(F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * ROWS + 1, ROWS)) for k in range(BANDS)]))
+    band = F.explode(F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * ROWS + 1, ROWS)) for k in range(n_bands)]))
     bands = nodes.select("node", band.alias("g"))
     shared = bands.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     members = bands.join(shared, "g").withColumn("tiles", F.ceil(F.col("k") / tile)).distinct()
@@ -258,7 +266,7 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "
     def read_sketch(items):
         return [(n, np.frombuffer(s, np.uint8)) for n, s in items]
 
-    likely = components(_connect(members, ["n", "sketch"], read_sketch, _likely(threshold), "likely"))
+    likely = components(_connect(members, ["n", "sketch"], read_sketch, _likely(threshold, registers), "likely"))
     size = F.coalesce(F.sum("n"), F.lit(0))
     likely = likely.withColumnRenamed("component", "g")
     of_group = likely.join(nodes.groupBy("node").agg(F.sum("n").alias("n")), "node").groupBy("g").agg(

@@ -169,12 +169,25 @@ def test_sketch_is_mergeable_and_estimates():
     rng = np.random.default_rng(2)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
     a, b = np.unique(pool[:2000]), np.unique(pool[500:2600])
-    sa, sb, both = near_dedup.sketches([a, b, np.union1d(a, b)])
+    sa, sb, both = near_dedup.sketches([a, b, np.union1d(a, b)], 168)
     assert (np.maximum(sa, sb) == both).all()
     j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     assert abs(near_dedup.estimate(sa, len(a), sb[None, :], np.array([len(b)]))[0] - j) < 0.12
 
 
+@pytest.mark.parametrize("threshold, bands", [(0.85, 28), (0.8, 43)])
+def test_bands_follow_the_threshold(threshold, bands):
+    assert near_dedup.bands_for(threshold) == bands
+    assert all(1 <= near_dedup.bands_for(x) < near_dedup.bands_for(x - 0.05) for x in (0.95, 0.9, 0.7, 0.5))
+    rng = np.random.default_rng(5)
+    n = 2000
+    small = rng.integers(0, 2**63, int(n * threshold)).astype(np.uint64)
+    large = np.concatenate([small, rng.integers(0, 2**63, n - len(small)).astype(np.uint64)])
+    one, two = near_dedup.sketches([np.unique(small), np.unique(large)], 20_000)
+    base = near_dedup.BASE
+    assert abs((one == two).mean() - (1 + np.log1p(-(1 - threshold) * (base - 1) / base) / np.log(base))) < 0.015
+
+
 def test_word_hashes_match_words():
     texts = [b"the the cat", None, b"", b" cat\tthe \n", "ö ö".encode(), b"x" * 5000 + b" " + b"x" * 5000]
     h, n = textsets.word_hashes(texts)
@@ -190,21 +203,50 @@ def test_components_of_a_long_chain(spark):
     assert components(edges.limit(0)).count() == 0
 
 
-def test_a_full_block_of_the_benchmark_has_bounded_tables():
+@pytest.mark.parametrize("kind", ["plain", "all different", "one letter", "one text"])
+def test_a_full_block_of_the_benchmark_has_bounded_tables(kind):
     import tracemalloc
 
     rng = random.Random(9)
     vocabulary_ = ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randrange(2, 9))) for _ in range(20_000)]
+    made = {"plain": lambda i: " ".join(rng.choice(vocabulary_) for _ in range(80)),
+            "all different": lambda i: " ".join(f"{i * 80 + k:07}" for k in range(80)),
+            "one letter": lambda i: " ".join(rng.choice("abcdefghijkl") for _ in range(80)),
+            "one text": lambda i: "the same passage of twelve words stands in each of these many items"}[kind]
     items, size = [], 0
     while size < decontaminate.BLOCK_BYTES:
-        t = " ".join(rng.choice(vocabulary_) for _ in range(80)).encode()
-        items.append((f"i{len(items)}", t))
-        size += len(t)
+        items.append((f"i{len(items)}", made(len(items)).encode()))
+        size += len(items[-1][1])
     tracemalloc.start()
-    made = decontaminate.scanners(items, decontaminate.WINDOW)
+    block = decontaminate.Block(items, decontaminate.WINDOW)
     held, peak = tracemalloc.get_traced_memory()
     tracemalloc.stop()
-    assert len(made) == 1 and peak < 300 << 20, (held >> 20, peak >> 20)
+    assert len(block.scanners) == 1 and held < 220 << 20 and peak < 750 << 20, (held >> 20, peak >> 20)
+    n, spans, found = block.hits(b"before " + items[-1][1] + b" after")
+    assert spans == [(1, n - 1)] and items[-1][0] in found and (len(found) == len(items)) == (kind == "one text")
+
+
+def test_scanner_finds_what_plain_search_finds():
+    rng = random.Random(31)
+    for _ in range(60):
+        letters = "abcdefgh"[:rng.randrange(1, 9)]
+        text = lambda n: " ".join(rng.choice(letters) for _ in range(rng.randrange(0, n)))  # noqa: E731,B023
+        window = rng.choice([1, 2, 3, 5, 10])
+        items = [(rng.choice(["x", "y", "z", None]), text(14).encode()) for _ in range(rng.randrange(0, 9))]
+        block = decontaminate.Block(items, window)
+        for _ in range(12):
+            w = text(40).split()
+            hit, found = set(), set()
+            for item, x in items:
+                x = x.decode().split()
+                size = min(window, len(x))
+                for j in range(len(x) - size + 1 if size else 0):
+                    for k in range(len(w) - size + 1):
+                        if w[k:k + size] == x[j:j + size]:
+                            hit |= set(range(k, k + size))
+                            found.add(item)
+            n, spans, got = block.hits(" ".join(w).encode())
+            assert (n, {i for a, b in spans for i in range(a, b)}, got) == (len(w), hit, found)
 
 
 @pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 120])
