@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -102,7 +102,7 @@ class Scanner:
         return (_hash(numbers, at, range(self.block)) >> self.down).astype(np.int64)
 
     def find(self, w: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Starts and patterns of all occurrences in a text's word numbers (0: a word of no item)."""
+        """Starts, in ascending order, and patterns of all occurrences in word numbers (0: a word of no item)."""
         i, n, block = self.length, len(w), self.block
         if n < i:
             return
@@ -154,19 +154,24 @@ class Block:
         self.scanners = [Scanner(size, flat, np.array(starts[size], np.int32), np.array(owners[size], np.int32))
                          for size in sorted(starts)]
 
-    def hits(self, text: bytes | None) -> tuple[int, list[tuple[int, int]], set]:
-        """Number of words, the stretches of words that are hit, the ids of the items that hit."""
-        w = words(text)
-        numbers = np.fromiter(map(self.known.get, w, repeat(0)), np.int32, len(w))
-        starts, ends, items = [], [], set()
+    def hits(self, texts: list[bytes | None]) -> list[tuple[int, list[tuple[int, int]], set]]:
+        """Of each text: number of words, the stretches of words that are hit, the ids of the items that hit."""
+        split = [words(t) for t in texts]
+        lengths = np.array([len(w) for w in split], np.int64)
+        ends = np.cumsum(lengths + 1)  # a word of no item stands behind each text, so no occurrence crosses it
+        flat = chain.from_iterable(chain(w, (b"",)) for w in split)
+        numbers = np.fromiter(map(self.known.get, flat, repeat(0)), np.int32, int(lengths.sum()) + len(split))
+        spans, items = [[] for _ in split], [set() for _ in split]
         for s in self.scanners if numbers.any() else ():
             for place, patterns in s.find(numbers):
-                place = np.unique(place)
-                starts.append(place)
-                ends.append(place + s.length)
-                items.update(s.items_of(np.unique(patterns)).tolist())
-        spans = list(zip(np.concatenate(starts).tolist(), np.concatenate(ends).tolist())) if starts else []
-        return len(w), _merge(spans), {self.ids[i] for i in items}
+                text = np.searchsorted(ends, place, "right")  # places ascend
+                parts = np.flatnonzero(np.diff(text)) + 1
+                for at, own, found in zip(*(np.split(x, parts) for x in (place, text, patterns))) if len(place) else ():
+                    k = int(own[0])
+                    first = np.unique(at - (ends[k] - lengths[k] - 1)).tolist()
+                    spans[k] += [(x, x + s.length) for x in first]
+                    items[k].update(s.items_of(np.unique(found)).tolist())
+        return [(len(w), _merge(x), {self.ids[i] for i in y}) for w, x, y in zip(split, spans, items)]
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -214,13 +219,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW,
 
     if len(parts) == 1:
         known = known_of(parts[0])
-        return annotate(docs, text, DIGEST, name, lambda: lambda ts: [_digest(*known.value.hits(t)) for t in ts], keep)
+        return annotate(docs, text, DIGEST, name, lambda: lambda ts: [_digest(*x) for x in known.value.hits(ts)], keep)
 
     def hits(known):
         def rows(ts):
             out = []
-            for t in ts:
-                n, spans, items = known.value.hits(t)
+            for t, (n, spans, items) in zip(ts, known.value.hits(ts)):
                 out.append((n, [a for a, _ in spans], [b for _, b in spans], sorted(items, key=lambda i: (i is not None, i)),
                             hashlib.sha256(t or b"").hexdigest()))
             return out

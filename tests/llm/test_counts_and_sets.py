@@ -222,7 +222,8 @@ def test_a_full_block_of_the_benchmark_has_bounded_tables(kind):
     held, peak = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert len(block.scanners) == 1 and held < 220 << 20 and peak < 750 << 20, (held >> 20, peak >> 20)
-    n, spans, found = block.hits(b"before " + items[-1][1] + b" after")
+    (n, spans, found), (_, none, _) = block.hits([b"before " + items[-1][1] + b" after", None])
+    assert not none
     assert spans == [(1, n - 1)] and items[-1][0] in found and (len(found) == len(items)) == (kind == "one text")
 
 
@@ -234,8 +235,8 @@ def test_scanner_finds_what_plain_search_finds():
         window = rng.choice([1, 2, 3, 5, 10])
         items = [(rng.choice(["x", "y", "z", None]), text(14).encode()) for _ in range(rng.randrange(0, 9))]
         block = decontaminate.Block(items, window)
-        for _ in range(12):
-            w = text(40).split()
+        texts = [text(40) for _ in range(12)]
+        for w, (n, spans, got) in zip(map(str.split, texts), block.hits([t.encode() for t in texts])):
             hit, found = set(), set()
             for item, x in items:
                 x = x.decode().split()
@@ -245,7 +246,6 @@ def test_scanner_finds_what_plain_search_finds():
                         if w[k:k + size] == x[j:j + size]:
                             hit |= set(range(k, k + size))
                             found.add(item)
-            n, spans, got = block.hits(" ".join(w).encode())
             assert (n, {i for a, b in spans for i in range(a, b)}, got) == (len(w), hit, found)
 
 
