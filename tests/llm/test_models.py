@@ -185,6 +185,26 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.3
 
 
+def test_small_batches_change_no_verdict(spark, docs_of, monkeypatch):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("some plain words of a text that is read here".split()) for _ in range(rng.choice((3, 40, 4000)))))
+            for i in range(120)] + [(200, None), (201, "")]
+    docs = docs_of(rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    before, got = spark.conf.get(name), []
+    for size in (1 << 30, 1 << 10):
+        monkeypatch.setattr(quality_lm, "BATCH_BYTES", size)
+        got.append({r.doc_id: r.v for r in quality_lm.judge(docs, labels, "v", keep=["doc_id"]).collect()})
+        assert spark.conf.get(name) == before
+    assert got[0].keys() == got[1].keys() == {i for i, _ in rows}
+    for i, one in got[0].items():  # sums over other cuts of the texts differ in the last digits
+        assert got[1][i].kept == one.kept and tuple(got[1][i]) == pytest.approx(tuple(one), rel=1e-9)
+    with pytest.raises(KeyError), quality_lm.small_batches(spark):
+        raise KeyError
+    assert spark.conf.get(name) == before
+
+
 def test_classifier_edges(spark, docs_of):
     rows = [(i, "plain words of a plain text here") for i in range(40)] + [(90, None), (91, ""), (92, "###$$$%%%" * 50), (92, "x")]
     docs = docs_of(rows)
