@@ -7,24 +7,36 @@ from pyspark.sql import DataFrame, SparkSession
 from dialstat.llm import decontaminate, mixing, near_dedup, personal_data, quality_lm
 from dialstat.llm.common import read_table, stage
 
+#: Bytes of texts that Spark hands to Python at a time, for the stages' lazy results too (Spark's own limit is 64 MB).
+BATCH_BYTES = 4 << 20
+
+
+def bounded(spark: SparkSession) -> None:
+    """Sets the session's limit on Arrow batches: executors keep the memory that large batches once took."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose perplexity under the model of trusted text is within their language's limit."""
+    bounded(spark)
     return quality_lm.accept(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the least id of each group of documents alike in 80 % of their five-word shingles."""
+    bounded(spark)
     return near_dedup.dedup(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents without a ten-word window of a benchmark item."""
+    bounded(spark)
     return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in the texts by its kind in brackets."""
+    bounded(spark)
     return personal_data.redact(docs)
 
 
