@@ -6,9 +6,9 @@ symbols, and a class emits its words by their corpus counts:
 
     P(text) = P(symbols) * product over class words of (c + 0.1) / (N_class + 0.1 (V_class + 1))
 
-Training: all word counts of the training documents; start values from a bounded sample (k-means of
-documents, then Baum-Welch rounds); then Baum-Welch rounds over all training documents. Each task
-adds up expected counts per symbol and state, Spark sums them over the tasks, and the driver gets
+Training: word counts, start values (k-means of the documents) and every Baum-Welch round read all
+training documents. Texts become symbols once, written as numbers that all passes read. Each task
+adds up counts per symbol and state, Spark sums them over the tasks, and the driver gets
 one row per symbol, a fixed number. Training sequences are pieces of ``PIECE`` tokens. Scores come
 from the scaled forward recursion over the whole text: the exact likelihood.
 
@@ -38,8 +38,8 @@ STATES = 8
 #: Words with a symbol of their own, classes of the others, and words whose counts are broadcast.
 FREQUENT, CLASSES, HEAD = 8192, 512, 1 << 16
 PIECE = 512
-#: Documents of the start sample; rounds over it and over all training documents.
-SAMPLE_DOCS, SAMPLE_ROUNDS, ROUNDS = 3000, 6, 2
+#: Rounds of k-means and of Baum-Welch, each over all training documents; most frequent symbols that k-means looks at.
+GROUPINGS, ROUNDS, COMMON = 12, 8, 400
 SUFFIX = 3
 END = b""
 
@@ -104,10 +104,15 @@ class Coder:
     def symbols(self, words: list[bytes], numbers: np.ndarray | None = None) -> np.ndarray:
         numbers = self.numbers(words) if numbers is None else numbers
         out = self.symbol[numbers]
-        for i in np.flatnonzero(numbers < 0):
-            out[i] = self.first_class + word_class(words[i])
+        other = np.flatnonzero(numbers < 0)
+        out[other] = [self.first_class + word_class(words[i]) for i in other]
         return out
 
+    @property
+    def kind(self) -> np.dtype:
+        """The least type that holds all symbols."""
+        return np.min_scalar_type(self.size)
+
 
 def _by_step(ids: np.ndarray, lengths: np.ndarray):
     """The sequences' tokens step by step, longest sequence first: order, bounds of steps, tokens."""
@@ -124,14 +129,14 @@ def _by_step(ids: np.ndarray, lengths: np.ndarray):
 def forward_scores(ids: np.ndarray, lengths: np.ndarray, start, move, emit) -> np.ndarray:
     """log10 likelihood of each sequence by the scaled forward recursion; ``emit``: symbol x state."""
     order, bounds, dealt = _by_step(ids, lengths)
-    score, a = np.zeros(len(lengths)), None
+    score, a, ones = np.zeros(len(lengths)), None, np.ones((len(start), len(start)))
     for t in range(len(bounds) - 1):
         n = bounds[t + 1] - bounds[t]
         e = emit[dealt[bounds[t]:bounds[t + 1]]]
         a = start * e if t == 0 else (a[:n] @ move) * e
-        s = a.sum(axis=1)
-        a /= s[:, None]
-        score[:n] += np.log10(s)
+        scale = a @ ones  # a row's sum, in each of its columns
+        a /= scale
+        score[:n] += np.log10(scale[:, 0])
     out = np.zeros(len(lengths))
     out[order] = score
     return out
@@ -141,34 +146,40 @@ def expected_counts(ids: np.ndarray, lengths: np.ndarray, start, move, emit):
     """Baum-Welch counts of starts, moves and (symbol, state) over the sequences."""
     _, bounds, dealt = _by_step(ids, lengths)
     k, real = len(start), np.float32
-    start, move = start.astype(real), move.astype(real)
+    start, move, ones = start.astype(real), move.astype(real), np.ones((k, k), real)
     seen = emit.astype(real)[dealt]
-    alpha, scale = np.empty((len(ids), k), real), np.empty((len(ids), 1), real)
+    alpha = np.empty_like(seen)
     for t in range(len(bounds) - 1):
         lo, hi = bounds[t], bounds[t + 1]
-        a = start * seen[lo:hi] if t == 0 else (before[:hi - lo] @ move) * seen[lo:hi]  # noqa: F821
-        s = a.sum(axis=1, keepdims=True)
-        scale[lo:hi] = s
-        before = alpha[lo:hi] = a / s
-    seen /= scale
-    moves, beta = np.zeros((k, k)), np.zeros((0, k), real)
-    for t in range(len(bounds) - 2, -1, -1):
-        lo, hi, later = bounds[t], bounds[t + 1], len(beta)
-        if later:
-            onto = seen[hi:hi + later] * beta
-            moves += (alpha[lo:lo + later].T @ onto) * move
-            beta = np.concatenate([onto @ move.T, np.ones((hi - lo - later, k), real)])
-            alpha[lo:hi] *= beta
+        a = alpha[lo:hi]
+        if t:
+            np.matmul(alpha[bounds[t - 1]:bounds[t - 1] + hi - lo], move, out=a)
+            a *= seen[lo:hi]
         else:
-            beta = np.ones((hi - lo, k), real)
-    symbols = np.stack([np.bincount(dealt, alpha[:, i], len(emit)) for i in range(k)], axis=1)
-    return alpha[:bounds[1]].sum(axis=0, dtype=float) if len(ids) else np.zeros(k), moves, symbols
-
-
-def _pieces(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    whole, rest = lengths // PIECE, lengths % PIECE
-    parts = [np.append(np.full(w, PIECE), [r] if r else []) for w, r in zip(whole, rest)]
-    return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+            np.multiply(start, seen[lo:hi], out=a)
+        scale = a @ ones  # a row's sum, in each of its columns
+        a /= scale
+        seen[lo:hi] /= scale
+    moves, beta, back = np.zeros((k, k)), np.ones((bounds[1] if len(ids) else 0, k), real), np.ascontiguousarray(move.T)
+    for t in range(len(bounds) - 3, -1, -1):
+        lo, hi, end = bounds[t:t + 3]
+        n = end - hi
+        onto = seen[hi:end]
+        onto *= beta[:n]
+        moves += alpha[lo:lo + n].T @ onto
+        np.matmul(onto, back, out=beta[:n])
+        alpha[lo:lo + n] *= beta[:n]
+    symbols = np.stack([np.bincount(dealt, a, len(emit)) for a in alpha.T.astype(float)], axis=1)
+    return alpha[:bounds[1]].sum(axis=0, dtype=float) if len(ids) else np.zeros(k), moves * move, symbols
+
+
+def _pieces(lengths: np.ndarray) -> np.ndarray:
+    """Lengths of the pieces that sequences of these lengths are cut into."""
+    lengths = lengths[lengths > 0]
+    pieces = -(-lengths // PIECE)
+    out = np.full(pieces.sum(), PIECE, np.int64)
+    out[np.cumsum(pieces) - 1] = lengths - (pieces - 1) * PIECE
+    return out
 
 
 def _maximise(starts, moves, symbols, unigram):
@@ -179,62 +190,95 @@ def _maximise(starts, moves, symbols, unigram):
     return start, move, emit / emit.sum(axis=0)
 
 
-def baum_welch_round(texts: DataFrame, coder, model, text: str = "text"):
-    """One round over ``texts``: expected counts summed over tasks by symbol, then new probabilities."""
-    k = len(model[0])
-
+def _coded(batches, kind: np.dtype, limit: int = 300_000):
+    """(symbols, lengths) of some documents at a time, about ``limit`` tokens (a longer document stands alone)."""
+    for b in batches:
+        col = b.column(0).cast(pa.large_binary())
+        if not len(col):
+            continue
+        _, offsets, data = col.buffers()
+        at = np.frombuffer(offsets, np.int64)[col.offset:col.offset + len(col) + 1]
+        ids = np.frombuffer(data, np.uint8)[at[0]:at[-1]].view(kind)
+        at = (at - at[0]) // kind.itemsize
+        lo = 0
+        while lo < len(col):
+            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + limit, "right")) - 1)
+            yield ids[at[lo]:at[hi]], np.diff(at[lo:hi + 1])
+            lo = hi
+
+
+def _added(coded: DataFrame, k: int, count) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all documents of what ``count`` finds in a task's batches, (keys, one row of k values each)."""
     def run(batches):
-        total = [np.zeros(k), np.zeros((k, k)), np.zeros((coder.value.size, k))]
-        for b in batches:
-            docs = b.column(0).cast(pa.binary()).to_pylist()
-            held, size = [], 0
-            for i, t in enumerate(docs):
-                held.append(coder.value.symbols(tokens(t)))
-                size += len(held[-1])
-                if size > 300_000 or i + 1 == len(docs):
-                    ids, lengths = np.concatenate(held), np.array([len(x) for x in held])
-                    for into, part in zip(total, expected_counts(ids, _pieces(ids, lengths), *model)):
-                        into += part
-                    held, size = [], 0
-        # symbol -1: starts, -2 - i: moves from state i
-        seen = np.flatnonzero(total[2].any(axis=1))
-        keys = np.concatenate([[-1], -2 - np.arange(k), seen])
-        values = np.vstack([total[0][None, :], total[1], total[2][seen]])
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[pa.array(values[:, i]) for i in range(k)]],
+        keys, values = count(batches)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[pa.array(values[:, i], pa.float64()) for i in range(k)]],
                                          names=["symbol", *[f"s{i}" for i in range(k)]])
 
     schema = "symbol long, " + ", ".join(f"s{i} double" for i in range(k))
-    sums = texts.select(f"`{text}`").mapInArrow(run, schema).groupBy("symbol").agg(
+    sums = coded.select("symbols").mapInArrow(run, schema).groupBy("symbol").agg(
         *[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]).toPandas().sort_values("symbol")
-    starts, moves, symbols = np.zeros(k), np.zeros((k, k)), np.zeros((coder.value.size, k))
-    for row in sums.itertuples(index=False):
-        at, v = int(row[0]), np.array(row[1:], float)
-        if at >= 0:
-            symbols[at] = v
-        elif at == -1:
-            starts = v
-        else:
-            moves[-2 - at] = v
-    return starts, moves, symbols
-
-
-def _first_model(texts: list[bytes | None], coder: Coder, states: int, unigram: np.ndarray):
-    """Start values: documents of the sample in ``states`` groups by k-means over frequent words."""
-    rng = np.random.default_rng(11)
-    width = min(coder.first_class, 400)
-    bags = np.stack([np.bincount(s[s < width], minlength=width) for s in (coder.symbols(tokens(t)) for t in texts)]).astype(float)
-    bags = np.sqrt(bags / np.maximum(bags.sum(axis=1, keepdims=True), 1))
-    centres = bags[rng.choice(len(bags), states, replace=len(bags) < states)]
-    for _ in range(12):
-        near = (bags @ centres.T).argmax(axis=1)
-        for i in range(states):
-            if (near == i).any():
-                centres[i] = bags[near == i].mean(axis=0)
-                centres[i] /= max(np.linalg.norm(centres[i]), 1e-9)
-    symbols = np.zeros((coder.size, states))
-    for t, i in zip(texts, near):
-        symbols[:, i] += np.bincount(coder.symbols(tokens(t)), minlength=coder.size)
-    return _maximise(np.ones(states), np.eye(states) * 100 + 1, symbols, unigram * 10)
+    return sums["symbol"].to_numpy(np.int64), sums.drop(columns="symbol").to_numpy(float)
+
+
+def baum_welch_round(coded: DataFrame, size: int, kind: np.dtype, model):
+    """One round over ``coded``: expected counts summed over tasks by symbol."""
+    k = len(model[0])
+
+    def count(batches):
+        total = [np.zeros(k), np.zeros((k, k)), np.zeros((size, k))]
+        for ids, lengths in _coded(batches, kind):
+            for into, part in zip(total, expected_counts(ids, _pieces(lengths), *model)):
+                into += part
+        # symbol -1: starts, -2 - i: moves from state i
+        seen = np.flatnonzero(total[2].any(axis=1))
+        return np.concatenate([[-1], -2 - np.arange(k), seen]), np.vstack([total[0][None, :], total[1], total[2][seen]])
+
+    keys, values = _added(coded, k, count)
+    symbols = np.zeros((size, k))
+    symbols[keys[keys >= 0]] = values[keys >= 0]
+    return values[keys == -1][0], values[keys <= -2][::-1], symbols
+
+
+def _bags(ids: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
+    """Of each document the roots of its shares of the ``width`` most frequent symbols."""
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    common = ids < width
+    bags = np.bincount(doc[common] * width + ids[common], minlength=len(lengths) * width).reshape(len(lengths), width)
+    return np.sqrt((bags / np.maximum(bags.sum(axis=1, keepdims=True), 1)).astype(np.float32))
+
+
+def _first_model(coded: DataFrame, size: int, kind: np.dtype, width: int, states: int, unigram: np.ndarray):
+    """Start values: all documents of ``coded`` in ``states`` groups by k-means over frequent words.
+
+    The first centres are the documents of least hash, different ones as long as there are.
+    """
+    least = coded.orderBy("draw", "symbols").limit(8 * states).select("symbols").collect()
+    drawn = list(dict.fromkeys(bytes(r.symbols) for r in least))
+    first = [np.frombuffer(drawn[i % len(drawn)], kind) for i in range(states)]
+    centres = np.vstack([_bags(ids, np.array([len(ids)]), width) for ids in first])
+
+    def nearest(batches):
+        for ids, lengths in _coded(batches, kind):
+            bags = _bags(ids, lengths, width)
+            yield ids, lengths, bags, (bags @ centres.T).argmax(axis=1)
+
+    def grouped(batches):
+        total = np.zeros((width, states))
+        for _, _, bags, near in nearest(batches):
+            total += bags.T @ (near[:, None] == np.arange(states)).astype(np.float32)
+        return np.arange(width), total
+
+    def by_symbol(batches):
+        total = np.zeros(size * states, np.int64)
+        for ids, lengths, _, near in nearest(batches):
+            total += np.bincount(ids.astype(np.int64) * states + np.repeat(near, lengths), minlength=size * states)
+        return np.arange(size), total.reshape(size, states)
+
+    for _ in range(GROUPINGS - 1):
+        sums = _added(coded, states, grouped)[1].T
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(length > 0, sums / np.maximum(length, 1e-9), centres).astype(np.float32)
+    return _maximise(np.ones(states), np.eye(states) * 100 + 1, _added(coded, states, by_symbol)[1], unigram * 10)
 
 
 def _head(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
@@ -258,8 +302,8 @@ def _head(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
 
 # ---- operator --------------------------------------------------------------------------------
 
-_ROW = struct_of(n_tokens=T.LongType(), known=T.LongType(), base=T.DoubleType(), model=T.DoubleType(),
-                 tail=T.ArrayType(T.BinaryType()), times=T.ArrayType(T.LongType()))
+_ROW = struct_of(n_tokens=T.LongType(), known=T.LongType(), base=T.DoubleType(), inside=T.DoubleType(),
+                 symbols=T.BinaryType(), tail=T.ArrayType(T.BinaryType()), times=T.ArrayType(T.LongType()))
 
 
 def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states: int = STATES,
@@ -268,7 +312,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states:
     spark = docs.sparkSession
     fold = F.pmod(F.crc32(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit(""))), F.lit(10))
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"),
-                       (fold == 0).alias("held_out"))
+                       (fold == 0).alias("held_out"), F.xxhash64(F.lit("start"), F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("draw"))
     train = rows.where("not held_out")
     counts = stage(word_counts(train), "markov-counts")
     n, v = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
@@ -276,6 +320,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states:
     top = _head(counts, head)
     end = counts.where(F.col("token") == F.lit(END)).first()
     coder = Coder([w for w, _ in top], frequent)
+    kind = coder.kind
     numbered = np.array([end.c if end else 0, *(c for _, c in top)], np.int64)
     own = numbered[:coder.first_class]
 
@@ -298,44 +343,45 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states:
     unigram /= unigram.sum()
 
     known = spark.sparkContext.broadcast(coder)
-    share = F.pmod(F.xxhash64(F.lit("start"), "doc_id", "text"), F.lit(1 << 20))
-    part = min(1.0, SAMPLE_DOCS / max(end.c if end else 1, 1))
-    sample = stage(train.where(share < int(part * (1 << 20))).select("text"), "markov-sample")
-    start_docs = [r.text.encode() if r.text else None for r in sample.limit(SAMPLE_DOCS * 2).toLocalIterator()]
-    if start_docs:
-        model = _first_model(start_docs, coder, states, unigram)
-        for _ in range(SAMPLE_ROUNDS):
-            model = _maximise(*baum_welch_round(sample, known, model), unigram)
-        for _ in range(ROUNDS):
-            model = _maximise(*baum_welch_round(train, known, model), unigram)
-    else:
-        model = _maximise(np.ones(states), np.ones((states, states)), np.ones((coder.size, states)), unigram)
-
     floor = n + 0.1 * (v + 1)
     base = np.log10((numbered + 0.1) / floor)
     inside = np.zeros(len(numbered))
     for i in range(coder.first_class, len(numbered)):
         inside[i] = np.log10((numbered[i] + 0.1) / bottom[coder.symbol[i] - coder.first_class])
 
-    def make():
+    def code():
         def work(texts):
-            coded, out = [], []
+            out = []
             for t in texts:
                 words = tokens(t)
                 numbers = known.value.numbers(words)
-                coded.append(known.value.symbols(words, numbers))
+                symbols = known.value.symbols(words, numbers).astype(kind).tobytes()
                 rest = Counter([words[i] for i in np.flatnonzero(numbers < 0)])
                 numbers = numbers[numbers >= 0]
                 out.append((len(words), int((numbered[numbers] > 0).sum()), float(base[numbers].sum()),
-                            float(inside[numbers].sum()), list(rest.keys()), list(rest.values())))
-            ids, lengths = np.concatenate(coded), np.array([len(x) for x in coded])
-            exact = forward_scores(ids, lengths, *model)
-            return [(a, b, c, d + float(s), e, f) for (a, b, c, d, e, f), s in zip(out, exact)]
+                            float(inside[numbers].sum()), symbols, list(rest.keys()), list(rest.values())))
+            return out
+
+        return work
+
+    made = annotate(rows, "text", _ROW, "r", code, keep=["doc_id", "held_out", "draw"])
+    made = stage(made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "draw", "r.*"), "markov-rows")
+    if n:
+        train = made.where("not held_out")
+        model = _first_model(train, coder.size, kind, min(coder.first_class, COMMON), states, unigram)
+        for _ in range(ROUNDS):
+            model = _maximise(*baum_welch_round(train, coder.size, kind, model), unigram)
+    else:
+        model = _maximise(np.ones(states), np.ones((states, states)), np.ones((coder.size, states)), unigram)
+
+    def score():
+        def work(coded):
+            ids = np.frombuffer(b"".join(coded), kind)
+            lengths = np.array([len(c) // kind.itemsize for c in coded])
+            return [(float(s),) for s in forward_scores(ids, lengths, *model)]
 
         return work
 
-    made = annotate(rows, "text", _ROW, "r", make, keep=["doc_id", "held_out"], limit=8 << 20)
-    made = stage(made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "r.*"), "markov-rows")
     tail = made.select("row", F.explode(F.arrays_zip("tail", "times")).alias("x")).select(
         "row", F.col("x.tail").alias("token"), F.col("x.times").alias("times"))
     totals = F.element_at(F.array(*[F.lit(float(x)) for x in bottom]), _class_col(F.col("token")) + 1)
@@ -345,10 +391,12 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states:
         F.sum(F.col("times") * F.log10((F.col("c") + 0.1) / F.lit(floor))).alias("t_base"),
         F.sum(F.col("times") * F.log10((F.col("c") + 0.1) / totals)).alias("t_model"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return made.join(sums, "row", "left").select(
+    scored = annotate(made, "symbols", struct_of(model=T.DoubleType()), "m", score, limit=4 << 20,
+                      keep=["row", "doc_id", "held_out", "n_tokens", "known", "base", "inside"])
+    return scored.join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + zero("t_known")).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + zero("t_base")).alias("base_score"),
-        (F.col("model") + zero("t_model")).alias("score"))
+        (F.col("m.model") + F.col("inside") + zero("t_model")).alias("score"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -74,6 +74,47 @@ def test_scores_base_and_held_out_gain(spark, docs_of, head, frequent):
     assert markov_scores.scores(docs_of(rows).limit(0)).count() == 0
 
 
+def test_start_values_come_from_all_training_documents(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(markov_scores, "ROUNDS", 0)
+    rows = [(i, f"a w{i % 50} w{i * i % 50}") for i in range(5000)]
+    got = markov_scores.scores(docs_of(rows), states=1).collect()
+    seen = [x for i, t in rows if zlib.crc32(str(i).encode()) % 10 for x in markov_scores.tokens(t.encode())]
+    counts = {x: seen.count(x) for x in set(seen)}
+    unigram = {x: (c + 0.1) / (len(seen) + 0.1 * (len(counts) + markov_scores.CLASSES)) for x, c in counts.items()}
+    chance = {x: np.log10((c + 200 * unigram[x]) / (len(seen) + 200)) for x, c in counts.items()}
+    for r in got:
+        assert r.score == pytest.approx(sum(chance[x] for x in markov_scores.tokens(rows[r.doc_id][1].encode())), rel=1e-6)
+
+
+def test_first_groups_equal_plain_k_means(spark):
+    rng = np.random.default_rng(4)
+    docs = [np.append(rng.choice(np.arange(1, 20) if i % 2 else np.arange(15, 40), rng.integers(1, 900)), 0).astype(np.uint16) for i in range(120)]
+    coded = spark.createDataFrame([(i, bytearray(d.tobytes())) for i, d in enumerate(docs)], "draw long, symbols binary").repartition(3)
+    unigram = np.full(40, 1 / 40)
+    got = markov_scores._first_model(coded, 40, np.dtype(np.uint16), 30, 2, unigram)
+    bags = np.array([[np.sqrt((d == w).sum() / max((d < 30).sum(), 1)) for w in range(30)] for d in docs])
+    centres = bags[:2]
+    for _ in range(markov_scores.GROUPINGS):
+        near = (bags @ centres.T).argmax(axis=1)
+        centres = np.array([bags[near == g].mean(axis=0) for g in range(2)])
+        centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    symbols = np.array([np.bincount(np.concatenate([d for d, n in zip(docs, near) if n == g]), minlength=40) for g in range(2)]).T
+    assert got[2] == pytest.approx(markov_scores._maximise(np.ones(2), np.eye(2), symbols, unigram * 10)[2])
+    copies = spark.createDataFrame([(7, bytearray(docs[0].tobytes()))] * 5, "draw long, symbols binary")
+    assert np.isfinite(markov_scores._first_model(copies, 40, np.dtype(np.uint16), 30, 3, unigram)[2]).all()
+
+
+def test_coded_documents_are_cut_between_documents():
+    import pyarrow as pa
+
+    docs = [np.arange(n, dtype=np.uint16) for n in (3, 0, 5, 40, 1, 2)]
+    batch = pa.RecordBatch.from_arrays([pa.array([d.tobytes() for d in docs], pa.binary())], names=["symbols"])
+    parts = list(markov_scores._coded([batch.slice(1), batch.slice(6)], np.dtype(np.uint16), 8))
+    assert [p[1].tolist() for p in parts] == [[0, 5], [40], [1, 2]]
+    assert np.concatenate([p[0] for p in parts]).tolist() == np.concatenate(docs[1:]).tolist()
+    assert markov_scores._pieces(np.array([512, 0, 3, 1030])).tolist() == [512, 3, 512, 512, 6]
+
+
 def test_held_out_score_beats_the_unigram(spark):
     rows = markov_scores.query(spark, SF).where("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
