@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialstat.llm.common import ROWS_AT_ONCE, annotate, read_table, stage, struct_of
+from dialstat.llm.common import ROWS_AT_ONCE, annotate, read_table, small_batches, stage, struct_of
 
 LETTERS = "ABCDE"
 MIN_WORDS = 200
 PREFIX, RANGE_BYTES, HELD_BYTES, HOT = 64, 16 << 20, 32 << 20, 1000
+#: Bytes of rows that Spark hands to Python at a time (a longer row is handed over alone).
+BATCH_BYTES = 4 << 20
 _CAPITALS, _INNER, _MARKS = bytes(range(65, 91)), bytes(range(0x80, 0xC0)), b"#$%&*|"
 
 
@@ -167,13 +169,15 @@ def masks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     doc = F.col(f"`{doc_id}`").cast("long")
     given = docs.select(doc.alias("doc"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("")).alias("part"),
                         key.alias("key"), body.alias("text"))
-    rows = stage(annotate(given, "text", struct_of(m=T.IntegerType(), size=T.LongType()), "found",
-                          lambda: lambda ts: [(text_mask(t), len(t)) for t in ts], keep=["doc", "part", "key"])
-                 .select("doc", "part", "key", "found.m", "found.size"), "audit-masks")
+    found = annotate(given, "text", struct_of(m=T.IntegerType(), size=T.LongType()), "found",
+                     lambda: lambda ts: [(text_mask(t), len(t)) for t in ts], keep=["doc", "part", "key"])
+    with small_batches(docs.sparkSession, BATCH_BYTES):
+        rows = stage(found.select("doc", "part", "key", "found.m", "found.size"), "audit-masks")
     of = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
     ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(of["size"] or 0) // RANGE_BYTES))
     dealt = _distinct(given.select("text", "key", "doc")).repartitionByRange(ranges, F.substring("text", 1, PREFIX), "key")
-    twice = stage(_repeated(dealt), "audit-repeated")
+    with small_batches(docs.sparkSession, BATCH_BYTES):
+        twice = stage(_repeated(dealt), "audit-repeated")
     hot = F.col("n") > of["n"] / HOT  # so at most HOT texts
     late = (F.col("n") > 1) & F.coalesce(F.col("doc") > F.col("least"), F.col("doc").isNull() & F.col("least").isNotNull())
     mask = (F.col("m") + F.when(F.coalesce(late, F.lit(False)), 1 << LETTERS.index("E")).otherwise(0)).alias("mask")

@@ -29,8 +29,7 @@ verdict; a document labelled several times is trusted if one label says so.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dialstat.llm import common
 from dialstat.llm.common import annotate, fresh, read_table, slices, stage, struct_of
 
 ORDER, UNITS = 4, 48
@@ -389,16 +389,9 @@ def scorer(rows, model, shards):
     return score
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Work that runs inside gets its Arrow batches of ``BATCH_BYTES`` at most, not of 10,000 texts; the setting is put back."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    old = spark.conf.get(name)
-    spark.conf.set(name, BATCH_BYTES)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, old)
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Work that runs inside gets its Arrow batches of ``BATCH_BYTES`` at most; the setting is put back."""
+    return common.small_batches(spark, BATCH_BYTES)
 
 
 _SCORE = struct_of(n_bytes=T.LongType(), log_p=T.DoubleType(), log_c=T.DoubleType())

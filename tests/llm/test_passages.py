@@ -218,3 +218,22 @@ def test_audit_brute_force(spark, docs_of):
     for r in got:
         assert tuple(r)[4:10] == want[r.part, r.filter_order, r.step], r
         assert r.shapley == shapley[r.part, r.letter] and r.letter == r.filter_order[r.step - 1]
+
+
+def test_audit_hands_small_batches_to_python(spark, docs_of, monkeypatch):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = [(i, f"word{i % 40} " * 300, "en", "s") for i in range(200)]
+    docs, labels = docs_of(rows), spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    before, limits, stage = spark.conf.get(name), {}, filter_audit.stage
+
+    def noted(df, at):
+        limits[at] = spark.conf.get(name)
+        return stage(df, at)
+
+    monkeypatch.setattr(filter_audit, "stage", noted)
+    got = []
+    for size in (4 << 20, 1 << 10):
+        monkeypatch.setattr(filter_audit, "BATCH_BYTES", size, raising=False)
+        got.append(sorted(map(tuple, filter_audit.audit(docs, labels).collect())))
+        assert limits["audit-masks"] == limits["audit-repeated"] == str(size) and spark.conf.get(name) == before
+    assert got[0] == got[1] and len(got[0]) == 600
