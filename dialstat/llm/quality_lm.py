@@ -50,6 +50,8 @@ SHARD_BYTES, TEXT_BYTES = 32 << 20, 512 << 10
 SHARD_WORDS, SHARD_TEXT, BLOCK_BYTES = 1 << 20, 24 << 20, 8 << 20
 #: Bytes of rows that Spark hands to Python at a time while it scores (a longer row is handed over alone).
 BATCH_BYTES = 4 << 20
+#: Shards give sums of log10 probabilities as whole numbers of its reciprocal, so their order changes nothing.
+UNIT_OF_LOG = float(1 << 32)
 BOS, UNKNOWN, FIRST = 0, 1, 2  # numbers of the start of a text, of unknown words, of the first known word
 
 
@@ -576,7 +578,7 @@ class _Shard:
     def tables(self, d2, d3):
         """The arguments of ``_interpolated`` after the size."""
         add = lambda x, at: np.add.reduceat(x, at) if len(at) else np.zeros(0)
-        sums = (add(self.c3, self.context_at), add(d3[np.minimum(self.c3, 3)], self.context_at), self.c3, self.c2)
+        sums = (add(self.c3, self.context_at), add(d3[np.minimum(self.c3, 3)], self.context_at).astype(np.float32), self.c3, self.c2)
         v = self.bi // self.size
         n = int(v.max(initial=-1)) + 1
         return [self.uv, self.tri, self.bi], sums, (np.bincount(v, self.c2, n), np.bincount(v, d2[np.minimum(self.c2, 3)], n)), (d2, d3)
@@ -611,8 +613,8 @@ def _shard_sums(rows, size: int, one, d2, d3):
                 p, known = one[w], v < n  # a word that trusted text has not before another gives the lowest order
                 p[known] = _interpolated(u[known], v[known], w[known], p[known], size, *tables)
                 docs, at = np.unique(doc, return_inverse=True)
-                sums = np.bincount(at, np.log10(p), len(docs)).astype(np.float32)
-                payload = _pack(np.diff(docs, prepend=0), sums.view(np.uint32).astype(np.int64))
+                sums = np.rint(np.bincount(at, -np.log10(p), len(docs)) * UNIT_OF_LOG)
+                payload = _pack(np.diff(docs, prepend=0), np.maximum(sums, 0).astype(np.int64))
             yield block, kind, payload
 
 
@@ -620,11 +622,11 @@ def _block_sums(table: pa.Table) -> pa.Table:
     """(key, s) of one block's rows (block, kind, payload)."""
     rows = list(zip(table["kind"].to_pylist(), table["payload"].to_pylist()))
     keys = next(np.frombuffer(p, np.int64) for kind, p in rows if kind == _KEYS)
-    total = np.zeros(len(keys))
-    for payload in sorted(p for kind, p in rows if kind == _TRIGRAMS):
-        steps, bits = _unpack(payload)
-        total[np.cumsum(steps)] += bits.astype(np.uint32).view(np.float32)
-    return pa.table({"key": pa.array(keys), "s": pa.array(total)})
+    total = np.zeros(len(keys), np.int64)
+    for payload in (p for kind, p in rows if kind == _TRIGRAMS):
+        steps, sums = _unpack(payload)
+        total[np.cumsum(steps)] += sums
+    return pa.table({"key": pa.array(keys), "s": pa.array(total / -UNIT_OF_LOG)})
 
 
 def _shuffled(packed: DataFrame, n_shards: int) -> RDD:
