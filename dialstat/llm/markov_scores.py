@@ -22,12 +22,11 @@ rows repeated each get their result.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
-from itertools import repeat
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +37,8 @@ STATES = 8
 #: Words with a symbol of their own, classes of the others, and words whose counts are broadcast.
 FREQUENT, CLASSES, HEAD = 8192, 512, 1 << 16
 PIECE = 512
+#: Text whose words are counted, and are coded, at a time; steps of the forward recursion between two scalings.
+COUNT_BYTES, CODE_BYTES, SCALED = 16 << 20, 8 << 20, 8
 #: Rounds of k-means and of Baum-Welch, each over all training documents; most frequent symbols that k-means looks at.
 GROUPINGS, ROUNDS, COMMON = 12, 8, 400
 SUFFIX = 3
@@ -48,8 +49,57 @@ def tokens(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
 
-def word_class(word: bytes) -> int:
-    return zlib.crc32(word[-SUFFIX:]) % CLASSES
+def _lowered(column: pa.Array) -> pa.Array:
+    """The column's bytes, A-Z lower-cased, as unchecked strings from offset 0 without nulls, as Arrow's ASCII functions need them."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    data = memoryview(data or b"")[at[0]:at[-1]].tobytes().lower()
+    return pa.Array.from_buffers(pa.large_string(), len(column), [None, pa.py_buffer(at - at[0]), pa.py_buffer(data)])
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, and their number in each text: ``tokens`` without the ends."""
+    lists = pc.ascii_split_whitespace(_lowered(texts))
+    words, n = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    empty = pc.equal(words, "").to_numpy(zero_copy_only=False)
+    if empty.any():  # beside white space at a text's ends
+        n -= np.bincount(np.repeat(np.arange(len(n)), n)[empty], minlength=len(n))
+        words = words.filter(pa.array(~empty))
+    return words, n
+
+
+def _parts(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``limit`` bytes at most (a longer text stands alone)."""
+    ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def word_classes(words: pa.Array) -> np.ndarray:
+    """The class of each word, from the CRC-32 of its last ``SUFFIX`` bytes, as ``_class_col`` gives it."""
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(data or b"", np.uint8)
+    crc = np.full(len(words), 0xFFFFFFFF, np.uint32)
+    for back in range(SUFFIX, 0, -1):
+        here = np.flatnonzero(np.diff(at) >= back)
+        crc[here] = _CRC[(crc[here] ^ data[at[1:][here] - back]) & 0xFF] ^ (crc[here] >> 8)
+    return (~crc % CLASSES).astype(np.int64)
 
 
 def _class_col(token: F.Column) -> F.Column:
@@ -58,23 +108,16 @@ def _class_col(token: F.Column) -> F.Column:
 
 # ---- corpus counts ---------------------------------------------------------------------------
 
-def word_counts(texts: DataFrame, text: str = "text", flush: int = 300_000) -> DataFrame:
-    """(token: binary, c) over all texts; tasks add up before the shuffle, ``flush`` words at a time."""
+def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
+    """(token: binary, c) over all texts; tasks add up before the shuffle, ``COUNT_BYTES`` of text at a time."""
     def run(batches):
-        held: Counter = Counter()
-
-        def rows():
-            return pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.binary()),
-                                               pa.array(list(held.values()), pa.int64())], names=["token", "n"])
-
         for b in batches:
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                held.update(tokens(t))
-                if len(held) > flush:
-                    yield rows()
-                    held.clear()
-        if held:
-            yield rows()
+            column = b.column(0)
+            for lo, hi in _parts(column, COUNT_BYTES):
+                found = pc.value_counts(split_words(column.slice(lo, hi - lo))[0])
+                yield pa.RecordBatch.from_arrays([
+                    pa.concat_arrays([found.field(0).cast(pa.large_binary()), pa.array([END], pa.large_binary())]).cast(pa.binary()),
+                    pa.concat_arrays([found.field(1), pa.array([hi - lo], pa.int64())])], names=["token", "n"])
 
     parts = texts.select(f"`{text}`").mapInArrow(run, "token binary, n long")
     return parts.groupBy("token").agg(F.sum("n").alias("c"))
@@ -90,22 +133,21 @@ class Coder:
     """
 
     def __init__(self, head: list[bytes], frequent: int):
-        self.number = {END: 0} | {w: i + 1 for i, w in enumerate(head)}
+        self.head = pa.array(head, pa.large_binary())
         self.first_class = min(len(head), frequent) + 1
         self.size = self.first_class + CLASSES
         self.symbol = np.arange(len(head) + 1, dtype=np.int32)
-        for i in range(self.first_class, len(head) + 1):
-            self.symbol[i] = self.first_class + word_class(head[i - 1])
+        self.symbol[self.first_class:] = self.first_class + word_classes(self.head.slice(self.first_class - 1))
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """The tokens' numbers, -1 for words that are not broadcast."""
-        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int32, len(words))
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The words' numbers, -1 for words that are not broadcast."""
+        at = pc.index_in(words.cast(pa.large_binary()), value_set=self.head).fill_null(-2)
+        return at.to_numpy(zero_copy_only=False) + 1
 
-    def symbols(self, words: list[bytes], numbers: np.ndarray | None = None) -> np.ndarray:
-        numbers = self.numbers(words) if numbers is None else numbers
+    def symbols(self, words: pa.Array, numbers: np.ndarray) -> np.ndarray:
         out = self.symbol[numbers]
         other = np.flatnonzero(numbers < 0)
-        out[other] = [self.first_class + word_class(words[i]) for i in other]
+        out[other] = self.first_class + word_classes(words.take(pa.array(other)))
         return out
 
     @property
@@ -133,10 +175,20 @@ def forward_scores(ids: np.ndarray, lengths: np.ndarray, start, move, emit) -> n
     for t in range(len(bounds) - 1):
         n = bounds[t + 1] - bounds[t]
         e = emit[dealt[bounds[t]:bounds[t + 1]]]
-        a = start * e if t == 0 else (a[:n] @ move) * e
-        scale = a @ ones  # a row's sum, in each of its columns
-        a /= scale
-        score[:n] += np.log10(scale[:, 0])
+        if t == 0:
+            a = start * e
+        elif t % SCALED:
+            if n < len(a):  # the others end here
+                score[n:len(a)] += np.log10(a[n:].sum(axis=1))
+            a = a[:n] @ move
+            a *= e
+        else:
+            scale = a @ ones  # a row's sum, in each of its columns
+            score[:len(a)] += np.log10(scale[:, 0])
+            a = (a[:n] / scale[:n]) @ move
+            a *= e
+    if a is not None:
+        score[:len(a)] += np.log10(a.sum(axis=1))
     out = np.zeros(len(lengths))
     out[order] = score
     return out
@@ -169,7 +221,11 @@ def expected_counts(ids: np.ndarray, lengths: np.ndarray, start, move, emit):
         moves += alpha[lo:lo + n].T @ onto
         np.matmul(onto, back, out=beta[:n])
         alpha[lo:lo + n] *= beta[:n]
-    symbols = np.stack([np.bincount(dealt, a, len(emit)) for a in alpha.T.astype(float)], axis=1)
+    symbols, dealt = np.zeros((k, len(emit))), dealt.astype(np.intp)
+    for lo in range(0, len(dealt), 1 << 14):  # transposed in pieces that stay in the cache
+        for i, a in enumerate(alpha[lo:lo + (1 << 14)].T.astype(float, order="C")):
+            symbols[i] += np.bincount(dealt[lo:lo + (1 << 14)], a, len(emit))
+    symbols = symbols.T
     return alpha[:bounds[1]].sum(axis=0, dtype=float) if len(ids) else np.zeros(k), moves * move, symbols
 
 
@@ -306,6 +362,26 @@ _ROW = struct_of(n_tokens=T.LongType(), known=T.LongType(), base=T.DoubleType(),
                  symbols=T.BinaryType(), tail=T.ArrayType(T.BinaryType()), times=T.ArrayType(T.LongType()))
 
 
+def _coded_texts(texts: pa.Array, coder: Coder, numbered: np.ndarray, base: np.ndarray, inside: np.ndarray) -> list[pa.Array]:
+    """The columns ``_ROW`` of some texts: what the broadcast words give, the symbols, and the other words with their counts."""
+    words, n = split_words(texts)
+    doc = np.repeat(np.arange(len(n)), n)
+    numbers = coder.numbers(words)
+    symbols = np.zeros(len(words) + len(n), coder.kind)  # a text's end is symbol 0
+    symbols[np.arange(len(words)) + doc] = coder.symbols(words, numbers)
+    ends = np.concatenate([[0], np.cumsum((n + 1) * coder.kind.itemsize)]).astype(np.int32)
+    coded = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(symbols)])
+    own = numbers >= 0
+    add = lambda x: np.bincount(doc[own], x[numbers[own]], len(n)) + x[0]
+    rest = words.filter(pa.array(~own)).dictionary_encode()
+    size = max(len(rest.dictionary), 1)
+    keys, times = np.unique(doc[~own] * size + rest.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    cuts = pa.array(np.searchsorted(keys // size, np.arange(len(n) + 1)), pa.int32())
+    tail = rest.dictionary.take(pa.array(keys % size)).cast(pa.large_binary()).cast(pa.binary())
+    return [pa.array(n + 1), pa.array(add((numbered > 0).astype(float)).astype(np.int64)), pa.array(add(base)), pa.array(add(inside)),
+            coded, pa.ListArray.from_arrays(cuts, tail), pa.ListArray.from_arrays(cuts, pa.array(times, pa.int64()))]
+
+
 def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states: int = STATES,
            head: int = HEAD, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
@@ -349,23 +425,17 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states:
     for i in range(coder.first_class, len(numbered)):
         inside[i] = np.log10((numbered[i] + 0.1) / bottom[coder.symbol[i] - coder.first_class])
 
-    def code():
-        def work(texts):
-            out = []
-            for t in texts:
-                words = tokens(t)
-                numbers = known.value.numbers(words)
-                symbols = known.value.symbols(words, numbers).astype(kind).tobytes()
-                rest = Counter([words[i] for i in np.flatnonzero(numbers < 0)])
-                numbers = numbers[numbers >= 0]
-                out.append((len(words), int((numbered[numbers] > 0).sum()), float(base[numbers].sum()),
-                            float(inside[numbers].sum()), symbols, list(rest.keys()), list(rest.values())))
-            return out
-
-        return work
-
-    made = annotate(rows, "text", _ROW, "r", code, keep=["doc_id", "held_out", "draw"])
-    made = stage(made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "draw", "r.*"), "markov-rows")
+    def code(batches):
+        for b in batches:
+            for lo, hi in _parts(b.column(0), CODE_BYTES):
+                part = b.slice(lo, hi - lo)
+                made = _coded_texts(part.column(0), known.value, numbered, base, inside)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *made], schema=pa.schema(
+                    [*list(part.schema)[1:], *zip(_ROW.names, [x.type for x in made])]))
+
+    kept = rows.select("doc_id", "held_out", "draw")
+    made = rows.select("text", *kept.columns).mapInArrow(code, T.StructType([*kept.schema.fields, *_ROW.fields]))
+    made = stage(made.select(F.monotonically_increasing_id().alias("row"), "*"), "markov-rows")
     if n:
         train = made.where("not held_out")
         model = _first_model(train, coder.size, kind, min(coder.first_class, COMMON), states, unigram)
@@ -391,7 +461,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states:
         F.sum(F.col("times") * F.log10((F.col("c") + 0.1) / F.lit(floor))).alias("t_base"),
         F.sum(F.col("times") * F.log10((F.col("c") + 0.1) / totals)).alias("t_model"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    scored = annotate(made, "symbols", struct_of(model=T.DoubleType()), "m", score, limit=4 << 20,
+    scored = annotate(made, "symbols", struct_of(model=T.DoubleType()), "m", score, limit=4 << 20, at_once=10_000,
                       keep=["row", "doc_id", "held_out", "n_tokens", "known", "base", "inside"])
     return scored.join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + zero("t_known")).alias("n_known"),

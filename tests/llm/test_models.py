@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -104,6 +105,64 @@ def test_first_groups_equal_plain_k_means(spark):
     assert np.isfinite(markov_scores._first_model(copies, 40, np.dtype(np.uint16), 30, 3, unigram)[2]).all()
 
 
+def test_words_of_a_batch_equal_the_tokens_of_each_text():
+    rng = random.Random(5)
+    parts = [b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b"\x00", b"\x1f", b"\x85", b"\xa0", b"\xff", b"A", b"Z", b"q", "É".encode(), b"\xe3\x80\x80"]
+    texts = [None, b"", b" ", b"\n a "] + [b"".join(rng.choice(parts) for _ in range(rng.randrange(20))) for _ in range(2000)]
+    for column in (pa.array(texts, pa.binary()), pa.array(texts, pa.large_binary()), pa.Array.from_buffers(
+            pa.string(), len(texts), pa.array([t or b"" for t in texts], pa.binary()).buffers())):
+        for lo, n in ((0, len(texts)), (7, 900), (1, 1), (3, 0)):
+            words, counts = markov_scores.split_words(column.slice(lo, n))
+            plain = [markov_scores.tokens(t)[:-1] for t in texts[lo:lo + n]]
+            assert counts.tolist() == [len(x) for x in plain]
+            words = words.cast(pa.large_binary())
+            assert words.to_pylist() == [w for x in plain for w in x]
+            assert markov_scores.word_classes(words.slice(2)).tolist() == [
+                zlib.crc32(w[-markov_scores.SUFFIX:]) % markov_scores.CLASSES for w in words.to_pylist()[2:]]
+    column = pa.array(["aa", None, "b", "cccccc", "d"])
+    assert list(markov_scores._parts(column, 3)) == [(0, 3), (3, 4), (4, 5)]
+
+
+def test_texts_are_coded_as_word_by_word():
+    texts = [None, "a B a zz", " ", "qq b qq a rrr qq", "a"]
+    coder = markov_scores.Coder([b"a", b"b", b"zz"], 2)
+    numbered = np.array([5, 4, 2, 1])
+    base, inside = np.array([-1.0, -2.0, -3.0, -4.0]), np.array([0.0, 0.0, 0.0, -7.0])
+    for lo in (0, 2):
+        got = zip(*(c.to_pylist() for c in markov_scores._coded_texts(pa.array(texts).slice(lo), coder, numbered, base, inside)))
+        for t, (n, known, b, i, symbols, tail, times) in zip(texts[lo:], got, strict=True):
+            words = markov_scores.tokens((t or "").encode())
+            number = {b"": 0, b"a": 1, b"b": 2, b"zz": 3}
+            of = lambda w: number[w] if number.get(w, 9) < 3 else 3 + zlib.crc32(w[-3:]) % markov_scores.CLASSES
+            assert n == len(words) and known == sum(w in number for w in words)
+            assert b == sum(base[number[w]] for w in words if w in number) and i == sum(inside[number[w]] for w in words if w in number)
+            assert np.frombuffer(symbols, coder.kind).tolist() == [of(w) for w in words]
+            assert dict(zip(tail, times, strict=True)) == {w: words.count(w) for w in words if w not in number}
+
+
+def test_seldom_scaling_keeps_long_and_rare_sequences():
+    rng = np.random.default_rng(3)
+    emit = np.full((4, 2), 1e-20)
+    emit[0] = 1
+    lengths = np.array([1, 7, 8, 9, 16, 17, 3000, 2])
+    ids = rng.integers(0, 4, lengths.sum())
+    start, move = np.array([0.3, 0.7]), np.array([[0.9, 0.1], [0.2, 0.8]])
+    got = markov_scores.forward_scores(ids, lengths, start, move, emit)
+    parts = np.split(ids, np.cumsum(lengths)[:-1])
+    assert got == pytest.approx([-20.0 * (p > 0).sum() for p in parts])  # the states do not differ
+
+
+def test_symbols_are_added_up_over_many_steps():
+    rng = np.random.default_rng(8)
+    lengths = rng.integers(1, 90, 900)
+    ids = np.minimum(rng.integers(0, 500, lengths.sum()), rng.integers(0, 500, lengths.sum()))
+    model = np.full(3, 1 / 3), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(500), 3).T
+    starts, moves, symbols = markov_scores.expected_counts(ids, lengths, *model)
+    assert len(ids) > 2 << 14 and symbols.shape == (500, 3)
+    assert symbols.sum(axis=1) == pytest.approx(np.bincount(ids, minlength=500), abs=1e-3)
+    assert starts.sum() == pytest.approx(900, rel=1e-5) and moves.sum() == pytest.approx(len(ids) - 900, rel=1e-5)
+
+
 def test_coded_documents_are_cut_between_documents():
     import pyarrow as pa
 
