@@ -10,7 +10,7 @@ it, so the trigrams of all documents, trusted or not, are shuffled once by that
 contexts and bigrams; the discounts and the words' continuation counts are added up over all shards. Then each
 shard makes its part of the model again from the same shuffle and sums the log probabilities of its words per
 block and document; the sums of the shards are added up per block, and joined with the rows by a 64-bit hash of
-the text. No task and no driver holds the n-grams, only the vocabulary (words seen twice in trusted text).
+the text. All other shuffles are deleted as soon as their table is written or collected. No task and no driver holds the n-grams, only the vocabulary (words seen twice in trusted text).
 
 A document has two scores, of its words and of its characters (the model that spells unknown words, over all of
 its bytes): mean log10 probability a byte, shrunk to its language's mean as by ``SHRINK`` bytes of that language.
@@ -715,7 +715,7 @@ def judge(docs: DataFrame, labels: DataFrame, name: str, doc_id: str = "doc_id",
     own = own.join(F.broadcast(good.where(learnt)), F.col("id") == F.col("trusted_id"), "left").select(
         "t", "key", F.col("trusted_id").isNotNull().alias("learn"))
     col, key = fresh(docs, "score_"), fresh(docs, "key_")
-    with small_batches(spark):
+    with small_batches(spark), common.released_shuffles(spark):
         texts = own.where("learn").select("t")
         rows = kneser_ney(gram_counts(texts, "t")).toPandas()
         words, ids, n_words = vocabulary(texts, "t")

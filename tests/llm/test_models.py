@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -305,6 +306,31 @@ def test_small_batches_change_no_verdict(spark, docs_of, monkeypatch):
     assert spark.conf.get(name) == before
 
 
+def test_finished_shuffles_are_deleted(spark, docs_of, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old, seen, kept = spark.conf.get(name), [], quality_lm.word_scores
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = blocks.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    def held(*args):
+        deadline = time.monotonic() + 30
+        while shuffles() - before and time.monotonic() < deadline:  # files go a moment after the query
+            time.sleep(0.2)
+        seen.append(shuffles() - before)
+        return kept(*args)
+
+    rows = [(i, f"the cat sat on mat {i % 7} the dog sat too", "en", "s") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    docs = docs_of(rows)
+    monkeypatch.setattr(quality_lm, "word_scores", held)
+    before = shuffles()
+    assert quality_lm.judge(docs, labels, "v", keep=["doc_id"]).count() == 200
+    assert seen == [set()] and spark.conf.get(name) == old
+
+
 def test_classifier_edges(spark, docs_of):
     rows = [(i, "plain words of a plain text here") for i in range(40)] + [(90, None), (91, ""), (92, "###$$$%%%" * 50), (92, "x")]
     docs = docs_of(rows)
