@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialstat.llm.common import annotate, fresh, read_table, stage, struct_of
+from dialstat.llm.common import annotate, fresh, read_table, stage, struct_of, tidy
 from dialstat.llm.components import components
 from dialstat.llm.textsets import mix, shingle_sets
 
@@ -199,7 +199,7 @@ def _edges(rows: DataFrame, payload: list[str], read, linked) -> DataFrame:
         if edges := close():
             yield _batch(edges)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tidy(run), "a long, b long")
 
 
 def _batch(edges) -> pa.RecordBatch:

@@ -10,7 +10,7 @@ it, so the trigrams of all documents, trusted or not, are shuffled once by that
 contexts and bigrams; the discounts and the words' continuation counts are added up over all shards. Then each
 shard makes its part of the model again from the same shuffle and sums the log probabilities of its words per
 block and document; the sums of the shards are added up per block, and joined with the rows by a 64-bit hash of
-the text. All other shuffles are deleted as soon as their table is written or collected. No task and no driver holds the n-grams, only the vocabulary (words seen twice in trusted text).
+the text. Every step runs in the workers of ``mapInArrow``, one for each core, which give back their freed memory. All other shuffles are deleted as soon as their table is written or collected. No task and no driver holds the n-grams, only the vocabulary (words seen twice in trusted text).
 
 A document has two scores, of its words and of its characters (the model that spells unknown words, over all of
 its bytes): mean log10 probability a byte, shrunk to its language's mean as by ``SHRINK`` bytes of that language.
@@ -30,17 +30,17 @@ verdict; a document labelled several times is trusted if one label says so.
 from __future__ import annotations
 
 from contextlib import AbstractContextManager
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.rdd import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dialstat.llm import common
-from dialstat.llm.common import annotate, fresh, read_table, slices, stage, struct_of
+from dialstat.llm.common import annotate, fresh, read_table, shuffled_once, slices, stage, struct_of, tidy
 
 ORDER, UNITS = 4, 48
 MIN_TRUSTED = 30
@@ -115,7 +115,7 @@ def gram_counts(texts: DataFrame, text: str) -> DataFrame:
                     total[found] += times.astype(np.int32)
         yield from rows()
 
-    return texts.select(f"`{text}`").mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+    return texts.select(f"`{text}`").mapInArrow(tidy(run), "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
@@ -242,7 +242,7 @@ def _added(texts: DataFrame, text: str, names: list[str], keys) -> DataFrame:
         if held:
             yield from rows()
 
-    added = texts.select(f"`{text}`").mapInArrow(run, ", ".join(f"{n} long" for n in [*names, "c"]))
+    added = texts.select(f"`{text}`").mapInArrow(tidy(run), ", ".join(f"{n} long" for n in [*names, "c"]))
     return added.groupBy(*names).agg(F.sum("c").alias("c"))
 
 
@@ -490,6 +490,13 @@ def _unpack_trigrams(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return _sums(du, new), np.cumsum(dv), _sums(dw, new | (du > 0)), doc
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """The parts as one array; they go."""
+    whole = np.concatenate(parts)
+    parts.clear()
+    return whole
+
+
 _TRIGRAMS, _KEYS = 0, 1  # kinds of packed rows
 _PACKED = "shard long, kind int, block long, learnt long, payload binary"
 
@@ -502,29 +509,29 @@ def packed_trigrams(docs: DataFrame, known, size: int, n_shards: int, block_byte
     """
     def run(batches):
         words, ids = known.value
-        task, number, held, keys, learn, n_bytes = TaskContext.get().partitionId(), 0, [], [], [], 0
+        task, number, held, keys, learn, n_bytes = TaskContext.get().partitionId(), 0, ([], [], [], []), [], [], 0
 
         def rows():
             flags = np.array(learn, bool)
             place = np.empty(len(flags), np.int64)
             place[np.argsort(~flags, kind="stable")] = np.arange(len(flags))
-            u, v, w, doc = (np.concatenate(c) for c in zip(*held))
-            held.clear()
-            learnt, block, out = int(flags.sum()), task << 32 | number, []
-            uv = (v % n_shards * np.int64(size // n_shards + 1) + v // n_shards) * size + u
-            order = np.lexsort((w, uv))
-            del uv
-            shards = (v % n_shards)[order]
-            cuts = np.flatnonzero(np.diff(shards, prepend=-1, append=n_shards))
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                here = order[lo:hi]
+            u, v, w, doc = map(_joined, held)
+            learnt, block = int(flags.sum()), task << 32 | number
+            shards = v % n_shards
+            order = np.argsort(shards, kind="stable")
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(shards, minlength=n_shards))])
+            for shard in np.flatnonzero(np.diff(cuts)).tolist():  # sorted shard by shard: no key of the whole block
+                here = order[cuts[shard]:cuts[shard + 1]]
+                here = here[np.lexsort((w[here], u[here], v[here]))]
                 of = [c.astype(np.int64) for c in (u[here], v[here] // n_shards, w[here])]
-                out.append((int(shards[lo]), _TRIGRAMS, block, learnt, _pack_trigrams(*of, place[doc[here]])))
+                yield row(shard, _TRIGRAMS, block, learnt, _pack_trigrams(*of, place[doc[here]]))
             by_place = np.empty(len(flags), np.int64)
             by_place[place] = np.array(keys, np.int64)
-            out.append((block % n_shards, _KEYS, block, learnt, by_place.tobytes()))
+            yield row(block % n_shards, _KEYS, block, learnt, by_place.tobytes())
+
+        def row(*values):  # a batch of its own: neither side holds a whole block's rows
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds)],
                                               names=["shard", "kind", "block", "learnt", "payload"])
 
         for b in batches:
@@ -532,17 +539,18 @@ def packed_trigrams(docs: DataFrame, known, size: int, n_shards: int, block_byte
             for lo, hi in slices(texts, TEXT_BYTES):
                 _, doc, hashes = word_spans(texts[lo:hi])
                 w = _ranked(hashes, words, ids)
-                held.append(tuple(c.astype(np.int32) for c in (*_before(w, doc), w, doc + len(keys))))
+                for parts, c in zip(held, (*_before(w, doc), w, doc + len(keys))):
+                    parts.append(c.astype(np.int32))
                 keys += b.column(1).slice(lo, hi - lo).to_pylist()
                 learn += b.column(2).slice(lo, hi - lo).to_pylist()
                 n_bytes += sum(len(t or b"") for t in texts[lo:hi])
                 if n_bytes >= block_bytes:
-                    yield rows()
-                    number, held, keys, learn, n_bytes = number + 1, [], [], [], 0
+                    yield from rows()
+                    number, keys, learn, n_bytes = number + 1, [], [], 0
         if keys:
-            yield rows()
+            yield from rows()
 
-    return docs.select("t", "key", "learn").mapInArrow(run, _PACKED)
+    return docs.select("t", "key", "learn").mapInArrow(tidy(run), _PACKED)
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -553,27 +561,33 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
 
 
 class _Shard:
-    """Trigrams, contexts and bigrams of the trusted words of one shard, counted."""
-
-    def __init__(self, packed: list[tuple[int, bytes]], size: int):
-        parts = [np.zeros((2, 0), np.int64)]
-        for learnt, payload in packed:
-            if learnt:
-                u, v, w, doc = _unpack_trigrams(payload)
-                of = doc < learnt
-                parts.append(np.stack([u[of] * size + v[of], w[of]]))
-        uv, w = np.concatenate(parts, axis=1)
-        del parts
+    """Trigrams, contexts and bigrams of the trusted words of one shard, counted: first in each block, then all."""
+
+    def __init__(self, size: int):
+        self.size, self.parts = size, ([np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)])
+
+    def add(self, learnt: int, payload: bytes) -> None:
+        if not learnt:
+            return
+        u, v, w, doc = _unpack_trigrams(payload)
+        of = doc < learnt
+        u, v, w = u[of], v[of], w[of]
+        at = _runs(v, u, w)  # the trigrams of a block are sorted
+        for parts, c in zip(self.parts, (u[at] * self.size + v[at], w[at].astype(np.int32), np.diff(np.append(at, len(w))).astype(np.int32))):
+            parts.append(c)
+
+    def count(self) -> _Shard:
+        uv, w, c = map(_joined, self.parts)
         order = np.lexsort((w, uv))
         uv, w = uv[order], w[order]
         at = _runs(uv, w)
-        self.c3 = np.diff(np.append(at, len(w)))
+        self.c3 = np.add.reduceat(c[order], at, dtype=np.int64) if len(at) else np.zeros(0, np.int64)
         uv, w = uv[at], w[at]
         self.context_at = _runs(uv)
         self.uv = uv[self.context_at]
-        self.tri = np.repeat(np.arange(len(self.uv)), np.diff(np.append(self.context_at, len(uv)))) * size + w
-        self.bi, self.c2 = np.unique(uv % size * size + w, return_counts=True)
-        self.size = size
+        self.tri = np.repeat(np.arange(len(self.uv)), np.diff(np.append(self.context_at, len(uv)))) * self.size + w
+        self.bi, self.c2 = np.unique(uv % self.size * self.size + w, return_counts=True)
+        return self
 
     def tables(self, d2, d3):
         """The arguments of ``_interpolated`` after the size."""
@@ -584,30 +598,39 @@ class _Shard:
         return [self.uv, self.tri, self.bi], sums, (np.bincount(v, self.c2, n), np.bincount(v, d2[np.minimum(self.c2, 3)], n)), (d2, d3)
 
 
-def _by_shard(rows) -> list[tuple[int, list[tuple]]]:
-    """The rows (shard, (kind, block, learnt, payload)) of a task, shard by shard, still packed."""
+def _by_shard(batches, size: int, held: list | None = None) -> dict[int, _Shard]:
+    """The counted shards of a task's batches ``_PACKED``; ``held`` gets their rows (shard, kind, block, payload), still packed."""
     out = {}
-    for shard, row in rows:
-        out.setdefault(shard, []).append(row)
-    return sorted(out.items())
+    for b in batches:
+        for shard, kind, block, learnt, payload in zip(*(c.to_pylist() for c in b.columns)):
+            of = out.setdefault(shard, _Shard(size))
+            if kind == _TRIGRAMS:
+                of.add(learnt, payload)
+            if held is not None:
+                held.append((shard, kind, block, payload))
+    return out
 
 
-def _counted(rows, size: int):
+def _counted(batches, size: int):
     """(w, c) of the shards: the continuation counts of words; -(10 k + i): n-grams of order k that were counted i times."""
-    for _, packed in _by_shard(rows):
-        shard = _Shard([(r[2], r[3]) for r in packed if r[0] == _TRIGRAMS], size)
+    for shard in _by_shard(batches, size).values():
+        shard.count()
         words, counts = np.unique(shard.bi % size, return_counts=True)
-        yield from zip(words.tolist(), counts.tolist())
-        for k, c in ((3, shard.c3), (2, shard.c2)):
-            yield from ((-(10 * k + i), int((c == i).sum())) for i in range(1, 5))
+        orders = [(-(10 * k + i), int((c == i).sum())) for k, c in ((3, shard.c3), (2, shard.c2)) for i in range(1, 5)]
+        words, counts = (np.concatenate(c) for c in zip((words, counts), zip(*orders)))
+        for i in range(0, len(words), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 50_000], pa.int64()) for c in (words, counts)], names=["w", "c"])
 
 
-def _shard_sums(rows, size: int, one, d2, d3):
+def _shard_sums(batches, size: int, one, d2, d3):
     """(block, kind, payload): the keys of blocks, and sums of log10 probabilities by document and shard."""
-    for _, packed in _by_shard(rows):
-        tables = _Shard([(r[2], r[3]) for r in packed if r[0] == _TRIGRAMS], size).tables(d2, d3)
+    rows = []
+    shards = _by_shard(batches, size, rows)
+    rows.sort(key=lambda row: row[0])
+    for number, packed in groupby(rows, key=lambda row: row[0]):
+        tables = shards.pop(number).count().tables(d2, d3)
         n = len(tables[2][0])
-        for kind, block, _, payload in packed:
+        for _, kind, block, payload in packed:
             if kind == _TRIGRAMS:
                 u, v, w, doc = _unpack_trigrams(payload)
                 p, known = one[w], v < n  # a word that trusted text has not before another gives the lowest order
@@ -615,7 +638,8 @@ def _shard_sums(rows, size: int, one, d2, d3):
                 docs, at = np.unique(doc, return_inverse=True)
                 sums = np.rint(np.bincount(at, -np.log10(p), len(docs)) * UNIT_OF_LOG)
                 payload = _pack(np.diff(docs, prepend=0), np.maximum(sums, 0).astype(np.int64))
-            yield block, kind, payload
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([kind], pa.int32()), pa.array([payload], pa.binary())],
+                                             names=["block", "kind", "payload"])
 
 
 def _block_sums(table: pa.Table) -> pa.Table:
@@ -629,12 +653,6 @@ def _block_sums(table: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array(keys), "s": pa.array(total / -UNIT_OF_LOG)})
 
 
-def _shuffled(packed: DataFrame, n_shards: int) -> RDD:
-    """Packed rows by shard. An RDD: later jobs on it read the shuffle that the first one wrote."""
-    pairs = packed.rdd.map(lambda r: (r.shard, (r.kind, r.block, r.learnt, bytes(r.payload))))
-    return pairs.partitionBy(n_shards, lambda shard: shard)
-
-
 def _cut(n) -> tuple[float, float, float]:
     """Discounts of modified Kneser-Ney from the numbers of n-grams counted once to four times."""
     n1, n2, n3, n4 = (max(int(x), 1) for x in n)
@@ -661,8 +679,9 @@ def word_scores(docs: DataFrame, known, n_shards: int, block_bytes: int = BLOCK_
     The model is that of all texts with ``learn``; ``known`` is a broadcast of the words' sorted hashes and numbers.
     """
     spark, size = docs.sparkSession, len(known.value[0]) + FIRST
-    shuffled = _shuffled(packed_trigrams(docs, known, size, n_shards, block_bytes), n_shards)
-    counted = spark.createDataFrame(shuffled.mapPartitions(lambda rows: _counted(rows, size)), "w long, c long", verifySchema=False)
+    packed = packed_trigrams(docs, known, size, n_shards, block_bytes)
+    shuffled = shuffled_once(packed.repartitionById(n_shards, F.col("shard").cast("int")))
+    counted = shuffled.mapInArrow(tidy(lambda batches: _counted(batches, size)), "w long, c long")
     got = counted.groupBy("w").agg(F.sum("c").alias("c")).toArrow()
     w, c = got["w"].to_numpy(), got["c"].to_numpy()
     counts = np.zeros(size, np.int64)
@@ -673,8 +692,7 @@ def word_scores(docs: DataFrame, known, n_shards: int, block_bytes: int = BLOCK_
     off, every = d1[np.minimum(counts, 3)], max(counts.sum(), 1)
     left = off.sum() / every if counts.sum() else 1.0
     one = spark.sparkContext.broadcast((counts - off) / every + left / (size - 1) * (np.arange(size) != BOS))
-    sums = shuffled.mapPartitions(lambda rows: _shard_sums(rows, size, one.value, d2, d3))
-    sums = spark.createDataFrame(sums, "block long, kind int, payload binary", verifySchema=False)
+    sums = shuffled.mapInArrow(tidy(lambda batches: _shard_sums(batches, size, one.value, d2, d3)), "block long, kind int, payload binary")
     by_key = sums.groupBy("block").applyInArrow(_block_sums, "key long, s double").groupBy("key").agg(F.avg("s").alias("s"))
     out = stage(by_key, "word-scores")
     one.destroy()

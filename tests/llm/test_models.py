@@ -8,10 +8,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from dialstat.llm import boosting, html_main, markov_scores, personal_data, quality_lm
-from dialstat.llm.common import shared_dir
+from dialstat.llm.common import shared_dir, stage, tidy
 
 SF = "/root/testdata/sf0.001"
 
@@ -331,6 +332,46 @@ def test_finished_shuffles_are_deleted(spark, docs_of, monkeypatch):
     assert seen == [set()] and spark.conf.get(name) == old
 
 
+def test_trigrams_are_packed_once_and_without_python_rdds(spark, docs_of, monkeypatch):
+    calls, seen, once = spark.sparkContext.accumulator(0), [], quality_lm.shuffled_once
+
+    def counted(df):
+        def run(batches):
+            calls.add(1)
+            yield from batches
+
+        dealt = df.mapInArrow(run, df.schema).repartitionById(3, F.col("shard").cast("int"))
+        out = once(dealt)
+        seen.append((calls.value, out._jdf.rdd().toDebugString()))
+        return out
+
+    rows = [(i, f"the cat sat on mat {i % 7} the dog sat too", "en", "s") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    docs, labels = stage(docs_of(rows), "packed-docs"), stage(labels, "packed-labels")
+    monkeypatch.setattr(quality_lm, "shuffled_once", counted)
+    assert quality_lm.judge(docs, labels, "v", keep=["doc_id"], shard_words=300).count() == 200
+    (first, lineage), = seen
+    assert first > 0 and calls.value == first  # the two queries on the shuffle read its files
+    assert "Shuffled" in lineage and "PythonRDD" not in lineage
+
+
+def test_tidy_gives_freed_memory_back():
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    kept = []
+
+    def run(batches):
+        many = [bytes(100_000) for _ in range(2000)]  # below the size that the C library maps on its own
+        kept.append([bytes(2000) for _ in range(2000)])  # stays above them
+        yield len(many)
+
+    before = held()
+    assert list(tidy(run)(iter([]))) == [2000] and len(kept) == 1
+    assert held() - before < 60 << 20
+
+
 def test_classifier_edges(spark, docs_of):
     rows = [(i, "plain words of a plain text here") for i in range(40)] + [(90, None), (91, ""), (92, "###$$$%%%" * 50), (92, "x")]
     docs = docs_of(rows)
